@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from holdfast.checks.views import DIRTY_SQL, DIRTY_TELCO_SQL, TELCO_SQL
-from holdfast.schema import CATEGORICAL_FEATURES
+from holdfast.operators.features import DERIVED
+from holdfast.schema import CATEGORICAL_FEATURES, NUMERICAL_FEATURES
 
 _PERCENT = "CAST('0x' || substr(md5({key}), 1, 8) AS BIGINT) % 100"
 _SPLIT = _PERCENT.format(key='"customerID"')
@@ -35,10 +36,13 @@ starts AS (
 ),
 slots AS (SELECT col, v, CAST(start + idx AS INTEGER) AS pos FROM ranked JOIN starts USING (col))"""
 
-_FILLED = "\nUNION ALL\n".join(
-    f"""SELECT "customerID", {i} AS pos,
-       coalesce({n}, (SELECT quantile_disc({n}, 0.5) FROM train)) AS value FROM telco"""
-    for i, n in enumerate(_NUMBERS)
+_NUMBER_SLOTS = "\nUNION ALL\n".join(
+    f'SELECT "customerID", {i} AS pos, {n} AS value FROM telco' for i, n in enumerate(_NUMBERS)
+)
+_NUMBER_FACTS = "\nUNION ALL\n".join(
+    f"SELECT '{name}' AS column_name, count({n}) AS present, count(*) - count({n}) AS missing,"
+    f" true AS is_median FROM train"
+    for name, n in zip((*NUMERICAL_FEATURES, *DERIVED), _NUMBERS)
 )
 
 ORACLE: dict[str, str] = {
@@ -169,12 +173,13 @@ ORACLE: dict[str, str] = {
     "feature_vectors": f"""
         WITH {TELCO_SQL}, {_SLOTS}
         SELECT * FROM (
-          {_FILLED}
+          {_NUMBER_SLOTS}
           UNION ALL
           SELECT "customerID", pos, CAST(1.0 AS DOUBLE) AS value
           FROM (UNPIVOT (SELECT "customerID", {_COLUMNS} FROM telco) ON {_COLUMNS} INTO NAME col VALUE v)
           JOIN slots USING (col, v)
-        ) WHERE value <> 0""",
+        ) WHERE value IS NULL OR value <> 0""",
+    "imputed_medians": f"WITH {TELCO_SQL}, train AS (SELECT * FROM telco WHERE {_SPLIT} < 80) {_NUMBER_FACTS}",
     "hash_split_sides": f"""
         SELECT c_custkey, CASE WHEN {_PERCENT.format(key='CAST(c_custkey AS VARCHAR)')} < 80
                                THEN 'train' ELSE 'test' END AS side FROM customer""",

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml.feature import ImputerModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,7 +28,7 @@ from holdfast.checks.views import (
     write_csv_lines,
 )
 from holdfast.cluster import scratch_dir
-from holdfast.functions.columns import present
+from holdfast.functions.columns import finite_or_null, present
 from holdfast.operators.categories import category_ranking, encode_categories, fit_category_index
 from holdfast.operators.cleansing import (
     blank_to_null,
@@ -40,6 +41,7 @@ from holdfast.operators.cleansing import (
 from holdfast.operators.complaints import add_complaints, complaint_counts
 from holdfast.operators.features import (
     DERIVE_SQL,
+    DERIVED,
     derive_features,
     fit_preprocessing,
     index_label,
@@ -65,7 +67,7 @@ from holdfast.plans.etl import run_etl
 from holdfast.plans.scoring import score_table
 from holdfast.plans.training import train_churn
 from holdfast.plans.whole import run_all
-from holdfast.schema import KEY, NUMERICAL_FEATURES, TELCO_SCHEMA, cleaned_schema, with_complaints
+from holdfast.schema import CLEANED_SCHEMA, KEY, NUMERICAL_FEATURES, with_complaints
 from holdfast.sources.files import load_cleaned, read_csv, write_parquet
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -308,13 +310,55 @@ def one_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoded.select("p_partkey", slots)
 
 
+def _cleaned_base(spark: SparkSession, sf_dir: str) -> str:
+    """The customer table cleansed and written, as the training step finds it."""
+    base = scratch_dir(spark)
+    write_parquet(cleanse(telco(spark, sf_dir)), base, "telco_cleaned", ["Churn"])
+    return base
+
+
+def _derived(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return derive_features(load_cleaned(spark, _cleaned_base(spark, sf_dir), with_complaints(CLEANED_SCHEMA)))
+
+
 def feature_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Non-zero slots of every customer's vector; everything is fitted on the training side only."""
-    rows = derive_features(telco(spark, sf_dir))
+    """Non-zero slots of every customer's vector; everything is fitted on the training side only.
+
+    A slot filled with the approximate median shows as null here; `imputed_medians` checks its value.
+    """
+    rows = _derived(spark, sf_dir)
     train, _ = hash_split(rows)
     vectors = fit_preprocessing(train).transform(rows)
+    filled = F.array(*[F.col(f"{c}_num").isNull() for c in (*NUMERICAL_FEATURES, *DERIVED)])
     slots = F.posexplode(vector_to_array("features")).alias("pos", "value")
-    return vectors.select(KEY, slots).filter(F.col("value") != 0)
+    return (
+        vectors.select(KEY, filled.alias("filled"), slots)
+        .filter(F.col("value") != 0)
+        .select(KEY, "pos", F.when(~F.coalesce(F.get("filled", "pos"), F.lit(False)), F.col("value")).alias("value"))
+    )
+
+
+def imputed_medians(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per number: training rows with and without a value, and whether the fill value's rank is within
+    the error of the approximate median (a thousandth of the rows)."""
+    train, _ = hash_split(_derived(spark, sf_dir))
+    model = fit_preprocessing(train)
+    imputer = next(stage for stage in model.stages if isinstance(stage, ImputerModel))
+    fills = imputer.surrogateDF.first().asDict()
+    facts = []
+    for name in (*NUMERICAL_FEATURES, *DERIVED):
+        value, fill = finite_or_null(name), F.lit(fills[f"{name}_num"])
+        half, error = F.count(value) * 0.5, F.count(value) * 0.001 + 1
+        within = (F.count_if(value < fill) <= half + error) & (F.count_if(value <= fill) >= half - error)
+        facts.append(
+            F.struct(
+                F.lit(name).alias("column_name"),
+                F.count(value).alias("present"),
+                F.count_if(value.isNull()).alias("missing"),
+                within.alias("is_median"),
+            )
+        )
+    return train.agg(F.array(*facts).alias("facts")).select(F.inline("facts"))
 
 
 def hash_split_sides(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -340,8 +384,7 @@ def random_split_cover(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _fitted(spark: SparkSession, sf_dir: str):
-    labelled = index_label(derive_features(telco(spark, sf_dir)))
-    train, test = hash_split(labelled)
+    train, test = hash_split(index_label(_derived(spark, sf_dir)))
     preprocessing = fit_preprocessing(train)
     return preprocessing, train_forest(preprocessing.transform(train)), preprocessing.transform(test)
 
@@ -433,13 +476,6 @@ def etl_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _cleaned_base(spark: SparkSession, sf_dir: str) -> str:
-    rows = cleanse(telco(spark, sf_dir))
-    base = scratch_dir(spark)
-    write_parquet(rows, base, "telco_cleaned", ["Churn"])
-    return base
-
-
 def churn_training(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = _cleaned_base(spark, sf_dir)
     report = train_churn(spark, base, f"{base}/models")
@@ -458,8 +494,7 @@ def batch_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every customer, labelled or not, gets one prediction from the saved models."""
     base = _cleaned_base(spark, sf_dir)
     train_churn(spark, base, f"{base}/models")
-    schema = with_complaints(cleaned_schema(TELCO_SCHEMA, NUMERICAL_FEATURES, ["Churn"]))
-    customers = load_cleaned(spark, base, schema).drop("Churn")
+    customers = load_cleaned(spark, base, with_complaints(CLEANED_SCHEMA)).drop("Churn")
     path = score_table(customers, f"{base}/models", base)
     p = F.col("churn_probability")
     return spark.read.parquet(path).select(
@@ -502,6 +537,7 @@ QUERIES: dict[str, Query] = {
         category_index,
         one_hot,
         feature_vectors,
+        imputed_medians,
         hash_split_sides,
         random_split_cover,
         forest_training,

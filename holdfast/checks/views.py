@@ -227,8 +227,7 @@ def write_csv(df: DataFrame, spark: SparkSession) -> str:
 def write_csv_lines(lines: DataFrame, spark: SparkSession, header: str) -> str:
     """Write ready-made CSV lines (one string column) as they are, with a header in every file."""
     path = f"{scratch_dir(spark)}/raw"
-    column = lines.columns[0]
-    lines.select(F.col(column).alias(header)).write.csv(
+    lines.toDF(header).write.csv(
         path, header=True, sep="\u0001", quote="", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
     )
     return path

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.ml.feature import OneHotEncoder, OneHotEncoderModel, StringIndexerModel
+from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.feature import OneHotEncoder, StringIndexerModel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -57,7 +58,7 @@ def category_ranking(df: DataFrame, columns: list[str], max_categories: int = MA
 def category_labels(
     df: DataFrame, columns: list[str], max_categories: int = MAX_CATEGORIES
 ) -> dict[str, list[str]]:
-    """The values of each listed column the table has, by falling frequency, ties in value order.
+    """The values of each listed column that has any, by falling frequency, ties in value order.
 
     The driver receives the distinct values only, and never more than the bound.
     """
@@ -71,25 +72,26 @@ def category_labels(
     over = [c for c, values in found.items() if len(values) > max_categories]
     if over or len(rows) > limit:
         raise TooManyCategories(f"more than {max_categories} values in: {', '.join(over) or 'the columns'}")
-    return {c: [value for _, value in sorted(values)] for c, values in found.items()}
+    return {c: [value for _, value in sorted(values)] for c, values in found.items() if values}
 
 
-def fit_category_index(
-    df: DataFrame, columns: list[str], max_categories: int = MAX_CATEGORIES
-) -> StringIndexerModel | None:
-    """Indexer `c -> c_idx` for all listed columns; null and unseen values get the index after the last.
+def index_stages(labels: dict[str, list[str]]) -> list[StringIndexerModel]:
+    """Indexers `c -> c_idx`; null and unseen values get the index after the last.
 
-    Columns without any value are left out; None if that leaves no column.
+    One model per number of values: the Python constructor takes a rectangular array only.
     """
-    labels = {c: v for c, v in category_labels(df, columns, max_categories).items() if v}
-    if not labels:
-        return None
-    return StringIndexerModel.from_arrays_of_labels(
-        list(labels.values()),
-        inputCols=list(labels),
-        outputCols=[f"{c}_idx" for c in labels],
-        handleInvalid="keep",
-    )
+    by_size: dict[int, list[str]] = {}
+    for column, values in labels.items():
+        by_size.setdefault(len(values), []).append(column)
+    return [
+        StringIndexerModel.from_arrays_of_labels(
+            [labels[c] for c in columns],
+            inputCols=columns,
+            outputCols=[f"{c}_idx" for c in columns],
+            handleInvalid="keep",
+        )
+        for _, columns in sorted(by_size.items())
+    ]
 
 
 def one_hot_encoder(columns: list[str]) -> OneHotEncoder:
@@ -97,15 +99,19 @@ def one_hot_encoder(columns: list[str]) -> OneHotEncoder:
     return OneHotEncoder(inputCols=[f"{c}_idx" for c in columns], outputCols=[f"{c}_enc" for c in columns])
 
 
-def indexed_columns(model: StringIndexerModel | None) -> list[str]:
-    return [] if model is None else list(model.getInputCols())
+def fit_category_index(
+    df: DataFrame, columns: list[str], max_categories: int = MAX_CATEGORIES
+) -> PipelineModel:
+    """Frequency index of all listed columns the table has; columns without any value are left out."""
+    return PipelineModel(index_stages(category_labels(df, columns, max_categories)))
 
 
-def encode_categories(df: DataFrame, columns: list[str]) -> tuple[DataFrame, OneHotEncoderModel]:
-    """The table with `c_idx` and `c_enc` for each listed column that has a value."""
-    index = fit_category_index(df, columns)
-    if index is None:
+def encode_categories(
+    df: DataFrame, columns: list[str], max_categories: int = MAX_CATEGORIES
+) -> tuple[DataFrame, PipelineModel]:
+    """The table with `c_idx` and `c_enc` for each listed column that has a value, and the model."""
+    labels = category_labels(df, columns, max_categories)
+    if not labels:
         raise ValueError("none of the category columns has a value")
-    indexed = index.transform(df)
-    encoder = one_hot_encoder(indexed_columns(index)).fit(indexed)
-    return encoder.transform(indexed), encoder
+    model = Pipeline(stages=[*index_stages(labels), one_hot_encoder(list(labels))]).fit(df)
+    return model.transform(df), model

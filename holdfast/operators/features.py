@@ -8,12 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from holdfast.functions.columns import count_or_zero, daily_charge, finite_or_null, present
-from holdfast.operators.categories import (
-    MAX_CATEGORIES,
-    fit_category_index,
-    indexed_columns,
-    one_hot_encoder,
-)
+from holdfast.operators.categories import MAX_CATEGORIES, category_labels, index_stages, one_hot_encoder
 from holdfast.schema import (
     CATEGORICAL_FEATURES,
     COMPLAINTS,
@@ -89,8 +84,8 @@ def fit_preprocessing(
     training median. The label is no part of it, so the model also applies to unlabelled rows.
     """
     numbers = _numbers_with_values(train, present(train, [*numerical, *DERIVED]))
-    index = fit_category_index(train, categorical, max_categories)
-    categories = indexed_columns(index)
+    labels = category_labels(train, categorical, max_categories)
+    categories = list(labels)
     if not numbers and not categories:
         raise ValueError("no feature column holds a value")
     stages = []
@@ -109,7 +104,7 @@ def fit_preprocessing(
             )
         )
     if categories:
-        stages += [index, one_hot_encoder(categories)]
+        stages += [*index_stages(labels), one_hot_encoder(categories)]
     stages.append(
         VectorAssembler(
             inputCols=[f"{c}_filled" for c in numbers] + [f"{c}_enc" for c in categories],
