@@ -52,7 +52,7 @@ def run_etl(
         raise ValueError(f"input and output are the same path: {target}")
     partition_cols = [label] if label in schema.fieldNames() else []
     written_schema = cleaned_schema(schema, numerical, partition_cols)
-    has_key = F.col(key).isNotNull()
+    has_key = F.col(key).isNotNull() if key in schema.fieldNames() else F.lit(True)
     no_label = F.col(label).isNull() if partition_cols else F.lit(False)
 
     with sized_for(spark, input_path):
