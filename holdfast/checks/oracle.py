@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from holdfast.checks.views import DIRTY_SQL, DIRTY_TELCO_SQL, TELCO_SQL
 from holdfast.operators.features import DERIVED
-from holdfast.schema import CATEGORICAL_FEATURES, NUMERICAL_FEATURES
+from holdfast.schema import CATEGORICAL_FEATURES, NUMERICAL_FEATURES, TELCO_SCHEMA
 
 _PERCENT = "CAST('0x' || substr(md5({key}), 1, 8) AS BIGINT) % 100"
 _SPLIT = _PERCENT.format(key='"customerID"')
@@ -19,6 +19,13 @@ _NUMBERS = [
     _DAILY,
     'CAST(coalesce("NumComplaints90Days", 0) AS DOUBLE)',
 ]
+_TELCO_REPORT = " UNION ALL ".join(
+    f"SELECT '{f.name}' AS column_name, '{f.dataType.simpleString()}' AS expected, '{kind}' AS actual,"
+    f" '{'ok' if kind == f.dataType.simpleString() else 'type'}' AS status,"
+    f' count(*) - count("{f.name}") AS nulls FROM cleaned_telco'
+    for f in TELCO_SCHEMA.fields
+    for kind in ["double" if f.name in NUMERICAL_FEATURES else "string"]
+)
 
 # Category values ranked on training rows, with the vector slot each one takes.
 _SLOTS = f"""
@@ -96,6 +103,10 @@ ORACLE: dict[str, str] = {
         WITH {DIRTY_SQL}
         SELECT trim("customerID") AS "customerID", nullif(trim("Contract"), '') AS "Contract",
                nullif(trim("MonthlyCharges"), '') AS "MonthlyCharges" FROM dirty WHERE trim("customerID") <> ''""",
+    "null_rows": f"""
+        WITH {DIRTY_SQL}
+        SELECT nullif(trim("customerID"), '') AS "customerID", CAST(NULL AS VARCHAR) AS "Contract",
+               nullif(trim("MonthlyCharges"), '') AS "MonthlyCharges" FROM dirty WHERE trim("Contract") = ''""",
     "whole_row_dedupe": f"WITH {DIRTY_SQL} SELECT DISTINCT * FROM dirty",
     "dedupe_hot_row": """
         SELECT DISTINCT CASE WHEN l_orderkey % 3 <> 0 THEN l_orderkey END AS l_orderkey,
@@ -139,6 +150,8 @@ ORACLE: dict[str, str] = {
           UNION ALL SELECT 'o_totalprice', count(*) - count(o_totalprice) FROM orders
           UNION ALL SELECT 'o_orderdate', count(*) - count(o_orderdate) FROM orders
         ) USING (column_name)""",
+    "telco_schema_check": f"""
+        WITH {DIRTY_TELCO_SQL} {_TELCO_REPORT}""",
     "write_and_reconcile": "SELECT count(*) AS rows_written, count(*) AS rows_read_back FROM orders",
     "preview_rows": "SELECT * FROM orders ORDER BY o_orderkey LIMIT 5",
     "complaint_count": """

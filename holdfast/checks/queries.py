@@ -59,6 +59,7 @@ from holdfast.operators.quality import (
     null_counts,
     preview,
     row_count,
+    rows_with_null,
     schema_report,
     write_reconciled,
 )
@@ -67,7 +68,7 @@ from holdfast.plans.etl import run_etl
 from holdfast.plans.scoring import score_table
 from holdfast.plans.training import train_churn
 from holdfast.plans.whole import run_all
-from holdfast.schema import CLEANED_SCHEMA, KEY, NUMERICAL_FEATURES, with_complaints
+from holdfast.schema import CLEANED_SCHEMA, KEY, NUMERICAL_FEATURES, TELCO_SCHEMA, with_complaints
 from holdfast.sources.files import load_cleaned, read_csv, write_parquet
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -208,6 +209,10 @@ def key_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drop_missing_key(blank_to_null(trim_strings(dirty_customer(spark, sf_dir))))
 
 
+def null_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rows_with_null(blank_to_null(trim_strings(dirty_customer(spark, sf_dir))), "Contract")
+
+
 def whole_row_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drop_duplicate_rows(dirty_customer(spark, sf_dir))
 
@@ -263,6 +268,15 @@ def schema_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report.join(F.broadcast(long_form), "column", "left").withColumnRenamed("column", "column_name")
 
 
+def telco_schema_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cleansed customer table against the declared raw schema: the two integers are double now."""
+    clean = cleanse(dirty_telco(spark, sf_dir))
+    report = schema_report(spark, clean.schema, TELCO_SCHEMA)
+    nulls = null_counts(clean, clean.columns)
+    long_form = nulls.unpivot([], nulls.columns, "column", "nulls")
+    return report.join(F.broadcast(long_form), "column", "left").withColumnRenamed("column", "column_name")
+
+
 def write_and_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, written, found = write_reconciled(
         table(spark, sf_dir, "orders"), scratch_dir(spark), "orders_copy", ["o_orderstatus"]
@@ -449,8 +463,7 @@ def cleansed_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def cleansed_telco(spark: SparkSession, sf_dir: str) -> DataFrame:
-    dirty = dirty_telco(spark, sf_dir)
-    return cleanse(cast_numeric(dirty, ["tenure"]).withColumn("tenure", F.nullif("tenure", F.lit(9.5))))
+    return cleanse(dirty_telco(spark, sf_dir))
 
 
 def etl_table(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -522,6 +535,7 @@ QUERIES: dict[str, Query] = {
         feature_projection,
         present_columns,
         key_not_null,
+        null_rows,
         whole_row_dedupe,
         dedupe_hot_row,
         row_counts,
@@ -529,6 +543,7 @@ QUERIES: dict[str, Query] = {
         category_ranks,
         auc_by_length,
         schema_check,
+        telco_schema_check,
         write_and_reconcile,
         preview_rows,
         complaint_count,

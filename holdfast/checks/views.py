@@ -186,7 +186,7 @@ def dirty_telco(spark: SparkSession, sf_dir: str) -> DataFrame:
         "customerID": F.when(k % 50 == 0, "   ").otherwise(F.concat(F.lit("  "), "customerID", F.lit(" "))),
         "Contract": F.when(k % 7 == 0, "").otherwise(F.concat("Contract", F.lit(" "))),
         "MonthlyCharges": F.when(k % 11 == 0, "n/a").otherwise(F.col("MonthlyCharges").cast("string")),
-        "tenure": F.when(k % 13 == 0, "9.5").otherwise(F.col("tenure").cast("string")),
+        "tenure": F.when(k % 13 == 0, "unknown").otherwise(F.col("tenure").cast("string")),
         "Churn": F.when(k % 17 == 0, " ").otherwise(F.col("Churn")),
     }
     return clean.withColumn("copy", _twice_if(k % 10 == 0)).select(

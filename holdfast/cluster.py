@@ -67,10 +67,15 @@ def session_conf(spark: SparkSession, conf: dict[str, str]) -> Iterator[None]:
 
 
 @contextmanager
-def sized_for(spark: SparkSession, path: str) -> Iterator[dict[str, str]]:
-    """Run the actions inside the block with scan and shuffle sizes that fit the data at `path`."""
+def sized_for(spark: SparkSession, path: str, shuffles_rows: bool = True) -> Iterator[dict[str, str]]:
+    """Run the actions inside the block with scan and shuffle sizes that fit the data at `path`.
+
+    With `shuffles_rows=False` only the scan is sized: for work that exchanges counts, not rows.
+    """
     current = int(spark.conf.get("spark.sql.shuffle.partitions"))
     conf = size_conf(input_bytes(spark, path), current)
+    if not shuffles_rows:
+        del conf["spark.sql.shuffle.partitions"]
     with session_conf(spark, conf):
         yield conf
 

@@ -33,6 +33,7 @@ from holdfast.operators.quality import (
     preview,
     reconcile,
     row_count,
+    rows_with_null,
     schema_report,
     write_reconciled,
 )

@@ -42,7 +42,8 @@ def category_ranking(df: DataFrame, columns: list[str], max_categories: int = MA
     per column, and the query fails when it is beyond `max_categories`.
     """
     counts = category_counts(df, columns)
-    sizes = counts.groupBy("column").agg(F.count(F.lit(1)).alias("size"))
+    # Reading `n` keeps both sides of the join the same up to here, so Spark counts only once.
+    sizes = counts.groupBy("column").agg(F.count_if(F.col("n") > 0).alias("size"))
     # One row per listed column: bounded by the argument, whatever the data.
     checked = counts.join(F.broadcast(sizes), "column").select(
         "column",

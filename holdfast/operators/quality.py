@@ -33,6 +33,10 @@ def null_counts(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     return df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in wanted])
 
 
+def rows_with_null(df: DataFrame, column: str) -> DataFrame:
+    return df.filter(F.col(column).isNull())
+
+
 def schema_differences(actual: StructType, expected: StructType) -> list[tuple[str, str, str | None, str]]:
     """(column, expected, actual, status) per expected column; status is ok, type or missing.
 

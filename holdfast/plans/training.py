@@ -52,7 +52,7 @@ def train_churn(
     Every step reads the Parquet table with just the columns it needs; there is no exchange of wide
     rows anywhere, only of counts, bin statistics and (score, label) pairs.
     """
-    with sized_for(spark, table_path(cleaned_base, table_name)):
+    with sized_for(spark, table_path(cleaned_base, table_name), shuffles_rows=False):
         cleaned = load_cleaned(spark, cleaned_base, with_complaints(schema), table_name)
         labelled = index_label(derive_features(cleaned))
         is_train = hash_percent(key) < F.lit(round(TRAIN_RATIO * 100))

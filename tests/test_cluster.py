@@ -27,6 +27,8 @@ def test_values_are_put_back(spark, tmp_path):
     assert spark.conf.get("spark.sql.shuffle.partitions") == before
     with sized_for(spark, str(tmp_path)) as conf:
         assert conf["spark.sql.shuffle.partitions"] == before
+    with sized_for(spark, str(tmp_path), shuffles_rows=False) as conf:
+        assert list(conf) == ["spark.sql.files.maxPartitionBytes"]
 
 
 def test_scratch_space_is_the_shared_folder(spark):

@@ -73,6 +73,12 @@ def test_label_does_not_flip_with_the_majority(df):
         index_label(df.drop("Churn"))
 
 
+def test_label_filter_prunes_partitions(spark, df, tmp_path, plan_of):
+    df.write.partitionBy("Churn").parquet(str(tmp_path / "t"))
+    plan = plan_of(index_label(spark.read.parquet(str(tmp_path / "t"))), "formatted")
+    assert "PartitionFilters: [Churn" in plan and " IN (No,Yes)]" in plan
+
+
 def test_vectors(df):
     rows = derive_features(df)
     model = fit_preprocessing(rows)

@@ -11,6 +11,7 @@ from holdfast.operators.quality import (
     preview,
     reconcile,
     row_count,
+    rows_with_null,
     schema_report,
     write_reconciled,
 )
@@ -22,6 +23,7 @@ def test_counts(spark, plan_of):
     assert row_count(df).first()["row_count"] == 3
     assert null_counts(df).first().asDict() == {"customerID": 1, "Churn": 2}
     assert null_counts(df, ["Churn", "absent"]).columns == ["Churn"]
+    assert [r["customerID"] for r in rows_with_null(df, "Churn").orderBy("customerID").collect()] == [None, "a"]
     with pytest.raises(SchemaError):
         null_counts(df, ["absent"])
 
