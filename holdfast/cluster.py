@@ -10,7 +10,7 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 MIB = 1024 * 1024
 # A shuffle keeps one block per (map task, reduce task) pair. Both sides are bounded so that the
@@ -19,6 +19,8 @@ MAX_SCAN_TASKS = 100_000
 MAX_SHUFFLE_TASKS = 20_000
 SCAN_BYTES_PER_TASK = 128 * MIB
 SHUFFLE_BYTES_PER_TASK = 256 * MIB
+# Spark packs small files into scan tasks of this size (its default cost of opening a file).
+SMALLEST_SCAN_TASK = 4 * MIB
 
 # Settings to start a cluster session with. The sizes that depend on the input are set per job by
 # `sized_for`.
@@ -40,16 +42,23 @@ def input_bytes(spark: SparkSession, path: str) -> int:
     return sum(fs.getContentSummary(status.getPath()).getLength() for status in found)
 
 
-def size_conf(total_bytes: int, shuffle_partitions: int, scan_bytes: int = SCAN_BYTES_PER_TASK) -> dict[str, str]:
-    """Scan split size and shuffle width for `total_bytes` of input; never below the given values."""
+def shuffle_conf(total_bytes: int, current_partitions: int) -> dict[str, str]:
+    """Shuffle width and scan split size for work that exchanges the rows it reads."""
     wanted = min(math.ceil(total_bytes / SHUFFLE_BYTES_PER_TASK), MAX_SHUFFLE_TASKS)
-    split = max(scan_bytes, math.ceil(total_bytes / MAX_SCAN_TASKS))
+    split = max(SCAN_BYTES_PER_TASK, math.ceil(total_bytes / MAX_SCAN_TASKS))
     return {
-        "spark.sql.shuffle.partitions": str(max(wanted, shuffle_partitions)),
+        "spark.sql.shuffle.partitions": str(max(wanted, current_partitions)),
         "spark.sql.files.maxPartitionBytes": str(split),
     }
 
 
+def training_conf(total_bytes: int) -> dict[str, str]:
+    """Scan split size for training. The learner and the evaluator exchange statistics between as many
+    tasks as the scan has, so the scan is held to the bound of a shuffle."""
+    split = max(SCAN_BYTES_PER_TASK, math.ceil(total_bytes / MAX_SHUFFLE_TASKS))
+    return {"spark.sql.files.maxPartitionBytes": str(split)}
+
+
 @contextmanager
 def session_conf(spark: SparkSession, conf: dict[str, str]) -> Iterator[None]:
     """Set session values for the actions inside the block, then put the old ones back."""
@@ -67,19 +76,23 @@ def session_conf(spark: SparkSession, conf: dict[str, str]) -> Iterator[None]:
 
 
 @contextmanager
-def sized_for(spark: SparkSession, path: str, shuffles_rows: bool = True) -> Iterator[dict[str, str]]:
-    """Run the actions inside the block with scan and shuffle sizes that fit the data at `path`.
-
-    With `shuffles_rows=False` only the scan is sized: for work that exchanges counts, not rows.
-    """
+def sized_for(spark: SparkSession, total_bytes: int, training: bool = False) -> Iterator[dict[str, str]]:
+    """Run the actions inside the block with scan and shuffle sizes that fit the input."""
     current = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    conf = size_conf(input_bytes(spark, path), current)
-    if not shuffles_rows:
-        del conf["spark.sql.shuffle.partitions"]
+    conf = training_conf(total_bytes) if training else shuffle_conf(total_bytes, current)
     with session_conf(spark, conf):
         yield conf
 
 
+def spread_if_small(df: DataFrame, total_bytes: int) -> DataFrame:
+    """Give every core a share of a table that is too small to be scanned by all of them.
+
+    For learners, which take their parallelism from their input. Larger tables stay as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if total_bytes < cores * SMALLEST_SCAN_TASK else df
+
+
 def scratch_dir(spark: SparkSession) -> str:
     """A new folder name in the shared space the cluster names in `spark.checkpoint.dir`.
 

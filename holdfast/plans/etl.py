@@ -8,7 +8,7 @@ from pyspark.sql import Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from holdfast.cluster import sized_for
+from holdfast.cluster import input_bytes, sized_for
 from holdfast.operators.cleansing import cleanse_with_copies
 from holdfast.operators.quality import check_schema, preview, reconcile
 from holdfast.schema import CLEANED_TABLE, KEY, LABEL, NUMERICAL_FEATURES, TELCO_SCHEMA, cleaned_schema
@@ -55,7 +55,7 @@ def run_etl(
     has_key = F.col(key).isNotNull() if key in schema.fieldNames() else F.lit(True)
     no_label = F.col(label).isNull() if partition_cols else F.lit(False)
 
-    with sized_for(spark, input_path):
+    with sized_for(spark, input_bytes(spark, input_path)):
         raw = read_csv(spark, input_path, schema)
         check_schema(raw.schema, schema)
         counts = Observation("etl")

@@ -8,7 +8,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from holdfast.cluster import sized_for
+from holdfast.cluster import input_bytes, sized_for, spread_if_small
 from holdfast.functions.columns import hash_percent
 from holdfast.operators.features import derive_features, fit_preprocessing, index_label
 from holdfast.operators.forest import area_under_roc, save_models, score, train_forest
@@ -49,10 +49,12 @@ def train_churn(
 ) -> TrainReport:
     """Derive, split by key, fit on the training side, score the test side, save both models.
 
-    Every step reads the Parquet table with just the columns it needs; there is no exchange of wide
-    rows anywhere, only of counts, bin statistics and (score, label) pairs.
+    Every step reads the Parquet table with just the columns it needs. What is exchanged is counts, bin
+    statistics and (score, label) pairs, and the vectors only of a table with too little to scan for
+    all cores.
     """
-    with sized_for(spark, table_path(cleaned_base, table_name), shuffles_rows=False):
+    total_bytes = input_bytes(spark, table_path(cleaned_base, table_name))
+    with sized_for(spark, total_bytes, training=True):
         cleaned = load_cleaned(spark, cleaned_base, with_complaints(schema), table_name)
         labelled = index_label(derive_features(cleaned))
         is_train = hash_percent(key) < F.lit(round(TRAIN_RATIO * 100))
@@ -61,7 +63,8 @@ def train_churn(
         ).first()
         train, test = hash_split(labelled, key)
         preprocessing = fit_preprocessing(train, numerical, categorical)
-        forest = train_forest(preprocessing.transform(train))
+        vectors = preprocessing.transform(train).select("label", "features")
+        forest = train_forest(spread_if_small(vectors, total_bytes))
         auc = area_under_roc(score(forest, preprocessing.transform(test)))
         preprocessing_path, forest_path = save_models(models_base, preprocessing, forest)
     return TrainReport(

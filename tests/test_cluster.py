@@ -2,18 +2,28 @@ from __future__ import annotations
 
 import pytest
 
-from holdfast.cluster import MIB, input_bytes, scratch_dir, session_conf, size_conf, sized_for
+from holdfast.cluster import (
+    MIB,
+    input_bytes,
+    scratch_dir,
+    session_conf,
+    shuffle_conf,
+    sized_for,
+    spread_if_small,
+    training_conf,
+)
 
 TIB = 1024**4
 
 
 def test_sizes_follow_the_input():
-    small = size_conf(10 * MIB, 8)
+    small = shuffle_conf(10 * MIB, 8)
     assert small == {"spark.sql.shuffle.partitions": "8", "spark.sql.files.maxPartitionBytes": str(128 * MIB)}
-    assert size_conf(TIB, 200)["spark.sql.shuffle.partitions"] == "4096"
-    huge = size_conf(100 * TIB, 200)
+    assert shuffle_conf(TIB, 200)["spark.sql.shuffle.partitions"] == "4096"
+    huge = shuffle_conf(100 * TIB, 200)
     assert huge["spark.sql.shuffle.partitions"] == "20000"
-    assert 1024**3 <= int(huge["spark.sql.files.maxPartitionBytes"]) < 1.1 * 1024**3
+    assert 100 * TIB / int(huge["spark.sql.files.maxPartitionBytes"]) <= 100_000
+    assert 100 * TIB / int(training_conf(100 * TIB)["spark.sql.files.maxPartitionBytes"]) <= 20_000
 
 
 def test_values_are_put_back(spark, tmp_path):
@@ -25,10 +35,15 @@ def test_values_are_put_back(spark, tmp_path):
         assert spark.conf.get("spark.sql.shuffle.partitions") == "77"
         1 / 0
     assert spark.conf.get("spark.sql.shuffle.partitions") == before
-    with sized_for(spark, str(tmp_path)) as conf:
-        assert conf["spark.sql.shuffle.partitions"] == before
-    with sized_for(spark, str(tmp_path), shuffles_rows=False) as conf:
-        assert list(conf) == ["spark.sql.files.maxPartitionBytes"]
+    with sized_for(spark, TIB):
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "4096"
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+
+
+def test_only_small_tables_are_spread(spark, plan_of):
+    df = spark.range(10)
+    assert "RoundRobinPartitioning(8)" in plan_of(spread_if_small(df, MIB))
+    assert "Exchange" not in plan_of(spread_if_small(df, TIB))
 
 
 def test_scratch_space_is_the_shared_folder(spark):
