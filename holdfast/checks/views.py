@@ -116,7 +116,7 @@ def telco(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("c_mktsegment").alias("Contract"),
         yes_no(F.col("purchases") > 0).alias("PaperlessBilling"),
         F.col("priority").alias("PaymentMethod"),
-        F.round(F.col("spent") / months, 4).alias("MonthlyCharges"),
+        (F.col("spent") / months).alias("MonthlyCharges"),
         F.col("spent").alias("TotalCharges"),
         F.when(F.col("later") > 0, "No").otherwise("Yes").alias("Churn"),
         F.col("NumComplaints90Days"),
@@ -166,8 +166,8 @@ telco AS (
          c_mktsegment AS "Contract",
          CASE WHEN purchases > 0 THEN 'Yes' ELSE 'No' END AS "PaperlessBilling",
          priority AS "PaymentMethod",
-         round(spent / greatest(CAST(date_diff('day', CAST(first_order AS DATE), DATE '2001-01-01') AS DOUBLE)
-                                / CAST(30.0 AS DOUBLE), CAST(1.0 AS DOUBLE)), 4) AS "MonthlyCharges",
+         spent / greatest(CAST(date_diff('day', CAST(first_order AS DATE), DATE '2001-01-01') AS DOUBLE)
+                          / CAST(30.0 AS DOUBLE), CAST(1.0 AS DOUBLE)) AS "MonthlyCharges",
          spent AS "TotalCharges",
          CASE WHEN later > 0 THEN 'No' ELSE 'Yes' END AS "Churn",
          CAST(complaints AS INTEGER) AS "NumComplaints90Days"
