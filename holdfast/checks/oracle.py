@@ -192,6 +192,12 @@ ORACLE: dict[str, str] = {
           FROM (UNPIVOT (SELECT "customerID", {_COLUMNS} FROM telco) ON {_COLUMNS} INTO NAME col VALUE v)
           JOIN slots USING (col, v)
         ) WHERE value IS NULL OR value <> 0""",
+    "assembled_features": f"""
+        WITH {TELCO_SQL},
+        found AS (SELECT DISTINCT col, v
+                  FROM (UNPIVOT (SELECT {_COLUMNS} FROM telco) ON {_COLUMNS} INTO NAME col VALUE v))
+        SELECT "customerID", CAST(CASE "Churn" WHEN 'Yes' THEN 1 ELSE 0 END AS DOUBLE) AS label,
+               CAST({len(_NUMBERS)} + (SELECT count(*) FROM found) AS INTEGER) AS features FROM telco""",
     "imputed_medians": f"WITH {TELCO_SQL}, train AS (SELECT * FROM telco WHERE {_SPLIT} < 80) {_NUMBER_FACTS}",
     "hash_split_sides": f"""
         SELECT c_custkey, CASE WHEN {_PERCENT.format(key='CAST(c_custkey AS VARCHAR)')} < 80

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.ml.feature import ImputerModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,7 +26,7 @@ from holdfast.checks.views import (
     write_csv,
     write_csv_lines,
 )
-from holdfast.cluster import scratch_dir
+from holdfast.cluster import input_bytes, scratch_dir, spread_if_small
 from holdfast.functions.columns import finite_or_null, present
 from holdfast.operators.categories import category_ranking, encode_categories, fit_category_index
 from holdfast.operators.cleansing import (
@@ -42,11 +41,13 @@ from holdfast.operators.complaints import add_complaints, complaint_counts
 from holdfast.operators.features import (
     DERIVE_SQL,
     DERIVED,
+    assemble_features,
     derive_features,
     fit_preprocessing,
     index_label,
     project_features,
     query_table,
+    training_medians,
 )
 from holdfast.operators.forest import (
     area_under_roc,
@@ -324,15 +325,19 @@ def one_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoded.select("p_partkey", slots)
 
 
-def _cleaned_base(spark: SparkSession, sf_dir: str) -> str:
+def cleaned_base(spark: SparkSession, sf_dir: str) -> str:
     """The customer table cleansed and written, as the training step finds it."""
     base = scratch_dir(spark)
     write_parquet(cleanse(telco(spark, sf_dir)), base, "telco_cleaned", ["Churn"])
     return base
 
 
+def _derived_from(spark: SparkSession, base: str) -> DataFrame:
+    return derive_features(load_cleaned(spark, base, with_complaints(CLEANED_SCHEMA)))
+
+
 def _derived(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return derive_features(load_cleaned(spark, _cleaned_base(spark, sf_dir), with_complaints(CLEANED_SCHEMA)))
+    return _derived_from(spark, cleaned_base(spark, sf_dir))
 
 
 def feature_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -343,7 +348,7 @@ def feature_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _derived(spark, sf_dir)
     train, _ = hash_split(rows)
     vectors = fit_preprocessing(train).transform(rows)
-    filled = F.array(*[F.col(f"{c}_num").isNull() for c in (*NUMERICAL_FEATURES, *DERIVED)])
+    filled = F.array(*[finite_or_null(c).isNull() for c in (*NUMERICAL_FEATURES, *DERIVED)])
     slots = F.posexplode(vector_to_array("features")).alias("pos", "value")
     return (
         vectors.select(KEY, filled.alias("filled"), slots)
@@ -352,16 +357,20 @@ def feature_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def assembled_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Label and vector length of all labelled rows, fitted on all of them."""
+    rows, _ = assemble_features(_derived(spark, sf_dir))
+    return rows.select(KEY, "label", F.size(vector_to_array("features")).alias("features"))
+
+
 def imputed_medians(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per number: training rows with and without a value, and whether the fill value's rank is within
     the error of the approximate median (a thousandth of the rows)."""
     train, _ = hash_split(_derived(spark, sf_dir))
-    model = fit_preprocessing(train)
-    imputer = next(stage for stage in model.stages if isinstance(stage, ImputerModel))
-    fills = imputer.surrogateDF.first().asDict()
+    fills = training_medians(train, [*NUMERICAL_FEATURES, *DERIVED])
     facts = []
     for name in (*NUMERICAL_FEATURES, *DERIVED):
-        value, fill = finite_or_null(name), F.lit(fills[f"{name}_num"])
+        value, fill = finite_or_null(name), F.lit(fills[name])
         half, error = F.count(value) * 0.5, F.count(value) * 0.001 + 1
         within = (F.count_if(value < fill) <= half + error) & (F.count_if(value <= fill) >= half - error)
         facts.append(
@@ -398,9 +407,12 @@ def random_split_cover(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _fitted(spark: SparkSession, sf_dir: str):
-    train, test = hash_split(index_label(_derived(spark, sf_dir)))
+    base = cleaned_base(spark, sf_dir)
+    train, test = hash_split(index_label(_derived_from(spark, base)))
     preprocessing = fit_preprocessing(train)
-    return preprocessing, train_forest(preprocessing.transform(train)), preprocessing.transform(test)
+    vectors = preprocessing.transform(train).select("label", "features")
+    forest = train_forest(spread_if_small(vectors, input_bytes(spark, base)))
+    return preprocessing, forest, preprocessing.transform(test)
 
 
 def forest_training(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -451,7 +463,7 @@ def saved_models(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def preprocessing_inputs(df: DataFrame) -> list[str]:
     """The columns a table had before preprocessing added its own."""
-    added = ("_num", "_filled", "_idx", "_enc")
+    added = ("_filled", "_idx", "_enc")
     return [c for c in df.columns if c != "features" and not c.endswith(added)]
 
 
@@ -490,7 +502,7 @@ def etl_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def churn_training(spark: SparkSession, sf_dir: str) -> DataFrame:
-    base = _cleaned_base(spark, sf_dir)
+    base = cleaned_base(spark, sf_dir)
     report = train_churn(spark, base, f"{base}/models")
     facts = (report.train_rows, report.test_rows, report.num_features, 0.0 <= report.auc <= 1.0)
     return spark.createDataFrame([facts], "train_rows LONG, test_rows LONG, features INT, auc_in_range BOOLEAN")
@@ -505,7 +517,7 @@ def csv_to_models(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def batch_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every customer, labelled or not, gets one prediction from the saved models."""
-    base = _cleaned_base(spark, sf_dir)
+    base = cleaned_base(spark, sf_dir)
     train_churn(spark, base, f"{base}/models")
     customers = load_cleaned(spark, base, with_complaints(CLEANED_SCHEMA)).drop("Churn")
     path = score_table(customers, f"{base}/models", base)
@@ -552,6 +564,7 @@ QUERIES: dict[str, Query] = {
         category_index,
         one_hot,
         feature_vectors,
+        assembled_features,
         imputed_medians,
         hash_split_sides,
         random_split_cover,

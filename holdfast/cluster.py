@@ -23,13 +23,12 @@ SHUFFLE_BYTES_PER_TASK = 256 * MIB
 SMALLEST_SCAN_TASK = 4 * MIB
 
 # Settings to start a cluster session with. The sizes that depend on the input are set per job by
-# `sized_for`.
+# `sized_for`; adaptive execution joins shuffle partitions that turn out small.
 RECOMMENDED_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
-    "spark.sql.parquet.filterPushdown": "true",
-    "spark.sql.session.timeZone": "UTC",
 }
 
 
@@ -42,21 +41,28 @@ def input_bytes(spark: SparkSession, path: str) -> int:
     return sum(fs.getContentSummary(status.getPath()).getLength() for status in found)
 
 
+def _scan_conf(total_bytes: int, max_tasks: int) -> dict[str, str]:
+    if total_bytes <= max_tasks * SCAN_BYTES_PER_TASK:
+        return {}
+    return {"spark.sql.files.maxPartitionBytes": str(math.ceil(total_bytes / max_tasks))}
+
+
 def shuffle_conf(total_bytes: int, current_partitions: int) -> dict[str, str]:
-    """Shuffle width and scan split size for work that exchanges the rows it reads."""
+    """Shuffle width and scan split size for work that exchanges the rows it reads.
+
+    Holds only what must differ from the session's values: a wider shuffle, larger splits.
+    """
+    conf = _scan_conf(total_bytes, MAX_SCAN_TASKS)
     wanted = min(math.ceil(total_bytes / SHUFFLE_BYTES_PER_TASK), MAX_SHUFFLE_TASKS)
-    split = max(SCAN_BYTES_PER_TASK, math.ceil(total_bytes / MAX_SCAN_TASKS))
-    return {
-        "spark.sql.shuffle.partitions": str(max(wanted, current_partitions)),
-        "spark.sql.files.maxPartitionBytes": str(split),
-    }
+    if wanted > current_partitions:
+        conf["spark.sql.shuffle.partitions"] = str(wanted)
+    return conf
 
 
 def training_conf(total_bytes: int) -> dict[str, str]:
     """Scan split size for training. The learner and the evaluator exchange statistics between as many
     tasks as the scan has, so the scan is held to the bound of a shuffle."""
-    split = max(SCAN_BYTES_PER_TASK, math.ceil(total_bytes / MAX_SHUFFLE_TASKS))
-    return {"spark.sql.files.maxPartitionBytes": str(split)}
+    return _scan_conf(total_bytes, MAX_SHUFFLE_TASKS)
 
 
 @contextmanager

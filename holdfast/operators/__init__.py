@@ -23,6 +23,7 @@ from holdfast.operators.features import (
     index_label,
     project_features,
     query_table,
+    training_medians,
 )
 from holdfast.operators.forest import area_under_roc, load_models, save_models, score, train_forest
 from holdfast.operators.quality import (

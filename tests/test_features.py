@@ -3,7 +3,6 @@ from __future__ import annotations
 from datetime import datetime
 
 import pytest
-from pyspark.ml.feature import ImputerModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
@@ -16,6 +15,7 @@ from holdfast.operators.features import (
     index_label,
     project_features,
     query_table,
+    training_medians,
 )
 
 SCHEMA = (
@@ -98,8 +98,7 @@ def test_fit_sees_training_rows_only(spark, df):
     rows = derive_features(df)
     train = rows.filter("customerID IN ('a', 'b')")
     model = fit_preprocessing(train)
-    imputer = next(s for s in model.stages if isinstance(s, ImputerModel))
-    assert imputer.surrogateDF.first()["TotalCharges_num"] == 100.0
+    assert training_medians(train, ["TotalCharges", "tenure"]) == {"TotalCharges": 100.0, "tenure": 1.0}
     vector = model.transform(rows.filter("customerID = 'c'")).first()["features"]
     # One value each for Contract (m2m) and gender (F) in training: the other ones are all zero.
     assert list(vector.toArray()) == [0, 1, 30, 300, 1, 0, 0, 0]
@@ -119,12 +118,21 @@ def test_median_stays_within_its_error(spark):
     df = spark.range(0, 20_000, 1, 8).select(
         F.when(F.col("id") % 10 > 0, F.pmod(F.xxhash64("id"), F.lit(10**9)).cast("double")).alias("tenure")
     )
-    fill = fit_preprocessing(df).stages[1].surrogateDF.first()["tenure_num"]
+    fill = training_medians(df, ["tenure"])["tenure"]
+    filled = fit_preprocessing(df).transform(df.filter("tenure IS NULL").limit(1)).first()
+    assert filled["features"].toArray().tolist() == [fill]
     values = sorted(r["tenure"] for r in df.filter("tenure IS NOT NULL").collect())
     rank = values.index(fill) + 1
     assert abs(rank - len(values) / 2) <= 0.001 * len(values)
 
 
+@pytest.mark.parametrize("value", [-5.0, 1e20, 2.5e-7, 0.1])
+def test_any_median_fills(spark, value):
+    df = spark.createDataFrame([(value,), (None,)], "tenure DOUBLE")
+    rows = fit_preprocessing(df).transform(df).collect()
+    assert [r["features"].toArray().tolist() for r in rows] == [[value], [value]]
+
+
 def test_assemble_returns_labelled_vectors(df):
     out, model = assemble_features(derive_features(df))
     assert out.count() == 4

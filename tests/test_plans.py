@@ -45,8 +45,9 @@ def test_etl_of_a_file_without_rows(spark, csv_file, tmp_path):
 
 
 def test_etl_refuses_to_write_over_its_input(spark, tmp_path):
-    with pytest.raises(ValueError, match="same path"):
-        run_etl(spark, f"{tmp_path}/telco_cleaned/", str(tmp_path))
+    for path in (f"{tmp_path}/telco_cleaned/", f"{tmp_path}/telco_cleaned/a.csv"):
+        with pytest.raises(ValueError, match="lies in the table"):
+            run_etl(spark, path, str(tmp_path))
 
 
 def test_etl_without_key_or_label(spark, csv_file, tmp_path):
