@@ -124,7 +124,7 @@ ORACLE: dict[str, str] = {
                count(*) FILTER (WHERE "StreamingTV" IS NULL) AS "StreamingTV" FROM dirty_telco""",
     "category_ranks": """
         SELECT col AS "column", v AS value, count(*) AS n,
-               row_number() OVER (PARTITION BY col ORDER BY count(*) DESC, v) - 1 AS index
+               CAST(row_number() OVER (PARTITION BY col ORDER BY count(*) DESC, v) - 1 AS INTEGER) AS index
         FROM (UNPIVOT (SELECT p_type, p_brand FROM part) ON p_type, p_brand INTO NAME col VALUE v)
         GROUP BY col, v""",
     "auc_by_length": """
