@@ -25,7 +25,14 @@ from holdfast.operators.features import (
     query_table,
     training_medians,
 )
-from holdfast.operators.forest import area_under_roc, load_models, save_models, score, train_forest
+from holdfast.operators.forest import (
+    area_under_roc,
+    load_models,
+    save_models,
+    score,
+    train_and_evaluate,
+    train_forest,
+)
 from holdfast.operators.quality import (
     ReconciliationError,
     SchemaError,

@@ -39,6 +39,12 @@ def area_under_roc(scored: DataFrame, score_col: str = "rawPrediction", label_co
     return evaluator.evaluate(scored.select(score_col, label_col))
 
 
+def train_and_evaluate(train: DataFrame, test: DataFrame) -> tuple[PipelineModel, float]:
+    """Forest of the training rows and its area under ROC on the test rows."""
+    forest = train_forest(train)
+    return forest, area_under_roc(score(forest, test))
+
+
 def model_paths(models_base: str, name: str = MODEL_NAME) -> tuple[str, str]:
     return table_path(models_base, f"{name}_preproc"), table_path(models_base, f"{name}_rf")
 

@@ -11,7 +11,7 @@ from pyspark.sql.types import StructType
 from holdfast.cluster import input_bytes, sized_for, spread_if_small
 from holdfast.functions.columns import hash_percent
 from holdfast.operators.features import derive_features, fit_preprocessing, index_label
-from holdfast.operators.forest import area_under_roc, save_models, score, train_forest
+from holdfast.operators.forest import save_models, train_and_evaluate
 from holdfast.operators.splitting import hash_split
 from holdfast.schema import (
     CATEGORICAL_FEATURES,
@@ -64,8 +64,9 @@ def train_churn(
         train, test = hash_split(labelled, key)
         preprocessing = fit_preprocessing(train, numerical, categorical)
         vectors = preprocessing.transform(train).select("label", "features")
-        forest = train_forest(spread_if_small(vectors, total_bytes))
-        auc = area_under_roc(score(forest, preprocessing.transform(test)))
+        forest, auc = train_and_evaluate(
+            spread_if_small(vectors, total_bytes), preprocessing.transform(test)
+        )
         preprocessing_path, forest_path = save_models(models_base, preprocessing, forest)
     return TrainReport(
         train_rows=sizes["train"],

@@ -74,6 +74,17 @@ def test_training_and_scoring(spark, tmp_path):
     assert scored.filter("prediction <> CAST(churn_probability > 0.5 AS DOUBLE)").count() == 0
 
 
+def test_complaint_column_passes_through(spark, tmp_path):
+    schema = with_complaints(TELCO_SCHEMA)
+    rows = telco(spark, SF)
+    path = write_csv(rows.select(*schema.fieldNames()), spark)
+    report = run_etl(spark, path, str(tmp_path), schema)
+    table = load_cleaned(spark, str(tmp_path), with_complaints(CLEANED_SCHEMA))
+    assert report.rows_written == 150
+    counts = rows.agg(F.sum("NumComplaints90Days")).first()[0]
+    assert table.agg(F.sum("NumComplaints90Days")).first()[0] == counts > 0
+
+
 def test_training_is_repeatable(spark, tmp_path):
     base = str(tmp_path)
     write_parquet(cleanse(telco(spark, SF)), base, "telco_cleaned", ["Churn"])
