@@ -7,6 +7,7 @@ from pyspark.ml.feature import OneHotEncoder, StringIndexerModel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from holdfast.cluster import scratch_dir
 from holdfast.functions.columns import present
 
 # A category column becomes one vector slot per value and its values live in the saved model, so a
@@ -35,25 +36,31 @@ def category_counts(df: DataFrame, columns: list[str]) -> DataFrame:
     )
 
 
-def category_ranking(df: DataFrame, columns: list[str], max_categories: int = MAX_CATEGORIES) -> DataFrame:
+def category_ranking(df: DataFrame, columns: list[str]) -> DataFrame:
     """(column, value, n, index): index 0 is the most frequent value, ties in value order.
 
-    The ranking sorts the distinct values of a column in one task. Their number is checked first,
-    per column, and the query fails when it is beyond `max_categories`.
+    For any number of values. The distinct values are sorted over all tasks and written to the scratch
+    space with their task and place; the start of each task then follows from the tasks' sizes, a table
+    of one row per task and column.
     """
     counts = category_counts(df, columns)
-    # Reading `n` keeps both sides of the join the same up to here, so Spark counts only once.
-    sizes = counts.groupBy("column").agg(F.count_if(F.col("n") > 0).alias("size"))
-    # One row per listed column: bounded by the argument, whatever the data.
-    checked = counts.join(F.broadcast(sizes), "column").select(
-        "column",
-        F.when(F.col("size") <= max_categories, F.col("value"))
-        .otherwise(F.raise_error(F.concat(F.lit("too many categories in "), F.col("column"))))
-        .alias("value"),
-        "n",
+    place = F.monotonically_increasing_id()
+    path = f"{scratch_dir(df.sparkSession)}/ranking"
+    counts.orderBy("column", F.desc("n"), "value").withColumn("place", place).write.parquet(path)
+
+    # The upper bits of the place are the task that sorted the row, the lower 33 its row there.
+    ordered = df.sparkSession.read.parquet(path).withColumn("task", F.shiftright("place", 33))
+    sizes = ordered.groupBy("column", "task").agg(
+        F.count(F.lit(1)).alias("size"), F.min("place").alias("first")
+    )
+    before = Window.partitionBy("column").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select(
+        "column", "task", "first", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("start")
+    )
+    # As many rows as tasks, and one more per column that ends inside a task.
+    return ordered.join(F.broadcast(starts), ["column", "task"]).select(
+        "column", "value", "n", (F.col("start") + F.col("place") - F.col("first")).alias("index")
     )
-    order = Window.partitionBy("column").orderBy(F.desc("n"), F.asc("value"))
-    return checked.withColumn("index", F.row_number().over(order) - 1)
 
 
 def category_labels(

@@ -10,6 +10,7 @@ from pyspark.sql.types import StructType
 
 from holdfast.cluster import input_bytes, sized_for, spread_if_small
 from holdfast.functions.columns import hash_percent
+from holdfast.operators.categories import MAX_CATEGORIES
 from holdfast.operators.features import derive_features, fit_preprocessing, index_label
 from holdfast.operators.forest import save_models, train_and_evaluate
 from holdfast.operators.splitting import hash_split
@@ -46,6 +47,7 @@ def train_churn(
     schema: StructType = CLEANED_SCHEMA,
     table_name: str = CLEANED_TABLE,
     key: str = KEY,
+    max_categories: int = MAX_CATEGORIES,
 ) -> TrainReport:
     """Derive, split by key, fit on the training side, score the test side, save both models.
 
@@ -62,7 +64,7 @@ def train_churn(
             F.count_if(is_train).alias("train"), F.count_if(~is_train).alias("test")
         ).first()
         train, test = hash_split(labelled, key)
-        preprocessing = fit_preprocessing(train, numerical, categorical)
+        preprocessing = fit_preprocessing(train, numerical, categorical, max_categories)
         vectors = preprocessing.transform(train).select("label", "features")
         forest, auc = train_and_evaluate(
             spread_if_small(vectors, total_bytes), preprocessing.transform(test)

@@ -3,13 +3,14 @@ from __future__ import annotations
 from collections import Counter
 
 import pytest
-from pyspark.errors import PySparkException
 from pyspark.ml.feature import StringIndexer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
+from holdfast.cluster import session_conf
 from holdfast.operators.categories import (
     TooManyCategories,
+    category_counts,
     category_labels,
     category_ranking,
     encode_categories,
@@ -76,12 +77,27 @@ def test_key_like_columns_fail_instead_of_being_cut(spark):
     with pytest.raises(TooManyCategories, match="k"):
         category_labels(df, ["c", "k"], max_categories=49)
     assert len(category_labels(df, ["c", "k"], max_categories=50)["k"]) == 50
-    with pytest.raises(PySparkException, match="too many categories in k"):
-        category_ranking(df, ["c", "k"], max_categories=49).collect()
 
 
-def test_counts_form_before_the_exchange(spark, df, plan_of):
-    ranking = category_ranking(df, ["p"])
-    assert "partial_count" in plan_of(ranking)
-    ranking.collect()
-    assert "ReusedExchange" in plan_of(ranking)
+def test_ranking_over_many_tasks(spark):
+    df = spark.range(0, 20_000, 1, 6).select(
+        F.when(F.col("id") % 3 == 0, "hot")
+        .otherwise(F.pmod(F.xxhash64("id"), F.lit(4000)).cast("string"))
+        .alias("many"),
+        F.pmod(F.xxhash64("id", F.lit(1)), F.lit(5)).cast("string").alias("few"),
+    )
+    with session_conf(spark, {"spark.sql.adaptive.coalescePartitions.enabled": "false"}):
+        ranking = category_ranking(df, ["many", "few"])
+        got = {(r["column"], r["value"]): (r["n"], r["index"]) for r in ranking.collect()}
+    rows = df.collect()
+    for name in df.columns:
+        counts = Counter(r[name] for r in rows)
+        for index, (value, n) in enumerate(sorted(counts.items(), key=lambda x: (-x[1], x[0]))):
+            assert got.pop((name, value)) == (n, index)
+    assert not got
+
+
+def test_counts_form_before_the_exchange(df, plan_of):
+    plan = plan_of(category_counts(df, ["p", "q"]))
+    assert plan.index("partial_count") > plan.index("Exchange")
+    assert plan.count("Exchange") == 1
