@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Observation, Row, SparkSession
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -32,6 +32,31 @@ class EtlReport:
     sample: list[Row]
 
 
+def cleanse_counted(
+    raw: DataFrame,
+    numerical: list[str] = NUMERICAL_FEATURES,
+    key: str = KEY,
+    label: str = LABEL,
+) -> tuple[DataFrame, Observation]:
+    """The cleansed rows, and the figures that any action over them yields besides.
+
+    The figures are taken behind the only exchange, in the tasks that hand over the result.
+    """
+    has_key = F.col(key).isNotNull() if key in raw.columns else F.lit(True)
+    no_label = F.col(label).isNull() if label in raw.columns else F.lit(False)
+    copies = F.col(_COPIES)
+    figures = Observation("cleanse")
+    observed = cleanse_with_copies(raw, _COPIES, numerical, key).observe(
+        figures,
+        F.sum(copies).alias("read"),
+        F.sum(F.when(~has_key, copies)).alias("without_key"),
+        F.sum(F.when(has_key, copies - 1)).alias("duplicates"),
+        F.count_if(has_key).alias("written"),
+        F.count_if(has_key & no_label).alias("null_labels"),
+    )
+    return observed.filter(has_key).drop(_COPIES), figures
+
+
 def run_etl(
     spark: SparkSession,
     input_path: str,
@@ -52,28 +77,11 @@ def run_etl(
         raise ValueError(f"the input {input_path} lies in the table to write: {target}")
     partition_cols = [label] if label in schema.fieldNames() else []
     written_schema = cleaned_schema(schema, numerical, partition_cols)
-    has_key = F.col(key).isNotNull() if key in schema.fieldNames() else F.lit(True)
-    no_label = F.col(label).isNull() if partition_cols else F.lit(False)
 
     with sized_for(spark, input_bytes(spark, input_path)):
-        raw = read_csv(spark, input_path, schema)
-        counts = Observation("etl")
-        copies = F.col(_COPIES)
-        clean = (
-            cleanse_with_copies(raw, _COPIES, numerical, key)
-            .observe(
-                counts,
-                F.sum(copies).alias("read"),
-                F.sum(F.when(~has_key, copies)).alias("without_key"),
-                F.sum(F.when(has_key, copies - 1)).alias("duplicates"),
-                F.count_if(has_key).alias("written"),
-                F.count_if(has_key & no_label).alias("null_labels"),
-            )
-            .filter(has_key)
-            .drop(_COPIES)
-        )
+        clean, figures = cleanse_counted(read_csv(spark, input_path, schema), numerical, key, label)
         write_parquet(clean, output_base, table_name, partition_cols)
-        seen = {name: value or 0 for name, value in counts.get.items()}
+        seen = {name: value or 0 for name, value in figures.get.items()}
 
     table = load_cleaned(spark, output_base, written_schema, table_name)
     found = reconcile(seen["written"], table)

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from holdfast.checks.views import dirty_telco, telco, write_csv
 from holdfast.operators.cleansing import cleanse
 from holdfast.plans import run_all, run_etl, score_table, train_churn
+from holdfast.plans.etl import cleanse_counted
 from holdfast.schema import CLEANED_SCHEMA, TELCO_SCHEMA, with_complaints
 from holdfast.sources.files import load_cleaned, read_csv, write_parquet
 
@@ -32,6 +33,15 @@ def test_etl_counts_and_table(spark, raw, tmp_path):
     assert ordered.exceptAll(expected).count() == expected.exceptAll(ordered).count() == 0
 
 
+def test_etl_counts_behind_its_only_exchange(spark, raw, plan_of):
+    clean, figures = cleanse_counted(read_csv(spark, raw, TELCO_SCHEMA))
+    plan = plan_of(clean)
+    assert plan.count("Exchange") == 1
+    assert plan.index("CollectMetrics") < plan.index("Exchange")
+    clean.write.format("noop").mode("overwrite").save()
+    assert figures.get["read"] == 165
+
+
 def test_etl_restores_the_session(spark, raw, tmp_path):
     before = spark.conf.get("spark.sql.shuffle.partitions")
     run_etl(spark, raw, str(tmp_path))
