@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from holdfast.cluster import input_bytes, sized_for, spread_if_small
-from holdfast.functions.columns import hash_percent
 from holdfast.operators.categories import MAX_CATEGORIES
 from holdfast.operators.features import derive_features, fit_preprocessing, index_label
 from holdfast.operators.forest import save_models, train_and_evaluate
@@ -20,12 +19,14 @@ from holdfast.schema import (
     CLEANED_TABLE,
     KEY,
     NUMERICAL_FEATURES,
-    TRAIN_RATIO,
     with_complaints,
 )
 from holdfast.sources.files import load_cleaned, table_path
 
 
+Split = Callable[[DataFrame], tuple[DataFrame, DataFrame]]
+
+
 @dataclass(frozen=True)
 class TrainReport:
     """Sizes of both sides, the test score and where the models went."""
@@ -48,8 +49,11 @@ def train_churn(
     table_name: str = CLEANED_TABLE,
     key: str = KEY,
     max_categories: int = MAX_CATEGORIES,
+    split: Split | None = None,
 ) -> TrainReport:
-    """Derive, split by key, fit on the training side, score the test side, save both models.
+    """Derive, split, fit on the training side, score the test side, save both models.
+
+    The split is by the key's hash unless another one is given, such as `random_split`.
 
     Every step reads the Parquet table with just the columns it needs. What is exchanged is counts, bin
     statistics and (score, label) pairs, and the vectors only of a table with too little to scan for
@@ -59,11 +63,8 @@ def train_churn(
     with sized_for(spark, total_bytes, training=True):
         cleaned = load_cleaned(spark, cleaned_base, with_complaints(schema), table_name)
         labelled = index_label(derive_features(cleaned))
-        is_train = hash_percent(key) < F.lit(round(TRAIN_RATIO * 100))
-        sizes = labelled.agg(
-            F.count_if(is_train).alias("train"), F.count_if(~is_train).alias("test")
-        ).first()
-        train, test = hash_split(labelled, key)
+        train, test = split(labelled) if split else hash_split(labelled, key)
+        train_rows, test_rows = train.count(), test.count()
         preprocessing = fit_preprocessing(train, numerical, categorical, max_categories)
         vectors = preprocessing.transform(train).select("label", "features")
         forest, auc = train_and_evaluate(
@@ -71,8 +72,8 @@ def train_churn(
         )
         preprocessing_path, forest_path = save_models(models_base, preprocessing, forest)
     return TrainReport(
-        train_rows=sizes["train"],
-        test_rows=sizes["test"],
+        train_rows=train_rows,
+        test_rows=test_rows,
         auc=auc,
         num_features=forest.stages[-1].numFeatures,
         preprocessing_path=preprocessing_path,

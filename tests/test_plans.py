@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from holdfast.checks.views import dirty_telco, telco, write_csv
 from holdfast.operators.cleansing import cleanse
+from holdfast.operators.splitting import random_split
 from holdfast.plans import run_all, run_etl, score_table, train_churn
 from holdfast.plans.etl import cleanse_counted
 from holdfast.schema import CLEANED_SCHEMA, TELCO_SCHEMA, with_complaints
@@ -103,6 +104,14 @@ def test_training_is_repeatable(spark, tmp_path):
     assert (first.train_rows, first.auc) == (second.train_rows, second.auc)
 
 
+def test_training_with_another_split(spark, tmp_path):
+    base = str(tmp_path)
+    write_parquet(cleanse(telco(spark, SF)), base, "telco_cleaned", ["Churn"])
+    report = train_churn(spark, base, f"{base}/models", split=random_split)
+    assert report.train_rows + report.test_rows == 150
+    assert 100 < report.train_rows < 140
+
+
 def test_both_steps_and_no_complaint_column(spark, raw, tmp_path):
     etl, trained = run_all(spark, raw, str(tmp_path), f"{tmp_path}/models")
     assert trained.train_rows + trained.test_rows == etl.rows_written - etl.null_labels
