@@ -3,8 +3,7 @@
 from __future__ import annotations
 
 from holdfast.checks.views import DIRTY_SQL, DIRTY_TELCO_SQL, TELCO_SQL
-from holdfast.operators.features import DERIVED
-from holdfast.schema import CATEGORICAL_FEATURES, NUMERICAL_FEATURES, TELCO_SCHEMA
+from holdfast.schema import CATEGORICAL_FEATURES, DERIVED_FEATURES, NUMERICAL_FEATURES, TELCO_SCHEMA
 
 _PERCENT = "CAST('0x' || substr(md5({key}), 1, 8) AS BIGINT) % 100"
 _SPLIT = _PERCENT.format(key='"customerID"')
@@ -49,7 +48,7 @@ _NUMBER_SLOTS = "\nUNION ALL\n".join(
 _NUMBER_FACTS = "\nUNION ALL\n".join(
     f"SELECT '{name}' AS column_name, count({n}) AS present, count(*) - count({n}) AS missing,"
     f" true AS is_median FROM train"
-    for name, n in zip((*NUMERICAL_FEATURES, *DERIVED), _NUMBERS)
+    for name, n in zip((*NUMERICAL_FEATURES, *DERIVED_FEATURES), _NUMBERS)
 )
 
 ORACLE: dict[str, str] = {

@@ -40,7 +40,6 @@ from holdfast.operators.cleansing import (
 from holdfast.operators.complaints import add_complaints, complaint_counts
 from holdfast.operators.features import (
     DERIVE_SQL,
-    DERIVED,
     assemble_features,
     derive_features,
     fit_preprocessing,
@@ -69,7 +68,14 @@ from holdfast.plans.etl import run_etl
 from holdfast.plans.scoring import score_table
 from holdfast.plans.training import train_churn
 from holdfast.plans.whole import run_all
-from holdfast.schema import CLEANED_SCHEMA, KEY, NUMERICAL_FEATURES, TELCO_SCHEMA, with_complaints
+from holdfast.schema import (
+    CLEANED_SCHEMA,
+    DERIVED_FEATURES,
+    KEY,
+    NUMERICAL_FEATURES,
+    TELCO_SCHEMA,
+    with_complaints,
+)
 from holdfast.sources.files import load_cleaned, read_csv, write_parquet
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -348,7 +354,7 @@ def feature_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _derived(spark, sf_dir)
     train, _ = hash_split(rows)
     vectors = fit_preprocessing(train).transform(rows)
-    filled = F.array(*[finite_or_null(c).isNull() for c in (*NUMERICAL_FEATURES, *DERIVED)])
+    filled = F.array(*[finite_or_null(c).isNull() for c in (*NUMERICAL_FEATURES, *DERIVED_FEATURES)])
     slots = F.posexplode(vector_to_array("features")).alias("pos", "value")
     return (
         vectors.select(KEY, filled.alias("filled"), slots)
@@ -367,9 +373,9 @@ def imputed_medians(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per number: training rows with and without a value, and whether the fill value's rank is within
     the error of the approximate median (a thousandth of the rows)."""
     train, _ = hash_split(_derived(spark, sf_dir))
-    fills = training_medians(train, [*NUMERICAL_FEATURES, *DERIVED])
+    fills = training_medians(train, [*NUMERICAL_FEATURES, *DERIVED_FEATURES])
     facts = []
-    for name in (*NUMERICAL_FEATURES, *DERIVED):
+    for name in (*NUMERICAL_FEATURES, *DERIVED_FEATURES):
         value, fill = finite_or_null(name), F.lit(fills[name])
         half, error = F.count(value) * 0.5, F.count(value) * 0.001 + 1
         within = (F.count_if(value < fill) <= half + error) & (F.count_if(value <= fill) >= half - error)

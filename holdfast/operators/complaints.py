@@ -7,13 +7,13 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from holdfast.schema import COMPLAINTS
+from holdfast.schema import COMPLAINT_DAYS, COMPLAINTS
 
 
 def complaint_counts(
     events: DataFrame,
     until: datetime,
-    days: int = 90,
+    days: int = COMPLAINT_DAYS,
     user: str = "user_id",
     time: str = "ts",
     is_complaint: Column | None = None,

@@ -12,7 +12,9 @@ from holdfast.operators.categories import MAX_CATEGORIES, category_labels, index
 from holdfast.schema import (
     CATEGORICAL_FEATURES,
     COMPLAINTS,
-    KEY,
+    DAYS_PER_MONTH,
+    DERIVED_FEATURES,
+    FEATURE_PROJECTION,
     LABEL,
     LABEL_VALUES,
     NUMERICAL_FEATURES,
@@ -21,13 +23,10 @@ from holdfast.schema import (
 # Largest distance of the fill value's rank from the middle, as a share of the rows.
 MEDIAN_ERROR = 0.001
 
-DERIVED = ["avg_daily_charge", "complaints_90d"]
-PROJECTION = [KEY, *DERIVED, LABEL, "MonthlyCharges", "TotalCharges", "tenure"]
-
 # The derivation as SQL text. The double literal keeps the division out of decimal arithmetic.
 DERIVE_SQL = f"""
 SELECT *,
-       CAST(MonthlyCharges AS DOUBLE) / 30.0D AS avg_daily_charge,
+       CAST(MonthlyCharges AS DOUBLE) / {DAYS_PER_MONTH}D AS avg_daily_charge,
        COALESCE({COMPLAINTS}, 0) AS complaints_90d
 FROM {{telco}}
 """
@@ -47,7 +46,7 @@ def query_table(df: DataFrame, query: str, name: str = "telco") -> DataFrame:
     return df.sparkSession.sql(query, **{name: df})
 
 
-def project_features(df: DataFrame, columns: list[str] = PROJECTION) -> DataFrame:
+def project_features(df: DataFrame, columns: list[str] = FEATURE_PROJECTION) -> DataFrame:
     return df.select(*present(df, columns))
 
 
@@ -91,7 +90,7 @@ def fit_preprocessing(
     table lacks or that hold no value are skipped. Missing numbers (null, NaN, infinite) become the
     training median. The label is no part of it, so the model also applies to unlabelled rows.
     """
-    medians = training_medians(train, present(train, [*numerical, *DERIVED]))
+    medians = training_medians(train, present(train, [*numerical, *DERIVED_FEATURES]))
     labels = category_labels(train, categorical, max_categories)
     if not medians and not labels:
         raise ValueError("no feature column holds a value")

@@ -7,7 +7,7 @@ from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.sql import DataFrame
 
-from holdfast.schema import MAX_DEPTH, MODEL_NAME, NUM_TREES, SEED
+from holdfast.schema import FOREST_SUFFIX, MAX_DEPTH, MODEL_NAME, NUM_TREES, PREPROCESSING_SUFFIX, SEED
 from holdfast.sources.files import table_path
 
 
@@ -46,7 +46,10 @@ def train_and_evaluate(train: DataFrame, test: DataFrame) -> tuple[PipelineModel
 
 
 def model_paths(models_base: str, name: str = MODEL_NAME) -> tuple[str, str]:
-    return table_path(models_base, f"{name}_preproc"), table_path(models_base, f"{name}_rf")
+    return (
+        table_path(models_base, f"{name}{PREPROCESSING_SUFFIX}"),
+        table_path(models_base, f"{name}{FOREST_SUFFIX}"),
+    )
 
 
 def save_models(

@@ -53,11 +53,25 @@ CATEGORICAL_FEATURES = [
     "PaymentMethod",
 ]
 
+DERIVED_FEATURES = ["avg_daily_charge", "complaints_90d"]
+FEATURE_PROJECTION = [
+    "customerID",
+    "avg_daily_charge",
+    "complaints_90d",
+    "Churn",
+    "MonthlyCharges",
+    "TotalCharges",
+    "tenure",
+]
+
 LABEL_VALUES = ["No", "Yes"]
 CLEANED_TABLE = "telco_cleaned"
 MODEL_NAME = "churn_prediction_pipeline"
+PREPROCESSING_SUFFIX = "_preproc"
+FOREST_SUFFIX = "_rf"
 PREDICTIONS_TABLE = "predictions"
 DAYS_PER_MONTH = 30.0
+COMPLAINT_DAYS = 90
 NUM_TREES = 50
 MAX_DEPTH = 10
 SEED = 42

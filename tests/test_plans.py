@@ -10,6 +10,7 @@ from holdfast.plans import run_all, run_etl, score_table, train_churn
 from holdfast.plans.etl import cleanse_counted
 from holdfast.schema import CLEANED_SCHEMA, TELCO_SCHEMA, with_complaints
 from holdfast.sources.files import load_cleaned, read_csv, write_parquet
+from jobs.churn import STEPS
 
 SF = "/root/testdata/sf0.001"
 
@@ -83,6 +84,9 @@ def test_training_and_scoring(spark, tmp_path):
     assert scored.columns == ["customerID", "prediction", "churn_probability"]
     assert scored.select("customerID").distinct().count() == scored.count() == 150
     assert scored.filter("prediction <> CAST(churn_probability > 0.5 AS DOUBLE)").count() == 0
+    first = {tuple(r) for r in scored.collect()}
+    submitted = STEPS["score"](spark, base, f"{base}/models")
+    assert {tuple(r) for r in spark.read.parquet(submitted).collect()} == first
 
 
 def test_complaint_column_passes_through(spark, tmp_path):
