@@ -6,6 +6,7 @@ import pytest
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
+from holdfast.cluster import session_conf
 from holdfast.operators.complaints import add_complaints, complaint_counts
 from holdfast.operators.features import (
     DERIVE_SQL,
@@ -158,3 +159,27 @@ def test_complaint_window_and_hot_user(spark, plan_of):
     joined = add_complaints(customers, counts, "c")
     assert {r["c"]: r["NumComplaints90Days"] for r in joined.collect()} == {1: 1, 2: None, 3: 500}
     assert "partial_count" in plan_of(counts)
+
+
+def test_hot_customer_key_is_split(spark, plan_of):
+    hot = F.col("id") % 3 == 0
+    customers = spark.range(0, 60_000, 1, 8).select(
+        F.when(hot, F.lit(7)).otherwise(F.col("id")).alias("c"), F.md5(F.col("id").cast("string")).alias("payload")
+    )
+    events = spark.range(0, 3000, 1, 4).select(
+        F.col("id").alias("user_id"),
+        F.lit("error").alias("event_type"),
+        F.lit("2024-01-20").cast("timestamp_ntz").alias("ts"),
+    )
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "128k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    }
+    with session_conf(spark, conf):
+        joined = add_complaints(customers, complaint_counts(events, datetime(2024, 1, 31)), "c")
+        rows = joined.collect()
+        assert "skew=true" in plan_of(joined)
+    assert len(rows) == 60_000
+    assert sum(r["NumComplaints90Days"] or 0 for r in rows) == 20_000 + 2000
