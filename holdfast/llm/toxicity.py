@@ -4,10 +4,11 @@ Confirmed toxic examples are the only labelled class; all other text is unlabell
 toxic text in the share of the class prior. The risk of a classifier is
     prior * E_P[loss(+)] + max(0, E_U[loss(-)] - prior * E_P[loss(-)])
 where the second part estimates the risk on clean text and is kept from going below zero. Several linear
-classifiers are trained with numpy, each in a task of its own on its own share of a bounded sample, and
-their logits averaged. Inputs are the hashed byte n-grams a text holds, and nothing but the text.
+classifiers are trained with numpy, each in a task of its own on the confirmed examples and its own share of the
+unlabelled ones, and their logits averaged. Inputs are how often words begin with which bytes, and nothing but the text.
 
-`POSITIVES` and `UNLABELLED` bound the sample; the prior comes from all labels that may be learnt from.
+`POSITIVES` and `UNLABELLED` bound the sample; the prior comes from all labels that may be learnt from and
+is held against the sample.
 
 Nulls and edges: a null or empty text has no n-grams and scores the classifiers' bias; rows with a null
 identifier are scored, never learnt from, and not held out; repeated identifiers give one example and one
@@ -27,14 +28,18 @@ from pyspark.sql import functions as F
 from holdfast.llm.common import held_out, read_table
 
 BUCKET_BITS = 22
-NGRAM_BYTES = (5, 7)
+NGRAM_BYTES = (5, 6, 7, 8)
 BYTES_AT_ONCE = 1 << 20
-POSITIVES = 4_500
+POSITIVES = 3_000
 UNLABELLED = 9_000
 CLASSIFIERS = 3
 NGRAMS_KEPT = 2_048
 # A kept n-gram is that many times as frequent in toxic text, with that log-likelihood ratio.
-LIFT, EVIDENCE = 4.0, 12.0
+LIFT, EVIDENCE = 3.0, 12.0
+# The prior is read off numbers of n-grams that at least this share of toxic text reaches.
+TOLD_SHARE, PRIOR_TAKEN = 0.3, 0.9
+# An n-gram's amount in a text: occurrences per so many words, short texts counted as longer.
+PER_WORDS, SHORT_WORDS = 200, 50
 STEPS = 300
 STEP_SIZE = 0.05
 DECAY = 1e-4
@@ -45,25 +50,34 @@ MULTIPLIERS = {n: np.uint64(0x9E3779B97F4A7C15 + 2 * n) for n in NGRAM_BYTES}
 
 
 def ngram_buckets(text: str | None) -> Iterator[np.ndarray]:
-    """Buckets of the byte n-grams of the lower-cased text with single spaces, piece by piece."""
+    """Buckets of the beginnings of all words, of each length with the space before and, where a word is just
+    that short, the space behind; of the lower-cased text, piece by piece."""
     words = " ".join((text or "").lower().split())
-    data = np.frombuffer(f" {words} ".encode("utf-8", "surrogatepass"), dtype=np.uint8)
-    for low in range(0, len(data), BYTES_AT_ONCE):
-        piece = data[low : low + BYTES_AT_ONCE + max(NGRAM_BYTES) - 1].astype(np.uint64)
+    data = f" {words} ".encode("utf-8", "surrogatepass")
+    low = 0
+    while low < len(data) - 1:
+        high = data.rfind(b" ", low + 1, low + BYTES_AT_ONCE)
+        high = data.find(b" ", low + 1) if high < 0 else high
+        piece = np.frombuffer(data, dtype=np.uint8, count=high + 1 - low, offset=low)
+        spaces = np.flatnonzero(piece == 32)
+        sizes = np.diff(spaces) + 1  # with the spaces on both sides
         for n in NGRAM_BYTES:
-            size = len(piece) - n + 1
-            if size <= 0:
-                continue
-            packed = piece[:size].copy()
-            for i in range(1, n):
-                packed |= piece[i : i + size] << np.uint64(8 * i)
-            packed *= MULTIPLIERS[n]
-            yield (packed >> np.uint64(64 - BUCKET_BITS)).astype(np.int32)
+            starts = spaces[:-1][sizes >= n]
+            packed = np.zeros(len(starts), dtype=np.uint64)
+            for i in range(n):
+                packed |= piece[starts + i].astype(np.uint64) << np.uint64(8 * i)
+            yield ((packed * MULTIPLIERS[n]) >> np.uint64(64 - BUCKET_BITS)).astype(np.int32)
+        low = high
 
 
-def ngram_set(text: str | None) -> np.ndarray:
-    found = [np.unique(part) for part in ngram_buckets(text)]
-    return np.unique(np.concatenate(found)) if found else np.empty(0, dtype=np.int32)
+def values(buckets: list[np.ndarray], words: int) -> tuple[np.ndarray, np.ndarray]:
+    """Different buckets and how often they occur for the length of the text, on a logarithmic scale."""
+    found, counts = np.unique(np.concatenate(buckets), return_counts=True)
+    return found, np.log1p(counts * (PER_WORDS / (words + SHORT_WORDS))).astype(np.float32)
+
+
+def ngram_values(text: str | None) -> tuple[np.ndarray, np.ndarray]:
+    return values([np.empty(0, dtype=np.int32), *ngram_buckets(text)], len((text or "").split()))
 
 
 def train_nnpu(positive: np.ndarray, unlabelled: np.ndarray, prior: float) -> tuple[np.ndarray, float]:
@@ -101,24 +115,42 @@ def telling_ngrams(in_p: np.ndarray, in_u: np.ndarray, n_p: int, n_u: int, prior
     return np.sort(told[best[evidence[best] > EVIDENCE]])
 
 
+def prior_in(held_p: np.ndarray, held_u: np.ndarray, prior: float) -> float:
+    """The class prior of the unlabelled sample itself, from the kept n-grams per document.
+
+    At every number of n-grams, the share of unlabelled documents with as many is at least the prior times
+    that share of toxic ones. The smallest quotient bounds the prior from above, and a little less is taken:
+    with a prior too high, the estimate of the clean risk turns negative and stops the training early.
+    """
+    bound = prior
+    for least in range(1, int(held_p.max(initial=0)) + 1):
+        share = (held_p >= least).mean()
+        if share < TOLD_SHARE:
+            break
+        bound = min(bound, (held_u >= least).mean() / share)
+    return max(PRIOR_TAKEN * bound, 1e-4)
+
+
 def train_share(rows: pd.DataFrame, prior: float) -> pd.DataFrame:
     """One classifier from the rows (toxic, text) of its share."""
-    sets = {role: [ngram_set(t) for t in rows.loc[rows["toxic"] == role, "text"]] for role in (1, 0)}
+    sets = {role: [ngram_values(t) for t in rows.loc[rows["toxic"] == role, "text"]] for role in (1, 0)}
     empty = pd.DataFrame({"bucket": [[]], "weight": [[]], "bias": [float(np.log(prior / (1 - prior)))]})
     if not sets[1] or not sets[0]:
         return empty
     counts = {role: np.zeros(1 << BUCKET_BITS, dtype=np.int32) for role in sets}
     for role, found in sets.items():
-        for one in found:
-            counts[role][one] += 1
+        for buckets, _ in found:
+            counts[role][buckets] += 1
     kept = telling_ngrams(counts[1], counts[0], len(sets[1]), len(sets[0]), prior)
     matrices = []
     for role in (1, 0):
         held = np.zeros((len(sets[role]), len(kept)), dtype=np.float32)
-        for i, one in enumerate(sets[role]):
-            held[i, np.isin(kept, one, assume_unique=True)] = 1
+        for i, (buckets, amounts) in enumerate(sets[role]):
+            _, at, there = np.intersect1d(kept, buckets, assume_unique=True, return_indices=True)
+            held[i, at] = amounts[there]
         matrices.append(held)
-    weights, bias = train_nnpu(matrices[0], matrices[1], prior)
+    here = prior_in((matrices[0] > 0).sum(axis=1), (matrices[1] > 0).sum(axis=1), prior)
+    weights, bias = train_nnpu(matrices[0], matrices[1], here)
     return pd.DataFrame({"bucket": [kept.tolist()], "weight": [weights.tolist()], "bias": [bias]})
 
 
@@ -142,8 +174,11 @@ class Classifier:
             known[buckets] = True
 
             def logit(text: str | None) -> float:
-                found = [part[known[part]] for part in ngram_buckets(text)]
-                return bias + (table[np.unique(np.concatenate(found))].sum() if found else 0.0)
+                parts = [part[known[part]] for part in ngram_buckets(text)]
+                if not any(map(len, parts)):
+                    return bias
+                buckets, amounts = values(parts, len((text or "").split()))
+                return bias + float(table[buckets] @ amounts)
 
             for texts in batches:
                 logits = np.array([logit(t) for t in texts], dtype=np.float64)
@@ -159,7 +194,8 @@ def class_prior(labels: DataFrame) -> float:
 
 
 def training_sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(share, toxic, text): bounded samples of confirmed toxic and of unlabelled documents, by hash of the id."""
+    """(share, toxic, text): bounded samples of confirmed toxic documents, in every share, and of unlabelled
+    ones, each in one; by hash of the id."""
 
     def drawn(ids: DataFrame, toxic: int, bound: int) -> DataFrame:
         usable = ids.where(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))).distinct()
@@ -171,7 +207,10 @@ def training_sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     # the sample holds POSITIVES + UNLABELLED identifiers at most
     joined = texts.join(F.broadcast(sample), "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
-    return joined.select(F.pmod(F.xxhash64("doc_id"), F.lit(CLASSIFIERS)).alias("share"), "toxic", "text")
+    every = F.array(*[F.lit(i).cast("long") for i in range(CLASSIFIERS)])
+    own = F.array(F.pmod(F.xxhash64("doc_id"), F.lit(CLASSIFIERS)))
+    share = F.explode(F.when(F.col("toxic") == 1, every).otherwise(own)).alias("share")
+    return joined.select(share, "toxic", "text")
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Classifier:
