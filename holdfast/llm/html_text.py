@@ -3,9 +3,8 @@
 Every page is parsed into blocks of text, each with the containers around it. Blocks inside menus, headers,
 footers, sidebars, notices, adverts, forms, scripts and reader comments are set aside. The other blocks give
 their length, less for links, to the containers around them, most to the nearest. A container is named by
-its path of tags and classes, with digits made alike, and every page votes with its containers' shares for
-the paths of its host. The path with the most votes wins, and all pages of the host are extracted again with
-it: the blocks inside containers of that path, or of the page's own best one where it has no such container.
+its path of tags and classes, with digits made alike, and every page votes for the path of its best one. The
+path with most of a host's votes wins, and all pages of the host are extracted again with it: the blocks inside containers of that path, or of the page's own best one where it has no such container.
 
 Nulls and edges: a null or empty page has the empty text; a null address belongs to the host ''; pages with
 equal identifiers are each extracted; malformed markup is read as far as it goes; extra columns are not
@@ -53,6 +52,7 @@ STEP_UP = 0.9
 FAVOURED, FAVOUR = frozenset({"article", "main"}), 1.2
 WORD = re.compile(r"[a-z]+")
 DIGITS = re.compile(r"\d+")
+UNFINISHED_TAG = re.compile(r"<[a-zA-Z/!?][^<>]*\Z")
 
 
 @dataclass
@@ -157,7 +157,7 @@ class PageParser(HTMLParser):
 
 def blocks_of(html: str | None) -> list[Block]:
     parser = PageParser()
-    parser.feed(html or "")
+    parser.feed(UNFINISHED_TAG.sub("", html or ""))
     parser.close()
     parser.end_block()
     return parser.blocks
@@ -194,17 +194,12 @@ def host_of(url: Column) -> Column:
     return hosts(url)
 
 
-def votes_of(html: Column) -> Column:
-    """Each page's containers with their share of the page's total score."""
+def vote_of(html: Column) -> Column:
+    """The path of each page's best container."""
 
-    @F.pandas_udf("array<struct<path: string, share: double>>")
+    @F.pandas_udf("string")
     def votes(pages: pd.Series) -> pd.Series:
-        out = []
-        for page in pages:
-            scores = container_scores(blocks_of(page))
-            total = sum(scores.values())
-            out.append([{"path": p, "share": s / total} for p, s in scores.items() if s > 0])
-        return pd.Series(out, dtype=object)
+        return pd.Series([best_path(container_scores(blocks_of(page))) for page in pages], dtype=object)
 
     return votes(html)
 
@@ -219,9 +214,8 @@ def extracted(html: Column, winner: Column) -> Column:
 
 def winning_paths(host: Column, html: Column, pages: DataFrame) -> DataFrame:
     """(host, winner) by the votes of all pages."""
-    votes = pages.select(host.alias("host"), F.inline(votes_of(html)))
-    counted = votes.groupBy("host", "path").agg(F.round(F.sum("share"), 6).alias("votes"))
-    return counted.groupBy("host").agg(F.max(F.struct("votes", "path"))["path"].alias("winner"))
+    counted = pages.select(host.alias("host"), vote_of(html).alias("path")).groupBy("host", "path").count()
+    return counted.where("path != ''").groupBy("host").agg(F.max(F.struct("count", "path"))["path"].alias("winner"))
 
 
 def extract_pages(

@@ -51,7 +51,8 @@ def suffix_order(codes: np.ndarray, depth: int) -> np.ndarray:
     key = rank.copy()
     while packed < depth and bits * (packed + 1) <= 62:
         key <<= bits
-        key[: size - packed] |= rank[packed:]
+        if packed < size:
+            key[: size - packed] |= rank[packed:]
         packed += 1
     order = np.argsort(key, kind="stable")
     while packed < depth:

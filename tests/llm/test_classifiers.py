@@ -1,0 +1,116 @@
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from holdfast.llm import quality, toxicity
+
+SF = "/root/testdata/sf0.1"
+
+
+def docs_and_labels(spark):
+    return spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/labels.parquet")
+
+
+def test_toxic_documents_of_the_kept_out_fourth(spark):
+    _, labels = docs_and_labels(spark)
+    judged = toxicity.query(spark, SF).join(labels, "doc_id").where("held_out")
+    counts = {(r["toxic"], r["predicted"]): r["count"] for r in judged.groupBy("toxic", "predicted").count().collect()}
+    assert counts[1, 1] / (counts[1, 1] + counts.get((1, 0), 0)) >= 0.9
+    assert counts.get((0, 1), 0) / (counts[0, 0] + counts.get((0, 1), 0)) <= 0.01
+
+
+def test_labels_of_the_kept_out_fourth_change_nothing(spark):
+    docs, labels = docs_and_labels(spark)
+    docs, labels = docs.where("doc_id < 1500"), labels.where("doc_id < 1500")
+    turned = labels.withColumn("toxic", F.when(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, 1 - F.col("toxic")).otherwise(F.col("toxic")))
+    assert toxicity.fit(docs, labels) == toxicity.fit(docs, turned)
+
+
+ROWS = [(1, None, "x"), (2, "", "x"), (None, "words here", "x"), (4, "w " * 30_000, "x"), (4, "w " * 30_000, "x")]
+
+
+def test_toxicity_edge_rows(spark):
+    df = spark.createDataFrame(ROWS, "doc_id long, text string, score string")
+    labels = spark.createDataFrame([(1, 1, 1), (2, None, 0)], "doc_id long, toxic int, quality int")
+    for known in (labels, labels.limit(0), labels.where("toxic is null")):
+        rows = toxicity.score_documents(df, toxicity.fit(df, known)).collect()
+        assert len(rows) == len(ROWS) and all(0 <= r["score"] <= 1 for r in rows)
+        assert all(r["predicted"] == int(r["score"] >= 0.3) for r in rows)
+        held = {r["doc_id"]: r["held_out"] for r in rows}
+        assert held == {i: i is not None and zlib.crc32(str(i).encode()) % 4 == 2 for i, *_ in ROWS}
+    model = toxicity.fit(df.limit(0), labels.limit(0))
+    assert toxicity.drop_toxic(df, model).columns == df.columns
+    assert toxicity.score_documents(df.limit(0), model).count() == 0
+
+
+def test_word_beginnings():
+    def buckets(text):
+        return set(np.concatenate([np.empty(0, int), *toxicity.ngram_buckets(text)]).tolist())
+
+    assert buckets(None) == buckets("") == buckets("a b") == set()
+    assert buckets("Idiot") <= buckets("an IDIOT he")
+    assert buckets("idiots") & buckets("idiotic") and not buckets("idiot") & buckets("patriot")
+    assert buckets("scum ") - buckets("scumbags")  # the short word as a whole
+
+
+def test_long_text_in_pieces(monkeypatch):
+    text = " ".join(f"word{i * i}" for i in range(500)) + " " + "y" * 300
+    whole = np.sort(np.concatenate(list(toxicity.ngram_buckets(text))))
+    monkeypatch.setattr(toxicity, "BYTES_AT_ONCE", 64)
+    assert np.array_equal(np.sort(np.concatenate(list(toxicity.ngram_buckets(text)))), whole)
+
+
+def test_nnpu_recovers_a_separation():
+    rng = np.random.default_rng(0)
+    toxic, clean = rng.random((400, 6)) < [0.9, 0.8, 0, 0.5, 0.5, 0.5], rng.random((900, 6)) < [0, 0, 0.7, 0.5, 0.5, 0.5]
+    positive = toxic[:300].astype(np.float32)
+    unlabelled = np.vstack([toxic[300:], clean]).astype(np.float32)
+    weights, bias = toxicity.train_nnpu(positive, unlabelled, 0.1)
+    assert (positive @ weights + bias > 0).mean() > 0.9
+    assert (clean.astype(np.float32) @ weights + bias < 0).mean() > 0.95
+
+
+def test_quality_of_the_kept_out_fourth(spark):
+    _, labels = docs_and_labels(spark)
+    judged = quality.query(spark, SF).join(labels, "doc_id").where(F.crc32(F.col("doc_id").cast("string")) % 4 == 2)
+    counts = {(r["quality"], r["keep"]): r["count"] for r in judged.groupBy("quality", "keep").count().collect()}
+    assert counts[1, True] / (counts[1, True] + counts.get((1, False), 0)) >= 0.99
+    assert counts[0, False] / (counts[0, False] + counts.get((0, True), 0)) >= 0.97
+
+
+def test_sparse_sites_are_drawn_to_their_parents(spark):
+    rows = [("big", "a", 0.9)] * 400 + [("big", "b", 0.1)] * 3 + [("bad", "a", 0.1)] * 400 + [("one", "z", 0.1)]
+    rates, strength = quality.site_rates(spark.createDataFrame(rows, "host string, path string, p double"))
+    found = {(r["host"], r["path"]): r for r in rates.collect()}
+    total = sum(p for *_, p in rows) / len(rows)
+    assert abs(found["bad", "a"]["host_posterior"] - 0.1) < 0.02
+    assert 0.1 < found["one", "z"]["host_posterior"] < total
+    assert found["big", "b"]["documents"] == 3 and found["big", "b"]["good"] == pytest.approx(0.3)
+    assert strength >= quality.WEAKEST
+
+
+def test_posterior_like_plain_arithmetic(spark):
+    evidence = quality.Evidence(np.zeros(10), np.ones(10), np.r_[-20 / 0.75, np.zeros(9)], 1.0, 0.7)
+    docs = spark.createDataFrame([(1, "abc", "h", "x"), (2, "ABC d", "h", "x"), (3, None, None, "y")], "doc_id long, text string, source string, lang string")
+    found = {r["doc_id"]: r for r in quality.judge(docs, evidence).collect()}
+    p = {1: float(1 / (1 + np.exp(-1))), 2: float(1 / (1 + np.exp(20 - 1))), 3: float(1 / (1 + np.exp(-1)))}
+    assert {i: r["doc_score"] for i, r in found.items()} == pytest.approx(p, abs=1e-6)
+    rates, strength = quality.site_rates(spark.createDataFrame([("h", "x", p[1]), ("h", "x", p[2]), ("", "y", p[3])], "host string, path string, p double"))
+    host = {r["host"]: r["host_posterior"] for r in rates.collect()}
+    rate = (p[2] + strength * host["h"]) / (1 + strength)
+    odds = p[1] / (1 - p[1]) / (0.7 / 0.3) * rate / (1 - rate)
+    assert found[1]["path_posterior"] == pytest.approx(rate)
+    assert found[1]["posterior"] == pytest.approx(odds / (1 + odds), abs=1e-5)
+
+
+def test_quality_edge_rows(spark):
+    df = spark.createDataFrame([(i, t, None, "p", "k") for i, t, _ in ROWS], "doc_id long, text string, source string, lang string, keep string")
+    labels = spark.createDataFrame([(1, 1, 1), (2, None, None)], "doc_id long, toxic int, quality int")
+    evidence = quality.fit_evidence(df, labels)
+    rows = quality.judge(df, evidence).collect()
+    assert len(rows) == len(ROWS) and all(r["keep"] for r in rows)  # no usable labels: all are kept
+    kept = quality.drop_poor(df, evidence)
+    assert kept.columns == df.columns and kept.count() == len(ROWS)
+    assert quality.judge(df.limit(0), evidence).count() == 0 == quality.drop_poor(df.limit(0), evidence).count()

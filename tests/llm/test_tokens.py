@@ -1,0 +1,131 @@
+import random
+
+import numpy as np
+import public_tokenizers
+import pytest
+import sentencepiece
+from tokenizers import Tokenizer
+
+from holdfast.llm import piece_codec as pc
+from holdfast.llm import token_counts as tc
+
+EDGES = [
+    "", " ", "Don't we'RE 's ''s x's 'll'", "a<|endoftext|>b <|startoftext|>x", "<|endoftext|>", "ΑΣ ΣΑΣ İi ﬁ",
+    "e\u0301 é 1234 ½ ²", "漢字 🙂👍🏽 \x1c\x1d a\x1cb\x85c", "x" * 300, "\u200b\xad\ufeff a\u3000b", "a\0b", "\0", "▁x ▁ y",
+    "-" * 40, "  a   b  ", "!!'s ...'re??", "<s></s><0x0A>",
+]
+
+
+def random_texts(count):
+    rng = random.Random(4)
+    pick = ["a", "'", "s", "é", "Σ", " ", "\n", "1", "!", "<|endoftext|>", "漢", "\u0301", "  ", *"thequickbrown"]
+    return ["".join(rng.choice([*pick, chr(rng.randrange(1, 0x3000))]) for _ in range(rng.randrange(16))) for _ in range(count)]
+
+
+@pytest.fixture(scope="module")
+def library():
+    return Tokenizer.from_file(public_tokenizers.path(tc.TOKENIZER))
+
+
+def tokens_of(library, text):
+    return len(library.encode(text, add_special_tokens=False).ids)
+
+
+def test_counts_like_the_library(library):
+    counter = tc.counter(public_tokenizers.path(tc.TOKENIZER))
+    for text in [*EDGES, *random_texts(3000)]:
+        assert counter.count(text) == tokens_of(library, text), ascii(text)
+
+
+def test_every_prefix_like_the_library(library):
+    counter = tc.counter(public_tokenizers.path(tc.TOKENIZER))
+    for text in [*EDGES, *random_texts(150)]:
+        whole, table = counter.table(text)
+        assert len(table) == len(whole) + 1
+        for size in range(len(whole) + 1):
+            assert table[size] == tokens_of(library, whole[:size]), ascii(whole[:size])
+
+
+def test_cuts_are_the_longest(library):
+    counter = tc.counter(public_tokenizers.path(tc.TOKENIZER))
+    for text in ["some ordinary words, don't they?", *random_texts(60)]:
+        for budget in (0, 1, 3, 7):
+            kept, used = counter.cut(text, budget)
+            assert used == tokens_of(library, kept) <= budget
+            whole, _ = counter.table(text)
+            assert all(tokens_of(library, whole[:size]) > budget for size in range(len(kept) + 1, len(whole) + 1))
+
+
+def test_count_rows(spark, library):
+    rows = [(1, "Hello there"), (1, "Hello there"), (None, "é"), (3, None), (4, ""), (5, "tok " * 3000)]
+    df = spark.createDataFrame([(i, t, 9) for i, t in rows], "doc_id long, text string, n_tokens int")
+    found = sorted((tuple(r) for r in tc.count_tokens(df).collect()), key=repr)
+    texts = [(i, t or "") for i, t in rows]
+    sizes = [(i, len(t.encode()), tokens_of(library, t)) for i, t in texts]
+    assert found == sorted(((i, b, n, n > 2048) for i, b, n in sizes), key=repr)
+    assert tc.count_tokens(df.limit(0)).count() == 0
+    cut = {r["doc_id"]: (r["text"], r["n_tokens"]) for r in tc.truncate(df, 2).collect()}
+    assert cut[3] == ("", 0) and cut[5][1] == 2
+    assert all(r["counts"][-1] == tokens_of(library, r["text"]) for r in tc.prefix_counts(df).collect())
+
+
+def test_words_computed_again_after_forgetting(library, monkeypatch):
+    monkeypatch.setattr(tc, "WORDS_HELD", 3)
+    monkeypatch.setattr(tc, "PAIRS_HELD", 2)
+    counter = tc.PrefixCounter(public_tokenizers.path(tc.TOKENIZER))
+    for text in random_texts(100):
+        assert counter.count(text) == tokens_of(library, text)
+
+
+@pytest.fixture(scope="module")
+def model():
+    return sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path(pc.MODEL))
+
+
+def encoded(codec, texts):
+    return [np.frombuffer(n, "<i4").tolist() for n in codec.encode_batch(texts)]
+
+
+def test_pieces_like_the_library(model):
+    codec = pc.codec(public_tokenizers.path(pc.MODEL))
+    texts = [*EDGES, *random_texts(3000)]
+    for text, numbers in zip(texts, encoded(codec, texts), strict=True):
+        assert numbers == model.encode(text), ascii(text)
+        assert codec.decode(numbers) == model.decode(numbers)
+    assert encoded(codec, [None]) == [[]]
+
+
+def test_small_batches(model, monkeypatch):
+    monkeypatch.setattr(pc, "BATCH_CHARACTERS", 20)
+    monkeypatch.setattr(pc, "UNITS_HELD", 5)
+    monkeypatch.setattr(pc, "PAIRS_HELD", 2)
+    codec = pc.PieceCodec(public_tokenizers.path(pc.MODEL))
+    texts = random_texts(60)
+    assert encoded(codec, texts) == model.encode(texts)
+    assert encoded(codec, texts[::-1]) == model.encode(texts[::-1])
+
+
+def test_suffix_order_and_ranges():
+    rng = np.random.default_rng(2)
+    codes = rng.integers(0, 3, 200)
+    text = codes.tolist()
+    order = pc.suffix_order(codes, 6)
+    assert [text[i : i + 6] for i in order] == sorted(text[i : i + 6] for i in range(200))
+    pieces = np.array([[0, 1, -1, -1], [2, 2, 2, -1], [1, -1, -1, -1], [0, 1, 2, 0], [5, -1, -1, -1]])
+    low, high = pc.occurrence_ranges(codes, order, pieces)
+    for piece, a, b in zip(pieces, low, high, strict=True):
+        wanted = [c for c in piece.tolist() if c >= 0]
+        places = [i for i in range(200) if text[i : i + len(wanted)] == wanted]
+        assert sorted(order[a:b].tolist()) == places
+
+
+def test_encode_and_decode_rows(spark, model):
+    rows = [(1, "Hello  there"), (1, "Hello  there"), (None, "漢\n"), (3, None), (4, ""), (5, "long " * 5000)]
+    df = spark.createDataFrame([(i, t, "p") for i, t in rows], "doc_id long, text string, pieces string")
+    found = pc.encode(df)
+    assert sorted((r["pieces"] for r in found.collect()), key=repr) == sorted((model.encode(t or "") for _, t in rows), key=repr)
+    assert sorted(r["text"] for r in pc.decode(found).collect()) == sorted(t or "" for _, t in rows)
+    digests = pc.encode_digests(df).collect()
+    assert all(r["round_trip"] for r in digests)
+    assert sorted(r["n_pieces"] for r in digests) == sorted(len(model.encode(t or "")) for _, t in rows)
+    assert pc.encode_digests(df.limit(0)).count() == 0
