@@ -52,12 +52,12 @@ def order_key(key: Column, identifier: Column) -> Column:
     return F.concat(key, F.coalesce(number, F.lit("G")))
 
 
-def splitters(keyed: DataFrame, buckets: int) -> list[str]:
-    """`buckets` - 1 keys at most, from a sample that only steers how evenly the rows are dealt out."""
-    rows = keyed.count()
-    share = min(1.0, buckets * SAMPLED_PER_BUCKET / max(rows, 1))
-    drawn = keyed.sample(share, SEED).select(order_key(F.col("key"), F.col("id")))
-    sample = sorted(r[0] for r in drawn.collect())
+def splitters(df: DataFrame, id_col: str, text_col: str, buckets: int) -> list[str]:
+    """`buckets` - 1 keys at most, from a sample of the rows that only steers how evenly they are dealt out."""
+    share = min(1.0, buckets * SAMPLED_PER_BUCKET / max(df.count(), 1))
+    identifier, text = F.col(f"`{id_col}`").cast("long"), F.col(f"`{text_col}`")
+    drawn = df.select(identifier.alias("id"), text.alias("text")).sample(share, SEED)
+    sample = sorted(r[0] for r in drawn.select(order_key(content_key(F.col("text")), F.col("id"))).collect())
     return sorted({sample[len(sample) * i // buckets] for i in range(1, buckets)}) if sample else []
 
 
@@ -85,7 +85,7 @@ def content_sorted(df: DataFrame, id_col: str, text_col: str, carried: Column) -
         F.col(f"`{id_col}`").cast("long").alias("id"),
         content_key(F.col(f"`{text_col}`")).alias("key"),
     )
-    bounds = splitters(keyed, width * BUCKETS_PER_TASK)
+    bounds = splitters(df, id_col, text_col, width * BUCKETS_PER_TASK)
     placed = keyed.withColumn("bucket", bucket_of(order_key(F.col("key"), F.col("id")), bounds))
     placed = placed.repartition(width, "bucket")
     inside = Window.partitionBy("bucket").orderBy("key", F.col("id").asc_nulls_last())
