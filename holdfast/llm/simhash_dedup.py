@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from holdfast.llm.common import read_table, row_of, staged, unpacked
+from holdfast.llm.common import read_table, row_of, shuffle_width, staged, unpacked
 from holdfast.llm.components import components
 
 SHINGLE_WORDS = 3
@@ -90,7 +90,8 @@ def cells_around(point: Column) -> Column:
         low, high, step = (F.lit(signed(1 << at)), F.lit(signed(2 << at)), F.lit(signed(1 << at)))
         one, two = point.bitwiseAND(low) != 0, point.bitwiseAND(high) != 0
         # 0 -> 1 and 2 -> 1 set the low bit and clear the high one; 1 -> 2 and 1 -> 0 do the reverse
-        around.append(F.when(one, point.bitwiseXOR(low).bitwiseOR(high)).when(two, point.bitwiseXOR(high).bitwiseOR(low)).otherwise(point.bitwiseOR(step)))
+        more = F.when(one, point.bitwiseXOR(low).bitwiseOR(high)).otherwise(point.bitwiseOR(step))
+        around.append(F.when(two, point.bitwiseXOR(high).bitwiseOR(low)).otherwise(more))
         around.append(F.when(one, point.bitwiseXOR(low)))
     return F.array_compact(F.array(*around))
 
@@ -100,7 +101,9 @@ def close_pairs(prints: DataFrame, crowded: int = CROWDED) -> DataFrame:
 
     `prints` holds each fingerprint once, as column fp.
     """
-    placed = prints.select("fp", F.explode(cells_around(pair_popcounts(F.col("fp")))).alias("cell"))
+    # the cells are many times the fingerprints: dealt out first, so that all tasks share in making them
+    spread = prints.repartition(shuffle_width(prints.sparkSession), "fp")
+    placed = spread.select("fp", F.explode(cells_around(pair_popcounts(F.col("fp")))).alias("cell"))
     sizes = placed.groupBy("cell").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
     shared = staged(placed.join(sizes, "cell"))
     few, many = shared.where(F.col("members") <= crowded), shared.where(F.col("members") > crowded)
@@ -134,7 +137,7 @@ def near_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
             fingerprint_column(F.col(f"`{text_col}`")).alias("fp"),
         )
     )
-    prints = rows.groupBy("fp").agg(F.min("doc_id").alias("first_id"))
+    prints = staged(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id")))
     named = name_components(prints)
     return rows.join(named, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
@@ -163,7 +166,7 @@ def keep_one_of_each(df: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         )
     )
     order = F.struct(F.col("id").isNull().alias("none"), "id", "number")
-    prints = rows.groupBy("fp").agg(F.min(order).alias("first"))
+    prints = staged(rows.groupBy("fp").agg(F.min(order).alias("first")))
     roots = linked_prints(prints.select("fp"))
     rooted = prints.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     kept = rooted.groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.number").alias("number"))
