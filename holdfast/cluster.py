@@ -11,6 +11,7 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 MIB = 1024 * 1024
 # A shuffle keeps one block per (map task, reduce task) pair. Both sides are bounded so that the
@@ -19,21 +20,24 @@ MAX_SCAN_TASKS = 100_000
 MAX_SHUFFLE_TASKS = 20_000
 SCAN_BYTES_PER_TASK = 128 * MIB
 SHUFFLE_BYTES_PER_TASK = 256 * MIB
-# Spark packs small files into scan tasks of this size (its default cost of opening a file).
-SMALLEST_SCAN_TASK = 4 * MIB
 
 # Settings to start a cluster session with. The sizes that depend on the input are set per job by
-# `sized_for`; adaptive execution joins shuffle partitions that turn out small.
+# `sized_for`; adaptive execution joins shuffle partitions that turn out small. The learner and the
+# evaluator exchange statistics between as many tasks as `spark.default.parallelism` says, whatever the
+# scan's width is.
 RECOMMENDED_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.default.parallelism": "2000",
 }
 
 
 def input_bytes(spark: SparkSession, path: str) -> int:
-    """Bytes below `path` (glob allowed), asked from the file system that holds it."""
+    """Bytes below `path` (glob allowed), asked from the file system that holds it; compressed files count
+    as they are stored."""
     jvm = spark.sparkContext._jvm
     target = jvm.org.apache.hadoop.fs.Path(path)
     fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
@@ -41,30 +45,50 @@ def input_bytes(spark: SparkSession, path: str) -> int:
     return sum(fs.getContentSummary(status.getPath()).getLength() for status in found)
 
 
-def _scan_conf(total_bytes: int, max_tasks: int) -> dict[str, str]:
-    if total_bytes <= max_tasks * SCAN_BYTES_PER_TASK:
-        return {}
-    return {"spark.sql.files.maxPartitionBytes": str(math.ceil(total_bytes / max_tasks))}
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path as its file system names it: with scheme, without `..`, on a local disk without links."""
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    target = fs.makeQualified(target)
+    if target.toUri().getScheme() == "file":
+        return f"file:{jvm.java.io.File(target.toUri().getPath()).getCanonicalPath()}"
+    return target.toString().rstrip("/")
+
+
+def matches(spark: SparkSession, path: str) -> list[str]:
+    """What a path or glob names, qualified; the path itself if there is nothing."""
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = [status.getPath().toString() for status in fs.globStatus(target) or []]
+    return [qualified(spark, p) for p in found or [path]]
 
 
-def shuffle_conf(total_bytes: int, current_partitions: int) -> dict[str, str]:
+def is_inside(path: str, folder: str) -> bool:
+    """Whether a qualified path is the folder or lies in it."""
+    return path == folder or path.startswith(f"{folder}/")
+
+
+def shuffle_conf(
+    total_bytes: int,
+    current_partitions: int,
+    max_scan_tasks: int = MAX_SCAN_TASKS,
+    max_shuffle_tasks: int = MAX_SHUFFLE_TASKS,
+) -> dict[str, str]:
     """Shuffle width and scan split size for work that exchanges the rows it reads.
 
     Holds only what must differ from the session's values: a wider shuffle, larger splits.
     """
-    conf = _scan_conf(total_bytes, MAX_SCAN_TASKS)
-    wanted = min(math.ceil(total_bytes / SHUFFLE_BYTES_PER_TASK), MAX_SHUFFLE_TASKS)
+    conf = {}
+    if total_bytes > max_scan_tasks * SCAN_BYTES_PER_TASK:
+        conf["spark.sql.files.maxPartitionBytes"] = str(math.ceil(total_bytes / max_scan_tasks))
+    wanted = min(math.ceil(total_bytes / SHUFFLE_BYTES_PER_TASK), max_shuffle_tasks)
     if wanted > current_partitions:
         conf["spark.sql.shuffle.partitions"] = str(wanted)
     return conf
 
 
-def training_conf(total_bytes: int) -> dict[str, str]:
-    """Scan split size for training. The learner and the evaluator exchange statistics between as many
-    tasks as the scan has, so the scan is held to the bound of a shuffle."""
-    return _scan_conf(total_bytes, MAX_SHUFFLE_TASKS)
-
-
 @contextmanager
 def session_conf(spark: SparkSession, conf: dict[str, str]) -> Iterator[None]:
     """Set session values for the actions inside the block, then put the old ones back."""
@@ -82,21 +106,28 @@ def session_conf(spark: SparkSession, conf: dict[str, str]) -> Iterator[None]:
 
 
 @contextmanager
-def sized_for(spark: SparkSession, total_bytes: int, training: bool = False) -> Iterator[dict[str, str]]:
-    """Run the actions inside the block with scan and shuffle sizes that fit the input."""
+def sized_for(
+    spark: SparkSession,
+    total_bytes: int,
+    max_scan_tasks: int = MAX_SCAN_TASKS,
+    max_shuffle_tasks: int = MAX_SHUFFLE_TASKS,
+) -> Iterator[dict[str, str]]:
+    """Run the actions inside the block with scan and shuffle sizes that fit the input.
+
+    The sizes hold for the whole session meanwhile; a job next to others should get a session of its own
+    (`spark.newSession()`).
+    """
     current = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    conf = training_conf(total_bytes) if training else shuffle_conf(total_bytes, current)
+    conf = shuffle_conf(total_bytes, current, max_scan_tasks, max_shuffle_tasks)
     with session_conf(spark, conf):
         yield conf
 
 
-def spread_if_small(df: DataFrame, total_bytes: int) -> DataFrame:
-    """Give every core a share of a table that is too small to be scanned by all of them.
-
-    For learners, which take their parallelism from their input. Larger tables stay as they are.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if total_bytes < cores * SMALLEST_SCAN_TASK else df
+def fixed_layout(df: DataFrame, key: str, tasks: int) -> DataFrame:
+    """The rows in a layout that depends on nothing but their content and `tasks`: dealt out by the key's
+    hash and sorted. Costs one exchange."""
+    everything = [F.col(f"`{c}`") for c in df.columns]
+    return df.repartition(tasks, F.col(key)).sortWithinPartitions(F.col(key), F.xxhash64(*everything))
 
 
 def scratch_dir(spark: SparkSession) -> str:

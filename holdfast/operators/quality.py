@@ -14,7 +14,7 @@ REPORT_SCHEMA = "column STRING, expected STRING, actual STRING, status STRING"
 
 
 class SchemaError(ValueError):
-    """The table lacks a column it must have."""
+    """The table lacks a column it must have, or has one in another place or with another type."""
 
 
 class ReconciliationError(RuntimeError):

@@ -8,11 +8,20 @@ from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from holdfast.cluster import input_bytes, sized_for
+from holdfast.cluster import input_bytes, is_inside, matches, qualified, sized_for
 from holdfast.operators.cleansing import cleanse_with_copies
-from holdfast.operators.quality import check_schema, preview, reconcile
-from holdfast.schema import CLEANED_TABLE, KEY, LABEL, NUMERICAL_FEATURES, TELCO_SCHEMA, cleaned_schema
-from holdfast.sources.files import load_cleaned, read_csv, table_path, write_parquet
+from holdfast.operators.quality import SchemaError, check_schema, preview, reconcile
+from holdfast.schema import (
+    CLEANED_TABLE,
+    COMPLAINTS,
+    KEY,
+    LABEL,
+    NUMERICAL_FEATURES,
+    TELCO_SCHEMA,
+    cleaned_schema,
+    with_complaints,
+)
+from holdfast.sources.files import csv_header, load_cleaned, read_csv, table_path, write_parquet
 
 _COPIES = "_copies"
 
@@ -28,6 +37,7 @@ class EtlReport:
     rows_written: int
     rows_read_back: int
     null_labels: int
+    columns_checked: int
     changed_types: list[str]
     sample: list[Row]
 
@@ -57,11 +67,27 @@ def cleanse_counted(
     return observed.filter(has_key).drop(_COPIES), figures
 
 
+def refuse_own_output(spark: SparkSession, input_path: str, target: str) -> None:
+    """Raise if a file to read, however its path is spelt, lies in the folder that is to be replaced."""
+    folder = qualified(spark, target)
+    if any(is_inside(path, folder) for path in matches(spark, input_path)) or any(
+        is_inside(qualified(spark, path), folder) for path in spark.read.text(input_path).inputFiles()
+    ):
+        raise ValueError(f"the input {input_path} lies in the table to write: {target}")
+
+
+def check_header(found: list[str], schema: StructType) -> None:
+    """Raise if the header is not the schema's names in their order; case does not count."""
+    wanted = schema.fieldNames()
+    if [name.strip().lower() for name in found] != [name.lower() for name in wanted]:
+        raise SchemaError(f"the header is {', '.join(found)}, not {', '.join(wanted)}")
+
+
 def run_etl(
     spark: SparkSession,
     input_path: str,
     output_base: str,
-    schema: StructType = TELCO_SCHEMA,
+    schema: StructType | None = None,
     numerical: list[str] = NUMERICAL_FEATURES,
     key: str = KEY,
     label: str = LABEL,
@@ -69,25 +95,36 @@ def run_etl(
 ) -> EtlReport:
     """Read, cleanse, write partitioned by the label, read back and compare row counts.
 
+    Without a schema the declared customer table is expected, with the complaint count if the header has
+    it. A header that differs, or a column stored with another type than meant, raises.
+
     The input is read once: every count comes out of the pass that writes the table, from the tasks
     whose output is committed, so repeated tasks do not add to them.
     """
     target = table_path(output_base, table_name)
-    if f"{input_path.rstrip('/')}/".startswith(f"{target.rstrip('/')}/"):
-        raise ValueError(f"the input {input_path} lies in the table to write: {target}")
+    refuse_own_output(spark, input_path, target)
+    header = csv_header(spark, input_path)
+    if schema is None:
+        schema = with_complaints(TELCO_SCHEMA) if COMPLAINTS in header else TELCO_SCHEMA
+    if header:
+        check_header(header, schema)
     partition_cols = [label] if label in schema.fieldNames() else []
     written_schema = cleaned_schema(schema, numerical, partition_cols)
+    data_columns = StructType([f for f in written_schema.fields if f.name not in partition_cols])
 
     with sized_for(spark, input_bytes(spark, input_path)):
-        clean, figures = cleanse_counted(read_csv(spark, input_path, schema), numerical, key, label)
+        raw = read_csv(spark, input_path, schema, check_header=True)
+        clean, figures = cleanse_counted(raw, numerical, key, label)
         write_parquet(clean, output_base, table_name, partition_cols)
         seen = {name: value or 0 for name, value in figures.get.items()}
-
-    table = load_cleaned(spark, output_base, written_schema, table_name)
-    found = reconcile(seen["written"], table)
-    data_columns = StructType([f for f in written_schema.fields if f.name not in partition_cols])
-    in_files = spark.read.parquet(target).schema if found else data_columns
-    check_schema(in_files, data_columns)
+        table = load_cleaned(spark, output_base, written_schema, table_name)
+        found = reconcile(seen["written"], table)
+        in_files = spark.read.parquet(target).schema if found else data_columns
+        wrong = check_schema(in_files, data_columns)
+        if wrong:
+            raise SchemaError(f"stored with another type than declared: {', '.join(wrong)}")
+        sample = preview(table).collect()
+    expected = StructType([f for f in schema.fields if f.name not in partition_cols])
     return EtlReport(
         path=target,
         rows_read=seen["read"],
@@ -96,6 +133,7 @@ def run_etl(
         rows_written=seen["written"],
         rows_read_back=found,
         null_labels=seen["null_labels"],
-        changed_types=check_schema(table.schema, schema),
-        sample=preview(table).collect(),
+        columns_checked=len(expected.fields),
+        changed_types=check_schema(in_files, expected),
+        sample=sample,
     )

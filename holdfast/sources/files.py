@@ -12,13 +12,22 @@ def table_path(base: str, name: str) -> str:
     return f"{base.rstrip('/')}/{name}"
 
 
-def read_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, schema: StructType, check_header: bool = False) -> DataFrame:
     """Single-line CSV records with a header, bound to `schema` by position.
 
     A field that does not parse is null and its row stays; short rows end in nulls, extra fields are
-    dropped. One record per line keeps large files splittable.
+    dropped. One record per line keeps large files splittable. With `check_header` a file whose header
+    differs from the schema's names ends the action that reads it.
     """
-    return spark.read.csv(path, schema=schema, header=True, mode="PERMISSIVE", multiLine=False)
+    return spark.read.csv(
+        path, schema=schema, header=True, mode="PERMISSIVE", multiLine=False, enforceSchema=not check_header
+    )
+
+
+def csv_header(spark: SparkSession, path: str) -> list[str]:
+    """The column names in the first file; empty if there is none."""
+    first = spark.read.option("header", False).csv(path).limit(1).collect()
+    return [name or "" for name in first[0]] if first else []
 
 
 def write_parquet(

@@ -4,13 +4,16 @@ import pytest
 
 from holdfast.cluster import (
     MIB,
+    RECOMMENDED_CONF,
+    fixed_layout,
     input_bytes,
+    is_inside,
+    matches,
+    qualified,
     scratch_dir,
     session_conf,
     shuffle_conf,
     sized_for,
-    spread_if_small,
-    training_conf,
 )
 
 TIB = 1024**4
@@ -18,13 +21,15 @@ TIB = 1024**4
 
 def test_sizes_follow_the_input():
     assert shuffle_conf(10 * MIB, 8) == {}
-    assert training_conf(TIB) == {}
     assert shuffle_conf(TIB, 200) == {"spark.sql.shuffle.partitions": "4096"}
     assert shuffle_conf(TIB, 5000) == {}
     huge = shuffle_conf(100 * TIB, 200)
     assert huge["spark.sql.shuffle.partitions"] == "20000"
     assert 99_000 < 100 * TIB / int(huge["spark.sql.files.maxPartitionBytes"]) <= 100_000
-    assert 19_000 < 100 * TIB / int(training_conf(100 * TIB)["spark.sql.files.maxPartitionBytes"]) <= 20_000
+    bounded = shuffle_conf(100 * TIB, 200, max_scan_tasks=400_000, max_shuffle_tasks=50_000)
+    assert bounded["spark.sql.shuffle.partitions"] == "50000"
+    assert int(bounded["spark.sql.files.maxPartitionBytes"]) <= 263 * MIB
+    assert RECOMMENDED_CONF["spark.sql.files.maxPartitionBytes"] == "256m"
 
 
 def test_values_are_put_back(spark, tmp_path):
@@ -41,10 +46,27 @@ def test_values_are_put_back(spark, tmp_path):
     assert spark.conf.get("spark.sql.shuffle.partitions") == before
 
 
-def test_only_small_tables_are_spread(spark, plan_of):
-    df = spark.range(10)
-    assert "RoundRobinPartitioning(8)" in plan_of(spread_if_small(df, MIB))
-    assert "Exchange" not in plan_of(spread_if_small(df, TIB))
+def test_layout_follows_from_the_rows_alone(spark):
+    def layout(df):
+        return fixed_layout(df, "k", 5).rdd.glom().map(lambda rows: [tuple(r) for r in rows]).collect()
+
+    rows = [(i % 40, i) for i in range(200)]
+    df = spark.createDataFrame(rows, "k INT, v INT")
+    again = spark.createDataFrame(rows[::-1], "k INT, v INT").repartition(7)
+    assert layout(df) == layout(again)
+    assert len(layout(df)) == 5
+
+
+def test_paths_in_any_spelling(spark, tmp_path):
+    (tmp_path / "a").mkdir()
+    (tmp_path / "a" / "x.csv").write_text("1")
+    (tmp_path / "link").symlink_to(tmp_path / "a")
+    folder = qualified(spark, str(tmp_path / "a"))
+    for spelt in ("a", "a/", "b/../a", "link"):
+        assert qualified(spark, f"{tmp_path}/{spelt}") == folder
+    assert qualified(spark, f"file:{tmp_path}/a") == folder
+    assert matches(spark, f"{tmp_path}/*/x*") == [f"{folder}/x.csv", f"{folder}/x.csv"]  # by the link as well
+    assert is_inside(f"{folder}/x.csv", folder) and not is_inside(f"{folder}b", folder)
 
 
 def test_scratch_space_is_the_shared_folder(spark):
