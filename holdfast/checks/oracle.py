@@ -5,9 +5,16 @@ from __future__ import annotations
 from holdfast.checks.views import DIRTY_SQL, DIRTY_TELCO_SQL, TELCO_SQL
 from holdfast.schema import CATEGORICAL_FEATURES, DERIVED_FEATURES, NUMERICAL_FEATURES, TELCO_SCHEMA
 
-_PERCENT = "CAST('0x' || substr(md5({key}), 1, 8) AS BIGINT) % 100"
-_SPLIT = _PERCENT.format(key='"customerID"')
+_HEAD = "CAST('0x' || substr(md5({key}), 1, 8) AS BIGINT)"
+_SPLIT = _HEAD.format(key='"customerID"')
+_CUSTOMER_SPLIT = _HEAD.format(key="CAST(c_custkey AS VARCHAR)")
+# Ratios of 2^32 hash values: 0.8, 0.805, 0.996, 0.004.
+_TRAIN_BELOW = 3435973837
+_RATIO_BELOW = {"0.805": 3457448673, "0.996": 4277787427, "0.004": 17179869}
 _DAILY = '"MonthlyCharges" / CAST(30.0 AS DOUBLE)'
+_SHARE = """round(avg(CAST("Churn" = 'Yes' AS DOUBLE)), 9)"""
+_MARKED = """marked AS (SELECT *, CAST(("Churn" = 'Yes') <> (CAST("customerID" AS BIGINT) % 4 = 0) AS DOUBLE) AS mark
+                FROM telco)"""
 _COLUMNS = ", ".join(f'"{c}"' for c in CATEGORICAL_FEATURES)
 _POSITIONS = ", ".join(f"('{c}', {i})" for i, c in enumerate(CATEGORICAL_FEATURES))
 _NUMBERS = [
@@ -28,7 +35,7 @@ _TELCO_REPORT = " UNION ALL ".join(
 
 # Category values ranked on training rows, with the vector slot each one takes.
 _SLOTS = f"""
-train AS (SELECT * FROM telco WHERE {_SPLIT} < 80),
+train AS (SELECT * FROM telco WHERE {_SPLIT} < {_TRAIN_BELOW}),
 ranked AS (
   SELECT col, v, row_number() OVER (PARTITION BY col ORDER BY count(*) DESC, v) - 1 AS idx
   FROM (UNPIVOT (SELECT {_COLUMNS} FROM train) ON {_COLUMNS} INTO NAME col VALUE v)
@@ -73,7 +80,10 @@ ORACLE: dict[str, str] = {
         WITH {TELCO_SQL}
         SELECT "customerID", {_DAILY} AS avg_daily_charge,
                coalesce("NumComplaints90Days", 0) AS complaints_90d,
-               "Churn", "MonthlyCharges", "TotalCharges", tenure FROM telco""",
+               "Churn", "MonthlyCharges", "TotalCharges", tenure FROM telco
+        UNION ALL
+        SELECT "customerID" || '-absent', {_DAILY}, 0, "Churn", "MonthlyCharges", "TotalCharges", tenure
+        FROM telco""",
     "trimmed_strings": f"""
         WITH {DIRTY_SQL}
         SELECT trim("customerID") AS "customerID", trim("Contract") AS "Contract",
@@ -92,6 +102,13 @@ ORACLE: dict[str, str] = {
         WITH {TELCO_SQL}
         SELECT "customerID", coalesce("NumComplaints90Days", 0) AS complaints_90d FROM telco
         UNION ALL SELECT "customerID" || '-absent', 0 FROM telco""",
+    "large_complaint_counts": """
+        WITH c AS (SELECT c_custkey, CASE c_custkey % 3 WHEN 0 THEN c_custkey * 3000000000
+                                     WHEN 1 THEN c_custkey END AS n FROM customer)
+        SELECT c_custkey, coalesce(n, 0) AS by_column, coalesce(n, 0) AS by_sql, 'number' AS kind FROM c
+        UNION ALL
+        SELECT c_custkey, CASE WHEN c_custkey % 5 <> 0 THEN coalesce(n, 0) END,
+               CASE WHEN c_custkey % 5 <> 0 THEN coalesce(n, 0) END, 'text' FROM c""",
     "feature_projection": f"""
         WITH {TELCO_SQL}
         SELECT "customerID", {_DAILY} AS avg_daily_charge,
@@ -155,7 +172,7 @@ ORACLE: dict[str, str] = {
     "preview_rows": "SELECT * FROM orders ORDER BY o_orderkey LIMIT 5",
     "complaint_count": """
         SELECT c_custkey, n AS "NumComplaints90Days" FROM customer LEFT JOIN (
-          SELECT user_id, CAST(count(*) AS INTEGER) AS n FROM events
+          SELECT user_id, count(*) AS n FROM events
           WHERE event_type = 'error' AND ts >= TIMESTAMP '2023-11-02' AND ts < TIMESTAMP '2024-01-31'
           GROUP BY user_id) ON c_custkey = user_id""",
     "derived_features": f"""
@@ -175,13 +192,19 @@ ORACLE: dict[str, str] = {
         SELECT p_partkey, CAST(coalesce(t.idx, (SELECT count(*) FROM t)) AS DOUBLE) AS p_type_idx,
                CAST(b.idx AS DOUBLE) AS p_brand_idx
         FROM p LEFT JOIN t USING (p_type) LEFT JOIN b USING (p_brand)""",
+    "wide_category_index": """
+        WITH l AS (SELECT l_orderkey, l_linenumber,
+                          CASE WHEN l_partkey % 7 <> 0 THEN l_partkey || '-' || l_suppkey END AS pair FROM lineitem),
+        t AS (SELECT pair, row_number() OVER (ORDER BY count(*) DESC, pair) - 1 AS idx FROM l
+              WHERE pair IS NOT NULL GROUP BY pair)
+        SELECT l_orderkey, l_linenumber, CAST(coalesce(t.idx, (SELECT count(*) FROM t)) AS DOUBLE) AS pair_idx
+        FROM l LEFT JOIN t USING (pair)""",
     "one_hot": """
         WITH p AS (SELECT p_partkey, CASE WHEN p_partkey % 9 <> 0 THEN p_type END AS p_type FROM part),
         t AS (SELECT p_type, row_number() OVER (ORDER BY count(*) DESC, p_type) - 1 AS idx FROM p
               WHERE p_type IS NOT NULL GROUP BY p_type)
-        SELECT p_partkey, CAST(t.idx AS INTEGER) AS pos,
-               CAST(CASE WHEN p.p_type = t.p_type THEN 1 ELSE 0 END AS DOUBLE) AS value
-        FROM p JOIN t ON true""",
+        SELECT p_partkey, CAST(t.idx AS INTEGER) AS pos, CAST(1 AS DOUBLE) AS value
+        FROM p JOIN t USING (p_type)""",
     "feature_vectors": f"""
         WITH {TELCO_SQL}, {_SLOTS}
         SELECT * FROM (
@@ -197,14 +220,18 @@ ORACLE: dict[str, str] = {
                   FROM (UNPIVOT (SELECT {_COLUMNS} FROM telco) ON {_COLUMNS} INTO NAME col VALUE v))
         SELECT "customerID", CAST(CASE "Churn" WHEN 'Yes' THEN 1 ELSE 0 END AS DOUBLE) AS label,
                CAST({len(_NUMBERS)} + (SELECT count(*) FROM found) AS INTEGER) AS features FROM telco""",
-    "imputed_medians": f"WITH {TELCO_SQL}, train AS (SELECT * FROM telco WHERE {_SPLIT} < 80) {_NUMBER_FACTS}",
+    "imputed_medians": f"WITH {TELCO_SQL}, train AS (SELECT * FROM telco WHERE {_SPLIT} < {_TRAIN_BELOW}) {_NUMBER_FACTS}",
     "hash_split_sides": f"""
-        SELECT c_custkey, CASE WHEN {_PERCENT.format(key='CAST(c_custkey AS VARCHAR)')} < 80
+        SELECT c_custkey, CASE WHEN {_CUSTOMER_SPLIT} < {_TRAIN_BELOW}
                                THEN 'train' ELSE 'test' END AS side FROM customer""",
+    "hash_split_ratios": " UNION ALL ".join(
+        f"SELECT c_custkey, '{ratio}' AS ratio FROM customer WHERE {_CUSTOMER_SPLIT} < {below}"
+        for ratio, below in _RATIO_BELOW.items()
+    ),
     "random_split_cover": """
         SELECT count(*) AS rows, CAST(0 AS BIGINT) AS rows_on_both_sides, true AS train_is_larger FROM orders""",
     "forest_training": f"""
-        WITH {TELCO_SQL}, labelled AS (SELECT * FROM telco WHERE {_SPLIT} < 80),
+        WITH {TELCO_SQL}, labelled AS (SELECT * FROM telco WHERE {_SPLIT} < {_TRAIN_BELOW}),
         found AS (SELECT DISTINCT col, v
                   FROM (UNPIVOT (SELECT {_COLUMNS} FROM labelled) ON {_COLUMNS} INTO NAME col VALUE v))
         SELECT 50 AS trees, 2 AS classes, CAST({len(_NUMBERS)} + count(*) AS INTEGER) AS features,
@@ -213,9 +240,23 @@ ORACLE: dict[str, str] = {
         WITH {TELCO_SQL}
         SELECT "customerID", CAST(CASE "Churn" WHEN 'Yes' THEN 1 ELSE 0 END AS DOUBLE) AS label,
                2 AS raw_scores, true AS sums_to_one, true AS is_likeliest
-        FROM telco WHERE {_SPLIT} >= 80""",
+        FROM telco WHERE {_SPLIT} >= {_TRAIN_BELOW}""",
+    "forest_auc": f"""
+        WITH {TELCO_SQL}
+        SELECT count(*) AS test_rows, count(*) FILTER (WHERE "Churn" = 'Yes') AS positives,
+               count(*) FILTER (WHERE "Churn" = 'No') AS negatives, true AS areas_agree
+        FROM telco WHERE {_SPLIT} >= {_TRAIN_BELOW}""",
+    "single_split_forest": f"""
+        WITH {TELCO_SQL}, {_MARKED}
+        SELECT mark, count(*) AS customers, {_SHARE} AS lowest, {_SHARE} AS highest FROM marked GROUP BY mark""",
+    "single_split_scores": f"""
+        WITH {TELCO_SQL}, {_MARKED},
+        leaves AS (SELECT mark, {_SHARE} AS share FROM marked WHERE {_SPLIT} < {_TRAIN_BELOW} GROUP BY mark)
+        SELECT "customerID", CAST("Churn" = 'Yes' AS DOUBLE) AS label, CAST(share > 0.5 AS DOUBLE) AS prediction,
+               share AS churn_probability
+        FROM marked JOIN leaves USING (mark) WHERE {_SPLIT} >= {_TRAIN_BELOW}""",
     "saved_models": f"""
-        WITH {TELCO_SQL} SELECT "customerID", true AS same FROM telco WHERE {_SPLIT} >= 80""",
+        WITH {TELCO_SQL} SELECT "customerID", true AS same FROM telco WHERE {_SPLIT} >= {_TRAIN_BELOW}""",
     "cleansed_customers": f"""
         WITH {DIRTY_SQL}
         SELECT DISTINCT nullif(trim("customerID"), '') AS "customerID", nullif(trim("Contract"), '') AS "Contract",
@@ -230,20 +271,25 @@ ORACLE: dict[str, str] = {
         kept AS (SELECT count(*) AS rows_written, count(*) FILTER (WHERE "Churn" IS NULL) AS null_labels
                  FROM cleaned_telco)
         SELECT rows_read, rows_without_key, rows_read - rows_without_key - rows_written AS duplicate_rows,
-               rows_written, rows_written AS rows_read_back, null_labels FROM facts, kept""",
+               rows_written, rows_written AS rows_read_back, null_labels, 20 AS columns_checked FROM facts, kept""",
     "churn_training": f"""
         WITH {TELCO_SQL}, {_SLOTS}
-        SELECT count(*) FILTER (WHERE {_SPLIT} < 80) AS train_rows,
-               count(*) FILTER (WHERE {_SPLIT} >= 80) AS test_rows,
+        SELECT count(*) FILTER (WHERE {_SPLIT} < {_TRAIN_BELOW}) AS train_rows,
+               count(*) FILTER (WHERE {_SPLIT} >= {_TRAIN_BELOW}) AS test_rows,
                CAST({len(_NUMBERS)} + (SELECT count(*) FROM slots) AS INTEGER) AS features,
                true AS auc_in_range FROM telco""",
     "csv_to_models": f"""
         WITH {DIRTY_TELCO_SQL}
         SELECT count(*) AS rows_written,
-               count(*) FILTER (WHERE "Churn" IS NOT NULL AND {_SPLIT} < 80) AS train_rows,
-               count(*) FILTER (WHERE "Churn" IS NOT NULL AND {_SPLIT} >= 80) AS test_rows
+               count(*) FILTER (WHERE "Churn" IS NOT NULL AND {_SPLIT} < {_TRAIN_BELOW}) AS train_rows,
+               count(*) FILTER (WHERE "Churn" IS NOT NULL AND {_SPLIT} >= {_TRAIN_BELOW}) AS test_rows
         FROM cleaned_telco""",
+    "csv_to_features": f"""
+        WITH {TELCO_SQL} SELECT "customerID", coalesce("NumComplaints90Days", 0) AS complaints_90d FROM telco""",
+    "events_to_features": f"""
+        WITH {TELCO_SQL} SELECT "customerID", coalesce("NumComplaints90Days", 0) AS complaints_90d FROM telco""",
     "batch_scores": f"""
-        WITH {TELCO_SQL}
-        SELECT "customerID", true AS is_class, true AS is_probability, true AS agrees FROM telco""",
+        WITH {TELCO_SQL}, {_MARKED}, leaves AS (SELECT mark, {_SHARE} AS share FROM marked GROUP BY mark)
+        SELECT "customerID", true AS is_class, true AS is_probability, true AS agrees, share AS churn_probability
+        FROM marked JOIN leaves USING (mark)""",
 }

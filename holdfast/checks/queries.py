@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
     DoubleType,
@@ -26,9 +28,14 @@ from holdfast.checks.views import (
     write_csv,
     write_csv_lines,
 )
-from holdfast.cluster import input_bytes, scratch_dir, spread_if_small
+from holdfast.cluster import scratch_dir
 from holdfast.functions.columns import finite_or_null, present
-from holdfast.operators.categories import category_ranking, encode_categories, fit_category_index
+from holdfast.operators.categories import (
+    category_ranking,
+    encode_categories,
+    fit_category_index,
+    index_by_ranking,
+)
 from holdfast.operators.cleansing import (
     blank_to_null,
     cast_numeric,
@@ -39,9 +46,9 @@ from holdfast.operators.cleansing import (
 )
 from holdfast.operators.complaints import add_complaints, complaint_counts
 from holdfast.operators.features import (
-    DERIVE_SQL,
     assemble_features,
     derive_features,
+    derive_sql,
     fit_preprocessing,
     index_label,
     project_features,
@@ -70,6 +77,8 @@ from holdfast.plans.training import train_churn
 from holdfast.plans.whole import run_all
 from holdfast.schema import (
     CLEANED_SCHEMA,
+    COMPLAINTS,
+    COUNTED_TABLE,
     DERIVED_FEATURES,
     KEY,
     NUMERICAL_FEATURES,
@@ -168,7 +177,11 @@ def partition_values(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sql_view(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return project_features(query_table(telco(spark, sf_dir), DERIVE_SQL))
+    """The derivation as text, over a table with the complaint count and one without."""
+    customers = telco(spark, sf_dir)
+    without = customers.drop(COMPLAINTS).withColumn(KEY, F.concat(KEY, F.lit("-absent")))
+    texts = [project_features(query_table(df, derive_sql(df.schema))) for df in (customers, without)]
+    return texts[0].unionByName(texts[1])
 
 
 # Projections and scalar functions
@@ -198,6 +211,23 @@ def complaints_default(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def large_complaint_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts beyond the int range, as numbers and as text, by column and by SQL text; text that is no
+    number stays missing."""
+    k = F.col("c_custkey")
+    number = F.when(k % 3 == 0, k * 3_000_000_000).when(k % 3 == 1, k)
+    customers = table(spark, sf_dir, "customer").select(k, number.alias(COMPLAINTS))
+    texts = customers.withColumn(COMPLAINTS, F.when(k % 5 == 0, "many").otherwise(F.col(COMPLAINTS).cast("string")))
+
+    def both(df: DataFrame) -> DataFrame:
+        by_sql = query_table(df, derive_sql(df.schema)).select(k, F.col("complaints_90d").alias("by_sql"))
+        return derive_features(df).select(k, F.col("complaints_90d").alias("by_column")).join(by_sql, "c_custkey")
+
+    return both(customers).withColumn("kind", F.lit("number")).unionByName(
+        both(texts).withColumn("kind", F.lit("text"))
+    )
+
+
 def feature_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
     return project_features(derive_features(telco(spark, sf_dir)))
 
@@ -248,7 +278,18 @@ def key_null_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def category_ranks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return category_ranking(table(spark, sf_dir, "part"), ["p_type", "p_brand"])
+    path = f"{scratch_dir(spark)}/ranking"
+    return category_ranking(table(spark, sf_dir, "part"), ["p_type", "p_brand"], path)
+
+
+def wide_category_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Index of a column with nearly as many values as rows, joined from its ranking; null comes last."""
+    pair = F.concat(F.col("l_partkey"), F.lit("-"), F.col("l_suppkey"))
+    lines = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", F.when(F.col("l_partkey") % 7 != 0, pair).alias("pair")
+    )
+    ranking = category_ranking(lines, ["pair"], f"{scratch_dir(spark)}/ranking")
+    return index_by_ranking(lines, ranking, ["pair"]).select("l_orderkey", "l_linenumber", "pair_idx")
 
 
 def auc_by_length(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -327,8 +368,13 @@ def one_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
         "p_type", F.when(F.col("p_partkey") % 9 != 0, F.col("p_type"))
     )
     encoded, _ = encode_categories(parts, ["p_type"])
-    slots = F.posexplode(vector_to_array("p_type_enc")).alias("pos", "value")
-    return encoded.select("p_partkey", slots)
+    return encoded.select("p_partkey", F.inline(_filled_slots("p_type_enc")))
+
+
+def _filled_slots(vector: str) -> Column:
+    """(pos, value) of a vector's slots other than zero."""
+    slots = F.transform(vector_to_array(vector), lambda x, i: F.struct(i.alias("pos"), x.alias("value")))
+    return F.filter(slots, lambda slot: slot["value"] != 0)
 
 
 def cleaned_base(spark: SparkSession, sf_dir: str) -> str:
@@ -355,11 +401,9 @@ def feature_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, _ = hash_split(rows)
     vectors = fit_preprocessing(train).transform(rows)
     filled = F.array(*[finite_or_null(c).isNull() for c in (*NUMERICAL_FEATURES, *DERIVED_FEATURES)])
-    slots = F.posexplode(vector_to_array("features")).alias("pos", "value")
-    return (
-        vectors.select(KEY, filled.alias("filled"), slots)
-        .filter(F.col("value") != 0)
-        .select(KEY, "pos", F.when(~F.coalesce(F.get("filled", "pos"), F.lit(False)), F.col("value")).alias("value"))
+    value = F.when(~F.coalesce(F.get("filled", "pos"), F.lit(False)), F.col("value"))
+    return vectors.select(KEY, filled.alias("filled"), F.inline(_filled_slots("features"))).select(
+        KEY, "pos", value.alias("value")
     )
 
 
@@ -397,6 +441,14 @@ def hash_split_sides(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def hash_split_ratios(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Training rows at ratios that are no whole percents."""
+    customers = table(spark, sf_dir, "customer")
+    ratios = [(0.805, "0.805"), (0.996, "0.996"), (0.004, "0.004")]
+    sides = [hash_split(customers, "c_custkey", r)[0].select("c_custkey", F.lit(name).alias("ratio")) for r, name in ratios]
+    return sides[0].unionByName(sides[1]).unionByName(sides[2])
+
+
 def random_split_cover(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whatever the sides are, every row is on exactly one of them."""
     train, test = random_split(table(spark, sf_dir, "orders").select("o_orderkey"))
@@ -417,8 +469,46 @@ def _fitted(spark: SparkSession, sf_dir: str):
     train, test = hash_split(index_label(_derived_from(spark, base)))
     preprocessing = fit_preprocessing(train)
     vectors = preprocessing.transform(train).select("label", "features")
-    forest = train_forest(spread_if_small(vectors, input_bytes(spark, base)))
-    return preprocessing, forest, preprocessing.transform(test)
+    return preprocessing, train_forest(vectors), preprocessing.transform(test)
+
+
+def _marked(rows: DataFrame) -> DataFrame:
+    """Adds a two-valued feature that tells most of the label: churn, turned round for every fourth key."""
+    churned, turned = F.col("Churn") == "Yes", F.col(KEY).cast("long") % 4 == 0
+    return rows.withColumn("mark", (churned != turned).cast("double"))
+
+
+def _single_split(rows: DataFrame) -> tuple[PipelineModel, PipelineModel]:
+    """One tree with one split on a two-valued feature, of all rows: its leaves are the groups' shares."""
+    preprocessing = Pipeline(
+        stages=[VectorAssembler(inputCols=["mark"], outputCol="features", handleInvalid="error")]
+    ).fit(rows)
+    vectors = preprocessing.transform(rows)
+    return preprocessing, train_forest(vectors, num_trees=1, max_depth=1, bootstrap=False)
+
+
+def _churn_share(probability: str = "probability") -> Column:
+    return F.round(F.get(vector_to_array(probability), F.lit(1)), 9)
+
+
+def single_split_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf probabilities and labels of a tree with one split, by the value it splits on."""
+    rows = index_label(_marked(_derived(spark, sf_dir)))
+    preprocessing, forest = _single_split(rows)
+    scored = score(forest, preprocessing.transform(rows))
+    return scored.groupBy("mark").agg(
+        F.count(F.lit(1)).alias("customers"),
+        F.min(_churn_share()).alias("lowest"),
+        F.max(_churn_share()).alias("highest"),
+    )
+
+
+def single_split_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Test rows scored by a tree with one split that has seen the training rows only."""
+    train, test = hash_split(index_label(_marked(_derived(spark, sf_dir))))
+    preprocessing, forest = _single_split(train)
+    scored = score(forest, preprocessing.transform(test))
+    return scored.select(KEY, "label", "prediction", _churn_share().alias("churn_probability"))
 
 
 def forest_training(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -448,8 +538,29 @@ def forest_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def forest_auc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The area against the rank sum of the same scores, and what the test rows hold.
+
+    Scores are counted first and then summed up within ranges of scores, so no task sees all of them.
+    """
     _, forest, test = _fitted(spark, sf_dir)
-    return spark.createDataFrame([(area_under_roc(score(forest, test)),)], "auc DOUBLE")
+    scored = score(forest, test).select("label", F.get(vector_to_array("rawPrediction"), F.lit(1)).alias("score"))
+    counts = scored.groupBy("score").agg(
+        F.count_if(F.col("label") == 1).alias("pos"), F.count_if(F.col("label") == 0).alias("neg")
+    )
+    counts = counts.withColumn("range", F.floor(F.col("score") * 10))
+    before = Window.rowsBetween(Window.unboundedPreceding, -1)
+    ranges = counts.groupBy("range").agg(F.sum("neg").alias("in_range"))
+    ranges = ranges.withColumn("below", F.coalesce(F.sum("in_range").over(before.orderBy("range")), F.lit(0)))
+    inside = F.sum("neg").over(before.partitionBy("range").orderBy("score"))
+    lower = counts.withColumn("inside", F.coalesce(inside, F.lit(0))).join(ranges, "range")
+    wins = F.sum(F.col("pos") * (F.col("below") + F.col("inside") + F.col("neg") / 2))
+    area = area_under_roc(score(forest, test))
+    return lower.agg(
+        F.sum(F.col("pos") + F.col("neg")).alias("test_rows"),
+        F.sum("pos").alias("positives"),
+        F.sum("neg").alias("negatives"),
+        (F.abs(wins / (F.sum("pos") * F.sum("neg")) - F.lit(area)) < 1e-9).alias("areas_agree"),
+    )
 
 
 def saved_models(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -458,13 +569,12 @@ def saved_models(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = scratch_dir(spark)
     save_models(base, preprocessing, forest)
     again, forest_again = load_models(base)
-    mine = score(forest, test).select(KEY, F.col("prediction").alias("mine"), F.col("probability").alias("p"))
-    rows = again.transform(test.select(*preprocessing_inputs(test)))
-    theirs = score(forest_again, rows).select(
-        KEY, F.col("prediction").alias("theirs"), F.col("probability").alias("q")
+    mine = score(forest, test).select(
+        *preprocessing_inputs(test), F.col("prediction").alias("mine"), F.col("probability").alias("p")
     )
-    same = (F.col("mine") == F.col("theirs")) & (vector_to_array("p") == vector_to_array("q"))
-    return mine.join(theirs, KEY).select(KEY, same.alias("same"))
+    both = score(forest_again, again.transform(mine))
+    same = (F.col("mine") == F.col("prediction")) & (vector_to_array("p") == vector_to_array("probability"))
+    return both.select(KEY, same.alias("same"))
 
 
 def preprocessing_inputs(df: DataFrame) -> list[str]:
@@ -499,11 +609,12 @@ def etl_report(spark: SparkSession, sf_dir: str) -> DataFrame:
         report.rows_written,
         report.rows_read_back,
         report.null_labels,
+        report.columns_checked,
     )
     return spark.createDataFrame(
         [facts],
         "rows_read LONG, rows_without_key LONG, duplicate_rows LONG, rows_written LONG,"
-        " rows_read_back LONG, null_labels LONG",
+        " rows_read_back LONG, null_labels LONG, columns_checked INT",
     )
 
 
@@ -521,11 +632,29 @@ def csv_to_models(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame([facts], "rows_written LONG, train_rows LONG, test_rows LONG")
 
 
+def csv_to_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The complaint count of a file with the 22nd column, after the whole run."""
+    base = scratch_dir(spark)
+    customers = telco(spark, sf_dir).select(*with_complaints(TELCO_SCHEMA).fieldNames())
+    run_all(spark, write_csv(customers, spark), base, f"{base}/models")
+    return _derived_from(spark, base).select(KEY, "complaints_90d")
+
+
+def events_to_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The complaint count of an event table, after the whole run on a file without it."""
+    base = scratch_dir(spark)
+    path = write_csv(telco(spark, sf_dir).drop(COMPLAINTS), spark)
+    run_all(spark, path, base, f"{base}/models", table(spark, sf_dir, "events"), COMPLAINTS_UNTIL)
+    counted = load_cleaned(spark, base, with_complaints(CLEANED_SCHEMA), COUNTED_TABLE)
+    return derive_features(counted).select(KEY, "complaints_90d")
+
+
 def batch_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every customer, labelled or not, gets one prediction from the saved models."""
+    """Every customer, labelled or not, gets one prediction from the saved models; these hold one split, so
+    the probabilities are shares that SQL gives as well."""
     base = cleaned_base(spark, sf_dir)
-    train_churn(spark, base, f"{base}/models")
-    customers = load_cleaned(spark, base, with_complaints(CLEANED_SCHEMA)).drop("Churn")
+    save_models(f"{base}/models", *_single_split(index_label(_marked(_derived_from(spark, base)))))
+    customers = _marked(load_cleaned(spark, base, with_complaints(CLEANED_SCHEMA))).drop("Churn")
     path = score_table(customers, f"{base}/models", base)
     p = F.col("churn_probability")
     return spark.read.parquet(path).select(
@@ -533,6 +662,7 @@ def batch_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("prediction").isin(0.0, 1.0).alias("is_class"),
         ((p >= 0) & (p <= 1)).alias("is_probability"),
         (F.col("prediction") == (p > 0.5).cast("double")).alias("agrees"),
+        F.round(p, 9).alias("churn_probability"),
     )
 
 
@@ -550,6 +680,7 @@ QUERIES: dict[str, Query] = {
         numeric_casts,
         daily_charges,
         complaints_default,
+        large_complaint_counts,
         feature_projection,
         present_columns,
         key_not_null,
@@ -568,15 +699,19 @@ QUERIES: dict[str, Query] = {
         derived_features,
         label_index,
         category_index,
+        wide_category_index,
         one_hot,
         feature_vectors,
         assembled_features,
         imputed_medians,
         hash_split_sides,
+        hash_split_ratios,
         random_split_cover,
         forest_training,
         forest_scores,
         forest_auc,
+        single_split_forest,
+        single_split_scores,
         saved_models,
         cleansed_customers,
         cleansed_telco,
@@ -584,6 +719,8 @@ QUERIES: dict[str, Query] = {
         etl_report,
         churn_training,
         csv_to_models,
+        csv_to_features,
+        events_to_features,
         batch_scores,
     )
 }

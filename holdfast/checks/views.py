@@ -8,8 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from holdfast.cluster import scratch_dir
-from holdfast.operators.complaints import add_complaints, complaint_counts
-from holdfast.schema import TELCO_SCHEMA
+from holdfast.schema import COMPLAINT_DAYS, TELCO_SCHEMA
 
 COMPLAINTS_UNTIL = datetime(2024, 1, 31)
 
@@ -77,19 +76,21 @@ def telco(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.max(F.when(before, F.col("o_orderpriority"))).alias("priority"),
         )
     )
+    until = F.lit(COMPLAINTS_UNTIL.isoformat(sep=" ")).cast("timestamp_ntz")
+    recent = (F.col("ts") >= until - F.expr(f"INTERVAL {COMPLAINT_DAYS} DAYS")) & (F.col("ts") < until)
     events = table(spark, sf_dir, "events")
     activity = events.groupBy(F.col("user_id").alias("active_user")).agg(
         F.count_if(F.col("event_type") == "view").alias("views"),
         F.count_if(F.col("event_type") == "click").alias("clicks"),
         F.count_if(F.col("event_type") == "purchase").alias("purchases"),
+        F.nullif(F.count_if((F.col("event_type") == "error") & recent), F.lit(0)).alias("complaints"),
     )
-    customers = (
+    rows = (
         table(spark, sf_dir, "customer")
         .join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"), "left")
         .join(orders, F.col("c_custkey") == F.col("o_custkey"), "left")
         .join(activity, F.col("c_custkey") == F.col("active_user"), "left")
     )
-    rows = add_complaints(customers, complaint_counts(events, COMPLAINTS_UNTIL), "c_custkey")
 
     def yes_no(condition: Column) -> Column:
         return F.when(condition, "Yes").otherwise("No")
@@ -119,7 +120,7 @@ def telco(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("spent") / months).alias("MonthlyCharges"),
         F.col("spent").alias("TotalCharges"),
         F.when(F.col("later") > 0, "No").otherwise("Yes").alias("Churn"),
-        F.col("NumComplaints90Days"),
+        F.col("complaints").cast("int").alias("NumComplaints90Days"),
     )
 
 

@@ -6,6 +6,7 @@ from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType, StructType
 
 from holdfast.schema import DAYS_PER_MONTH
 
@@ -27,16 +28,21 @@ def to_double(col: str | Column) -> Column:
     return col.try_cast("double")
 
 
-def daily_charge(monthly: str | Column) -> Column:
-    """Monthly charge over a fixed 30-day month, in double arithmetic throughout."""
-    return to_double(monthly) / F.lit(DAYS_PER_MONTH)
+def daily_charge_sql(monthly: str) -> str:
+    """Monthly charge over a fixed 30-day month. The double literal keeps decimal arithmetic out."""
+    return f"try_cast(`{monthly}` AS DOUBLE) / {DAYS_PER_MONTH}D"
 
 
-def count_or_zero(df: DataFrame, column: str) -> Column:
-    """The column as int with null read as 0; literal 0 if the table lacks it."""
-    if column not in df.columns:
-        return F.lit(0)
-    return F.coalesce(F.col(column).try_cast("int"), F.lit(0))
+def count_or_zero_sql(schema: StructType, column: str) -> str:
+    """The count with null read as 0, in the column's own type; literal 0 if the table lacks it.
+
+    Text becomes a long; text that is no whole number stays missing and is not taken for 0.
+    """
+    if column not in schema.fieldNames():
+        return "0"
+    if isinstance(schema[column].dataType, NumericType):
+        return f"coalesce(`{column}`, 0)"
+    return f"CASE WHEN `{column}` IS NULL THEN 0L ELSE try_cast(`{column}` AS BIGINT) END"
 
 
 def finite_or_null(col: str) -> Column:
@@ -45,7 +51,8 @@ def finite_or_null(col: str) -> Column:
     return F.when(F.abs(value) < F.lit(float("inf")), value)
 
 
-def hash_percent(key: str) -> Column:
-    """0..99 from the key's MD5: the same for a key wherever and however often it is read."""
+def hash_head(key: str) -> Column:
+    """The first 32 bits of the key's MD5 as a number: the same for a key wherever and however often it is
+    read; 0 for a null key."""
     head = F.conv(F.substring(F.md5(F.col(key).cast("string")), 1, 8), 16, 10)
-    return F.coalesce(head.cast("long") % 100, F.lit(0).cast("long"))
+    return F.coalesce(head.cast("long"), F.lit(0).cast("long"))

@@ -7,13 +7,8 @@ from pyspark.ml.feature import OneHotEncoder, StringIndexerModel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from holdfast.cluster import scratch_dir
 from holdfast.functions.columns import present
 
-# A category column becomes one vector slot per value and its values live in the saved model, so a
-# column beyond this many is a key or free text: an error, never cut off.
-MAX_CATEGORIES = 10_000
-
 
 class TooManyCategories(ValueError):
     """A column listed as a category has more distinct values than a model may hold."""
@@ -36,16 +31,15 @@ def category_counts(df: DataFrame, columns: list[str]) -> DataFrame:
     )
 
 
-def category_ranking(df: DataFrame, columns: list[str]) -> DataFrame:
+def category_ranking(df: DataFrame, columns: list[str], path: str) -> DataFrame:
     """(column, value, n, index): index 0 is the most frequent value, ties in value order.
 
-    For any number of values. The distinct values are sorted over all tasks and written to the scratch
-    space with their task and place; the start of each task then follows from the tasks' sizes, a table
-    of one row per task and column.
+    For any number of values. The distinct values are sorted over all tasks and written to `path`, which
+    the result reads and the caller keeps as long as it is needed; the start of each task then follows
+    from the tasks' sizes, a table of one row per task and column.
     """
     counts = category_counts(df, columns)
     place = F.monotonically_increasing_id()
-    path = f"{scratch_dir(df.sparkSession)}/ranking"
     counts.orderBy("column", F.desc("n"), "value").withColumn("place", place).write.parquet(path)
 
     # The upper bits of the place are the task that sorted the row, the lower 33 its row there.
@@ -63,21 +57,41 @@ def category_ranking(df: DataFrame, columns: list[str]) -> DataFrame:
     )
 
 
+def index_by_ranking(df: DataFrame, ranking: DataFrame, columns: list[str]) -> DataFrame:
+    """Add `c_idx` for each listed column by joining with its part of the ranking.
+
+    For any number of values, none of which reaches the driver. Null and values the ranking lacks get the
+    index after the column's last. The join is left to Spark's size check and skew handling.
+    """
+    for column in present(df, columns):
+        mine = ranking.filter(F.col("column") == column)
+        after_last = mine.agg(F.count(F.lit(1))).first()[0]
+        index, value = f"{column}_idx", f"{column}_value"
+        values = mine.select(F.col("value").alias(value), F.col("index").cast("double").alias(index))
+        df = df.join(values, F.col(column).cast("string") == F.col(value), "left").drop(value)
+        df = df.withColumn(index, F.coalesce(index, F.lit(float(after_last))))
+    return df
+
+
 def category_labels(
-    df: DataFrame, columns: list[str], max_categories: int = MAX_CATEGORIES
+    df: DataFrame, columns: list[str], max_categories: int | None = None
 ) -> dict[str, list[str]]:
     """The values of each listed column that has any, by falling frequency, ties in value order.
 
-    The driver receives the distinct values only, and never more than the bound.
+    A saved model holds these values, so the driver receives them all. A caller who names a bound gets an
+    error for a column with more; nothing is ever cut off.
     """
     found: dict[str, list[tuple[int, str]]] = {c: [] for c in present(df, columns)}
     if not found:
         return {}
-    # With one row more than all columns may have together, one of them is over its bound: the limit
-    # protects the driver of a job that fails, it never shortens a result.
-    for row in category_counts(df, list(found)).limit(max_categories * len(found) + 1).collect():
+    counts = category_counts(df, list(found))
+    if max_categories is not None:
+        # With one row more than all columns may have together, one of them is over its bound: the limit
+        # protects the driver of a job that fails, it never shortens a result.
+        counts = counts.limit(max_categories * len(found) + 1)
+    for row in counts.collect():
         found[row["column"]].append((-row["n"], row["value"]))
-    over = [c for c, values in found.items() if len(values) > max_categories]
+    over = [c for c, values in found.items() if max_categories is not None and len(values) > max_categories]
     if over:
         raise TooManyCategories(f"more than {max_categories} values in: {', '.join(over)}")
     return {c: [value for _, value in sorted(values)] for c, values in found.items() if values}
@@ -108,14 +122,14 @@ def one_hot_encoder(columns: list[str]) -> OneHotEncoder:
 
 
 def fit_category_index(
-    df: DataFrame, columns: list[str], max_categories: int = MAX_CATEGORIES
+    df: DataFrame, columns: list[str], max_categories: int | None = None
 ) -> PipelineModel:
     """Frequency index of all listed columns the table has; columns without any value are left out."""
     return PipelineModel(index_stages(category_labels(df, columns, max_categories)))
 
 
 def encode_categories(
-    df: DataFrame, columns: list[str], max_categories: int = MAX_CATEGORIES
+    df: DataFrame, columns: list[str], max_categories: int | None = None
 ) -> tuple[DataFrame, PipelineModel]:
     """The table with `c_idx` and `c_enc` for each listed column that has a value, and the model."""
     labels = category_labels(df, columns, max_categories)

@@ -27,7 +27,7 @@ def complaint_counts(
     end = F.lit(until.isoformat(sep=" ")).cast("timestamp_ntz")
     start = end - F.expr(f"INTERVAL {int(days)} DAYS")
     recent = events.filter(complaint & (F.col(time) >= start) & (F.col(time) < end))
-    return recent.groupBy(user).agg(F.count(F.lit(1)).cast("int").alias(COMPLAINTS))
+    return recent.groupBy(user).agg(F.count(F.lit(1)).alias(COMPLAINTS))
 
 
 def add_complaints(customers: DataFrame, counts: DataFrame, customer_key: str, user: str = "user_id") -> DataFrame:

@@ -6,13 +6,13 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from holdfast.functions.columns import count_or_zero, daily_charge, finite_or_null, present
-from holdfast.operators.categories import MAX_CATEGORIES, category_labels, index_stages, one_hot_encoder
+from holdfast.functions.columns import count_or_zero_sql, daily_charge_sql, finite_or_null, present
+from holdfast.operators.categories import category_labels, index_stages, one_hot_encoder
 from holdfast.schema import (
     CATEGORICAL_FEATURES,
     COMPLAINTS,
-    DAYS_PER_MONTH,
     DERIVED_FEATURES,
     FEATURE_PROJECTION,
     LABEL,
@@ -23,22 +23,24 @@ from holdfast.schema import (
 # Largest distance of the fill value's rank from the middle, as a share of the rows.
 MEDIAN_ERROR = 0.001
 
-# The derivation as SQL text. The double literal keeps the division out of decimal arithmetic.
-DERIVE_SQL = f"""
-SELECT *,
-       CAST(MonthlyCharges AS DOUBLE) / {DAYS_PER_MONTH}D AS avg_daily_charge,
-       COALESCE({COMPLAINTS}, 0) AS complaints_90d
-FROM {{telco}}
-"""
+
+def derived_columns(schema: StructType) -> dict[str, str]:
+    """SQL text of each derived column that a table with this schema gives."""
+    derived = {}
+    if "MonthlyCharges" in schema.fieldNames():
+        derived["avg_daily_charge"] = daily_charge_sql("MonthlyCharges")
+    return derived | {"complaints_90d": count_or_zero_sql(schema, COMPLAINTS)}
+
+
+def derive_sql(schema: StructType, name: str = "telco") -> str:
+    """The derivation as SQL text over the table parameter `{name}`."""
+    derived = ", ".join(f"{text} AS {column}" for column, text in derived_columns(schema).items())
+    return f"SELECT *, {derived} FROM {{{name}}}"
 
 
 def derive_features(df: DataFrame) -> DataFrame:
     """All columns plus the daily charge and the complaint count (0 where null or not recorded)."""
-    derived = {}
-    if "MonthlyCharges" in df.columns:
-        derived["avg_daily_charge"] = daily_charge("MonthlyCharges")
-    derived["complaints_90d"] = count_or_zero(df, COMPLAINTS)
-    return df.withColumns(derived)
+    return df.withColumns({column: F.expr(text) for column, text in derived_columns(df.schema).items()})
 
 
 def query_table(df: DataFrame, query: str, name: str = "telco") -> DataFrame:
@@ -82,13 +84,14 @@ def fit_preprocessing(
     train: DataFrame,
     numerical: list[str] = NUMERICAL_FEATURES,
     categorical: list[str] = CATEGORICAL_FEATURES,
-    max_categories: int = MAX_CATEGORIES,
+    max_categories: int | None = None,
 ) -> PipelineModel:
     """Fit everything between a derived row and its `features` vector, on training rows only.
 
     Vector order: numerical columns, the derived ones, then the encodings in list order. Columns the
     table lacks or that hold no value are skipped. Missing numbers (null, NaN, infinite) become the
-    training median. The label is no part of it, so the model also applies to unlabelled rows.
+    training median. The label is no part of it, so the model also applies to unlabelled rows. The model
+    holds the category values; `max_categories` makes more of them in a column an error.
     """
     medians = training_medians(train, present(train, [*numerical, *DERIVED_FEATURES]))
     labels = category_labels(train, categorical, max_categories)

@@ -12,17 +12,23 @@ from holdfast.sources.files import table_path
 
 
 def train_forest(
-    train: DataFrame, num_trees: int = NUM_TREES, max_depth: int = MAX_DEPTH, seed: int = SEED
+    train: DataFrame,
+    num_trees: int = NUM_TREES,
+    max_depth: int = MAX_DEPTH,
+    seed: int = SEED,
+    bootstrap: bool = True,
 ) -> PipelineModel:
     """Forest over `features` and `label`. The learner keeps its own binned copy of the rows on the
-    executors, so only the two columns it needs are handed over and nothing is cached here.
+    executors, so only the two columns it needs are handed over and nothing is cached here. With
+    `bootstrap` the learner draws rows by partition and place: another layout gives another forest.
 
     The copy leaves the training summary behind. That summary holds the session, and tasks that score
     with the model cannot be serialized with it once the session has run an `Observation`.
     """
     forest = RandomForestClassifier(
-        labelCol="label", featuresCol="features", numTrees=num_trees, maxDepth=max_depth, seed=seed
-    )
+        labelCol="label", featuresCol="features", numTrees=num_trees, maxDepth=max_depth, seed=seed,
+        bootstrap=bootstrap,
+    )
     return Pipeline(stages=[forest]).fit(train.select("label", "features")).copy()
 
 

@@ -2,19 +2,24 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from holdfast.functions.columns import hash_percent
+from holdfast.functions.columns import hash_head
 from holdfast.schema import KEY, SEED, TRAIN_RATIO
 
 
+def on_train_side(key: str = KEY, train_ratio: float = TRAIN_RATIO) -> Column:
+    """Whether the key's hash, of 2^32 values, is below the ratio. A null key is, unless the ratio is 0."""
+    return hash_head(key) < F.lit(round(train_ratio * 2**32))
+
+
 def hash_split(df: DataFrame, key: str = KEY, train_ratio: float = TRAIN_RATIO) -> tuple[DataFrame, DataFrame]:
     """Split by the key's hash: all rows of a key on one side, the same side in every run and layout.
 
-    Two filters over the same scan, no exchange. Ratios count in whole percents.
+    Two filters over the same scan, no exchange.
     """
-    is_train = hash_percent(key) < F.lit(round(train_ratio * 100))
+    is_train = on_train_side(key, train_ratio)
     return df.filter(is_train), df.filter(~is_train)
 
 

@@ -6,13 +6,13 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from holdfast.cluster import input_bytes, sized_for, spread_if_small
-from holdfast.operators.categories import MAX_CATEGORIES
+from holdfast.cluster import fixed_layout
 from holdfast.operators.features import derive_features, fit_preprocessing, index_label
 from holdfast.operators.forest import save_models, train_and_evaluate
-from holdfast.operators.splitting import hash_split
+from holdfast.operators.splitting import hash_split, on_train_side
 from holdfast.schema import (
     CATEGORICAL_FEATURES,
     CLEANED_SCHEMA,
@@ -21,8 +21,7 @@ from holdfast.schema import (
     NUMERICAL_FEATURES,
     with_complaints,
 )
-from holdfast.sources.files import load_cleaned, table_path
-
+from holdfast.sources.files import load_cleaned
 
 Split = Callable[[DataFrame], tuple[DataFrame, DataFrame]]
 
@@ -48,29 +47,34 @@ def train_churn(
     schema: StructType = CLEANED_SCHEMA,
     table_name: str = CLEANED_TABLE,
     key: str = KEY,
-    max_categories: int = MAX_CATEGORIES,
+    max_categories: int | None = None,
     split: Split | None = None,
+    layout_tasks: int | None = None,
 ) -> TrainReport:
     """Derive, split, fit on the training side, score the test side, save both models.
 
     The split is by the key's hash unless another one is given, such as `random_split`.
 
     Every step reads the Parquet table with just the columns it needs. What is exchanged is counts, bin
-    statistics and (score, label) pairs, and the vectors only of a table with too little to scan for
-    all cores.
+    statistics and (score, label) pairs. The learner draws its samples by partition and place, so the
+    forest follows from how the scan is split, which depends on the files and the cluster. With
+    `layout_tasks` the training rows are first dealt out over that many tasks by their content alone: the
+    forest is then the same on any cluster, for one exchange of the training rows.
     """
-    total_bytes = input_bytes(spark, table_path(cleaned_base, table_name))
-    with sized_for(spark, total_bytes, training=True):
-        cleaned = load_cleaned(spark, cleaned_base, with_complaints(schema), table_name)
-        labelled = index_label(derive_features(cleaned))
-        train, test = split(labelled) if split else hash_split(labelled, key)
+    cleaned = load_cleaned(spark, cleaned_base, with_complaints(schema), table_name)
+    labelled = index_label(derive_features(cleaned))
+    if split:
+        train, test = split(labelled)
         train_rows, test_rows = train.count(), test.count()
-        preprocessing = fit_preprocessing(train, numerical, categorical, max_categories)
-        vectors = preprocessing.transform(train).select("label", "features")
-        forest, auc = train_and_evaluate(
-            spread_if_small(vectors, total_bytes), preprocessing.transform(test)
-        )
-        preprocessing_path, forest_path = save_models(models_base, preprocessing, forest)
+    else:
+        train, test = hash_split(labelled, key)
+        is_train = on_train_side(key)
+        train_rows, test_rows = labelled.agg(F.count_if(is_train), F.count_if(~is_train)).first()
+    preprocessing = fit_preprocessing(train, numerical, categorical, max_categories)
+    laid_out = fixed_layout(train, key, layout_tasks) if layout_tasks else train
+    vectors = preprocessing.transform(laid_out).select("label", "features")
+    forest, auc = train_and_evaluate(vectors, preprocessing.transform(test))
+    preprocessing_path, forest_path = save_models(models_base, preprocessing, forest)
     return TrainReport(
         train_rows=train_rows,
         test_rows=test_rows,

@@ -66,6 +66,7 @@ FEATURE_PROJECTION = [
 
 LABEL_VALUES = ["No", "Yes"]
 CLEANED_TABLE = "telco_cleaned"
+COUNTED_TABLE = "telco_counted"
 MODEL_NAME = "churn_prediction_pipeline"
 PREPROCESSING_SUFFIX = "_preproc"
 FOREST_SUFFIX = "_rf"

@@ -3,12 +3,16 @@
     spark-submit --py-files holdfast.zip jobs/churn.py etl   INPUT_CSV OUTPUT_BASE
     spark-submit --py-files holdfast.zip jobs/churn.py train OUTPUT_BASE MODELS_BASE
     spark-submit --py-files holdfast.zip jobs/churn.py score OUTPUT_BASE MODELS_BASE
-    spark-submit --py-files holdfast.zip jobs/churn.py all   INPUT_CSV OUTPUT_BASE MODELS_BASE
+    spark-submit --py-files holdfast.zip jobs/churn.py all   INPUT_CSV OUTPUT_BASE MODELS_BASE [EVENTS UNTIL]
+
+The complaint count is read from the CSV if its header has it; EVENTS, a Parquet table of user_id, event_type
+and ts, with the end of the 90 days (such as 2024-01-31) counts it instead.
 """
 
 from __future__ import annotations
 
 import sys
+from datetime import datetime
 
 from pyspark.sql import SparkSession
 
@@ -23,7 +27,16 @@ def score_cleaned(spark: SparkSession, cleaned_base: str, models_base: str) -> s
     return score_table(customers, models_base, cleaned_base)
 
 
-STEPS = {"etl": run_etl, "train": train_churn, "score": score_cleaned, "all": run_all}
+def everything(
+    spark: SparkSession, csv: str, output_base: str, models_base: str, events: str = "", until: str = ""
+) -> tuple:
+    if not events:
+        return run_all(spark, csv, output_base, models_base)
+    end = datetime.fromisoformat(until)
+    return run_all(spark, csv, output_base, models_base, spark.read.parquet(events), end)
+
+
+STEPS = {"etl": run_etl, "train": train_churn, "score": score_cleaned, "all": everything}
 
 
 def main(step: str, *paths: str) -> None:

@@ -15,6 +15,7 @@ from holdfast.operators.categories import (
     category_ranking,
     encode_categories,
     fit_category_index,
+    index_by_ranking,
 )
 
 ROWS = [("b", "x", None), ("a", "x", None), ("b", "y", None), ("a", "z", None), (None, "z", None), ("c", "x", None)]
@@ -26,8 +27,8 @@ def df(spark):
     return spark.createDataFrame(ROWS, SCHEMA)
 
 
-def test_ranking_against_a_counter(df):
-    got = {(r["column"], r["value"]): (r["n"], r["index"]) for r in category_ranking(df, ["p", "q"]).collect()}
+def test_ranking_against_a_counter(df, tmp_path):
+    got = {(r["column"], r["value"]): (r["n"], r["index"]) for r in category_ranking(df, ["p", "q"], str(tmp_path / "r")).collect()}
     want = {}
     for i, name in enumerate(("p", "q")):
         counts = Counter(r[i] for r in ROWS if r[i] is not None)
@@ -79,7 +80,7 @@ def test_key_like_columns_fail_instead_of_being_cut(spark):
     assert len(category_labels(df, ["c", "k"], max_categories=50)["k"]) == 50
 
 
-def test_ranking_over_many_tasks(spark):
+def test_ranking_over_many_tasks(spark, tmp_path):
     df = spark.range(0, 20_000, 1, 6).select(
         F.when(F.col("id") % 3 == 0, "hot")
         .otherwise(F.pmod(F.xxhash64("id"), F.lit(4000)).cast("string"))
@@ -87,7 +88,7 @@ def test_ranking_over_many_tasks(spark):
         F.pmod(F.xxhash64("id", F.lit(1)), F.lit(5)).cast("string").alias("few"),
     )
     with session_conf(spark, {"spark.sql.adaptive.coalescePartitions.enabled": "false"}):
-        ranking = category_ranking(df, ["many", "few"])
+        ranking = category_ranking(df, ["many", "few"], str(tmp_path / "r"))
         got = {(r["column"], r["value"]): (r["n"], r["index"]) for r in ranking.collect()}
     rows = df.collect()
     for name in df.columns:
@@ -97,6 +98,20 @@ def test_ranking_over_many_tasks(spark):
     assert not got
 
 
+def test_index_by_ranking_equals_the_models(spark, df, tmp_path):
+    ranking = category_ranking(df, ["p", "q"], str(tmp_path / "r"))
+    unseen = df.unionByName(spark.createDataFrame([("zzz", None, None)], SCHEMA))
+    joined = index_by_ranking(unseen, ranking, ["p", "q", "absent"])
+    by_model = fit_category_index(df, ["p", "q"]).transform(unseen)
+    columns = ["p", "q", "p_idx", "q_idx"]
+    assert sorted(map(repr, joined.select(columns).collect())) == sorted(map(repr, by_model.select(columns).collect()))
+
+
+def test_no_bound_unless_named(spark):
+    df = spark.range(12_000).select(F.col("id").cast("string").alias("k"))
+    assert len(category_labels(df, ["k"])["k"]) == 12_000
+
+
 def test_counts_form_before_the_exchange(df, plan_of):
     plan = plan_of(category_counts(df, ["p", "q"]))
     assert plan.index("partial_count") > plan.index("Exchange")

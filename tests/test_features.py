@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 from holdfast.cluster import session_conf
 from holdfast.operators.complaints import add_complaints, complaint_counts
 from holdfast.operators.features import (
-    DERIVE_SQL,
     assemble_features,
     derive_features,
+    derive_sql,
     fit_preprocessing,
     index_label,
     project_features,
@@ -53,9 +53,16 @@ def test_absent_complaints_count_as_zero(df):
 
 def test_sql_text_gives_the_same(df):
     columns = ["customerID", "avg_daily_charge", "complaints_90d"]
-    by_sql = query_table(df, DERIVE_SQL).select(columns).filter("customerID <> 'e'")
-    by_api = derive_features(df).select(columns).filter("customerID <> 'e'")
-    assert by_sql.exceptAll(by_api).count() == by_api.exceptAll(by_sql).count() == 0
+    kinds = [df, df.drop("NumComplaints90Days"), df.withColumn("NumComplaints90Days", F.lit(3_000_000_000)),
+             df.withColumn("NumComplaints90Days", F.lit("3000000000"))]
+    for rows in kinds:
+        by_sql, by_api = query_table(rows, derive_sql(rows.schema)), derive_features(rows)
+        assert by_sql.schema == by_api.schema
+        by_sql, by_api = (x.select(columns).filter("customerID <> 'e'") for x in (by_sql, by_api))
+        assert by_sql.exceptAll(by_api).count() == by_api.exceptAll(by_sql).count() == 0
+    assert {r["complaints_90d"] for r in derive_features(kinds[2]).collect()} == {3_000_000_000}
+    unreadable = df.withColumn("NumComplaints90Days", F.lit("many"))
+    assert {r["complaints_90d"] for r in derive_features(unreadable).collect()} == {None}
     assert not df.sparkSession.catalog.listTables()
 
 

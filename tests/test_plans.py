@@ -1,14 +1,22 @@
 from __future__ import annotations
 
+import os
+import re
+import subprocess
+import sys
+
 import pytest
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from holdfast.checks.views import dirty_telco, telco, write_csv
+from holdfast.checks.queries import QUERIES
+from holdfast.checks.views import COMPLAINTS_UNTIL, dirty_telco, telco, write_csv
 from holdfast.operators.cleansing import cleanse
+from holdfast.operators.quality import SchemaError
 from holdfast.operators.splitting import random_split
-from holdfast.plans import run_all, run_etl, score_table, train_churn
+from holdfast.plans import etl, run_all, run_etl, score_table, train_churn
 from holdfast.plans.etl import cleanse_counted
-from holdfast.schema import CLEANED_SCHEMA, TELCO_SCHEMA, with_complaints
+from holdfast.schema import CLEANED_SCHEMA, COUNTED_TABLE, TELCO_SCHEMA, with_complaints
 from holdfast.sources.files import load_cleaned, read_csv, write_parquet
 from jobs.churn import STEPS
 
@@ -29,6 +37,7 @@ def test_etl_counts_and_table(spark, raw, tmp_path):
     assert report.rows_written == report.rows_read_back == expected.count()
     assert report.null_labels == expected.filter(F.col("Churn").isNull()).count() > 0
     assert report.changed_types == ["SeniorCitizen", "tenure"]
+    assert report.columns_checked == 20
     assert len(report.sample) == 5
     assert table.schema.simpleString() == CLEANED_SCHEMA.simpleString()
     ordered = table.select(*expected.columns)
@@ -62,6 +71,52 @@ def test_etl_refuses_to_write_over_its_input(spark, tmp_path):
             run_etl(spark, path, str(tmp_path))
 
 
+def test_etl_refuses_other_spellings(spark, raw, tmp_path):
+    """The source file is still there after each refusal; the folder above is not read and is allowed."""
+    base = tmp_path / "out"
+    run_etl(spark, raw, str(base))
+    header = ",".join(TELCO_SCHEMA.fieldNames())
+    source = base / "telco_cleaned" / "in.csv"
+    source.write_text(f"{header}\n")
+    (tmp_path / "x").mkdir()
+    (base / "link").symlink_to(base / "telco_cleaned")
+    for path in (source, f"file:{source}", f"{tmp_path}/x/../out/telco_cleaned/in.csv", f"{base}/telco_*/*.csv",
+                 f"{base}/telco_cleaned", f"{base}/link/in.csv", f"{base}/*/in.csv"):
+        with pytest.raises(ValueError, match="lies in the table"):
+            run_etl(spark, str(path), str(base))
+        assert source.exists()
+    (tmp_path / "above").mkdir()
+    (tmp_path / "above" / "in.csv").write_text(f"{header}\na{',' * 20}\n")
+    assert run_etl(spark, str(tmp_path / "above"), str(tmp_path / "above")).rows_written == 1
+
+
+def test_etl_refuses_another_header(spark, csv_file, tmp_path):
+    names = TELCO_SCHEMA.fieldNames()
+    for header in (names[::-1], names[:-1], [*names, "more"]):
+        with pytest.raises(SchemaError, match="the header is"):
+            run_etl(spark, csv_file(",".join(header), "a" + "," * 20), str(tmp_path / "out"))
+    assert not (tmp_path / "out").exists()
+
+
+def test_etl_checks_the_header_of_every_file(spark, tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    names = TELCO_SCHEMA.fieldNames()
+    (folder / "a.csv").write_text(",".join(names) + "\na" + "," * 20 + "\n")
+    (folder / "b.csv").write_text(",".join(names[::-1]) + "\nb" + "," * 20 + "\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        run_etl(spark, str(folder), str(tmp_path / "out"))
+
+
+def test_etl_refuses_another_stored_type(spark, raw, tmp_path, monkeypatch):
+    def as_text(df, *args):
+        return write_parquet(df.withColumn("tenure", F.col("tenure").cast("string")), *args)
+
+    monkeypatch.setattr(etl, "write_parquet", as_text)
+    with pytest.raises(Exception, match="tenure"):
+        run_etl(spark, raw, str(tmp_path))
+
+
 def test_etl_without_key_or_label(spark, csv_file, tmp_path):
     schema = spark.createDataFrame([], "name STRING, n INT").schema
     path = csv_file("name,n", "a,1", "a,1", " b,2", ",")
@@ -93,7 +148,7 @@ def test_complaint_column_passes_through(spark, tmp_path):
     schema = with_complaints(TELCO_SCHEMA)
     rows = telco(spark, SF)
     path = write_csv(rows.select(*schema.fieldNames()), spark)
-    report = run_etl(spark, path, str(tmp_path), schema)
+    report = run_etl(spark, path, str(tmp_path))  # the header has the 22nd column
     table = load_cleaned(spark, str(tmp_path), with_complaints(CLEANED_SCHEMA))
     assert report.rows_written == 150
     counts = rows.agg(F.sum("NumComplaints90Days")).first()[0]
@@ -108,6 +163,54 @@ def test_training_is_repeatable(spark, tmp_path):
     assert (first.train_rows, first.auc) == (second.train_rows, second.auc)
 
 
+def test_same_forest_on_any_number_of_cores(spark, tmp_path):
+    """One table, trained by a session with 2 cores and one with 8."""
+    base = str(tmp_path)
+    write_parquet(cleanse(telco(spark, SF)), base, "telco_cleaned", ["Churn"])
+    job = os.path.join(os.path.dirname(__file__), "train_job.py")
+    areas = [
+        subprocess.run([sys.executable, job, base, cores], capture_output=True, text=True, timeout=600, check=True).stdout
+        for cores in ("2", "8")
+    ]
+    assert areas[0] == areas[1] != ""
+
+
+def test_training_counts_both_sides_in_one_pass(spark, tmp_path, monkeypatch):
+    base = str(tmp_path)
+    write_parquet(cleanse(telco(spark, SF)), base, "telco_cleaned", ["Churn"])
+    counted = []
+    monkeypatch.setattr(DataFrame, "count", lambda self: counted.append(self) or 0)
+    train_churn(spark, base, f"{base}/models")
+    assert not counted
+
+
+def test_scores_in_few_files(spark, tmp_path, plan_of):
+    base = str(tmp_path)
+    write_parquet(cleanse(telco(spark, SF)), base, "telco_cleaned", ["Churn"])
+    train_churn(spark, base, f"{base}/models")
+    customers = load_cleaned(spark, base, with_complaints(CLEANED_SCHEMA))
+    path = score_table(customers, f"{base}/models", base, max_files=1)
+    assert len([f for f in os.listdir(path) if f.endswith(".parquet")]) == 1
+    assert spark.read.parquet(path).count() == 150
+
+
+def test_telco_view_reads_events_once(spark, plan_of):
+    assert plan_of(telco(spark, SF)).count("event_type") > 0
+    assert len(re.findall(r"FileScan parquet \[[^\]]*user_id", plan_of(telco(spark, SF)))) == 1
+
+
+def test_complaints_of_an_event_table(spark, raw, tmp_path):
+    events = spark.read.parquet(f"{SF}/events.parquet")
+    run_all(spark, raw, str(tmp_path), f"{tmp_path}/models", events, COMPLAINTS_UNTIL)
+    counted = load_cleaned(spark, str(tmp_path), with_complaints(CLEANED_SCHEMA), COUNTED_TABLE)
+    ids = {r["customerID"] for r in counted.collect()}
+    wanted = {str(r["c_custkey"]): r["NumComplaints90Days"] for r in QUERIES["complaint_count"](spark, SF).collect()}
+    assert {r["customerID"]: r["NumComplaints90Days"] for r in counted.collect()} == {k: wanted[k] for k in ids}
+    assert sum(n or 0 for n in wanted.values()) > 0
+    with pytest.raises(ValueError, match="end"):
+        run_all(spark, raw, str(tmp_path), f"{tmp_path}/models", events)
+
+
 def test_training_with_another_split(spark, tmp_path):
     base = str(tmp_path)
     write_parquet(cleanse(telco(spark, SF)), base, "telco_cleaned", ["Churn"])

@@ -10,12 +10,21 @@ from holdfast.operators.splitting import hash_split, random_split
 def test_hash_split_against_plain_python(spark, plan_of):
     df = spark.range(2000).select(F.col("id").cast("string").alias("customerID"))
     train, test = hash_split(df)
-    want = {str(i) for i in range(2000) if int(hashlib.md5(str(i).encode()).hexdigest()[:8], 16) % 100 < 80}
+    want = {str(i) for i in range(2000) if int(hashlib.md5(str(i).encode()).hexdigest()[:8], 16) < 0.8 * 2**32}
     assert {r[0] for r in train.collect()} == want
     assert {r[0] for r in test.collect()} == {str(i) for i in range(2000)} - want
     assert "Exchange" not in plan_of(train)
 
 
+def test_ratios_that_are_no_whole_percents(spark):
+    df = spark.range(20_000).select(F.col("id").cast("string").alias("customerID"))
+    heads = [int(hashlib.md5(str(i).encode()).hexdigest()[:8], 16) for i in range(20_000)]
+    for ratio in (0.004, 0.805, 0.996):
+        train, test = hash_split(df, train_ratio=ratio)
+        assert train.count() == sum(h < ratio * 2**32 for h in heads) == 20_000 - test.count()
+        assert 0 < train.count() < 20_000
+
+
 def test_hash_split_ignores_layout_and_keeps_null_keys(spark):
     df = spark.createDataFrame([("a",), ("b",), (None,), ("c",)], "customerID STRING")
     sides = [sorted(map(repr, hash_split(df.repartition(n))[0].collect())) for n in (1, 2, 5)]
