@@ -43,14 +43,15 @@ SET_ASIDE_WORDS = frozenset(
     "paywall popup promo promoted recommended related replies reply respond search share sharing sidebar signup "
     "social sponsor sponsored subscribe subscription toolbar topbar widget widgets".split()
 )
-CONTENT_WORDS = frozenset("article body content entry has layout main page post story text with without wrapper".split())
+# With one of these the name tells of a layout around such a part, as in has-sidebar.
+AROUND_WORDS = frozenset("has layout no with without".split())
 NEVER_BY_NAME = frozenset("html body main article".split())
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "td": {"td", "th"}, "th": {"td", "th"},
           "tr": {"tr", "td", "th"}, "option": {"option"}}
 CLOSING_STOPS = frozenset("ul ol dl table menu select article section div main body html".split())
-STEP_UP = 0.9
+STEP_UP = 0.95
 FAVOURED, FAVOUR = frozenset({"article", "main"}), 1.2
-WORD = re.compile(r"[a-z]+")
+WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 DIGITS = re.compile(r"\d+")
 UNFINISHED_TAG = re.compile(r"<[a-zA-Z/!?][^<>]*\Z")
 
@@ -122,9 +123,10 @@ class PageParser(HTMLParser):
     def named_aside(given: dict[str, str]) -> bool:
         if "hidden" in given or given.get("aria-hidden") == "true":
             return True
-        for name in given.get("class", "").split() + [given.get("id", ""), given.get("role", "")]:
-            words = set(WORD.findall(name.lower()))
-            if words & SET_ASIDE_WORDS and not words & CONTENT_WORDS:
+        names = [*given.get("class", "").split(), *(given.get(name, "") for name in ("id", "role", "itemprop"))]
+        for name in names:
+            words = {word.lower() for word in WORD.findall(name)}
+            if words & SET_ASIDE_WORDS and not words & AROUND_WORDS:
                 return True
         return False
 

@@ -26,6 +26,8 @@ JUNK = (
         ("<article><p>a<b>b<p>c</b>d</article>", "ab\ncd"),
         ("<article><p><a href=x>all link</a></p></article>", "all link"),
         ("<div hidden>no</div><p>yes</p>", "yes"),
+        ("<article><p>a</p><div class=post-comments><p>no</p></div><section itemprop=comment>no</section></article>", "a"),
+        ("<article class=ad-story><p>a</p><span class=adBadge>Ad</span><ul id=main-menu><li>no</ul>b</article>", "a\nb"),
         ("<article>&#x41;&nbsp;&eacute;&bogus; &lt</article>", "A \u00e9&bogus; <"),
         ("<<p>x</p", "<\nx"),
     ],
