@@ -27,6 +27,28 @@ def merge_all(symbols: list[str], rank: Rank) -> tuple[list[str], list[tuple[flo
     return symbols, history
 
 
+class Recent[Key, Value]:
+    """A memory of bounded size: the last `size` entries stored or used, and up to as many older ones."""
+
+    def __init__(self, size: int):
+        self.size = size
+        self.young: dict[Key, Value] = {}
+        self.old: dict[Key, Value] = {}
+
+    def get(self, key: Key) -> Value | None:
+        found = self.young.get(key)
+        if found is None:
+            found = self.old.get(key)
+            if found is not None:
+                self.put(key, found)
+        return found
+
+    def put(self, key: Key, value: Value) -> None:
+        if len(self.young) >= self.size:
+            self.old, self.young = self.young, {}
+        self.young[key] = value
+
+
 class Neighbours:
     """Tells which token may follow which. `symbols_of` cuts a token into what merging starts from."""
 

@@ -29,16 +29,16 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from holdfast.llm.bpe import NEVER, Neighbours
+from holdfast.llm.bpe import NEVER, Neighbours, Recent
 from holdfast.llm.common import read_table
 
 MODEL = "piece_bpe_32k.model"
 SPACE_MARK = "▁"
 UNIT = re.compile(f"{SPACE_MARK}*[^{SPACE_MARK}]+|{SPACE_MARK}+")
 # Sizes that bound a task's memory; what is beyond is computed again or in another batch.
-BATCH_CHARACTERS, UNITS_HELD, LENGTH_HELD, PAIRS_HELD = 400_000, 300_000, 48, 1_000_000
+BATCH_CHARACTERS, SLICE_CHARACTERS, UNITS_HELD, LENGTH_HELD, PAIRS_HELD = 400_000, 4_000_000, 400_000, 48, 1_000_000
 SEPARATOR = 0x110000  # stands between units; behind all characters
-NO_PIECE, BEGIN = -1, -2
+NO_PIECE = -1
 
 
 def suffix_order(codes: np.ndarray, depth: int) -> np.ndarray:
@@ -54,7 +54,7 @@ def suffix_order(codes: np.ndarray, depth: int) -> np.ndarray:
         if packed < size:
             key[: size - packed] |= rank[packed:]
         packed += 1
-    order = np.argsort(key, kind="stable")
+    order = np.argsort(key)
     while packed < depth:
         rank = np.empty(size, dtype=np.int64)
         ordered = key[order]
@@ -62,7 +62,7 @@ def suffix_order(codes: np.ndarray, depth: int) -> np.ndarray:
         key = rank << 31
         if packed < size:
             key[: size - packed] |= rank[packed:]
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)
         packed *= 2
     return order
 
@@ -93,6 +93,18 @@ def occurrence_ranges(codes: np.ndarray, order: np.ndarray, pieces: np.ndarray)
     return low, high
 
 
+def common_prefixes(units: list[str], sizes: np.ndarray) -> np.ndarray:
+    """How many characters, up to `LENGTH_HELD`, each unit has in common with the one before it."""
+    if len(units) < 2:
+        return np.zeros(len(units), dtype=np.int64)
+    # a mark behind the end keeps null characters apart from the padding
+    width = LENGTH_HELD + 1
+    marked = np.array([u[:LENGTH_HELD] + "\U0010ffff" for u in units], dtype=f"<U{width}")
+    table = marked.view("<u4").reshape(-1, width)
+    same = np.argmin(np.column_stack([table[1:] == table[:-1], np.zeros(len(units) - 1, dtype=bool)]), axis=1)
+    return np.concatenate([[0], np.minimum(same, np.minimum(sizes[1:], sizes[:-1]))])
+
+
 class PieceCodec:
     """Encodes and decodes with the pieces and scores of a model file."""
 
@@ -117,9 +129,19 @@ class PieceCodec:
         self.searched_numbers = np.array(usable, dtype=np.int64)
         self.searched_lengths = np.array([len(self.pieces[i]) for i in usable], dtype=np.int64)
         self.single = np.array(sorted(ord(self.pieces[i]) for i in usable if len(self.pieces[i]) == 1))
-        self.held: dict[str, bytes] = {}
+        self.held: Recent[str, bytes] = Recent(UNITS_HELD)
+        self.written = [np.array([i], dtype="<i4").tobytes() for i in numbers]
+        self.text_of = [self._bytes(i) for i in numbers]
         self.fits: dict[int, bool] = {}
 
+    def _bytes(self, number: int) -> bytes:
+        """What a piece decodes to."""
+        if number in self.byte_value:
+            return bytes([self.byte_value[number]])
+        if number in self.silent:
+            return b""
+        return " ⁇ ".encode() if number == self.unknown else self.pieces[number].replace(SPACE_MARK, " ").encode()
+
     def _text(self, number: int) -> str:
         """The text of a piece, or of an uncovered character, which is numbered behind the pieces."""
         return self.pieces[number] if number < len(self.pieces) else chr(number - len(self.pieces))
@@ -133,8 +155,9 @@ class PieceCodec:
             found = self.fits[key] = self.neighbours.fit(self._text(left), self._text(right))
         return found
 
-    def edges(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(start, end, piece) of every occurrence, by end, longer pieces first."""
+    def edges(self, codes: np.ndarray, known_to: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(start, end, piece) of every occurrence that ends behind `known_to` of its start, by end, longer
+        pieces first."""
         order = suffix_order(codes, self.longest)
         low, high = occurrence_ranges(codes, order, self.searched)
         counts = high - low
@@ -147,46 +170,56 @@ class PieceCodec:
         starts = np.concatenate([starts, bare])
         ends = np.concatenate([ends, bare + 1])
         numbers = np.concatenate([numbers, codes[bare] + len(self.pieces)])
-        by_end = np.lexsort((starts, ends))
+        open_ = np.flatnonzero(ends > known_to[starts])
+        by_end = open_[np.argsort(ends[open_] << 31 | starts[open_])]
         return starts[by_end], ends[by_end], numbers[by_end]
 
     def encode_units(self, units: list[str]) -> list[bytes]:
-        """The piece numbers of each unit, as little-endian 32-bit integers."""
+        """The piece numbers of each unit, as little-endian 32-bit integers; `units` in sorted order.
+
+        What a unit has in common with the one before it is relaxed already and copied.
+        """
         sizes = np.array([len(u) for u in units], dtype=np.int64)
+        common = common_prefixes(units, sizes)
         text = " ".join(units) + " "
         codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype="<i4").astype(np.int64)
         begins = np.cumsum(sizes + 1) - sizes - 1
-        finishes = begins + sizes
-        codes[finishes] = SEPARATOR
+        codes[begins + sizes] = SEPARATOR
+        starts, ends, numbers = self.edges(codes, np.repeat(begins + common, sizes + 1))
+        firsts = np.searchsorted(ends, begins).tolist() + [len(ends)]
+        starts, ends, numbers = starts.tolist(), ends.tolist(), numbers.tolist()
         state = [NO_PIECE] * (len(codes) + 1)
-        back = [0] * (len(codes) + 1)
-        for at in begins.tolist():
-            state[at] = BEGIN
-        fits, fit = self.fits, self._fit
-        for start, end, number in zip(*(x.tolist() for x in self.edges(codes)), strict=True):
-            if state[end] != NO_PIECE:
-                continue
-            before = state[start]
-            if before == BEGIN:
-                state[end], back[end] = number, start
-            elif before != NO_PIECE:
-                ok = fits.get(before << 32 | number)
-                if fit(before, number) if ok is None else ok:
-                    state[end], back[end] = number, start
-        out = []
-        for begin, at in zip(begins.tolist(), finishes.tolist(), strict=True):
-            numbers: list[int] = []
+        length = [0] * (len(codes) + 1)  # of the piece that ends here
+        fits, fit, written, bare = self.fits, self._fit, self.written, len(self.pieces)
+        out, last = [], 0
+        for unit, (begin, size, same) in enumerate(zip(begins.tolist(), sizes.tolist(), common.tolist(), strict=True)):
+            if same:
+                state[begin + 1 : begin + same + 1] = state[last + 1 : last + same + 1]
+                length[begin + 1 : begin + same + 1] = length[last + 1 : last + same + 1]
+            last = begin
+            low, high = firsts[unit], firsts[unit + 1]
+            for start, end, number in zip(starts[low:high], ends[low:high], numbers[low:high], strict=True):
+                if state[end] != NO_PIECE:
+                    continue
+                before = state[start]
+                if start != begin:
+                    if before == NO_PIECE:
+                        continue
+                    ok = fits.get(before << 32 | number)
+                    if not (fit(before, number) if ok is None else ok):
+                        continue
+                state[end], length[end] = number, end - start
+            at, parts = begin + size, []
             while at > begin:
-                numbers.extend(self._written(state[at]))
-                at = back[at]
-            out.append(np.array(numbers[::-1], dtype="<i4").tobytes())
+                number = state[at]
+                parts.append(written[number] if number < bare else self._bare(number))
+                at -= length[at]
+            out.append(b"".join(parts[::-1]))
         return out
 
-    def _written(self, number: int) -> list[int]:
-        """The piece, or the byte pieces of an uncovered character from last to first."""
-        if number < len(self.pieces):
-            return [number]
-        return [self.byte_piece[b] for b in reversed(self._text(number).encode("utf-8", "surrogatepass"))]
+    def _bare(self, number: int) -> bytes:
+        """The byte pieces of an uncovered character."""
+        return b"".join(self.written[self.byte_piece[b]] for b in self._text(number).encode("utf-8", "surrogatepass"))
 
     @staticmethod
     def units(text: str | None) -> list[str]:
@@ -199,7 +232,7 @@ class PieceCodec:
         new: dict[str, bytes] = {}
         batch: list[str] = []
         size = 0
-        for unit in units:
+        for unit in sorted(units):
             batch.append(unit)
             size += len(unit) + 1
             if size >= BATCH_CHARACTERS:
@@ -212,25 +245,17 @@ class PieceCodec:
     def encode_batch(self, texts: Iterable[str | None]) -> Iterator[bytes]:
         """The piece numbers of each text, as little-endian 32-bit integers."""
         cut = [self.units(t) for t in texts]
-        new = self.learn({u for units in cut for u in units} - self.held.keys())
-        held = self.held
+        known = {u: self.held.get(u) for u in {u for units in cut for u in units}}
+        new = self.learn(u for u, numbers in known.items() if numbers is None)
+        known |= new
+        for unit, numbers in new.items():
+            if len(unit) <= LENGTH_HELD:
+                self.held.put(unit, numbers)
         for units in cut:
-            yield b"".join([held.get(u) or new[u] for u in units])
-        short = {u: n for u, n in new.items() if len(u) <= LENGTH_HELD}
-        if len(held) + len(short) > UNITS_HELD:
-            held.clear()
-        held.update(short)
+            yield b"".join(map(known.__getitem__, units))
 
     def decode(self, numbers: Iterable[int]) -> str:
-        parts: list[bytes] = []
-        for number in numbers:
-            if number in self.byte_value:
-                parts.append(bytes([self.byte_value[number]]))
-            elif number == self.unknown:
-                parts.append(" ⁇ ".encode())
-            elif number not in self.silent:
-                parts.append(self.pieces[number].replace(SPACE_MARK, " ").encode("utf-8", "surrogatepass"))
-        text = b"".join(parts).decode("utf-8", "replace")
+        text = b"".join(map(self.text_of.__getitem__, numbers)).decode("utf-8", "replace")
         return text[1:] if text.startswith(" ") else text
 
 
@@ -247,7 +272,7 @@ def _batches(texts: pd.Series) -> Iterator[list[str | None]]:
     for text in texts:
         batch.append(text)
         size += len(text or "")
-        if size >= 4 * BATCH_CHARACTERS:
+        if size >= SLICE_CHARACTERS:
             yield batch
             batch, size = [], 0
     yield batch
