@@ -123,11 +123,11 @@ def sized_for(
         yield conf
 
 
-def fixed_layout(df: DataFrame, key: str, tasks: int) -> DataFrame:
-    """The rows in a layout that depends on nothing but their content and `tasks`: dealt out by the key's
-    hash and sorted. Costs one exchange."""
-    everything = [F.col(f"`{c}`") for c in df.columns]
-    return df.repartition(tasks, F.col(key)).sortWithinPartitions(F.col(key), F.xxhash64(*everything))
+def fixed_layout(df: DataFrame, tasks: int) -> DataFrame:
+    """The rows in a layout that depends on nothing but their content and `tasks`: dealt out and sorted by a
+    hash of the whole row, so that no key is hot. Costs one exchange."""
+    content = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+    return df.repartition(tasks, content).sortWithinPartitions(content)
 
 
 def scratch_dir(spark: SparkSession) -> str:

@@ -71,7 +71,7 @@ def train_churn(
         is_train = on_train_side(key)
         train_rows, test_rows = labelled.agg(F.count_if(is_train), F.count_if(~is_train)).first()
     preprocessing = fit_preprocessing(train, numerical, categorical, max_categories)
-    laid_out = fixed_layout(train, key, layout_tasks) if layout_tasks else train
+    laid_out = fixed_layout(train, layout_tasks) if layout_tasks else train
     vectors = preprocessing.transform(laid_out).select("label", "features")
     forest, auc = train_and_evaluate(vectors, preprocessing.transform(test))
     preprocessing_path, forest_path = save_models(models_base, preprocessing, forest)

@@ -48,7 +48,7 @@ def test_values_are_put_back(spark, tmp_path):
 
 def test_layout_follows_from_the_rows_alone(spark):
     def layout(df):
-        return fixed_layout(df, "k", 5).rdd.glom().map(lambda rows: [tuple(r) for r in rows]).collect()
+        return fixed_layout(df, 5).rdd.glom().map(lambda rows: [tuple(r) for r in rows]).collect()
 
     rows = [(i % 40, i) for i in range(200)]
     df = spark.createDataFrame(rows, "k INT, v INT")
