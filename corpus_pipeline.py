@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from holdfast.llm import exact_dedup, packing, quality, simhash_dedup, toxicity
-from holdfast.llm.common import read_table, staged
+from holdfast.llm.common import discard, read_table, written
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -53,7 +53,10 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages, applied to `documents`."""
-    docs = read_table(spark, sf_dir, "documents")
+    docs, before = read_table(spark, sf_dir, "documents"), None
     for _, stage in STAGES:
-        docs = staged(stage(spark, docs, sf_dir))
+        docs, path = written(stage(spark, docs, sf_dir))
+        if before:
+            discard(spark, before)
+        before = path
     return docs

@@ -12,14 +12,25 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def staged(df: DataFrame) -> DataFrame:
-    """Write `df` to a new folder in the shared space and read it back.
+def written(df: DataFrame) -> tuple[DataFrame, str]:
+    """Write `df` to a new folder in the shared space and read it back; also returns the folder.
 
     Cuts the lineage: what follows survives lost executors without repeating what came before.
     """
     path = scratch_dir(df.sparkSession)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def staged(df: DataFrame) -> DataFrame:
+    """As `written`, for a table that the result reads: its folder stays until the caller clears the space."""
+    return written(df)[0]
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Remove a folder of `written` that nothing reads any more."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def shuffle_width(spark: SparkSession) -> int:

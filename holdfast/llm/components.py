@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from holdfast.llm.common import staged
+from holdfast.llm.common import discard, written
 
 
 def _towards_smallest(links: DataFrame, larger_only: bool) -> DataFrame:
@@ -29,12 +29,14 @@ def components(links: DataFrame) -> DataFrame:
 
     Alternates two steps that keep connectedness and pull every node towards the smallest one, until
     nothing moves; the number of rounds grows with the logarithm of a component's extent. Each round is
-    written to the shared space.
+    written to the shared space, where only the last one stays.
     """
-    now = staged(links)
+    now, path = written(links)
     state = None
     while True:
-        now = staged(_towards_smallest(_towards_smallest(now, True), False))
+        before = path
+        now, path = written(_towards_smallest(_towards_smallest(now, True), False))
+        discard(links.sparkSession, before)
         seen = now.agg(
             F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")), F.count_distinct("b")
         ).first()
