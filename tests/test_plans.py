@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import json
 import os
 import re
 import subprocess
@@ -175,6 +176,23 @@ def test_same_forest_on_any_number_of_cores(spark, tmp_path):
     assert areas[0] == areas[1] != ""
 
 
+def test_learner_exchanges_follow_the_sessions_parallelism(spark, tmp_path):
+    """By the event log: the learner reads 7 tasks of rows and reduces in 3, whatever the scan's width."""
+    base = str(tmp_path / "base")
+    (tmp_path / "log").mkdir()
+    write_parquet(cleanse(telco(spark, SF)), base, "telco_cleaned", ["Churn"])
+    job = os.path.join(os.path.dirname(__file__), "train_job.py")
+    subprocess.run([sys.executable, job, base, "4", str(tmp_path / "log"), "3"], check=True, timeout=600)
+    (log,) = (tmp_path / "log").iterdir()
+    events = [json.loads(line) for line in log.read_text().splitlines()]
+    stages = [e["Stage Info"] for e in events if e["Event"] == "SparkListenerStageCompleted"]
+    levels = [s["Number of Tasks"] for s in stages if s["Stage Name"].startswith("collectAsMap at RandomForest")]
+    mapped = [s["Number of Tasks"] for s in stages if s["Stage Name"].startswith("mapPartitions at RandomForest")]
+    assert len(levels) > 3 and set(levels[1:]) == {3}
+    assert levels[0] == 6  # candidate splits: a task for each continuous column
+    assert set(mapped) == {7}
+
+
 def test_training_counts_both_sides_in_one_pass(spark, tmp_path, monkeypatch):
     base = str(tmp_path)
     write_parquet(cleanse(telco(spark, SF)), base, "telco_cleaned", ["Churn"])
