@@ -28,7 +28,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from holdfast.llm.bpe import NEVER, Neighbours
+from holdfast.llm.bpe import NEVER, Neighbours, Recent
 from holdfast.llm.common import read_table
 
 MAX_TOKENS = 2_048
@@ -78,8 +78,8 @@ class PrefixCounter:
         special = [t["content"] for t in settings["added_tokens"]]
         self.special = re.compile("|".join(map(re.escape, sorted(special, key=len, reverse=True))))
         self.symbol_of = dict(enumerate(byte_symbols()))
-        self.held: dict[str, int] = {}
-        self.held_words: dict[str, int] = {}
+        self.held: Recent[str, int] = Recent(WORDS_HELD)
+        self.held_words: Recent[str, int] = Recent(WORDS_HELD)
         self.fits: dict[int, bool] = {}
 
     def _symbols(self, token: str) -> list[str]:
@@ -136,9 +136,7 @@ class PrefixCounter:
             symbols = self.symbols_in(word)
             found = self.ended(symbols, len(symbols), *self.prefixes(symbols))
             if len(word) <= LENGTH_HELD:
-                if len(self.held_words) >= WORDS_HELD:
-                    self.held_words.clear()
-                self.held_words[word] = found
+                self.held_words.put(word, found)
         return found
 
     def word_table(self, word: str) -> list[int]:
@@ -161,14 +159,12 @@ class PrefixCounter:
         return table
 
     def chunk_count(self, chunk: str) -> int:
-        found = self.held.get(chunk)
+        found = self.held.young.get(chunk) or self.held.get(chunk)
         if found is None:
             words = (chunk,) if chunk.isalpha() else self.words.findall(chunk)
             found = sum(map(self.word_count, words))
             if len(chunk) <= LENGTH_HELD:
-                if len(self.held) >= WORDS_HELD:
-                    self.held.clear()
-                self.held[chunk] = found
+                self.held.put(chunk, found)
         return found
 
     @staticmethod
