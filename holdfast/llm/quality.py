@@ -130,7 +130,7 @@ def fit_evidence(docs: DataFrame, labels: DataFrame) -> Evidence:
     texts = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id")  # LABELLED identifiers at most
     described = texts.select("doc_id", "quality", features("text").alias("features"))
     each = described.groupBy("doc_id").agg(F.min(F.struct("features", "quality")).alias("one")).select("one.*")
-    found = each.orderBy("features").collect()  # LABELLED rows of a few numbers at most
+    found = sorted(each.collect())  # LABELLED rows of a few numbers at most
     good = np.array([r["quality"] for r in found], dtype=float)
     width = len(FEATURES)
     if not 0 < good.sum() < len(good):

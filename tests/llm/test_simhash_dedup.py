@@ -49,6 +49,13 @@ def test_fingerprints(spark):
     assert found == {i: plain_fingerprint(t) for i, t in enumerate(texts)}
 
 
+def test_very_long_text(monkeypatch):
+    text = " ".join(str(i * i % 977) for i in range(5000))
+    whole = sh.fingerprint(text)
+    monkeypatch.setattr(sh, "HASHES_AT_ONCE", 64)
+    assert sh.fingerprint(text) == whole == plain_fingerprint(text)
+
+
 def test_same_hash_as_sql(spark):
     df = spark.createDataFrame([("some words here",)], "text string")
     assert df.select(F.xxhash64("text")).first()[0] % (1 << 64) == xxhash.xxh64_intdigest("some words here", 42)
