@@ -14,6 +14,7 @@ read; an empty table gives an empty result.
 from __future__ import annotations
 
 import re
+from collections import defaultdict
 from dataclasses import dataclass
 from html.parser import HTMLParser
 
@@ -50,6 +51,8 @@ CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "td": {"td", "th
           "tr": {"tr", "td", "th"}, "option": {"option"}}
 CLOSING_STOPS = frozenset("ul ol dl table menu select article section div main body html".split())
 STEP_UP = 0.95
+# Containers nested deeper are not named; their text belongs to the one at this depth.
+DEEPEST = 64
 FAVOURED, FAVOUR = frozenset({"article", "main"}), 1.2
 WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 DIGITS = re.compile(r"\d+")
@@ -78,6 +81,7 @@ class PageParser(HTMLParser):
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.open = [Element("", False, False, "", ())]
+        self.open_tags: defaultdict[str, int] = defaultdict(int)
         self.blocks: list[Block] = []
         self.parts: list[str] = []
         self.link_length = 0
@@ -90,11 +94,18 @@ class PageParser(HTMLParser):
             self.blocks.append(Block(self.around, text, self.link_length))
         self.parts, self.link_length, self.started = [], 0, False
 
+    def close_from(self, at: int) -> None:
+        for element in self.open[at:]:
+            self.open_tags[element.tag] -= 1
+        del self.open[at:]
+
     def close_open(self, tags: set[str]) -> None:
         """Close an element that ends where another begins."""
+        if all(self.open_tags[tag] == 0 for tag in tags):
+            return
         for at in range(len(self.open) - 1, 0, -1):
             if self.open[at].tag in tags:
-                del self.open[at:]
+                self.close_from(at)
                 return
             if self.open[at].tag in CLOSING_STOPS:
                 return
@@ -112,11 +123,12 @@ class PageParser(HTMLParser):
         parent = self.open[-1]
         given = {name: value or "" for name, value in attrs}
         path, containers = parent.path, parent.containers
-        if tag in CONTAINERS:
+        if tag in CONTAINERS and len(containers) < DEEPEST:
             classes = sorted(DIGITS.sub("#", c.lower()) for c in given.get("class", "").split())
             path = f"{path}/{'.'.join([tag, *classes])}"
             containers = (*containers, path)
         aside = parent.aside or tag in SET_ASIDE or (tag not in NEVER_BY_NAME and self.named_aside(given))
+        self.open_tags[tag] += 1
         self.open.append(Element(tag, aside, parent.in_link or tag == "a", path, containers))
 
     @staticmethod
@@ -139,9 +151,11 @@ class PageParser(HTMLParser):
         is_block = tag in BLOCKS
         if is_block:
             self.end_block()
+        if not self.open_tags[tag]:
+            return
         for at in range(len(self.open) - 1, 0, -1):
             if self.open[at].tag == tag:
-                del self.open[at:]
+                self.close_from(at)
                 return
             if not is_block and self.open[at].tag in BLOCKS:
                 return  # an inline element closed across a block

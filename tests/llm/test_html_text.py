@@ -58,6 +58,12 @@ def test_pages_of_the_test_table(spark):
     assert len(rows) == spark.read.parquet("/root/testdata/sf0.001/pages.parquet").count()
 
 
+@pytest.mark.parametrize("tag", ["div", "b", "font", "p"])
+def test_very_deep_page(tag):
+    html = f"<body>{f'<{tag}>' * 30_000}deep{f'</{tag}>' * 20_000}</i> end"
+    assert ht.main_text(html, None)[0].replace("\n", " ").replace("  ", " ") == "deep end"
+
+
 def test_very_long_page():
     html = "<body><article>" + "<p>word &amp; word</p>" * 20_000 + "<a title='unclosed>" * 50
     assert ht.main_text(html, None)[0].startswith("word & word\nword & word")
