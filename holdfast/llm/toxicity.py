@@ -5,7 +5,8 @@ toxic text in the share of the class prior. The risk of a classifier is
     prior * E_P[loss(+)] + max(0, E_U[loss(-)] - prior * E_P[loss(-)])
 where the second part estimates the risk on clean text and is kept from going below zero. Several linear
 classifiers are trained with numpy, each in a task of its own on the confirmed examples and its own share of the
-unlabelled ones, and their logits averaged. Inputs are how often words begin with which bytes, and nothing but the text.
+unlabelled ones, and their logits averaged. Inputs are how often which byte n-grams occur, at every
+position of the whole text, and nothing but the text.
 
 `POSITIVES` and `UNLABELLED` bound the sample; the prior comes from all labels that may be learnt from and
 is held against the sample.
@@ -17,7 +18,7 @@ row each; without examples every score is the prior; an empty table gives an emp
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -40,34 +41,58 @@ LIFT, EVIDENCE = 3.0, 12.0
 TOLD_SHARE, PRIOR_TAKEN = 0.3, 0.9
 # An n-gram's amount in a text: occurrences per so many words, short texts counted as longer.
 PER_WORDS, SHORT_WORDS = 200, 50
+# Where words are longer than so many bytes on average, a text's length is its bytes divided by that.
+LONG_WORD = 12
+# An n-gram across words has so many bytes at least that are no space.
+LEAST_LETTERS = 3
 STEPS = 300
 STEP_SIZE = 0.05
 DECAY = 1e-4
 THRESHOLD = 0.3
 SEED = 7
+# Bytes that are ASCII signs.
+SIGN = np.array([b < 128 and b != 32 and not chr(b).isalnum() for b in range(256)])
 # An odd multiplier for each n-gram length; the upper bits of the product are the bucket.
 MULTIPLIERS = {n: np.uint64(0x9E3779B97F4A7C15 + 2 * n) for n in NGRAM_BYTES}
 
 
 def ngram_buckets(text: str | None) -> Iterator[np.ndarray]:
-    """Buckets of the beginnings of all words, of each length with the space before and, where a word is just
-    that short, the space behind; of the lower-cased text, piece by piece."""
+    """Buckets of the n-grams of each length at every byte position of all words of the lower-cased text, with a space
+    on both sides, piece by piece; words too short for one are read on into the next words. An n-gram with ASCII signs
+    in it also counts as it is with spaces for these, so that a word behind a bracket is the word behind a space."""
     words = " ".join((text or "").lower().split())
-    data = f" {words} ".encode("utf-8", "surrogatepass")
-    low = 0
-    while low < len(data) - 1:
-        high = data.rfind(b" ", low + 1, low + BYTES_AT_ONCE)
-        high = data.find(b" ", low + 1) if high < 0 else high
-        piece = np.frombuffer(data, dtype=np.uint8, count=high + 1 - low, offset=low)
-        spaces = np.flatnonzero(piece == 32)
-        sizes = np.diff(spaces) + 1  # with the spaces on both sides
-        for n in NGRAM_BYTES:
-            starts = spaces[:-1][sizes >= n]
-            packed = np.zeros(len(starts), dtype=np.uint64)
-            for i in range(n):
-                packed |= piece[starts + i].astype(np.uint64) << np.uint64(8 * i)
-            yield ((packed * MULTIPLIERS[n]) >> np.uint64(64 - BUCKET_BITS)).astype(np.int32)
-        low = high
+    data = np.frombuffer(f" {words} ".encode("utf-8", "surrogatepass"), dtype=np.uint8)
+    for low in range(0, len(data), BYTES_AT_ONCE):
+        plain = data[low : low + BYTES_AT_ONCE + NGRAM_BYTES[-1] - 1]  # starts in the first BYTES_AT_ONCE
+        spaced = np.where(SIGN[plain], np.uint8(32), plain)
+        signs = np.concatenate([[0], np.cumsum(SIGN[plain])])
+        for piece in (plain, spaced):
+            space = piece == 32
+            spaces = np.concatenate([[0], np.cumsum(space)])
+            before_short = np.zeros(len(piece), dtype=bool)
+            before_short[:-2] = space[:-2] & ~space[1:-1] & space[2:]
+            before_short[:-3] |= space[:-3] & ~space[1:-2] & ~space[2:-1] & space[3:]
+            wide = piece.astype(np.uint64)
+            packed, held = np.zeros(len(piece), dtype=np.uint64), 0
+            for n in NGRAM_BYTES:
+                starts = min(len(piece) - n + 1, BYTES_AT_ONCE)
+                if starts <= 0:
+                    break
+                packed = packed[: len(piece) - n + 1].copy()
+                for i in range(held, n):
+                    packed |= wide[i : i + len(packed)] << np.uint64(8 * i)
+                held = n
+                taken = spaces[n - 1 : n - 1 + starts] == spaces[1 : 1 + starts]  # no space within
+                taken |= before_short[:starts] & (spaces[n : n + starts] - spaces[:starts] <= n - LEAST_LETTERS)
+                if piece is spaced:
+                    taken &= signs[n : n + starts] > signs[:starts]
+                yield ((packed[:starts][taken] * MULTIPLIERS[n]) >> np.uint64(64 - BUCKET_BITS)).astype(np.int32)
+
+
+def length_of(text: str | None) -> int:
+    """The length of a text in words; one without white space counts by its bytes."""
+    text = text or ""
+    return max(len(text.split()), len(text.encode("utf-8", "surrogatepass")) // LONG_WORD)
 
 
 def values(buckets: list[np.ndarray], words: int) -> tuple[np.ndarray, np.ndarray]:
@@ -76,8 +101,14 @@ def values(buckets: list[np.ndarray], words: int) -> tuple[np.ndarray, np.ndarra
     return found, np.log1p(counts * (PER_WORDS / (words + SHORT_WORDS))).astype(np.float32)
 
 
-def ngram_values(text: str | None) -> tuple[np.ndarray, np.ndarray]:
-    return values([np.empty(0, dtype=np.int32), *ngram_buckets(text)], len((text or "").split()))
+def different_buckets(text: str | None) -> np.ndarray:
+    return np.unique(np.concatenate([np.empty(0, dtype=np.int32), *ngram_buckets(text)]))
+
+
+def kept_values(text: str | None, known: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The values of the buckets marked in `known`."""
+    parts = [np.empty(0, dtype=np.int32), *(part[known[part]] for part in ngram_buckets(text))]
+    return values(parts, length_of(text))
 
 
 def train_nnpu(positive: np.ndarray, unlabelled: np.ndarray, prior: float) -> tuple[np.ndarray, float]:
@@ -133,24 +164,31 @@ def prior_in(held_p: np.ndarray, held_u: np.ndarray, prior: float) -> float:
 
 def train_share(rows: pd.DataFrame, prior: float) -> pd.DataFrame:
     """One classifier from the rows (toxic, text) of its share."""
-    sets = {role: [ngram_values(t) for t in rows.loc[rows["toxic"] == role, "text"]] for role in (1, 0)}
+    texts = {role: rows.loc[rows["toxic"] == role, "text"] for role in (1, 0)}
     empty = pd.DataFrame({"bucket": [[]], "weight": [[]], "bias": [float(np.log(prior / (1 - prior)))]})
-    if not sets[1] or not sets[0]:
+    if texts[1].empty or texts[0].empty:
         return empty
-    counts = {role: np.zeros(1 << BUCKET_BITS, dtype=np.int32) for role in sets}
-    for role, found in sets.items():
-        for buckets, _ in found:
-            counts[role][buckets] += 1
-    kept = telling_ngrams(counts[1], counts[0], len(sets[1]), len(sets[0]), prior)
-    matrices = []
-    for role in (1, 0):
-        held = np.zeros((len(sets[role]), len(kept)), dtype=np.float32)
-        for i, (buckets, amounts) in enumerate(sets[role]):
-            _, at, there = np.intersect1d(kept, buckets, assume_unique=True, return_indices=True)
-            held[i, at] = amounts[there]
-        matrices.append(held)
-    here = prior_in((matrices[0] > 0).sum(axis=1), (matrices[1] > 0).sum(axis=1), prior)
-    weights, bias = train_nnpu(matrices[0], matrices[1], here)
+    counts = {role: np.zeros(1 << BUCKET_BITS, dtype=np.int32) for role in texts}
+    for role, found in texts.items():
+        for text in found:
+            counts[role][different_buckets(text)] += 1
+    kept = telling_ngrams(counts[1], counts[0], len(texts[1]), len(texts[0]), prior)
+    known = np.zeros(1 << BUCKET_BITS, dtype=bool)
+    known[kept] = True
+
+    def matrix(texts: Iterable[str]) -> np.ndarray:
+        # the n-grams are read again, as those of all texts would not fit
+        read = [kept_values(text, known) for text in texts]
+        held = np.zeros((len(read), len(kept)), dtype=np.float32)
+        for row, (buckets, amounts) in zip(held, read, strict=True):
+            row[np.searchsorted(kept, buckets)] = amounts
+        return held
+
+    as_is = [matrix(texts[role]) for role in (1, 0)]
+    here = prior_in((as_is[0] > 0).sum(axis=1), (as_is[1] > 0).sum(axis=1), prior)
+    # without white space as well, so that n-grams inside words get weight of their own
+    joined = [matrix("".join(text.split()) for text in texts[role]) for role in (1, 0)]
+    weights, bias = train_nnpu(*map(np.vstack, zip(as_is, joined, strict=True)), here)
     return pd.DataFrame({"bucket": [kept.tolist()], "weight": [weights.tolist()], "bias": [bias]})
 
 
@@ -174,10 +212,7 @@ class Classifier:
             known[buckets] = True
 
             def logit(text: str | None) -> float:
-                parts = [part[known[part]] for part in ngram_buckets(text)]
-                if not any(map(len, parts)):
-                    return bias
-                buckets, amounts = values(parts, len((text or "").split()))
+                buckets, amounts = kept_values(text, known)
                 return bias + float(table[buckets] @ amounts)
 
             for texts in batches:

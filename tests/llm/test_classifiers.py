@@ -55,6 +55,41 @@ def test_word_beginnings():
     assert buckets("scum ") - buckets("scumbags")  # the short word as a whole
 
 
+def bucket_set(text):
+    return set(np.concatenate([np.empty(0, int), *toxicity.ngram_buckets(text)]).tolist())
+
+
+@pytest.mark.parametrize("text", ["(idiot", '"idiot"', "<b>idiot", "you-idiot", "and/or/idiot.", "an idiot, he"])
+def test_words_behind_signs(text):
+    assert bucket_set(" idiot") <= bucket_set(text) | bucket_set("idiot ")
+    assert len(bucket_set("idiot") & bucket_set(text)) >= 3
+
+
+def test_whole_words_and_texts_without_spaces():
+    assert bucket_set("superidiotic") & bucket_set("idiots")
+    assert bucket_set("\u4f60\u662f\u767d\u75f4") & bucket_set("\u767d\u75f4")  # beyond a word's first two characters
+    run = "".join(f"{i * i:x}" for i in range(25_000))
+    assert len(bucket_set(run)) > 10_000 and bucket_set("moron") <= bucket_set(run + " moron ")
+    assert bucket_set("xmoronx") & bucket_set(run + "moron" + run)
+
+
+def test_toxic_words_anywhere_are_found(spark):
+    rng = np.random.default_rng(3)
+    vocabulary = ["".join(chr(97 + int(c)) for c in rng.integers(0, 26, int(rng.integers(3, 9)))) for _ in range(500)]
+    words = lambda n: [vocabulary[i] for i in rng.integers(0, len(vocabulary), n)]
+    toxic = lambda: " ".join(w + (" moronic" if i % 8 == 0 else "") for i, w in enumerate(words(60)))
+    rows = [(i, toxic() if i < 300 and i % 2 else " ".join(words(60))) for i in range(1_500)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i < 300 and i % 2)) for i in range(1_500)], "doc_id long, toxic int")
+    shapes = {"plain": " {} ", "bracket": " ({}) ", "quote": ' "{}" ', "tag": " <b>{}</b> ", "hyphen": "-{}-", "inside": "{}"}
+    asked = [(k, s.format("moronic").join(words(9))) for k, s in shapes.items()]
+    asked += [("run", "moronic".join("".join(words(8)) for _ in range(2_000)))]
+    asked += [("clean", " ".join(words(60))), ("clean run", "".join(words(15_000)))]
+    asked = spark.createDataFrame(asked, "doc_id string, text string")
+    found = {r["doc_id"]: r["predicted"] for r in toxicity.score_documents(asked, toxicity.fit(docs, labels)).collect()}
+    assert found == {**dict.fromkeys([*shapes, "run"], 1), "clean": 0, "clean run": 0}
+
+
 def test_long_text_in_pieces(monkeypatch):
     text = " ".join(f"word{i * i}" for i in range(500)) + " " + "y" * 300
     whole = np.sort(np.concatenate(list(toxicity.ngram_buckets(text))))
