@@ -1,10 +1,12 @@
 """Main text of web pages by consensus of each host's pages.
 
 Every page is parsed into blocks of text, each with the containers around it. Blocks inside menus, headers,
-footers, sidebars, notices, adverts, forms, scripts and reader comments are set aside. The other blocks give
-their length, less for links, to the containers around them, most to the nearest. A container is named by
-its path of tags and classes, with digits made alike, and every page votes for the path of its best one. The
-path with most of a host's votes wins, and all pages of the host are extracted again with it: the blocks inside containers of that path, or of the page's own best one where it has no such container.
+footers, sidebars, notices, adverts, forms, scripts and reader comments are set aside; where a name alone
+leaves doubt, the length and links of the text inside decide. The other blocks give their length, less for
+links, to the containers around them, most to the nearest. A container is named by its path of tags and
+classes, with digits made alike, and every page votes for the path of its best one. The path with most of a
+host's votes wins, and all pages of the host are extracted again with it: the blocks inside containers of
+that path, or of the page's own best one where it has no such container.
 
 Nulls and edges: a null or empty page has the empty text; a null address belongs to the host ''; pages with
 equal identifiers are each extracted; malformed markup is read as far as it goes; extra columns are not
@@ -33,20 +35,30 @@ BLOCKS = frozenset(
 )
 CONTAINERS = frozenset("article body center div main section td".split())
 SET_ASIDE = frozenset(
-    "aside audio button canvas datalist dialog embed footer form head header iframe input label math menu nav "
+    "aside audio button canvas datalist dialog embed footer form head header iframe input label menu nav "
     "noframes noscript object option script select style svg template textarea title video".split()
 )
 # Words of class names, identifiers and roles.
 SET_ASIDE_WORDS = frozenset(
     "ad ads advert advertisement advertisements adverts alert alerts banner breadcrumb breadcrumbs comment comments "
-    "commentlist complementary contentinfo consent cookie cookies dialog discussion disqus footer form gdpr header "
-    "login masthead menu menus modal nav navbar navigation newsletter notice notices notification pager pagination "
-    "paywall popup promo promoted recommended related replies reply respond search share sharing sidebar signup "
-    "social sponsor sponsored subscribe subscription toolbar topbar widget widgets".split()
+    "commentlist complementary contentinfo consent cookie cookies dialog disqus footer gdpr header login masthead menu "
+    "menus modal nav navbar navigation newsletter notification pager pagination paywall popup promo promoted "
+    "recommended replies reply respond sidebar signup social sponsor sponsored subscribe subscription toolbar "
+    "topbar".split()
 )
+# Words that also name parts of an article; what the element holds decides.
+DOUBTFUL_WORDS = frozenset("discussion form notice notices related search share sharing widget widgets".split())
+# The identifier of a section is mostly made of its heading; only these words of it leave no doubt.
+SURE_OF_SECTIONS = frozenset(
+    "ad ads advert advertisement advertisements adverts comment comments commentlist disqus replies respond".split()
+)
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+# A doubtful element stays if links are less than one in so many of its characters, and it has so much text, or
+# half of the page's, or is a section with a heading and text below.
+LINKED, LONG_TEXT = 4, 200
 # With one of these the name tells of a layout around such a part, as in has-sidebar.
 AROUND_WORDS = frozenset("has layout no with without".split())
-NEVER_BY_NAME = frozenset("html body main article".split())
+NEVER_BY_NAME = frozenset({"html", "body", "main", "article", *HEADINGS})
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "td": {"td", "th"}, "th": {"td", "th"},
           "tr": {"tr", "td", "th"}, "option": {"option"}}
 CLOSING_STOPS = frozenset("ul ol dl table menu select article section div main body html".split())
@@ -66,6 +78,8 @@ class Element:
     in_link: bool
     path: str
     containers: tuple[str, ...]
+    doubt: int  # the number of the innermost doubtful element around, 0 for none
+    heading: bool
 
 
 @dataclass
@@ -73,6 +87,25 @@ class Block:
     containers: tuple[str, ...]  # paths of the containers around it, outermost first
     text: str
     link_length: int
+    doubt: int = 0
+    heading: bool = False
+
+
+@dataclass
+class Doubt:
+    """A doubtful element and what it holds outside of rejected ones."""
+
+    around: int
+    section: bool
+    length: int = 0
+    link_length: int = 0
+    heading_length: int = 0
+
+    def stays(self, total: int) -> bool:
+        if self.link_length * LINKED >= self.length:
+            return False
+        under_heading = self.section and self.length > self.heading_length > 0
+        return self.length >= LONG_TEXT or 2 * self.length >= total or under_heading
 
 
 class PageParser(HTMLParser):
@@ -80,18 +113,20 @@ class PageParser(HTMLParser):
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.open = [Element("", False, False, "", ())]
+        self.open = [Element("", False, False, "", (), 0, False)]
         self.open_tags: defaultdict[str, int] = defaultdict(int)
         self.blocks: list[Block] = []
         self.parts: list[str] = []
         self.link_length = 0
         self.started = False
-        self.around: tuple[str, ...] = ()
+        self.place = self.open[0]
+        self.doubts = [Doubt(0, False)]
 
     def end_block(self) -> None:
         text = " ".join("".join(self.parts).split())
         if text:
-            self.blocks.append(Block(self.around, text, self.link_length))
+            place = self.place
+            self.blocks.append(Block(place.containers, text, self.link_length, place.doubt, place.heading))
         self.parts, self.link_length, self.started = [], 0, False
 
     def close_from(self, at: int) -> None:
@@ -127,20 +162,58 @@ class PageParser(HTMLParser):
             classes = sorted(DIGITS.sub("#", c.lower()) for c in given.get("class", "").split())
             path = f"{path}/{'.'.join([tag, *classes])}"
             containers = (*containers, path)
-        aside = parent.aside or tag in SET_ASIDE or (tag not in NEVER_BY_NAME and self.named_aside(given))
+        aside, doubt = parent.aside or tag in SET_ASIDE, parent.doubt
+        if not aside and tag not in NEVER_BY_NAME:
+            classes = given.get("class", "").split()
+            section = tag == "section" or "section" in classes
+            aside, doubtful = self.named_aside(given, classes, section)
+            if doubtful and not aside:
+                self.doubts.append(Doubt(doubt, section))
+                doubt = len(self.doubts) - 1
         self.open_tags[tag] += 1
-        self.open.append(Element(tag, aside, parent.in_link or tag == "a", path, containers))
+        heading = parent.heading or tag in HEADINGS
+        self.open.append(Element(tag, aside, parent.in_link or tag == "a", path, containers, doubt, heading))
 
     @staticmethod
-    def named_aside(given: dict[str, str]) -> bool:
+    def named_aside(given: dict[str, str], classes: list[str], section: bool) -> tuple[bool, bool]:
+        """Whether the names set the element aside for sure, and whether they raise a doubt."""
         if "hidden" in given or given.get("aria-hidden") == "true":
-            return True
-        names = [*given.get("class", "").split(), *(given.get(name, "") for name in ("id", "role", "itemprop"))]
-        for name in names:
+            return True, False
+        doubtful = False
+        for name in [*classes, given.get("role", ""), given.get("itemprop", ""), given.get("id", "")]:
             words = {word.lower() for word in WORD.findall(name)}
-            if words & SET_ASIDE_WORDS and not words & AROUND_WORDS:
-                return True
-        return False
+            if words & AROUND_WORDS:
+                continue
+            found = words & SET_ASIDE_WORDS
+            if found and not (section and name == given.get("id") and not found & SURE_OF_SECTIONS):
+                return True, False
+            doubtful = doubtful or bool(found or words & DOUBTFUL_WORDS)
+        return False, doubtful
+
+    def kept_blocks(self) -> list[Block]:
+        """The blocks outside of those doubtful elements that what they hold speaks against."""
+        if len(self.doubts) == 1:
+            return self.blocks
+        for block in self.blocks:
+            held = self.doubts[block.doubt]
+            held.length += len(block.text)
+            held.link_length += block.link_length
+            held.heading_length += len(block.text) * block.heading
+        total = sum(len(block.text) for block in self.blocks)
+        rejected = set()
+        for number in range(len(self.doubts) - 1, 0, -1):  # the inner ones come later
+            held = self.doubts[number]
+            if held.stays(total):
+                around = self.doubts[held.around]
+                around.length += held.length
+                around.link_length += held.link_length
+                around.heading_length += held.heading_length
+            else:
+                rejected.add(number)
+        for number in range(1, len(self.doubts)):
+            if self.doubts[number].around in rejected:
+                rejected.add(number)
+        return [block for block in self.blocks if block.doubt not in rejected]
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.handle_starttag(tag, attrs)
@@ -165,7 +238,7 @@ class PageParser(HTMLParser):
         if here.aside:
             return
         if not self.started and not data.isspace():
-            self.started, self.around = True, here.containers
+            self.started, self.place = True, here
         self.parts.append(data)
         if here.in_link:
             self.link_length += len(data.strip())
@@ -176,7 +249,7 @@ def blocks_of(html: str | None) -> list[Block]:
     parser.feed(UNFINISHED_TAG.sub("", html or ""))
     parser.close()
     parser.end_block()
-    return parser.blocks
+    return parser.kept_blocks()
 
 
 def container_scores(blocks: list[Block]) -> dict[str, float]:

@@ -36,6 +36,33 @@ def test_main_text(html, text):
     assert ht.main_text(html, None)[0] == text
 
 
+PROSE = "We compare the yields of all four sites with those of the year before. " * 4
+LINKS = "".join(f"<li><a href=/{i}>Another story, number {i}</a></li>" for i in range(9))
+
+
+@pytest.mark.parametrize(
+    "inside, text",
+    [
+        ("<h2 id=related-work>Related work</h2><p>a</p><h3 id=search>Search</h3><p>b</p>", "Related work\na\nSearch\nb"),
+        ("<h2 id='login-form'>Login</h2><p>a</p>", "Login\na"),
+        (f"<section id=discussion><h2>Discussion</h2><p>{PROSE}</p></section>", f"Discussion\n{PROSE.strip()}"),
+        ("<p>First</p><section id=navigation><h2>Navigation</h2><p>By the stars.</p></section>", "First\nNavigation\nBy the stars."),
+        ("<p>Mass is <math><mi>m</mi><mo>=</mo><mn>2</mn></math>.</p>", "Mass is m=2."),
+        (f"<p>{PROSE}</p><div class=related><h3>Related</h3><ul>{LINKS}</ul></div>", PROSE.strip()),
+        (f"<p>{PROSE}</p><div class=share>Share this</div><div class=notice>Closed today.</div>", PROSE.strip()),
+        (f"<p>{PROSE}</p><section id=comments><h2>Comments</h2><p>{PROSE * 3}</p></section>", PROSE.strip()),
+        (f"<div class='widget Blog'><p>{PROSE}</p><div class='widget'><ul>{LINKS}</ul></div></div>", PROSE.strip()),
+    ],
+)
+def test_ambiguous_names(inside, text):
+    assert ht.main_text(f"<body><article>{inside}</article></body>", None)[0] == text
+
+
+def test_blog_inside_a_widget():
+    page = f"<body><div class=column><div class='widget Blog' id=Blog1><h3>Post</h3><p>{PROSE}</p></div></div></body>"
+    assert ht.main_text(page, None)[0] == f"Post\n{PROSE.strip()}"
+
+
 def test_the_hosts_path_decides(spark):
     """One page's largest container is not the article; the host's other pages outvote it."""
     usual = "<body><div class='text-7'><p>{0}</p></div><div class=box><p>{1}</p></div></body>"
