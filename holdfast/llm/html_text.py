@@ -6,7 +6,10 @@ leaves doubt, the length and links of the text inside decide. The other blocks g
 links, to the containers around them, most to the nearest. A container is named by its path of tags and
 classes, with digits made alike, and every page votes for the path of its best one. The path with most of a
 host's votes wins, and all pages of the host are extracted again with it: the blocks inside containers of
-that path, or of the page's own best one where it has no such container.
+that path. A page without such a container is extracted with its own best one, and so is a page on which that
+holds less than half of the own best one's text, unless the pages that voted for the winner mostly have the
+own best path too, so that it is a usual part beside the main text. From there the text goes on to containers
+further out as long as what they add is headings or some prose with few links.
 
 Nulls and edges: a null or empty page has the empty text; a null address belongs to the host ''; pages with
 equal identifiers are each extracted; malformed markup is read as far as it goes; extra columns are not
@@ -17,7 +20,9 @@ from __future__ import annotations
 
 import re
 from collections import defaultdict
+from collections.abc import Collection
 from dataclasses import dataclass
+from hashlib import blake2b
 from html.parser import HTMLParser
 
 import pandas as pd
@@ -63,6 +68,7 @@ CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "td": {"td", "th
           "tr": {"tr", "td", "th"}, "option": {"option"}}
 CLOSING_STOPS = frozenset("ul ol dl table menu select article section div main body html".split())
 STEP_UP = 0.95
+BODY = "/body"
 # Containers nested deeper are not named; their text belongs to the one at this depth.
 DEEPEST = 64
 FAVOURED, FAVOUR = frozenset({"article", "main"}), 1.2
@@ -268,10 +274,46 @@ def best_path(scores: dict[str, float]) -> str:
     return max(scores, key=lambda path: (scores[path], path), default="")
 
 
-def main_text(html: str | None, winner: str | None) -> tuple[str, str]:
-    """The text inside containers of the winning path, or of the page's own best, and the path used."""
+def mark_of(path: str) -> int:
+    """A number for a path, short enough to be gathered for every container."""
+    return int.from_bytes(blake2b(path.encode("utf-8", "surrogatepass"), digest_size=8).digest(), signed=True)
+
+
+def climbed(blocks: list[Block], path: str) -> str:
+    """The path of the outermost container around `path` that adds headings or less prose than it has, few of it links.
+
+    The body holds everything, so only headings lead up to it.
+    """
+    chain = next((b.containers[: b.containers.index(path) + 1] for b in blocks if path in b.containers), ())
+    chosen = path
+    for at in range(len(chain) - 2, -1, -1):  # all that is inside a container has its path at the same place
+        within = [b for b in blocks if b.containers[at : at + 1] == (chain[at],)]
+        outside = [b for b in within if b.containers[at + 1 : at + 2] != (chain[at + 1],)]
+        prose = [b for b in outside if not b.heading]
+        length = sum(len(b.text) for b in prose)
+        inside = sum(len(b.text) for b in within) - sum(len(b.text) for b in outside)
+        body = at == 0 and chain[0].startswith(BODY)
+        if prose and (body or length >= inside or sum(b.link_length for b in prose) * LINKED >= length):
+            break
+        if any(b.link_length * LINKED >= len(b.text) for b in outside if b.heading):
+            break  # headings that are links tell of other articles
+        if outside:
+            chosen = chain[at]
+    return chosen
+
+
+def main_text(html: str | None, winner: str | None, usual: Collection[int] = ()) -> tuple[str, str]:
+    """The text inside containers of the path chosen, and that path; `usual` are the marks of the paths that
+    the pages that voted for the winner have."""
     blocks = blocks_of(html)
-    path = winner if any(winner in b.containers for b in blocks) else best_path(container_scores(blocks))
+    own = best_path(container_scores(blocks))
+    path = own
+    if winner and any(winner in b.containers for b in blocks):
+        mass = lambda path: sum(max(0, len(b.text) - 2 * b.link_length) for b in blocks if path in b.containers)
+        if 2 * mass(winner) >= mass(own) or mark_of(own) in usual:
+            path = winner
+    if path:
+        path = climbed(blocks, path)
     return "\n".join(b.text for b in blocks if path in b.containers or not path), path or ""
 
 
@@ -284,27 +326,40 @@ def host_of(url: Column) -> Column:
 
 
 def vote_of(html: Column) -> Column:
-    """The path of each page's best container."""
+    """The path of each page's best container, its mark, and the marks of all the page's containers."""
 
-    @F.pandas_udf("string")
-    def votes(pages: pd.Series) -> pd.Series:
-        return pd.Series([best_path(container_scores(blocks_of(page))) for page in pages], dtype=object)
+    def vote(page: str | None) -> tuple[str, int, list[int]]:
+        scores = container_scores(blocks_of(page))
+        best = best_path(scores)
+        return best, mark_of(best), [mark_of(path) for path in scores]
+
+    @F.pandas_udf("path string, mark long, marks array<long>")
+    def votes(pages: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([vote(page) for page in pages], columns=["path", "mark", "marks"])
 
     return votes(html)
 
 
-def extracted(html: Column, winner: Column) -> Column:
+def extracted(html: Column, winner: Column, usual: Column) -> Column:
     @F.pandas_udf("text string, path string")
-    def texts(pages: pd.Series, winners: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([main_text(h, w) for h, w in zip(pages, winners, strict=True)], columns=["text", "path"])
+    def texts(pages: pd.Series, winners: pd.Series, usuals: pd.Series) -> pd.DataFrame:
+        rows = zip(pages, winners, usuals, strict=True)
+        return pd.DataFrame([main_text(h, w, () if u is None else u) for h, w, u in rows], columns=["text", "path"])
 
-    return texts(html, winner)
+    return texts(html, winner, usual)
 
 
 def winning_paths(host: Column, html: Column, pages: DataFrame) -> DataFrame:
-    """(host, winner) by the votes of all pages."""
-    counted = pages.select(host.alias("host"), vote_of(html).alias("path")).groupBy("host", "path").count()
-    return counted.where("path != ''").groupBy("host").agg(F.max(F.struct("count", "path"))["path"].alias("winner"))
+    """(host, winner, usual) by the votes of all pages; `usual` has the marks of the paths that at least half of
+    the winner's voters have, so at most twice as many as such a page has on average."""
+    votes = pages.select(host.alias("host"), vote_of(html).alias("vote")).select("host", "vote.*")
+    # pages without a container have no marks and so no rows
+    found = votes.select("host", "path", "mark", F.explode("marks").alias("other"))
+    counted = staged(found.groupBy("host", "path", "mark", "other").count())
+    best = F.max(F.struct("count", "path")).alias("best")  # a page always has the container it votes for
+    winners = counted.where("other = mark").groupBy("host").agg(best).select("host", "best.*")
+    shared = counted.join(winners.withColumnRenamed("count", "voters"), ["host", "path"]).where("2 * count >= voters")
+    return shared.groupBy("host", F.col("path").alias("winner")).agg(F.collect_list("other").alias("usual"))
 
 
 def extract_pages(
@@ -315,7 +370,7 @@ def extract_pages(
     winners = staged(winning_paths(host_of(url), html, pages))
     rows = pages.select(F.col(f"`{id_col}`").alias("page_id"), url.alias("url"), html.alias("html"))
     rows = rows.withColumn("host", host_of(F.col("url"))).join(winners, "host", "left")
-    done = rows.select("page_id", "url", "host", extracted(F.col("html"), F.col("winner")).alias("found"))
+    done = rows.select("page_id", "url", "host", extracted(F.col("html"), F.col("winner"), F.col("usual")).alias("found"))
     return done.select(
         "page_id", "url", "found.text", F.length("found.text").cast("long").alias("n_chars"), "host", "found.path"
     )

@@ -58,6 +58,32 @@ def test_ambiguous_names(inside, text):
     assert ht.main_text(f"<body><article>{inside}</article></body>", None)[0] == text
 
 
+@pytest.mark.parametrize("times", [4, 400])
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        ("<div class=post><h1>Title</h1><div class=body><p>{0}</p></div></div>", "Title\n{0}"),
+        ("<h1>Title</h1><div class=post><p>{0}</p></div>", "Title\n{0}"),
+        ("<div class=wrap><div class=lead>A lead.</div><div class=body><p>{0}</p></div><div class=end>An end.</div></div>", "A lead.\n{0}\nAn end."),
+        ("<article><h1>Title</h1><div><div><div><div><div><p>{0}</p></div></div></div></div></div></article>", "Title\n{0}"),
+        ("<div class=wrap><div class=body><p>{0}</p></div><ul>{1}</ul></div>", "{0}"),
+    ],
+)
+def test_text_beside_the_best_container(page, text, times):
+    prose = (PROSE * times).strip()
+    found, _ = ht.main_text(f"<html><body>{page.format(prose, LINKS)}</body></html>", None)
+    assert found == text.format(prose)
+
+
+def test_a_page_of_another_layout_keeps_its_article(spark):
+    usual = f"<body><div class=post><p>{PROSE}</p></div><div class=box><p>short</p></div></body>"
+    other = f"<body><div class=post><p>Hint</p></div><div class=story><p>{PROSE * 9}</p></div></body>"
+    pages = [(i, "http://a.org/x", usual) for i in range(4)] + [(9, "http://a.org/y", other)]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    found = {r["page_id"]: r["text"] for r in ht.extract_pages(df).collect()}
+    assert found[0] == PROSE.strip() and found[9] == (PROSE * 9).strip()
+
+
 def test_blog_inside_a_widget():
     page = f"<body><div class=column><div class='widget Blog' id=Blog1><h3>Post</h3><p>{PROSE}</p></div></div></body>"
     assert ht.main_text(page, None)[0] == f"Post\n{PROSE.strip()}"
