@@ -1,7 +1,8 @@
 """Packing into length buckets with the least padding.
 
-Documents longer than `max_tokens` are cut into pieces of that many tokens, so nothing is dropped and the
-histogram of piece lengths has `max_tokens` + 1 entries at most. Dynamic programming over that global
+Documents longer than `max_tokens` are cut into pieces of that many tokens at most, between words, and inside a
+word that is longer than a piece, so nothing is dropped and the histogram of piece lengths has `max_tokens` + 1
+entries at most. Dynamic programming over that global
 histogram chooses the bucket widths for which padding every piece up to its bucket's width costs least.
 Inside a bucket, pieces are numbered and cut into batches of as many rows as the token budget allows.
 
@@ -9,7 +10,7 @@ The numbering is spread over shards of about `ROWS_PER_SHARD` rows, each startin
 ends, so that a bucket with a third of all rows is no task of its own, and only the last batch of a bucket
 can have room left.
 
-Tokens are words between white space. Nulls and edges: a null or empty text is one piece without tokens; a
+Tokens are those of the tokenizer, each piece counted as a text of its own. Nulls and edges: a null or empty text is one piece without tokens; a
 null identifier is carried through; repeated rows are packed each; an empty table gives an empty result.
 """
 
@@ -19,20 +20,24 @@ import re
 
 import numpy as np
 import pandas as pd
+import public_tokenizers
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from holdfast.llm.common import read_table, staged
+from holdfast.llm.token_counts import NOT_SPACE, TOKENIZER, PrefixCounter, counter
 
 MAX_TOKENS = 2_048
 BUCKETS = 16
 BATCH_TOKENS = 65_536
 ROWS_PER_SHARD = 20_000
+# Of a text with more than so many code points for each token of a piece, the whole is not counted first.
+WELL_OVER = 3
 WORD = re.compile(r"\S+")
 
 
 def cut(text: str | None, max_tokens: int) -> list[tuple[int, int, int]]:
-    """(start, end, tokens) of each piece, in code points; together they cover the text."""
+    """(start, end, words) of each piece when words count as tokens, in code points; together they cover the text."""
     text = text or ""
     if len(text) < 2 * max_tokens or len(text.split(None, max_tokens)) <= max_tokens:
         return [(0, len(text), len(text.split()))]
@@ -46,12 +51,73 @@ def cut(text: str | None, max_tokens: int) -> list[tuple[int, int, int]]:
     return list(zip(starts, ends, sizes, strict=True))
 
 
-def pieces(docs: DataFrame, max_tokens: int = MAX_TOKENS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def fitting(text: str, start: int, end: int, room: int, tokens: PrefixCounter) -> tuple[int, int]:
+    """(stop, tokens) of a beginning of text[start:end] with at most `room` tokens, nearly as many if there is more;
+    stop is `start` if not even one code point fits."""
+    low, held, high = start, 0, end + 1  # text[start:low] fits, text[start:high] does not or goes too far
+    guess = start + max(1, room)
+    while high - low > 1:
+        at = min(max(guess, low + 1), high - 1)
+        count = tokens.count(text[start:at])
+        if count <= room:
+            low, held = at, count
+            if at == end or room - count <= room // 64:
+                break
+        else:
+            high = at
+        guess = start + (at - start) * room // max(count, 1)
+        if not low < guess < high:
+            guess = (low + high) // 2 if high <= end else 2 * at - start
+    return low, held
+
+
+def cut_tokens(text: str | None, max_tokens: int, tokens: PrefixCounter) -> list[tuple[int, int, int]]:
+    """(start, end, tokens) of each piece, in code points; together they cover the text."""
+    text = text or ""
+    if len(text) <= WELL_OVER * max_tokens:
+        total = tokens.count(text)
+        if total <= max_tokens:
+            return [(0, len(text), total)]
+    # tokens never reach over white space, so that those of a piece are the sum over its words
+    plain = not tokens.special.search(text)
+    count_of = (lambda word: tokens.chunk_count(tokens.normalised(word))) if plain else tokens.count
+    found, start, used = [], 0, 0
+    for word in NOT_SPACE.finditer(text):
+        at, end = word.span()
+        if end - at <= max_tokens:
+            count = count_of(word.group())
+            if count <= max_tokens:
+                if used + count > max_tokens:
+                    found.append((start, at, used))
+                    start, used = at, 0
+                used += count
+                continue
+        while at < end:
+            stop, count = fitting(text, at, end, max_tokens - used, tokens)
+            if stop == at and not used:
+                stop, count = at + 1, tokens.count(text[at])  # a code point of more tokens than a piece may have
+            at, used = stop, used + count
+            if at < end:
+                found.append((start, at, used))
+                start, used = at, 0
+    return [*found, (start, len(text), used)]
+
+
+def pieces(
+    docs: DataFrame,
+    max_tokens: int = MAX_TOKENS,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    path: str | None = None,
+) -> DataFrame:
     """A row per piece: doc_id, number (of the row), piece, start, end, n_tokens."""
+    path = path or public_tokenizers.path(TOKENIZER)
 
     @F.pandas_udf("array<struct<start: long, end: long, n_tokens: long>>")
     def spans(texts: pd.Series) -> pd.Series:
-        return pd.Series([[{"start": s, "end": e, "n_tokens": n} for s, e, n in cut(t, max_tokens)] for t in texts])
+        tokens = counter(path)
+        cuts = (cut_tokens(t, max_tokens, tokens) for t in texts)
+        return pd.Series([[{"start": s, "end": e, "n_tokens": n} for s, e, n in one] for one in cuts])
 
     rows = docs.select(
         F.col(f"`{id_col}`").alias("doc_id"),
@@ -98,9 +164,10 @@ def pack(
     batch_tokens: int = BATCH_TOKENS,
     id_col: str = "doc_id",
     text_col: str = "text",
+    path: str | None = None,
 ) -> DataFrame:
     """One row per piece: doc_id, piece, start, end, n_tokens, bucket, width, batch, padding."""
-    rows = staged(pieces(docs, max_tokens, id_col, text_col))
+    rows = staged(pieces(docs, max_tokens, id_col, text_col, path))
     histogram = rows.groupBy("n_tokens").count().orderBy("n_tokens").collect()  # max_tokens + 1 rows at most
     lengths = np.array([r["n_tokens"] for r in histogram], dtype=np.int64)
     counts = np.array([r["count"] for r in histogram], dtype=np.int64)

@@ -1,9 +1,11 @@
 from itertools import combinations
 
 import numpy as np
+import public_tokenizers
 import pytest
 
 from holdfast.llm import packing as pk
+from holdfast.llm.token_counts import TOKENIZER, counter
 
 
 def brute_padding(lengths, counts, buckets):
@@ -37,6 +39,37 @@ def test_pieces_cover_the_text(text):
     assert all(n == 5 for _, _, n in spans[:-1]) and spans[-1][2] <= 5
 
 
+LONG = "".join(f"{i * i * 7919:x}aZ/" for i in range(12_000))
+CHINESE = "\u4f60\u662f\u767d\u75f4\u4eba" * 3_000
+
+
+@pytest.mark.parametrize("max_tokens", [5, 64, 2_048])
+@pytest.mark.parametrize(
+    "text",
+    ["", None, "one", "Unbelievably, it's 1234 words!  " * 400, LONG[:9_000], f"a b {LONG[:9_000]} c", CHINESE[:4_000],
+     "a<|endoftext|>b " * 900, "e\u0301" * 3_000, "\n\n", "\U0001f9ff\ud800" * 500, "\u0130\u03a3 " * 800],
+)
+def test_pieces_by_tokens(text, max_tokens):
+    tokens = counter(public_tokenizers.path(TOKENIZER))
+    spans = pk.cut_tokens(text, max_tokens, tokens)
+    whole = text or ""
+    assert "".join(whole[s:e] for s, e, _ in spans) == whole
+    assert [tokens.count(whole[s:e]) for s, e, _ in spans] == [n for _, _, n in spans]
+    assert all(n <= max_tokens or e - s == 1 for s, e, n in spans)
+    assert max_tokens < 64 or all(n >= 0.8 * max_tokens for _, _, n in spans[:-1])  # no needless pieces
+
+
+def test_long_texts_without_spaces_keep_the_budget(spark):
+    rows = [(1, LONG), (2, CHINESE), (3, "a few words"), (4, "unbelievably 1234567 " * 300)]
+    found = pk.pack(spark.createDataFrame(rows, "doc_id long, text string"), batch_tokens=8_192).collect()
+    assert all(r["n_tokens"] <= r["width"] <= pk.MAX_TOKENS for r in found)
+    assert {i: sum(r["doc_id"] == i for r in found) > 1 for i in range(1, 5)} == {1: True, 2: True, 3: False, 4: True}
+    held = {}
+    for r in found:
+        held[r["bucket"], r["batch"]] = held.get((r["bucket"], r["batch"]), 0) + r["width"]
+    assert max(held.values()) <= 8_192
+
+
 def test_batches(spark):
     rows = [(i % 90, "w " * (i * 7 % 40)) for i in range(900)] + [(None, None), (1, "")]
     df = spark.createDataFrame([(i, t, 0, "b") for i, t in rows], "doc_id long, text string, bucket int, batch string")
