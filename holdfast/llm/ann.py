@@ -13,9 +13,10 @@ one part are spread over blocks of about `ROWS_PER_BLOCK` and queries over chunk
 return are compared, those with the smallest identifiers: further ones come behind them in every answer.
 
 Nulls and edges: vectors that are null, empty or zero or hold null or non-finite components take no part,
-nor do rows without identifier, nor vectors whose length differs from that of most rows; rows with a
-query's identifier are its own; ties go to the smaller identifier; a query sees all candidates if there are
-fewer than asked for; an empty table gives an empty result; extra columns are not read.
+nor do rows without identifier; vectors of another length are a table of their own, with its own parts and
+network, and every query is compared with those of its length; of a repeated query identifier the smallest
+vector asks; rows with a query's identifier are its own; ties go to the smaller identifier; a query sees all
+candidates if there are fewer than asked for; an empty table gives an empty result; extra columns are not read.
 """
 
 from __future__ import annotations
@@ -44,6 +45,7 @@ QUERIES_PER_CHUNK = 4_096
 COMPARED_AT_ONCE = 256
 NEARLY = 1e-9
 SEED = 3
+FOUND = "query_id long, vec_id long, score double"
 
 
 def nearest_rows(points: np.ndarray, queries: np.ndarray, k: int) -> np.ndarray:
@@ -205,9 +207,7 @@ def usable_vectors(df: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     rows = df.select(
         F.col(f"`{id_col}`").cast("long").alias("vec_id"), F.col(f"`{vector_col}`").cast("array<double>").alias("vector")
     )
-    rows = rows.where(F.col("vec_id").isNotNull() & finite & F.exists(vector, lambda x: x != 0))
-    length = rows.groupBy(F.size("vector").alias("length")).count().orderBy(F.desc("count"), "length").first()
-    return rows.where(F.size("vector") == (length["length"] if length else 0))
+    return rows.where(F.col("vec_id").isNotNull() & finite & F.exists(vector, lambda x: x != 0))
 
 
 def few_of_each(vectors: DataFrame, k: int) -> DataFrame:
@@ -268,6 +268,43 @@ def best_in_block(queries: pd.DataFrame, rows: pd.DataFrame, k: int) -> Iterator
                 yield int(number), int(ids[close[at]]), float(exact[at])
 
 
+def nearest(vectors: DataFrame, asked: DataFrame, k: int, parts: int, recall: float) -> DataFrame:
+    """(query_id, vec_id, score) of the best rows of each part asked, for vectors of one length."""
+    router = fit_router(vectors, parts, recall, k)
+    if router is None:
+        return vectors.sparkSession.createDataFrame([], FOUND)
+    filed = staged(few_of_each(vectors, k).withColumn("part", part_of(F.col("vector"), router)))
+    counted = {r["part"]: r["count"] for r in filed.groupBy("part").count().collect()}  # a row per part
+    held = [counted.get(p, 0) for p in range(router.parts)]
+    asked = staged(asked.withColumn("parts", parts_asked(F.col("vector"), router, held, 2 * k + 2)))
+    asked = asked.select("vec_id", "vector", F.explode("parts").alias("part"))
+    asking = {r["part"]: r["count"] for r in asked.groupBy("part").count().collect()}  # a row per part
+    blocks = [max(1, -(-n // ROWS_PER_BLOCK)) for n in held]
+    chunks = [max(1, -(-asking.get(p, 0) // QUERIES_PER_CHUNK)) for p in range(router.parts)]
+
+    def of_part(values: list[int]) -> Column:
+        return F.element_at(F.array(*[F.lit(v) for v in values]), F.col("part") + 1)
+
+    def number(of: Column, values: list[int]) -> Column:
+        return F.pmod(of, of_part(values)).cast("int")
+
+    def every(values: list[int]) -> Column:
+        return F.explode(F.sequence(F.lit(0), of_part(values) - 1))
+
+    hashed = F.xxhash64("vec_id")
+    left = asked.withColumn("chunk", number(hashed, chunks)).withColumn("block", every(blocks))
+    right = filed.withColumn("block", number(hashed, blocks)).withColumn("chunk", every(chunks))
+
+    def compare(queries: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
+        best = list(best_in_block(queries, rows, k))
+        return pd.DataFrame(best, columns=["query_id", "vec_id", "score"]).astype(
+            {"query_id": "int64", "vec_id": "int64", "score": "float64"}
+        )
+
+    cell = ["part", "chunk", "block"]
+    return left.groupBy(cell).cogroup(right.groupBy(cell)).applyInPandas(compare, FOUND)
+
+
 def search(
     df: DataFrame,
     is_query: Column,
@@ -278,43 +315,13 @@ def search(
     vector_col: str = "embedding",
 ) -> DataFrame:
     """The k nearest rows of each query: query_id, rank, vec_id, score. `is_query` reads column vec_id."""
-    schema = "query_id long, vec_id long, score double"
     vectors = usable_vectors(df, id_col, vector_col)
-    router = fit_router(vectors, parts, recall, k)
-    if router is None:
-        found = df.sparkSession.createDataFrame([], schema)
-    else:
-        filed = staged(few_of_each(vectors, k).withColumn("part", part_of(F.col("vector"), router)))
-        counted = {r["part"]: r["count"] for r in filed.groupBy("part").count().collect()}  # a row per part
-        held = [counted.get(p, 0) for p in range(router.parts)]
-        asked = vectors.where(is_query).dropDuplicates(["vec_id"])
-        asked = staged(asked.withColumn("parts", parts_asked(F.col("vector"), router, held, 2 * k + 2)))
-        asked = asked.select("vec_id", "vector", F.explode("parts").alias("part"))
-        asking = {r["part"]: r["count"] for r in asked.groupBy("part").count().collect()}  # a row per part
-        blocks = [max(1, -(-n // ROWS_PER_BLOCK)) for n in held]
-        chunks = [max(1, -(-asking.get(p, 0) // QUERIES_PER_CHUNK)) for p in range(router.parts)]
-
-        def of_part(values: list[int]) -> Column:
-            return F.element_at(F.array(*[F.lit(v) for v in values]), F.col("part") + 1)
-
-        def number(of: Column, values: list[int]) -> Column:
-            return F.pmod(of, of_part(values)).cast("int")
-
-        def every(values: list[int]) -> Column:
-            return F.explode(F.sequence(F.lit(0), of_part(values) - 1))
-
-        hashed = F.xxhash64("vec_id")
-        left = asked.withColumn("chunk", number(hashed, chunks)).withColumn("block", every(blocks))
-        right = filed.withColumn("block", number(hashed, blocks)).withColumn("chunk", every(chunks))
-
-        def compare(queries: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
-            best = list(best_in_block(queries, rows, k))
-            return pd.DataFrame(best, columns=["query_id", "vec_id", "score"]).astype(
-                {"query_id": "int64", "vec_id": "int64", "score": "float64"}
-            )
-
-        cell = ["part", "chunk", "block"]
-        found = left.groupBy(cell).cogroup(right.groupBy(cell)).applyInPandas(compare, schema)
+    asked = vectors.where(is_query).groupBy("vec_id").agg(F.min("vector").alias("vector"))
+    size = F.size("vector")
+    found = df.sparkSession.createDataFrame([], FOUND)
+    for row in asked.select(size.alias("length")).distinct().orderBy("length").collect():  # a row per vector length
+        here = size == row["length"]
+        found = found.union(nearest(vectors.where(here), asked.where(here), k, parts, recall))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")

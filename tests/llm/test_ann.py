@@ -37,6 +37,18 @@ def test_edge_rows(spark):
     assert found(df.limit(0), F.lit(True)) == {}
 
 
+def test_vectors_of_every_length_are_searched(spark):
+    rng = np.random.default_rng(5)
+    rows = [(i, rng.standard_normal(3 if i % 3 == 0 else 4).tolist()) for i in range(60)]
+    df = spark.createDataFrame([(i, v, "s") for i, v in rows], SCHEMA)
+    queries = {0, 1, 3, 10}
+    expected = {}
+    for length in (3, 4):
+        expected |= brute([r for r in rows if len(r[1]) == length], queries, 5)
+    result = found(df, F.col("vec_id").isin(*queries), recall=1.0, parts=1)
+    assert {q: [i for i, _ in near] for q, near in result.items()} == {q: [i for i, _ in near] for q, near in expected.items()}
+
+
 def test_copies_and_ties(spark):
     rng = np.random.default_rng(1)
     common = rng.standard_normal(8).tolist()
