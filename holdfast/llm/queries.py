@@ -6,6 +6,7 @@ from holdfast.llm import (
     ann,
     exact_dedup,
     html_text,
+    merkle,
     packing,
     piece_codec,
     quality,
@@ -26,6 +27,7 @@ QUERIES = {
     "op8_suffix_pieces": piece_codec.query,
     "op9_nnpu_toxicity": toxicity.query,
     "op10_simhash": simhash_dedup.query,
+    "op13_merkle_witnesses": merkle.query,
 }
 
 # The others train a model or follow a procedure that SQL cannot express; their tests compare them with
@@ -33,4 +35,5 @@ QUERIES = {
 ORACLE = {
     "op3_url_vocabulary": url_filter.SQL,
     "op4_content_sort": exact_dedup.SQL,
+    "op13_merkle_witnesses": merkle.SQL,
 }
