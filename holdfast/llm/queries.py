@@ -14,6 +14,7 @@ from holdfast.llm import (
     token_counts,
     toxicity,
     url_filter,
+    whitening,
 )
 
 QUERIES = {
@@ -27,6 +28,7 @@ QUERIES = {
     "op8_suffix_pieces": piece_codec.query,
     "op9_nnpu_toxicity": toxicity.query,
     "op10_simhash": simhash_dedup.query,
+    "op11_refined_whitening": whitening.query,
     "op13_merkle_witnesses": merkle.query,
 }
 
