@@ -8,6 +8,7 @@ from holdfast.llm import (
     html_text,
     merkle,
     packing,
+    personal_data,
     piece_codec,
     quality,
     simhash_dedup,
@@ -29,6 +30,7 @@ QUERIES = {
     "op9_nnpu_toxicity": toxicity.query,
     "op10_simhash": simhash_dedup.query,
     "op11_refined_whitening": whitening.query,
+    "op12_bootstrapped_contexts": personal_data.query,
     "op13_merkle_witnesses": merkle.query,
 }
 
