@@ -27,16 +27,27 @@ def cast_numeric(df: DataFrame, numerical: list[str]) -> DataFrame:
     return df.withColumns({c: to_double(c) for c in present(df, numerical)})
 
 
-def normalise(df: DataFrame, numerical: list[str] = NUMERICAL_FEATURES) -> DataFrame:
-    """Trim, blank to null and numeric casts for all columns in one projection."""
+def normalised_columns(df: DataFrame, numerical: list[str] = NUMERICAL_FEATURES) -> dict[str, Column]:
+    """Each column trimmed, blank as null, cast where it is a number."""
     text = _text_columns(df)
     numbers = set(present(df, numerical))
 
     def cleaned(name: str) -> Column:
         value = clean_text(name) if name in text else F.col(name)
-        return (to_double(value) if name in numbers else value).alias(name)
+        return to_double(value) if name in numbers else value
+
+    return {name: cleaned(name) for name in df.columns}
+
+
+def normalise(df: DataFrame, numerical: list[str] = NUMERICAL_FEATURES) -> DataFrame:
+    """Trim, blank to null and numeric casts for all columns in one projection."""
+    return df.select(*[value.alias(name) for name, value in normalised_columns(df, numerical).items()])
+
 
-    return df.select(*[cleaned(c) for c in df.columns])
+def unreadable_numbers(df: DataFrame, numerical: list[str] = NUMERICAL_FEATURES) -> dict[str, Column]:
+    """For each number stored as text: whether it holds text that is no number."""
+    wanted = [c for c in present(df, numerical) if c in _text_columns(df)]
+    return {c: clean_text(c).isNotNull() & to_double(clean_text(c)).isNull() for c in wanted}
 
 
 def drop_missing_key(df: DataFrame, key: str = KEY) -> DataFrame:
@@ -59,17 +70,25 @@ def cleanse(df: DataFrame, numerical: list[str] = NUMERICAL_FEATURES, key: str =
 
 
 def cleanse_with_copies(
-    df: DataFrame, copies: str, numerical: list[str] = NUMERICAL_FEATURES, key: str = KEY
+    df: DataFrame,
+    copies: str,
+    numerical: list[str] = NUMERICAL_FEATURES,
+    key: str = KEY,
+    events: list[str] | None = None,
 ) -> DataFrame:
-    """`cleanse` that also counts, in column `copies`, the input rows behind every output row.
+    """`cleanse` that also counts, in column `copies`, the input rows behind every output row. `events` are boolean
+    columns that are no part of a row; each becomes the number of input rows in which it is true.
 
     Rows without a key fold into one all-null row, which the caller drops. The counts add up to the
     number of rows read, so the counts of a whole job come out of the pass that writes its result.
     Counting before the exchange instead would count rows again whenever a lost executor makes Spark
     repeat part of that stage.
     """
-    clean = normalise(df, numerical)
-    columns = clean.columns
-    if key in columns:
-        clean = clean.select(*[F.when(F.col(key).isNotNull(), F.col(c)).alias(c) for c in columns])
-    return clean.groupBy(*columns).agg(F.count(F.lit(1)).alias(copies))
+    events = events or []
+    values = normalised_columns(df.drop(*events), numerical)
+    clean = df.select(*[value.alias(name) for name, value in values.items()], *events)
+    if key in values:
+        keyed = [F.when(F.col(key).isNotNull(), F.col(c)).alias(c) for c in values]
+        clean = clean.select(*keyed, *events)
+    counts = [F.count_if(name).alias(name) for name in events]
+    return clean.groupBy(*values).agg(F.count(F.lit(1)).alias(copies), *counts)

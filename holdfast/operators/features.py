@@ -13,6 +13,7 @@ from holdfast.operators.categories import category_labels, index_stages, one_hot
 from holdfast.schema import (
     CATEGORICAL_FEATURES,
     COMPLAINTS,
+    COMPLAINTS_UNREADABLE,
     DERIVED_FEATURES,
     FEATURE_PROJECTION,
     LABEL,
@@ -29,7 +30,10 @@ def derived_columns(schema: StructType) -> dict[str, str]:
     derived = {}
     if "MonthlyCharges" in schema.fieldNames():
         derived["avg_daily_charge"] = daily_charge_sql("MonthlyCharges")
-    return derived | {"complaints_90d": count_or_zero_sql(schema, COMPLAINTS)}
+    complaints = count_or_zero_sql(schema, COMPLAINTS)
+    if COMPLAINTS_UNREADABLE in schema.fieldNames():
+        complaints = f"CASE WHEN `{COMPLAINTS_UNREADABLE}` THEN NULL ELSE {complaints} END"
+    return derived | {"complaints_90d": complaints}
 
 
 def derive_sql(schema: StructType, name: str = "telco") -> str:
@@ -39,7 +43,8 @@ def derive_sql(schema: StructType, name: str = "telco") -> str:
 
 
 def derive_features(df: DataFrame) -> DataFrame:
-    """All columns plus the daily charge and the complaint count (0 where null or not recorded)."""
+    """All columns plus the daily charge and the complaint count: 0 where null or not recorded, missing where a
+    cleansed table marks it as unreadable."""
     return df.withColumns({column: F.expr(text) for column, text in derived_columns(df.schema).items()})
 
 

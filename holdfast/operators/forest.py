@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from holdfast.schema import FOREST_SUFFIX, MAX_DEPTH, MODEL_NAME, NUM_TREES, PREPROCESSING_SUFFIX, SEED
 from holdfast.sources.files import table_path
+from holdfast.sources.versions import current_path, replacing
 
 
 def train_forest(
@@ -61,13 +62,15 @@ def model_paths(models_base: str, name: str = MODEL_NAME) -> tuple[str, str]:
 def save_models(
     models_base: str, preprocessing: PipelineModel, forest: PipelineModel, name: str = MODEL_NAME
 ) -> tuple[str, str]:
-    """Write both fitted models, replacing older ones; returns their paths."""
-    paths = model_paths(models_base, name)
-    for model, path in zip((preprocessing, forest), paths):
-        model.write().overwrite().save(path)
+    """Write both fitted models, replacing older ones once both are complete; returns their paths."""
+    spark, paths = SparkSession.active(), model_paths(models_base, name)
+    with replacing(spark, paths[0]) as first, replacing(spark, paths[1]) as second:
+        preprocessing.save(first)
+        forest.save(second)
     return paths
 
 
 def load_models(models_base: str, name: str = MODEL_NAME) -> tuple[PipelineModel, PipelineModel]:
-    preprocessing, forest = (PipelineModel.load(path) for path in model_paths(models_base, name))
+    spark = SparkSession.active()
+    preprocessing, forest = (PipelineModel.load(current_path(spark, p)) for p in model_paths(models_base, name))
     return preprocessing, forest

@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from collections.abc import Mapping
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import MapType, StringType, StructType
 
 from holdfast.functions.columns import present
 from holdfast.schema import KEY, LABEL
-from holdfast.sources.files import load_cleaned, write_parquet
+from holdfast.sources.files import write_parquet
+
+# A content digest is kept for each of so many groups of partition values, to tell where a difference lies.
+DIGEST_SLOTS = 8
 
 REPORT_SCHEMA = "column STRING, expected STRING, actual STRING, status STRING"
 
@@ -72,20 +77,75 @@ def reconcile(written: int, read_back: DataFrame) -> int:
     return found
 
 
+def _hashable(df: DataFrame, partition_cols: list[str]) -> dict[str, Column]:
+    """The columns as they can be hashed, and as they come back: a blank partition value comes back as null."""
+
+    def value(name: str) -> Column:
+        kind, column = df.schema[name].dataType, F.col(f"`{name}`")
+        if isinstance(kind, MapType):
+            return F.map_entries(column)
+        return F.nullif(column, F.lit("")) if name in partition_cols and isinstance(kind, StringType) else column
+
+    return {name: value(name) for name in sorted(df.columns)}
+
+
+def content_digest(df: DataFrame, partition_cols: list[str] | None = None) -> list[Column]:
+    """Aggregates that tell a table's content, whatever the order of its rows and columns: per group of partition
+    values the number of rows, the sum of a 64-bit hash of the whole row and the exclusive or of another one.
+
+    A changed, lost, repeated or swapped value changes them, unless two hashes of 64 bits agree by chance.
+    """
+    partition_cols = partition_cols or []
+    values = _hashable(df, partition_cols)
+    first, second = F.xxhash64(*values.values()), F.xxhash64(F.lit("again"), *values.values())
+    slot = F.pmod(F.xxhash64(*[values[c] for c in partition_cols]), F.lit(DIGEST_SLOTS)) if partition_cols else F.lit(0)
+    found = []
+    for at in range(DIGEST_SLOTS if partition_cols else 1):
+        here = slot == at
+        found += [
+            F.count_if(here).alias(f"rows_{at}"),
+            F.sum(F.when(here, first.cast("decimal(38,0)"))).alias(f"sum_{at}"),
+            F.bit_xor(F.when(here, second)).alias(f"xor_{at}"),
+        ]
+    return found
+
+
+def reconcile_content(
+    written: Mapping[str, object], read_back: DataFrame, partition_cols: list[str] | None = None
+) -> int:
+    """Number of rows in the table read back; raises unless its digest is the one observed at the write."""
+    found = read_back.agg(*content_digest(read_back, partition_cols)).first().asDict()
+    slots = range(DIGEST_SLOTS if partition_cols else 1)
+    rows, rows_found = (sum(digest[f"rows_{at}"] or 0 for at in slots) for digest in (written, found))
+    if rows != rows_found:
+        raise ReconciliationError(f"{rows} rows written, {rows_found} read back")
+    differ = [at for at in slots if any((written[f"{k}_{at}"] or 0) != (found[f"{k}_{at}"] or 0) for k in ("rows", "sum", "xor"))]
+    if differ:
+        where = ""
+        if partition_cols:
+            slot = F.pmod(F.xxhash64(*[_hashable(read_back, partition_cols)[c] for c in partition_cols]), F.lit(DIGEST_SLOTS))
+            some = read_back.where(slot.isin(differ)).select(*partition_cols).distinct().limit(5).collect()
+            where = f" in partitions like {', '.join(str(tuple(r)) for r in some) or 'none that is left'}"
+        raise ReconciliationError(f"{rows} rows read back, but not the content that was written{where}")
+    return rows_found
+
+
 def write_reconciled(
     df: DataFrame, output_dir: str, table_name: str, partition_cols: list[str] | None = None
 ) -> tuple[str, int, int]:
-    """Write the table, count its rows in the same pass, read it back and compare.
-
-    Returns (path, rows written, rows read back).
+    """Write the table, taking its rows' digest in the same pass, read it back and compare, all before the old table
+    is replaced. Returns (path, rows written, rows read back).
     """
-    counted = Observation(table_name)
-    path = write_parquet(
-        df.observe(counted, F.count(F.lit(1)).alias("rows")), output_dir, table_name, partition_cols
-    )
-    written = counted.get["rows"]
-    found = reconcile(written, load_cleaned(df.sparkSession, output_dir, df.schema, table_name))
-    return path, written, found
+    digest = Observation(table_name)
+    found = []
+
+    def verify(folder: str) -> None:
+        table = df.sparkSession.read.schema(df.schema).parquet(folder)
+        found.append(reconcile_content(digest.get, table, partition_cols))
+
+    observed = df.observe(digest, *content_digest(df, partition_cols))
+    path = write_parquet(observed, output_dir, table_name, partition_cols, verify)
+    return path, found[0], found[0]
 
 
 def preview(df: DataFrame, rows: int = 5, order_by: list[str] | None = None) -> DataFrame:

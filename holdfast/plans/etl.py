@@ -2,18 +2,19 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Observation, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import BooleanType, StringType, StructField, StructType
 
 from holdfast.cluster import input_bytes, is_inside, matches, qualified, sized_for
-from holdfast.operators.cleansing import cleanse_with_copies
-from holdfast.operators.quality import SchemaError, check_schema, preview, reconcile
+from holdfast.operators.cleansing import cleanse_with_copies, unreadable_numbers
+from holdfast.operators.quality import SchemaError, check_schema, content_digest, preview, reconcile_content
 from holdfast.schema import (
     CLEANED_TABLE,
     COMPLAINTS,
+    COMPLAINTS_UNREADABLE,
     KEY,
     LABEL,
     NUMERICAL_FEATURES,
@@ -21,9 +22,11 @@ from holdfast.schema import (
     cleaned_schema,
     with_complaints,
 )
-from holdfast.sources.files import csv_header, load_cleaned, read_csv, table_path, write_parquet
+from holdfast.sources.files import csv_header, read_csv_marked, table_path, write_parquet
 
 _COPIES = "_copies"
+# Beside the columns read: the names of those whose text could not be read.
+UNREADABLE = "_unreadable"
 
 
 @dataclass(frozen=True)
@@ -40,6 +43,20 @@ class EtlReport:
     columns_checked: int
     changed_types: list[str]
     sample: list[Row]
+    unreadable: dict[str, int] = field(default_factory=dict)  # per column: fields that held text and became null
+    malformed_rows: int = 0  # with such a field, or with too few or too many fields
+
+
+def _account(raw: DataFrame, numerical: list[str]) -> tuple[DataFrame, dict[str, Column], list[str]]:
+    """The rows without the mark of what was unreadable, what to count of it per column, and these columns."""
+    text_numbers = unreadable_numbers(raw, numerical)
+    if UNREADABLE not in raw.columns:
+        return raw, {f"{UNREADABLE}_{c}": lost for c, lost in text_numbers.items()}, list(text_numbers)
+    typed = [f.name for f in raw.schema.fields if not isinstance(f.dataType, StringType) and f.name != UNREADABLE]
+    lost = {c: F.coalesce(F.array_contains(UNREADABLE, c), F.lit(False)) for c in typed} | text_numbers
+    if COMPLAINTS in typed:
+        raw = raw.withColumn(COMPLAINTS_UNREADABLE, F.when(lost[COMPLAINTS], F.lit(True)))
+    return raw, {f"{UNREADABLE}_{c}": condition for c, condition in lost.items()}, list(lost)
 
 
 def cleanse_counted(
@@ -56,15 +73,28 @@ def cleanse_counted(
     no_label = F.col(label).isNull() if label in raw.columns else F.lit(False)
     copies = F.col(_COPIES)
     figures = Observation("cleanse")
-    observed = cleanse_with_copies(raw, _COPIES, numerical, key).observe(
+    rows, events, _ = _account(raw, numerical)
+    if UNREADABLE in raw.columns:
+        events["malformed"] = F.col(UNREADABLE).isNotNull()
+    columns = [c for c in rows.columns if c != UNREADABLE]
+    observed = _cleansed(rows, columns, numerical, key, events).observe(
         figures,
         F.sum(copies).alias("read"),
         F.sum(F.when(~has_key, copies)).alias("without_key"),
         F.sum(F.when(has_key, copies - 1)).alias("duplicates"),
         F.count_if(has_key).alias("written"),
         F.count_if(has_key & no_label).alias("null_labels"),
+        *[F.sum(name).alias(name) for name in events],
     )
-    return observed.filter(has_key).drop(_COPIES), figures
+    return observed.filter(has_key).select(*columns), figures
+
+
+def _cleansed(
+    rows: DataFrame, columns: list[str], numerical: list[str], key: str, events: dict[str, Column]
+) -> DataFrame:
+    """The rows' `columns` cleansed; the events may be conditions on others as well."""
+    marks = [condition.alias(name) for name, condition in events.items()]
+    return cleanse_with_copies(rows.select(*columns, *marks), _COPIES, numerical, key, list(events))
 
 
 def refuse_own_output(spark: SparkSession, input_path: str, target: str) -> None:
@@ -93,11 +123,15 @@ def run_etl(
     label: str = LABEL,
     table_name: str = CLEANED_TABLE,
 ) -> EtlReport:
-    """Read, cleanse, write partitioned by the label, read back and compare row counts.
+    """Read, cleanse, write partitioned by the label, read back and compare rows and content.
 
     Without a schema the declared customer table is expected, with the complaint count if the header has
     it. A header that differs, or a column stored with another type than meant, raises.
 
+    The old table, if there is one, is replaced once the new one has passed all checks; a run that fails leaves it.
+    Fields whose text cannot be read are null, counted in the report by column, and an unreadable complaint count
+    is marked, so that it is not taken for none.
+
     The input is read once: every count comes out of the pass that writes the table, from the tasks
     whose output is committed, so repeated tasks do not add to them.
     """
@@ -109,31 +143,47 @@ def run_etl(
     if header:
         check_header(header, schema)
     partition_cols = [label] if label in schema.fieldNames() else []
-    written_schema = cleaned_schema(schema, numerical, partition_cols)
+    stored = schema
+    if COMPLAINTS in schema.fieldNames() and not isinstance(schema[COMPLAINTS].dataType, StringType):
+        stored = StructType([*schema.fields, StructField(COMPLAINTS_UNREADABLE, BooleanType())])
+    written_schema = cleaned_schema(stored, numerical, partition_cols)
+    expected = StructType([f for f in schema.fields if f.name not in partition_cols])
     data_columns = StructType([f for f in written_schema.fields if f.name not in partition_cols])
 
+    found: list[int] = []
+    changed: list[str] = []
+    sample: list[Row] = []
+
     with sized_for(spark, input_bytes(spark, input_path)):
-        raw = read_csv(spark, input_path, schema, check_header=True)
+        raw = read_csv_marked(spark, input_path, schema, UNREADABLE, check_header=True)
         clean, figures = cleanse_counted(raw, numerical, key, label)
-        write_parquet(clean, output_base, table_name, partition_cols)
-        seen = {name: value or 0 for name, value in figures.get.items()}
-        table = load_cleaned(spark, output_base, written_schema, table_name)
-        found = reconcile(seen["written"], table)
-        in_files = spark.read.parquet(target).schema if found else data_columns
-        wrong = check_schema(in_files, data_columns)
-        if wrong:
-            raise SchemaError(f"stored with another type than declared: {', '.join(wrong)}")
-        sample = preview(table).collect()
-    expected = StructType([f for f in schema.fields if f.name not in partition_cols])
+        content = Observation("content")
+
+        def verify(folder: str) -> None:
+            """The new table, before it replaces the old one."""
+            table = spark.read.schema(written_schema).parquet(folder)
+            in_files = spark.read.parquet(folder).schema if figures.get["written"] else data_columns
+            wrong = check_schema(in_files, data_columns)
+            if wrong:
+                raise SchemaError(f"stored with another type than declared: {', '.join(wrong)}")
+            found.append(reconcile_content(content.get, table, partition_cols))
+            changed.extend(check_schema(in_files, expected))
+            sample.extend(preview(table).collect())
+
+        observed = clean.observe(content, *content_digest(clean, partition_cols))
+        write_parquet(observed, output_base, table_name, partition_cols, verify)
+    seen = {name: value or 0 for name, value in figures.get.items()}
     return EtlReport(
         path=target,
         rows_read=seen["read"],
         rows_without_key=seen["without_key"],
         duplicate_rows=seen["duplicates"],
         rows_written=seen["written"],
-        rows_read_back=found,
+        rows_read_back=found[0],
         null_labels=seen["null_labels"],
         columns_checked=len(expected.fields),
-        changed_types=check_schema(in_files, expected),
+        changed_types=changed,
         sample=sample,
+        unreadable={name: seen[f"{UNREADABLE}_{name}"] for name in _account(raw, numerical)[2]},
+        malformed_rows=seen["malformed"],
     )

@@ -61,7 +61,7 @@ def train_churn(
     `layout_tasks` the training rows are first dealt out over that many tasks by their content alone: the
     forest is then the same on any cluster, for one exchange of the training rows.
     """
-    cleaned = load_cleaned(spark, cleaned_base, with_complaints(schema), table_name)
+    cleaned = load_cleaned(spark, cleaned_base, with_complaints(schema, marked=True), table_name)
     labelled = index_label(derive_features(cleaned))
     if split:
         train, test = split(labelled)

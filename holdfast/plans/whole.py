@@ -12,7 +12,6 @@ from holdfast.plans.training import TrainReport, train_churn
 from holdfast.schema import (
     CLEANED_SCHEMA,
     CLEANED_TABLE,
-    COMPLAINTS,
     COUNTED_TABLE,
     KEY,
     LABEL,
@@ -26,7 +25,6 @@ def count_complaints(
     """Write the cleansed table with the complaint counts of an event table; returns the new table's path."""
     customers = load_cleaned(spark, cleaned_base, CLEANED_SCHEMA)
     counted = add_complaints(customers, complaint_counts(events, until), KEY)
-    counted = counted.withColumn(COMPLAINTS, counted[COMPLAINTS].cast("int"))
     return write_parquet(counted, cleaned_base, table_name, [LABEL])
 
 

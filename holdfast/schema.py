@@ -2,7 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql.types import DataType, DoubleType, IntegerType, StringType, StructField, StructType
+from pyspark.sql.types import (
+    BooleanType,
+    DataType,
+    DoubleType,
+    IntegerType,
+    LongType,
+    StringType,
+    StructField,
+    StructType,
+)
 
 # Column names, types, groups, names of outputs and model settings.
 KEY = "customerID"
@@ -97,11 +106,17 @@ def cleaned_schema(
     return StructType([fields[n] for n in order])
 
 
-def with_complaints(schema: StructType) -> StructType:
-    """The same schema plus the optional complaint count."""
-    if COMPLAINTS in schema.fieldNames():
-        return schema
-    return StructType([*schema.fields, StructField(COMPLAINTS, IntegerType(), True)])
+# Says of a cleansed row that its complaint count was text that is no number; null for all others.
+COMPLAINTS_UNREADABLE = f"{COMPLAINTS}Unreadable"
+
+
+def with_complaints(schema: StructType, marked: bool = False) -> StructType:
+    """The same schema plus the optional complaint count, and with `marked` the mark of unreadable ones that
+    a cleansed table has beside it."""
+    wanted = [StructField(COMPLAINTS, LongType(), True)]
+    if marked:
+        wanted.append(StructField(COMPLAINTS_UNREADABLE, BooleanType(), True))
+    return StructType([*schema.fields, *(f for f in wanted if f.name not in schema.fieldNames())])
 
 
 TELCO_SCHEMA = _schema(TELCO_COLUMNS)

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from holdfast.schema import CLEANED_SCHEMA, CLEANED_TABLE
+from holdfast.sources.versions import current_path, replacing
 
 
 def table_path(base: str, name: str) -> str:
@@ -24,6 +28,41 @@ def read_csv(spark: SparkSession, path: str, schema: StructType, check_header: b
     )
 
 
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def read_csv_marked(
+    spark: SparkSession, path: str, schema: StructType, mark: str, check_header: bool = False
+) -> DataFrame:
+    """`read_csv` with a further column `mark`: null for a line that was read as it stands, else the names of the
+    columns whose field held text and became null. The array is empty if only the number of fields is wrong.
+
+    The same pass: Spark hands out the text of the lines it could not read in full, and only these are taken apart
+    once more, as text.
+    """
+    line = f"{mark}_line"
+    raw = spark.read.csv(
+        path,
+        schema=StructType([*schema.fields, StructField(line, StringType())]),
+        header=True,
+        mode="PERMISSIVE",
+        multiLine=False,
+        enforceSchema=not check_header,
+        columnNameOfCorruptRecord=line,
+    )
+    texts = F.from_csv(F.col(line), ", ".join(f"{_quoted(name)} STRING" for name in schema.fieldNames()))
+
+    def lost(name: str) -> Column:
+        text = texts.getField(name)
+        return F.when(F.col(_quoted(name)).isNull() & (F.trim(text) != ""), F.lit(name))
+
+    typed = [f.name for f in schema.fields if not isinstance(f.dataType, StringType)]
+    names = F.array(*[lost(name) for name in typed]).cast("array<string>")
+    marked = F.when(F.col(line).isNotNull(), F.array_compact(names))
+    return raw.select(*[F.col(_quoted(name)) for name in schema.fieldNames()], marked.alias(mark))
+
+
 def csv_header(spark: SparkSession, path: str) -> list[str]:
     """The column names in the first file; empty if there is none."""
     first = spark.read.option("header", False).csv(path).limit(1).collect()
@@ -31,16 +70,27 @@ def csv_header(spark: SparkSession, path: str) -> list[str]:
 
 
 def write_parquet(
-    df: DataFrame, output_dir: str, table_name: str, partition_cols: list[str] | None = None
+    df: DataFrame,
+    output_dir: str,
+    table_name: str,
+    partition_cols: list[str] | None = None,
+    verify: Callable[[str], None] | None = None,
+    settle: bool = True,
 ) -> str:
     """Replace the table `output_dir/table_name`; returns its path.
 
+    The old table is there until the new one is complete and `verify`, which is given the folder with the new
+    one, has not raised; `load_cleaned` reads a whole table at any time (see `versions`). Other readers find it
+    at the returned path, unless `settle` is false.
+
     With partition columns every task writes its own file per value: no exchange by a low-cardinality
-    column, which would put a whole value into one task. All old partitions go, listed or not. The
-    path must not be one that `df` reads.
+    column, which would put a whole value into one task. All old partitions go, listed or not.
     """
     path = table_path(output_dir, table_name)
-    df.write.parquet(path, mode="overwrite", partitionBy=partition_cols or None)
+    with replacing(df.sparkSession, path, settle) as folder:
+        df.write.parquet(folder, partitionBy=partition_cols or None)
+        if verify:
+            verify(folder)
     return path
 
 
@@ -51,4 +101,4 @@ def load_cleaned(
     table_name: str = CLEANED_TABLE,
 ) -> DataFrame:
     """The cleansed table with its declared schema, so that partition values keep their type."""
-    return spark.read.schema(schema).parquet(table_path(base_path, table_name))
+    return spark.read.schema(schema).parquet(current_path(spark, table_path(base_path, table_name)))

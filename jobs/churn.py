@@ -23,7 +23,7 @@ from holdfast.sources import load_cleaned
 
 
 def score_cleaned(spark: SparkSession, cleaned_base: str, models_base: str) -> str:
-    customers = load_cleaned(spark, cleaned_base, with_complaints(CLEANED_SCHEMA))
+    customers = load_cleaned(spark, cleaned_base, with_complaints(CLEANED_SCHEMA, marked=True))
     return score_table(customers, models_base, cleaned_base)
 
 
