@@ -54,7 +54,7 @@ _NUMBER_SLOTS = "\nUNION ALL\n".join(
 )
 _NUMBER_FACTS = "\nUNION ALL\n".join(
     f"SELECT '{name}' AS column_name, count({n}) AS present, count(*) - count({n}) AS missing,"
-    f" true AS is_median FROM train"
+    f" CAST(quantile_disc({n}, 0.5) AS DOUBLE) AS median FROM train"
     for name, n in zip((*NUMERICAL_FEATURES, *DERIVED_FEATURES), _NUMBERS)
 )
 
@@ -169,6 +169,46 @@ ORACLE: dict[str, str] = {
     "telco_schema_check": f"""
         WITH {DIRTY_TELCO_SQL} {_TELCO_REPORT}""",
     "write_and_reconcile": "SELECT count(*) AS rows_written, count(*) AS rows_read_back FROM orders",
+    "replaced_table": "SELECT * FROM orders CROSS JOIN (VALUES (true), (false)) AS s(settled)",
+    "content_differences": """
+        SELECT table_name, count(*) AS row_count, any_value(same) AS same FROM orders
+        CROSS JOIN (VALUES ('read back', true), ('swapped', false), ('twice', false), ('moved', false)) AS t(table_name, same)
+        GROUP BY table_name""",
+    "unreadable_fields": """
+        SELECT 'SeniorCitizen' AS column_name, CAST(0 AS BIGINT) AS unreadable
+        UNION ALL SELECT 'tenure', count(*) FILTER (WHERE c_custkey % 4 < 2) FROM customer
+        UNION ALL SELECT 'MonthlyCharges', count(*) FILTER (WHERE c_custkey % 5 = 0) FROM customer
+        UNION ALL SELECT 'TotalCharges', 0
+        UNION ALL SELECT 'NumComplaints90Days', count(*) FILTER (WHERE c_custkey % 6 IN (0, 1, 5)) FROM customer""",
+    "unreadable_complaints": """
+        SELECT CAST(c_custkey AS VARCHAR) AS "customerID",
+               CASE c_custkey % 6 WHEN 2 THEN 3000000000 WHEN 3 THEN 0 WHEN 4 THEN 7 END AS complaints_90d,
+               CASE WHEN c_custkey % 4 >= 2 THEN CAST(12 AS DOUBLE) END AS tenure,
+               CASE WHEN c_custkey % 5 > 0 THEN CAST(20.5 AS DOUBLE) END AS "MonthlyCharges" FROM customer""",
+    "random_split_sides": """
+        WITH k AS (SELECT CASE WHEN l_orderkey % 3 > 0 THEN l_orderkey END AS k, l_returnflag FROM lineitem),
+        t AS (SELECT *, row_number() OVER (PARTITION BY k, l_returnflag) - 1 AS n,
+                     coalesce(length(CAST(k AS VARCHAR)) || ':' || CAST(k AS VARCHAR), '-')
+                     || length(l_returnflag) || ':' || l_returnflag AS row_text FROM k),
+        s AS (SELECT k, l_returnflag, CASE WHEN CAST('0x' || substr(md5('42 ' || n || ' ' || row_text), 1, 8) AS BIGINT)
+                     < 3435973837 THEN 'train' ELSE 'test' END AS side FROM t)
+        SELECT k, l_returnflag, count(*) AS copies, side, layout
+        FROM s CROSS JOIN (VALUES ('few'), ('many')) AS l(layout) GROUP BY k, l_returnflag, side, layout""",
+    "exact_medians_by_column": """
+        WITH l AS (SELECT l_extendedprice, l_quantity, CASE WHEN l_orderkey % 3 > 0 THEN l_tax END AS l_tax,
+                          pow(CAST(10 AS DOUBLE), l_linenumber * 40 - 150) * l_partkey AS spread FROM lineitem)
+        SELECT 'l_extendedprice' AS column_name, CAST(quantile_disc(l_extendedprice, 0.5) AS DOUBLE) AS median FROM l
+        UNION ALL SELECT 'l_quantity', quantile_disc(l_quantity, 0.5) FROM l
+        UNION ALL SELECT 'l_tax', quantile_disc(l_tax, 0.5) FROM l
+        UNION ALL SELECT 'spread', quantile_disc(spread, 0.5) FROM l""",
+    "area_by_price": """
+        WITH s AS (SELECT CASE WHEN l_orderkey % 3 = 0 THEN CAST(0 AS DOUBLE) ELSE l_extendedprice END AS score,
+                          l_returnflag = 'R' AS hit FROM lineitem),
+        r AS (SELECT hit, rank() OVER (ORDER BY score) + (count(*) OVER (PARTITION BY score) - 1) / CAST(2.0 AS DOUBLE) AS r
+              FROM s),
+        t AS (SELECT sum(r) FILTER (WHERE hit) AS rank_sum, CAST(count(*) FILTER (WHERE hit) AS DOUBLE) AS pos,
+                     CAST(count(*) FILTER (WHERE NOT hit) AS DOUBLE) AS neg FROM r)
+        SELECT round((rank_sum - pos * (pos + 1) / 2) / (pos * neg), 12) AS area FROM t""",
     "preview_rows": "SELECT * FROM orders ORDER BY o_orderkey LIMIT 5",
     "complaint_count": """
         SELECT c_custkey, n AS "NumComplaints90Days" FROM customer LEFT JOIN (

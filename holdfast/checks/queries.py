@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 from collections.abc import Callable
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -62,9 +63,14 @@ from holdfast.operators.forest import (
     score,
     train_forest,
 )
+from holdfast.operators.medians import exact_medians
 from holdfast.operators.quality import (
+    ReconciliationError,
+    content_digest,
     null_counts,
     preview,
+    reconcile,
+    reconcile_content,
     row_count,
     rows_with_null,
     schema_report,
@@ -332,6 +338,51 @@ def write_and_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame([(written, found)], "rows_written LONG, rows_read_back LONG")
 
 
+def replaced_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table after a replacement that went through and one whose rows were written, but refused; with versions
+    left where they were written and with versions moved."""
+    orders, base, found = table(spark, sf_dir, "orders"), scratch_dir(spark), []
+
+    def refuse(folder: str) -> None:
+        reconcile(-1, spark.read.parquet(folder))
+
+    for settle in (True, False):
+        name = f"orders_{settle}"
+        write_parquet(orders.where("o_orderkey % 2 = 0"), base, name, settle=settle)
+        write_parquet(orders, base, name, ["o_orderstatus"], settle=settle)
+        with contextlib.suppress(ReconciliationError):
+            write_parquet(orders.where("o_orderkey % 2 = 1"), base, name, verify=refuse, settle=settle)
+        found.append(load_cleaned(spark, base, orders.schema, name).select(*orders.columns, F.lit(settle).alias("settled")))
+    return found[0].unionByName(found[1])
+
+
+def content_differences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the digest taken at the write says of the table read back, and of tables with as many rows in which two
+    rows have swapped a value, one row stands twice, or a row has another partition value."""
+    orders = table(spark, sf_dir, "orders")
+    parts = ["o_orderstatus"]
+    seen = orders.agg(*content_digest(orders, parts)).first().asDict()
+    base = scratch_dir(spark)
+    write_reconciled(orders, base, "orders_copy", parts)
+    first = orders.agg(F.min(F.struct("o_orderkey", "o_custkey")), F.max(F.struct("o_orderkey", "o_custkey"))).first()
+    key = F.col("o_orderkey")
+    low, high = (F.lit(r["o_orderkey"]) for r in first)
+    swapped = F.when(key == low, F.lit(first[1]["o_custkey"])).when(key == high, F.lit(first[0]["o_custkey"]))
+    tables = {
+        "read back": load_cleaned(spark, base, orders.schema, "orders_copy"),
+        "swapped": orders.withColumn("o_custkey", F.coalesce(swapped, "o_custkey")),
+        "twice": orders.where(key != high).unionByName(orders.where(key == low)),
+        "moved": orders.withColumn("o_orderstatus", F.when(key == low, "?").otherwise(F.col("o_orderstatus"))),
+    }
+    facts = []
+    for name, df in tables.items():
+        try:
+            facts.append((name, reconcile_content(seen, df, parts), True))
+        except ReconciliationError:
+            facts.append((name, df.count(), False))
+    return spark.createDataFrame(facts, "table_name STRING, row_count LONG, same BOOLEAN")
+
+
 def preview_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return preview(table(spark, sf_dir, "orders"), 5, ["o_orderkey"])
 
@@ -385,7 +436,7 @@ def cleaned_base(spark: SparkSession, sf_dir: str) -> str:
 
 
 def _derived_from(spark: SparkSession, base: str) -> DataFrame:
-    return derive_features(load_cleaned(spark, base, with_complaints(CLEANED_SCHEMA)))
+    return derive_features(load_cleaned(spark, base, with_complaints(CLEANED_SCHEMA, marked=True)))
 
 
 def _derived(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -414,21 +465,18 @@ def assembled_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def imputed_medians(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per number: training rows with and without a value, and whether the fill value's rank is within
-    the error of the approximate median (a thousandth of the rows)."""
+    """Per number: training rows with and without a value, and the fill value."""
     train, _ = hash_split(_derived(spark, sf_dir))
     fills = training_medians(train, [*NUMERICAL_FEATURES, *DERIVED_FEATURES])
     facts = []
     for name in (*NUMERICAL_FEATURES, *DERIVED_FEATURES):
-        value, fill = finite_or_null(name), F.lit(fills[name])
-        half, error = F.count(value) * 0.5, F.count(value) * 0.001 + 1
-        within = (F.count_if(value < fill) <= half + error) & (F.count_if(value <= fill) >= half - error)
+        value = finite_or_null(name)
         facts.append(
             F.struct(
                 F.lit(name).alias("column_name"),
                 F.count(value).alias("present"),
                 F.count_if(value.isNull()).alias("missing"),
-                within.alias("is_median"),
+                F.lit(fills[name]).alias("median"),
             )
         )
     return train.agg(F.array(*facts).alias("facts")).select(F.inline("facts"))
@@ -449,6 +497,35 @@ def hash_split_ratios(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sides[0].unionByName(sides[1]).unionByName(sides[2])
 
 
+def random_split_sides(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The side of every row, and of every copy of rows that repeat, in two layouts."""
+    keys = table(spark, sf_dir, "lineitem").select(F.when(F.col("l_orderkey") % 3 > 0, F.col("l_orderkey")).alias("k"), "l_returnflag")
+    found = []
+    for name, df in (("few", keys.coalesce(2)), ("many", keys.repartition(13, "l_returnflag", "k"))):
+        for side, rows in zip(("train", "test"), random_split(df), strict=True):
+            counted = rows.groupBy("k", "l_returnflag").agg(F.count(F.lit(1)).alias("copies"))
+            found.append(counted.withColumn("side", F.lit(side)).withColumn("layout", F.lit(name)))
+    return found[0].unionByName(found[1]).unionByName(found[2]).unionByName(found[3])
+
+
+def exact_medians_by_column(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact medians of columns with ties, holes and a wide spread, all at once."""
+    lines = table(spark, sf_dir, "lineitem").select(
+        "l_extendedprice",
+        "l_quantity",
+        F.when(F.col("l_orderkey") % 3 > 0, F.col("l_tax")).alias("l_tax"),
+        F.expr("pow(10.0D, l_linenumber * 40 - 150) * l_partkey").alias("spread"),
+    )
+    return spark.createDataFrame(list(exact_medians(lines, lines.columns).items()), "column_name STRING, median DOUBLE")
+
+
+def area_by_price(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact area under ROC over all lines, a third of which share one score."""
+    score = F.when(F.col("l_orderkey") % 3 == 0, 0.0).otherwise(F.col("l_extendedprice"))
+    lines = table(spark, sf_dir, "lineitem").select(score.alias("score"), (F.col("l_returnflag") == "R").cast("double").alias("label"))
+    return spark.createDataFrame([(round(area_under_roc(lines, "score"), 12),)], "area DOUBLE")
+
+
 def random_split_cover(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whatever the sides are, every row is on exactly one of them."""
     train, test = random_split(table(spark, sf_dir, "orders").select("o_orderkey"))
@@ -600,6 +677,39 @@ def etl_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load_cleaned(spark, base)
 
 
+ODD_COUNTS = ("abc", "2.0", "3000000000", "", "7", "x1")
+
+
+def _odd_lines(spark: SparkSession, sf_dir: str) -> str:
+    """A customer file with unreadable, large, fractional and blank complaint counts, and some unreadable charges."""
+    k = F.col("c_custkey")
+    counts = F.element_at(F.array(*[F.lit(text) for text in ODD_COUNTS]), (k % len(ODD_COUNTS) + 1).cast("int"))
+    values = {
+        KEY: k.cast("string"),
+        "tenure": F.when(k % 4 == 0, "two").when(k % 4 == 1, "9.5").otherwise("12"),
+        "MonthlyCharges": F.when(k % 5 == 0, "n/a").otherwise("20.5"),
+        "TotalCharges": F.lit("1e3"),
+        "Churn": F.when(k % 2 == 0, "Yes").otherwise("No"),
+        COMPLAINTS: counts,
+    }
+    names = with_complaints(TELCO_SCHEMA).fieldNames()
+    line = F.concat_ws(",", *[values.get(name, F.lit("")) for name in names])
+    return write_csv_lines(table(spark, sf_dir, "customer").select(line), spark, ",".join(names))
+
+
+def unreadable_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per column: the fields that held text and became null, as the run reports them."""
+    report = run_etl(spark, _odd_lines(spark, sf_dir), scratch_dir(spark))
+    return spark.createDataFrame(list(report.unreadable.items()), "column_name STRING, unreadable LONG")
+
+
+def unreadable_complaints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Complaint counts after the whole run: none reads as 0 that was not blank."""
+    base = scratch_dir(spark)
+    run_etl(spark, _odd_lines(spark, sf_dir), base)
+    return _derived_from(spark, base).select(KEY, "complaints_90d", "tenure", "MonthlyCharges")
+
+
 def etl_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     report = run_etl(spark, write_csv(dirty_telco(spark, sf_dir), spark), scratch_dir(spark))
     facts = (
@@ -694,6 +804,10 @@ QUERIES: dict[str, Query] = {
         schema_check,
         telco_schema_check,
         write_and_reconcile,
+        replaced_table,
+        content_differences,
+        unreadable_fields,
+        unreadable_complaints,
         preview_rows,
         complaint_count,
         derived_features,
@@ -707,6 +821,9 @@ QUERIES: dict[str, Query] = {
         hash_split_sides,
         hash_split_ratios,
         random_split_cover,
+        random_split_sides,
+        exact_medians_by_column,
+        area_by_price,
         forest_training,
         forest_scores,
         forest_auc,

@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from holdfast.functions.columns import count_or_zero_sql, daily_charge_sql, finite_or_null, present
+from holdfast.functions.columns import count_or_zero_sql, daily_charge_sql, present
 from holdfast.operators.categories import category_labels, index_stages, one_hot_encoder
+from holdfast.operators.medians import exact_medians
 from holdfast.schema import (
     CATEGORICAL_FEATURES,
     COMPLAINTS,
@@ -21,9 +22,6 @@ from holdfast.schema import (
     NUMERICAL_FEATURES,
 )
 
-# Largest distance of the fill value's rank from the middle, as a share of the rows.
-MEDIAN_ERROR = 0.001
-
 
 def derived_columns(schema: StructType) -> dict[str, str]:
     """SQL text of each derived column that a table with this schema gives."""
@@ -74,15 +72,8 @@ def index_label(df: DataFrame, label: str = LABEL, values: list[str] = LABEL_VAL
 
 
 def training_medians(train: DataFrame, columns: list[str]) -> dict[str, float]:
-    """Approximate median of each listed column with a finite value; the others are left out.
-
-    One pass for all columns; a task hands on a summary whose size depends on the error only.
-    """
-    if not columns:
-        return {}
-    finite = train.select(*[finite_or_null(c).alias(c) for c in columns])
-    found = finite.approxQuantile(columns, [0.5], MEDIAN_ERROR)
-    return {c: values[0] for c, values in zip(columns, found) if values}
+    """Exact median of each listed column with a finite value; the others are left out."""
+    return exact_medians(train, columns)
 
 
 def fit_preprocessing(

@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from holdfast.operators.ranking import with_sum_before
 from holdfast.schema import FOREST_SUFFIX, MAX_DEPTH, MODEL_NAME, NUM_TREES, PREPROCESSING_SUFFIX, SEED
 from holdfast.sources.files import table_path
 from holdfast.sources.versions import current_path, replacing
@@ -39,11 +42,27 @@ def score(forest: PipelineModel, rows: DataFrame) -> DataFrame:
 
 
 def area_under_roc(scored: DataFrame, score_col: str = "rawPrediction", label_col: str = "label") -> float:
-    """Exact area under the ROC curve: every distinct score is a threshold (no binning)."""
-    evaluator = BinaryClassificationEvaluator(
-        labelCol=label_col, rawPredictionCol=score_col, metricName="areaUnderROC", numBins=0
-    )
-    return evaluator.evaluate(scored.select(score_col, label_col))
+    """Exact area under the ROC curve: the share of pairs of a positive and a negative row in which the positive one
+    has the higher score, equal scores counting half. 1 without negative rows, else 0 without positive ones.
+
+    Rows are counted by distinct score within each task first, so that a score which fills a third of them is a
+    row per task; the scores are then sorted over all tasks. All counts are whole numbers. Of a vector of scores the
+    second entry counts; rows without a score (null, NaN) or label are left out.
+    """
+    score = F.get(vector_to_array(score_col), F.lit(1)) if is_vector(scored, score_col) else F.col(score_col)
+    rows = scored.select(score.cast("double").alias("score"), (F.col(label_col) > 0.5).alias("positive")).dropna()
+    counts = rows.groupBy("score").agg(F.count_if("positive").alias("pos"), F.count_if(~F.col("positive")).alias("neg"))
+    ranked = with_sum_before(counts, ["score"], "neg", "below")
+    wide = lambda column: F.col(column).cast("decimal(38,0)")
+    pairs = F.sum(wide("pos") * (2 * F.col("below") + F.col("neg")))
+    twice, pos, neg = ranked.agg(pairs.cast("decimal(38,0)"), F.sum("pos"), F.sum("neg")).first()
+    if not pos:
+        return 0.0
+    return int(twice) / (2 * pos * neg) if neg else 1.0
+
+
+def is_vector(df: DataFrame, column: str) -> bool:
+    return isinstance(df.schema[column].dataType, VectorUDT)
 
 
 def train_and_evaluate(train: DataFrame, test: DataFrame) -> tuple[PipelineModel, float]:

@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 from holdfast.functions.columns import hash_head
 from holdfast.schema import KEY, SEED, TRAIN_RATIO
 
+# Copies of a repeated row that are drawn in one piece of work.
+COPIES_PER_TASK = 10_000
+
 
 def on_train_side(key: str = KEY, train_ratio: float = TRAIN_RATIO) -> Column:
     """Whether the key's hash, of 2^32 values, is below the ratio. A null key is, unless the ratio is 0."""
@@ -23,7 +26,44 @@ def hash_split(df: DataFrame, key: str = KEY, train_ratio: float = TRAIN_RATIO)
     return df.filter(is_train), df.filter(~is_train)
 
 
+def row_text(df: DataFrame) -> Column:
+    """The whole row as text that no other row has: each value with its length, or a dash for null."""
+
+    def field(name: str) -> Column:
+        text = F.col(f"`{name}`").cast("string")
+        return F.coalesce(F.concat(F.char_length(text).cast("string"), F.lit(":"), text), F.lit("-"))
+
+    return F.concat(*[field(name) for name in df.columns])
+
+
 def random_split(df: DataFrame, train_ratio: float = TRAIN_RATIO, seed: int = SEED) -> tuple[DataFrame, DataFrame]:
-    """Seeded random split. The sides depend on how the rows are spread over partitions."""
-    train, test = df.randomSplit([train_ratio, 1.0 - train_ratio], seed=seed)
+    """Seeded random split by a draw for every row, with the same sides however the rows are spread.
+
+    The draw is the MD5 of the seed, the row and the number of its copy, from 0: copies of a row are drawn each,
+    and which of them is which does not matter. Rows that occur once keep their place; only their hashes are
+    exchanged, to find the others. Those are counted, and their copies dealt out in parts of `COPIES_PER_TASK`, so
+    that a row that fills a third of the table is no task's alone.
+    """
+    train, test = (_side(df, train_ratio, seed, is_train) for is_train in (True, False))
     return train, test
+
+
+def _side(df: DataFrame, train_ratio: float, seed: int, is_train: bool) -> DataFrame:
+    columns = [F.col(f"`{c}`") for c in df.columns]
+    whole = F.struct(*columns)
+
+    def drawn(copy: Column) -> Column:
+        """Whether a row's copy is on the wanted side."""
+        head = F.conv(F.substring(F.md5(F.concat_ws(" ", F.lit(str(seed)), copy.cast("string"), "text")), 1, 8), 16, 10)
+        chosen = head.cast("long") < F.lit(round(train_ratio * 2**32))
+        return chosen if is_train else ~chosen
+
+    rows = df.select(whole.alias("row"), row_text(df).alias("text"), F.xxhash64(*columns).alias("hash"))
+    repeated = rows.groupBy("hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("hash")
+    single = rows.join(repeated, "hash", "left_anti").where(drawn(F.lit(0)))
+    copies = rows.join(repeated, "hash", "left_semi").groupBy("row", "text").agg(F.count(F.lit(1)).alias("n"))
+    parts = F.explode(F.sequence(F.lit(0), F.col("n") - 1, F.lit(COPIES_PER_TASK))).alias("start")
+    dealt = copies.select("row", "text", "n", parts).repartition("start", "text")
+    last = F.least(F.col("start") + COPIES_PER_TASK, "n") - 1
+    each = dealt.select("row", "text", F.explode(F.sequence("start", last)).alias("copy")).where(drawn(F.col("copy")))
+    return single.select("row.*").unionAll(each.select("row.*"))

@@ -27,6 +27,7 @@ from holdfast.sources.files import csv_header, read_csv_marked, table_path, writ
 _COPIES = "_copies"
 # Beside the columns read: the names of those whose text could not be read.
 UNREADABLE = "_unreadable"
+_MALFORMED = "_malformed"
 
 
 @dataclass(frozen=True)
@@ -44,7 +45,7 @@ class EtlReport:
     changed_types: list[str]
     sample: list[Row]
     unreadable: dict[str, int] = field(default_factory=dict)  # per column: fields that held text and became null
-    malformed_rows: int = 0  # with such a field, or with too few or too many fields
+    malformed_rows: int = 0  # with such a field, a number of blanks only, too few or too many fields
 
 
 def _account(raw: DataFrame, numerical: list[str]) -> tuple[DataFrame, dict[str, Column], list[str]]:
@@ -75,7 +76,7 @@ def cleanse_counted(
     figures = Observation("cleanse")
     rows, events, _ = _account(raw, numerical)
     if UNREADABLE in raw.columns:
-        events["malformed"] = F.col(UNREADABLE).isNotNull()
+        events[_MALFORMED] = F.col(UNREADABLE).isNotNull()
     columns = [c for c in rows.columns if c != UNREADABLE]
     observed = _cleansed(rows, columns, numerical, key, events).observe(
         figures,
@@ -185,5 +186,5 @@ def run_etl(
         changed_types=changed,
         sample=sample,
         unreadable={name: seen[f"{UNREADABLE}_{name}"] for name in _account(raw, numerical)[2]},
-        malformed_rows=seen["malformed"],
+        malformed_rows=seen[_MALFORMED],
     )

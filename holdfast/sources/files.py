@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from holdfast.cluster import session_conf
 from holdfast.schema import CLEANED_SCHEMA, CLEANED_TABLE
 from holdfast.sources.versions import current_path, replacing
 
@@ -36,7 +37,8 @@ def read_csv_marked(
     spark: SparkSession, path: str, schema: StructType, mark: str, check_header: bool = False
 ) -> DataFrame:
     """`read_csv` with a further column `mark`: null for a line that was read as it stands, else the names of the
-    columns whose field held text and became null. The array is empty if only the number of fields is wrong.
+    columns whose field held text and became null. The array is empty if just the number of fields is wrong or a
+    number consists of blanks.
 
     The same pass: Spark hands out the text of the lines it could not read in full, and only these are taken apart
     once more, as text.
@@ -69,6 +71,21 @@ def csv_header(spark: SparkSession, path: str) -> list[str]:
     return [name or "" for name in first[0]] if first else []
 
 
+def _sizing(file_bytes: int | None) -> dict[str, str]:
+    """Settings under which a rebalancing exchange ends in tasks of 0.5 to 1.5 times the size."""
+    if file_bytes is None:
+        return {}
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1b",
+        "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+        "spark.sql.adaptive.rebalancePartitionsSmallPartitionFactor": "0.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(file_bytes),
+    }
+
+
 def write_parquet(
     df: DataFrame,
     output_dir: str,
@@ -76,6 +93,7 @@ def write_parquet(
     partition_cols: list[str] | None = None,
     verify: Callable[[str], None] | None = None,
     settle: bool = True,
+    file_bytes: int | None = None,
 ) -> str:
     """Replace the table `output_dir/table_name`; returns its path.
 
@@ -84,10 +102,19 @@ def write_parquet(
     at the returned path, unless `settle` is false.
 
     With partition columns every task writes its own file per value: no exchange by a low-cardinality
-    column, which would put a whole value into one task. All old partitions go, listed or not.
+    column, which would put a whole value into one task. All old partitions go, listed or not. How many
+    files there are then follows from the tasks that write.
+
+    With `file_bytes` the rows are exchanged once, gathered by partition value, in tasks of about that size as
+    exchanged: adaptive execution splits a value that is larger, over as many tasks as it takes, and joins
+    smaller ones. Each task writes one file per value it holds. A value is split along the tasks that read it, so
+    these should read less than a file's size each.
     """
     path = table_path(output_dir, table_name)
-    with replacing(df.sparkSession, path, settle) as folder:
+    spark = df.sparkSession
+    if file_bytes is not None:
+        df = df.hint("rebalance", *(partition_cols or []))
+    with replacing(spark, path, settle) as folder, session_conf(spark, _sizing(file_bytes)):
         df.write.parquet(folder, partitionBy=partition_cols or None)
         if verify:
             verify(folder)

@@ -16,15 +16,19 @@ from datetime import datetime
 
 from pyspark.sql import SparkSession
 
-from holdfast.cluster import RECOMMENDED_CONF
+from holdfast.cluster import MIB, RECOMMENDED_CONF
 from holdfast.plans import run_all, run_etl, score_table, train_churn
 from holdfast.schema import CLEANED_SCHEMA, with_complaints
 from holdfast.sources import load_cleaned
 
 
+# Scores are some 30 bytes a row, so that a scan's tasks would leave small files.
+SCORE_FILE_BYTES = 256 * MIB
+
+
 def score_cleaned(spark: SparkSession, cleaned_base: str, models_base: str) -> str:
     customers = load_cleaned(spark, cleaned_base, with_complaints(CLEANED_SCHEMA, marked=True))
-    return score_table(customers, models_base, cleaned_base)
+    return score_table(customers, models_base, cleaned_base, file_bytes=SCORE_FILE_BYTES)
 
 
 def everything(

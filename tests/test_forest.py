@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import itertools
+import random
 
 import pytest
 from pyspark.ml.functions import vector_to_array
@@ -81,3 +82,21 @@ def test_saved_models_predict_the_same(spark, fitted, customers, tmp_path, plan_
     mine = {r["customerID"]: r["probability"] for r in score(forest, vectors).collect()}
     assert mine == theirs
     assert "Exchange" not in plan_of(scored)
+
+
+def test_area_over_many_tasks_and_a_hot_score(spark, plan_of):
+    """A third of the rows share a score; the rest have scores of their own."""
+    rng = random.Random(5)
+    rows = [(0.5 if i % 3 == 0 else rng.random(), float(rng.random() < 0.3)) for i in range(3_000)]
+    df = spark.createDataFrame(rows, "score DOUBLE, label DOUBLE").repartition(9)
+    pos, neg = ([s for s, label in rows if label == wanted] for wanted in (1.0, 0.0))
+    wins = sum((p > q) + (p == q) / 2 for p in pos for q in neg)
+    assert area_under_roc(df, "score") == pytest.approx(wins / (len(pos) * len(neg)), abs=1e-12)
+
+
+@pytest.mark.parametrize(
+    "rows,area", [([], 0.0), ([(0.1, 1.0)], 1.0), ([(0.1, 0.0)], 0.0), ([(0.2, 0.0), (0.2, 1.0), (None, 1.0)], 0.5),
+                  ([(float("nan"), 1.0), (9.0, 0.0)], 0.0), ([(0.3, 0.0), (0.1, 1.0)], 0.0)]
+)
+def test_area_of_odd_tables(spark, rows, area):
+    assert area_under_roc(spark.createDataFrame(rows, "score DOUBLE, label DOUBLE"), "score") == area

@@ -4,6 +4,7 @@ import hashlib
 
 from pyspark.sql import functions as F
 
+from holdfast.operators import splitting
 from holdfast.operators.splitting import hash_split, random_split
 
 
@@ -39,3 +40,33 @@ def test_random_split_covers_every_row_once(spark):
     ids = [r["id"] for r in train.collect()] + [r["id"] for r in test.collect()]
     assert sorted(ids) == list(range(5000))
     assert 3800 < train.count() < 4200
+
+
+def sides(df, **kwargs):
+    train, test = random_split(df, **kwargs)
+    return sorted(map(tuple, train.collect()), key=repr), sorted(map(tuple, test.collect()), key=repr)
+
+
+def test_random_split_gives_the_same_sides_in_any_layout(spark, monkeypatch):
+    monkeypatch.setattr(splitting, "COPIES_PER_TASK", 7)
+    rows = [(i, f"name {i % 90}", None if i % 4 else i / 3) for i in range(400)]
+    rows += [(1, "same", 0.5)] * 300 + [(None, None, None)] * 50 + [(2, "twice", 1.0)] * 2
+    df = spark.createDataFrame(rows, "id INT, name STRING, x DOUBLE")
+    train, test = sides(df.repartition(2))
+    assert (train, test) == sides(df.repartition(8)) == sides(df.orderBy("name").coalesce(1))
+    assert sorted(train + test, key=repr) == sorted(rows, key=repr)
+    assert 0.74 < len(train) / len(rows) < 0.86
+    hot = [sum(r == (1, "same", 0.5) for r in side) for side in (train, test)]
+    assert sum(hot) == 300 and 40 < hot[1] < 85  # copies are drawn each
+    assert sides(df, seed=7)[0] != train
+    assert sides(df, train_ratio=1.0)[1] == [] == sides(df, train_ratio=0.0)[0]
+
+
+def test_rows_that_look_alike_are_told_apart(spark):
+    df = spark.createDataFrame([("a", "bc"), ("ab", "c"), ("-", None), (None, "-")], "x STRING, y STRING")
+    assert df.select(splitting.row_text(df)).distinct().count() == 4
+
+
+def test_a_row_that_fills_the_table_is_dealt_out(spark, plan_of):
+    train, _ = random_split(spark.range(10).select(F.lit(1).alias("x")))
+    assert "RepartitionByExpression" in plan_of(train, "extended")
