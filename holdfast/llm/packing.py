@@ -17,15 +17,20 @@ null identifier is carried through; repeated rows are packed each; an empty tabl
 from __future__ import annotations
 
 import re
+from collections.abc import Iterable, Iterator
+from functools import cache
 
 import numpy as np
 import pandas as pd
 import public_tokenizers
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from holdfast.llm.common import read_table, staged
-from holdfast.llm.token_counts import NOT_SPACE, TOKENIZER, PrefixCounter, counter
+from holdfast.llm.token_counts import LENGTH_HELD, NOT_SPACE, TOKENIZER, PrefixCounter, counter
+from holdfast.llm.word_merge import WordMerger
 
 MAX_TOKENS = 2_048
 BUCKETS = 16
@@ -33,7 +38,12 @@ BATCH_TOKENS = 65_536
 ROWS_PER_SHARD = 20_000
 # Of a text with more than so many code points for each token of a piece, the whole is not counted first.
 WELL_OVER = 3
+# Code points whose words are taken apart together.
+CHARS_AT_ONCE = 3_000_000
 WORD = re.compile(r"\S+")
+# White space beyond ASCII, and the ASCII characters that separate words.
+OTHER_SPACE = "[" + "".join(c for c in map(chr, range(0x80, 0x3001)) if not NOT_SPACE.match(c)) + "]"
+SPACE_UNITS = np.isin(np.arange(256), np.frombuffer(b"\t\n\v\f\r ", dtype=np.uint8))
 
 
 def cut(text: str | None, max_tokens: int) -> list[tuple[int, int, int]]:
@@ -103,6 +113,90 @@ def cut_tokens(text: str | None, max_tokens: int, tokens: PrefixCounter) -> list
     return [*found, (start, len(text), used)]
 
 
+def word_starts(text: str) -> np.ndarray:
+    """The places, in code points, at which the words of a text begin; ASCII white space separates them."""
+    units = np.frombuffer(text.encode("utf-8", "surrogatepass"), dtype=np.uint8)
+    space = SPACE_UNITS[units]
+    begins = ~space
+    begins[1:] &= space[:-1]
+    return (np.cumsum((units & 0xC0) != 0x80) - 1)[begins]
+
+
+def chunk_counts(chunks: list[str], tokens: PrefixCounter) -> np.ndarray:
+    """Tokens of different texts without white space. Words not counted of late are merged together."""
+    normalised = tokens.normalised(" ".join(chunks)).split(" ") if chunks else []
+    apart = [(chunk,) if chunk.isalpha() else tokens.words.findall(chunk) for chunk in normalised]
+    held, known = tokens.held_words, {}
+    new = []
+    for word in {word for words in apart for word in words}:
+        count = held.get(word)
+        if count is None:
+            new.append(word)
+        else:
+            known[word] = count
+    for word, count in zip(new, merger(tokens.path).counts(new).tolist(), strict=True):
+        known[word] = count = tokens.word_count(word) if count < 0 else count
+        if len(word) <= LENGTH_HELD:
+            held.put(word, count)
+    return np.array([known[w[0]] if len(w) == 1 else sum(map(known.__getitem__, w)) for w in apart], dtype=np.int64)
+
+
+@cache
+def merger(path: str) -> WordMerger:
+    """One per worker process and tokenizer file."""
+    return WordMerger(path)
+
+
+def parts_of(texts: Iterable[str | None]) -> Iterator[list[str]]:
+    """The texts in parts of a bounded size, or of one text: what is held at once follows from it."""
+    held, size = [], 0
+    for text in texts:
+        held.append(text or "")
+        size += len(held[-1])
+        if size >= CHARS_AT_ONCE:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
+
+
+def cut_batch(texts: Iterable[str | None], max_tokens: int, tokens: PrefixCounter) -> list[list[tuple[int, int, int]]]:
+    """`cut_tokens` of many texts. Their words are taken apart and numbered together, each different word is counted
+    once, and pieces end where running sums go beyond a multiple. Texts with special strings, or with a word over
+    a piece, go the other way."""
+    texts = [text or "" for text in texts]
+    held = pa.array(texts, pa.large_string())
+    other = pc.match_substring_regex(held, OTHER_SPACE)
+    spaced = pc.if_else(other, pc.replace_substring_regex(held, OTHER_SPACE, " "), held) if pc.any(other).as_py() else held
+    apart = pc.ascii_split_whitespace(pc.ascii_trim_whitespace(spaced))
+    ends = apart.offsets.to_numpy()
+    numbered = apart.values.dictionary_encode()
+    words = numbered.dictionary.to_pylist()
+    counts = chunk_counts(words, tokens)
+    over = (counts > max_tokens) | (np.array(list(map(len, words)), dtype=np.int64) > max_tokens)
+    of_word = numbered.indices.to_numpy()
+    sums = np.concatenate([[0], np.cumsum(counts[of_word])])
+    overs = np.concatenate([[0], np.cumsum(over[of_word])])
+    special = pc.match_substring_regex(held, tokens.special.pattern).to_numpy(zero_copy_only=False)
+    found = []
+    for at, text in enumerate(texts):
+        first, last = ends[at], ends[at + 1]
+        if special[at] or overs[last] > overs[first]:
+            found.append(cut_tokens(text, max_tokens, tokens))
+            continue
+        total = int(sums[last] - sums[first])
+        if total <= max_tokens:
+            found.append([(0, len(text), total)])
+            continue
+        cuts = [first]
+        while sums[last] - sums[cuts[-1]] > max_tokens:
+            cuts.append(np.searchsorted(sums, sums[cuts[-1]] + max_tokens, side="right") - 1)
+        places = word_starts(spaced[at].as_py())[np.array(cuts) - first].tolist()
+        sizes = np.diff(sums[[*cuts, last]]).tolist()
+        found.append(list(zip([0, *places[1:]], [*places[1:], len(text)], sizes, strict=True)))
+    return found
+
+
 def pieces(
     docs: DataFrame,
     max_tokens: int = MAX_TOKENS,
@@ -116,7 +210,7 @@ def pieces(
     @F.pandas_udf("array<struct<start: long, end: long, n_tokens: long>>")
     def spans(texts: pd.Series) -> pd.Series:
         tokens = counter(path)
-        cuts = (cut_tokens(t, max_tokens, tokens) for t in texts)
+        cuts = [spans for part in parts_of(texts) for spans in cut_batch(part, max_tokens, tokens)]
         return pd.Series([[{"start": s, "end": e, "n_tokens": n} for s, e, n in one] for one in cuts])
 
     rows = docs.select(

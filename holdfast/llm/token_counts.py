@@ -55,6 +55,7 @@ class PrefixCounter:
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as file:
             settings = json.load(file)
+        self.path = path
         model = settings["model"]
         self.end = model["end_of_word_suffix"]
         ranks = {tuple(pair): at for at, pair in enumerate(model["merges"])}

@@ -59,6 +59,18 @@ def test_pieces_by_tokens(text, max_tokens):
     assert max_tokens < 64 or all(n >= 0.8 * max_tokens for _, _, n in spans[:-1])  # no needless pieces
 
 
+ODD = ["", None, "one", " lead and trail \n", "a\u00a0b\u2003c\x85d " * 900, "a\x1cb\x1fc " * 900, "a<|endoftext|>b " * 900,
+       LONG[:9_000], f"a b {LONG[:9_000]} c", CHINESE[:4_000], "e\u0301 \u0301x" * 3_000, "\u0130\u03a3 A\u03a3 " * 800,
+       "Unbelievably, it's 1234 words!  " * 400, "\U0001f9ff \u3000" * 2_000, "w " * 4_096, "\n\n", "\ufeff \u200b zz " * 900]
+
+
+@pytest.mark.parametrize("max_tokens", [5, 64, 2_048])
+def test_a_batch_is_cut_like_each_text(max_tokens):
+    tokens = counter(public_tokenizers.path(TOKENIZER))
+    assert pk.cut_batch(ODD, max_tokens, tokens) == [pk.cut_tokens(t, max_tokens, tokens) for t in ODD]
+    assert pk.cut_batch([], max_tokens, tokens) == []
+
+
 def test_long_texts_without_spaces_keep_the_budget(spark):
     rows = [(1, LONG), (2, CHINESE), (3, "a few words"), (4, "unbelievably 1234567 " * 300)]
     found = pk.pack(spark.createDataFrame(rows, "doc_id long, text string"), batch_tokens=8_192).collect()
