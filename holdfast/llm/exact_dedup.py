@@ -4,7 +4,8 @@ Sampled splitters deal the rows out into buckets of a total order: the first byt
 its SHA-256, the identifier. Inside a bucket an external sort places equal texts next to each other, and
 each row is compared in full with its neighbour. A group of copies may run over many buckets, because the
 identifier is part of the order: no task gets more than its bucket. Runs that touch a bucket's edge are
-joined through one small table with a row per bucket.
+joined through one small table with a row per bucket, which holds keys only; where these agree, the texts on
+both sides of the edge are compared in a join of each bucket with the one before it.
 
 Only DataFrame functions are used.
 
@@ -18,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from holdfast.llm.common import read_table, row_of, shuffle_width, staged, unpacked
+from holdfast.llm.common import read_table, shuffle_width, staged
 
 PREFIX_BYTES = 16
 BUCKETS_PER_TASK = 4
@@ -75,9 +76,10 @@ def bucket_of(key: Column, bounds: list[str]) -> Column:
     return F.aggregate(steps, F.lit(0), step)
 
 
-def content_sorted(df: DataFrame, id_col: str, text_col: str, carried: Column) -> DataFrame:
+def content_sorted(df: DataFrame, id_col: str, text_col: str, carried: Column, with_text: bool = False) -> DataFrame:
     """Rows (row, id, key, bucket, run, first, edge_text): `run` numbers the different texts of a bucket,
-    `first` marks the first row of each, and the outermost rows of a bucket keep their text."""
+    `first` marks the first row of each, and the outermost rows of a bucket keep their normalised text; all rows
+    keep the text as it was in `text` if asked to."""
     width = shuffle_width(df.sparkSession)
     keyed = df.select(
         carried.alias("row"),
@@ -94,36 +96,37 @@ def content_sorted(df: DataFrame, id_col: str, text_col: str, carried: Column) -
         normalised(F.lag("text").over(inside)) == normalised(F.col("text")),
     )
     outermost = F.lag("key").over(inside).isNull() | F.lead("key").over(inside).isNull()
-    return (
-        placed.withColumn("first", ~F.coalesce(same, F.lit(False)))
-        .withColumn("edge_text", F.when(outermost, normalised(F.col("text"))))
-        .drop("text")
-        .withColumn("run", F.sum(F.col("first").cast("long")).over(inside))
+    marked = placed.withColumn("first", ~F.coalesce(same, F.lit(False))).withColumn(
+        "edge_text", F.when(outermost, normalised(F.col("text")))
     )
+    marked = marked if with_text else marked.drop("text")
+    return marked.withColumn("run", F.sum(F.col("first").cast("long")).over(inside))
 
 
-def continued_runs(runs: DataFrame) -> DataFrame:
-    """Buckets whose first run goes on from an earlier bucket: (bucket, head_bucket, head_run).
-
-    One row per bucket comes together here, with two texts each.
-    """
-    edges = (
-        runs.where(F.col("edge_text").isNotNull())
-        .groupBy("bucket")
-        .agg(
-            F.min_by("edge_text", "run").alias("opening"),
-            F.max_by("edge_text", "run").alias("closing"),
-            F.max("run").alias("runs"),
-        )
+def bucket_keys(runs: DataFrame) -> DataFrame:
+    """(bucket, runs, opening, closing, before) per bucket that has rows: its first and last key, and the bucket before
+    it if that ends with the key this one begins with. No text is among what comes together here."""
+    edges = runs.where(F.col("edge_text").isNotNull()).groupBy("bucket")
+    keys = edges.agg(
+        F.min_by("key", "run").alias("opening"), F.max_by("key", "run").alias("closing"), F.max("run").alias("runs")
     )
     by_bucket = Window.orderBy("bucket")
-    before = by_bucket.rowsBetween(Window.unboundedPreceding, -1)
-    linked = edges.select(
-        "bucket",
-        "runs",
-        F.coalesce(F.lag("closing").over(by_bucket) == F.col("opening"), F.lit(False)).alias("goes_on"),
-    )
+    before = F.when(F.lag("closing").over(by_bucket) == F.col("opening"), F.lag("bucket").over(by_bucket))
+    return keys.withColumn("before", before)
+
+
+def continued_runs(runs: DataFrame) -> DataFrame:
+    """Buckets whose first run goes on from an earlier bucket: (bucket, head_bucket, head_run)."""
+    keys = staged(bucket_keys(runs))
+    edges = runs.where(F.col("edge_text").isNotNull()).groupBy("bucket")
+    openings = edges.agg(F.min_by("edge_text", "run").alias("opening_text"))
+    closings = edges.agg(F.max_by("edge_text", "run").alias("closing_text")).withColumnRenamed("bucket", "before")
+    pairs = keys.where(F.col("before").isNotNull()).select("bucket", "before")
+    alike = pairs.join(openings, "bucket").join(closings, "before").where("opening_text = closing_text")
+    linked = keys.select("bucket", "runs").join(alike.select("bucket", F.lit(True).alias("linked")), "bucket", "left")
+    linked = staged(linked.select("bucket", "runs", F.col("linked").isNotNull().alias("goes_on")))
     head = F.when((F.col("runs") > 1) | ~F.col("goes_on"), F.struct("bucket", "runs"))
+    before = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     return (
         linked.withColumn("head", F.last(head, ignorenulls=True).over(before))
         .where("goes_on")
@@ -132,32 +135,46 @@ def continued_runs(runs: DataFrame) -> DataFrame:
 
 
 def exact_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per input row: doc_id, keep_id, group_size, kept, text_sha256."""
+    """One row per input row: doc_id, keep_id, group_size, kept, text_sha256.
+
+    Rows are summed up by their run within a bucket first, so that a large group is a row per bucket in the sum over
+    groups, and no key of the join with the rows has more of them than a bucket.
+    """
     runs = staged(content_sorted(df, id_col, text_col, F.lit(None).cast("string"))).drop("row")
     heads = continued_runs(runs).withColumn("run", F.lit(1).cast("long"))
-    joined = runs.drop("edge_text").join(heads, ["bucket", "run"], "left")
-    rows = joined.select(
-        "id",
-        "key",
-        (F.col("first") & F.col("head_bucket").isNull()).alias("kept"),
+    local = runs.groupBy("bucket", "run").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("n"))
+    local = local.join(heads, ["bucket", "run"], "left").select(
+        "bucket",
+        "run",
+        "least",
+        "n",
+        F.col("head_bucket").isNotNull().alias("goes_on"),
         F.coalesce("head_bucket", "bucket").alias("group_bucket"),
         F.coalesce("head_run", "run").alias("group_run"),
     )
-    groups = rows.groupBy("group_bucket", "group_run").agg(
-        F.min("id").alias("keep_id"), F.count(F.lit(1)).alias("group_size")
+    local = staged(local)
+    groups = local.groupBy("group_bucket", "group_run").agg(
+        F.min("least").alias("keep_id"), F.sum("n").alias("group_size")
     )
-    return rows.join(groups, ["group_bucket", "group_run"]).select(
-        F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", digest_of(F.col("key")).alias("text_sha256")
+    found = local.join(groups, ["group_bucket", "group_run"]).select("bucket", "run", "goes_on", "keep_id", "group_size")
+    return runs.drop("edge_text").join(found, ["bucket", "run"]).select(
+        F.col("id").alias("doc_id"),
+        "keep_id",
+        "group_size",
+        (F.col("first") & ~F.col("goes_on")).alias("kept"),
+        digest_of(F.col("key")).alias("text_sha256"),
     )
 
 
 def drop_exact_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of `df` that stay, with its columns."""
-    runs = staged(
-        content_sorted(df, id_col, text_col, row_of(df)).where(F.col("first") | F.col("edge_text").isNotNull())
-    )
+    """The rows of `df` that stay, with its columns. Each text is exchanged once."""
+    others = F.struct(F.lit(True).alias("_"), *[F.col(f"`{c}`") for c in df.columns if c != text_col])
+    sorted_rows = content_sorted(df, id_col, text_col, others, with_text=True)
+    runs = staged(sorted_rows.where(F.col("first") | F.col("edge_text").isNotNull()))
     heads = continued_runs(runs).select("bucket", F.lit(1).cast("long").alias("run"))
-    return unpacked(runs.where("first").join(heads, ["bucket", "run"], "left_anti"))
+    kept = runs.where("first").join(heads, ["bucket", "run"], "left_anti")
+    columns = [F.col("text") if c == text_col else F.col(f"row.`{c}`") for c in df.columns]
+    return kept.select(*[column.alias(c) for column, c in zip(columns, df.columns, strict=True)])
 
 
 def query(spark, sf_dir: str) -> DataFrame:

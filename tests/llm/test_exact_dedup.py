@@ -82,3 +82,21 @@ def test_no_python_in_the_plan(spark, plan_of):
     plan = plan_of(ed.content_sorted(frame(spark, EDGES), "doc_id", "text", ed.F.lit(None).cast("string")))
     assert not re.search("Python|Pandas|Arrow", plan)
     assert plan.count("Exchange") == 1
+
+
+def test_the_unpartitioned_windows_carry_no_text(spark, plan_of):
+    rows = [(i, "same text" if i % 3 else f"text {i}") for i in range(300)]
+    runs = ed.staged(ed.content_sorted(frame(spark, rows), "doc_id", "text", ed.F.lit(None).cast("string")))
+    keys = ed.bucket_keys(runs)
+    assert not any("text" in c for c in keys.columns)
+    single = [line for line in plan_of(keys, "simple").splitlines() if "SinglePartition" in line or "Window" in line]
+    assert single and not any("edge_text" in line for line in single)
+    assert "Window" not in plan_of(ed.continued_runs(runs)) or "opening_text" not in plan_of(ed.continued_runs(runs))
+
+
+def test_texts_are_kept_as_they_were(spark):
+    rows = [(2, "a  b"), (1, "a\tb"), (3, None), (4, ""), (5, "c\n")]
+    assert {(r["doc_id"], r["text"]) for r in ed.drop_exact_copies(frame(spark, rows)).collect()} == {
+        (1, "a\tb"), (3, None), (5, "c\n")}
+    only = spark.createDataFrame([("x",), ("x",)], "text string").selectExpr("text", "monotonically_increasing_id() AS doc_id")
+    assert ed.drop_exact_copies(only).columns == ["text", "doc_id"]
