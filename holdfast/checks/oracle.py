@@ -245,6 +245,13 @@ ORACLE: dict[str, str] = {
               WHERE p_type IS NOT NULL GROUP BY p_type)
         SELECT p_partkey, CAST(t.idx AS INTEGER) AS pos, CAST(1 AS DOUBLE) AS value
         FROM p JOIN t USING (p_type)""",
+    "wide_one_hot": """
+        WITH l AS (SELECT l_orderkey, l_linenumber,
+                          CASE WHEN l_partkey % 7 <> 0 THEN l_partkey || '-' || l_suppkey END AS pair FROM lineitem),
+        t AS (SELECT pair, row_number() OVER (ORDER BY count(*) DESC, pair) - 1 AS idx FROM l
+              WHERE pair IS NOT NULL GROUP BY pair)
+        SELECT l_orderkey, l_linenumber, CAST((SELECT count(*) FROM t) AS INTEGER) AS slots, CAST(idx AS INTEGER) AS pos,
+               CAST(1 AS DOUBLE) AS value FROM l JOIN t USING (pair)""",
     "feature_vectors": f"""
         WITH {TELCO_SQL}, {_SLOTS}
         SELECT * FROM (
@@ -318,6 +325,20 @@ ORACLE: dict[str, str] = {
                count(*) FILTER (WHERE {_SPLIT} >= {_TRAIN_BELOW}) AS test_rows,
                CAST({len(_NUMBERS)} + (SELECT count(*) FROM slots) AS INTEGER) AS features,
                true AS auc_in_range FROM telco""",
+    "trained_scores": f"""
+        WITH {TELCO_SQL}, {_MARKED},
+        sides AS (SELECT *, {_SPLIT} < {_TRAIN_BELOW} AS in_train FROM marked),
+        leaves AS (SELECT mark, {_SHARE} AS share FROM sides WHERE in_train GROUP BY mark),
+        scored AS (SELECT "customerID", "Churn" = 'Yes' AS churned, share FROM sides JOIN leaves USING (mark)
+                   WHERE NOT in_train),
+        ranked AS (SELECT *, rank() OVER (ORDER BY share) + (count(*) OVER (PARTITION BY share) - 1) / CAST(2.0 AS DOUBLE)
+                   AS r FROM scored),
+        facts AS (SELECT sum(r) FILTER (WHERE churned) AS rank_sum, CAST(count(*) FILTER (WHERE churned) AS DOUBLE) AS pos,
+                         CAST(count(*) FILTER (WHERE NOT churned) AS DOUBLE) AS neg, count(*) AS test_rows,
+                         (SELECT count(*) FROM sides WHERE in_train) AS train_rows FROM ranked)
+        SELECT "customerID", CAST(churned AS DOUBLE) AS label, CAST(share > 0.5 AS DOUBLE) AS prediction,
+               share AS churn_probability, train_rows, test_rows,
+               round((rank_sum - pos * (pos + 1) / 2) / (pos * neg), 9) AS area FROM scored, facts""",
     "csv_to_models": f"""
         WITH {DIRTY_TELCO_SQL}
         SELECT count(*) AS rows_written,

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import contextlib
+import functools
 from collections.abc import Callable
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -422,6 +423,19 @@ def one_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoded.select("p_partkey", F.inline(_filled_slots("p_type_enc")))
 
 
+def wide_one_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The slot of a column with nearly as many values as rows, none of which the driver holds, in a sparse vector."""
+    pair = F.concat(F.col("l_partkey"), F.lit("-"), F.col("l_suppkey"))
+    lines = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", F.when(F.col("l_partkey") % 7 != 0, pair).alias("pair")
+    )
+    encoded, _ = encode_categories(lines, ["pair"], held_values=100)
+    stored = F.to_json(F.struct(F.col("pair_enc").alias("v")))
+    slots = F.from_json(stored, "v STRUCT<size: INT, indices: ARRAY<INT>, values: ARRAY<DOUBLE>>")["v"]
+    pairs = F.arrays_zip(slots["indices"].alias("pos"), slots["values"].alias("value"))
+    return encoded.select("l_orderkey", "l_linenumber", slots["size"].alias("slots"), F.inline(pairs))
+
+
 def _filled_slots(vector: str) -> Column:
     """(pos, value) of a vector's slots other than zero."""
     slots = F.transform(vector_to_array(vector), lambda x, i: F.struct(i.alias("pos"), x.alias("value")))
@@ -735,6 +749,28 @@ def churn_training(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame([facts], "train_rows LONG, test_rows LONG, features INT, auc_in_range BOOLEAN")
 
 
+def trained_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole training step, with a forest of one split that SQL gives as well: sizes of both sides and the area as
+    reported, and the test rows scored by the models it saved."""
+    base = scratch_dir(spark)
+    rows = _marked(cleanse(telco(spark, sf_dir)))
+    write_parquet(rows, base, "telco_cleaned", ["Churn"])
+    schema = StructType([*CLEANED_SCHEMA.fields, StructField("mark", DoubleType())])
+    stump = functools.partial(train_forest, num_trees=1, max_depth=1, bootstrap=False)
+    report = train_churn(spark, base, f"{base}/models", ["mark"], [], schema, learner=stump)
+    preprocessing, forest = load_models(f"{base}/models")
+    _, test = hash_split(index_label(derive_features(load_cleaned(spark, base, schema))))
+    return score(forest, preprocessing.transform(test)).select(
+        KEY,
+        "label",
+        "prediction",
+        _churn_share().alias("churn_probability"),
+        F.lit(report.train_rows).alias("train_rows"),
+        F.lit(report.test_rows).alias("test_rows"),
+        F.lit(round(report.auc, 9)).alias("area"),
+    )
+
+
 def csv_to_models(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = scratch_dir(spark)
     etl, trained = run_all(spark, write_csv(dirty_telco(spark, sf_dir), spark), base, f"{base}/models")
@@ -815,6 +851,7 @@ QUERIES: dict[str, Query] = {
         category_index,
         wide_category_index,
         one_hot,
+        wide_one_hot,
         feature_vectors,
         assembled_features,
         imputed_medians,
@@ -835,6 +872,7 @@ QUERIES: dict[str, Query] = {
         etl_table,
         etl_report,
         churn_training,
+        trained_scores,
         csv_to_models,
         csv_to_features,
         events_to_features,

@@ -35,13 +35,16 @@ from holdfast.operators.forest import (
     train_and_evaluate,
     train_forest,
 )
+from holdfast.operators.medians import exact_medians
 from holdfast.operators.quality import (
     ReconciliationError,
     SchemaError,
     check_schema,
+    content_digest,
     null_counts,
     preview,
     reconcile,
+    reconcile_content,
     row_count,
     rows_with_null,
     schema_report,
@@ -64,11 +67,13 @@ __all__ = [
     "cleanse",
     "cleanse_with_copies",
     "complaint_counts",
+    "content_digest",
     "derive_features",
     "derive_sql",
     "drop_duplicate_rows",
     "drop_missing_key",
     "encode_categories",
+    "exact_medians",
     "fit_category_index",
     "fit_preprocessing",
     "hash_split",
@@ -83,6 +88,7 @@ __all__ = [
     "query_table",
     "random_split",
     "reconcile",
+    "reconcile_content",
     "row_count",
     "rows_with_null",
     "save_models",

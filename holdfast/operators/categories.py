@@ -2,12 +2,24 @@
 
 from __future__ import annotations
 
+from collections import Counter
+from dataclasses import dataclass
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import OneHotEncoder, StringIndexerModel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from holdfast.cluster import scratch_dir
 from holdfast.functions.columns import present
+from holdfast.operators.wide import RankedCategories, category_slot, index_by_ranking, sparse_vector
+
+__all__ = ["index_by_ranking"]
+
+# Values of one column that a model holds and the driver receives.
+HELD_VALUES = 100_000
+# Spark's own bound of a limit.
+MOST_ROWS = (1 << 31) - 1
 
 
 class TooManyCategories(ValueError):
@@ -38,12 +50,16 @@ def category_ranking(df: DataFrame, columns: list[str], path: str) -> DataFrame:
     the result reads and the caller keeps as long as it is needed; the start of each task then follows
     from the tasks' sizes, a table of one row per task and column.
     """
-    counts = category_counts(df, columns)
+    return ranking_of(category_counts(df, columns), path)
+
+
+def ranking_of(counts: DataFrame, path: str) -> DataFrame:
+    """`category_ranking` of counts that are there already."""
     place = F.monotonically_increasing_id()
     counts.orderBy("column", F.desc("n"), "value").withColumn("place", place).write.parquet(path)
 
     # The upper bits of the place are the task that sorted the row, the lower 33 its row there.
-    ordered = df.sparkSession.read.parquet(path).withColumn("task", F.shiftright("place", 33))
+    ordered = counts.sparkSession.read.parquet(path).withColumn("task", F.shiftright("place", 33))
     sizes = ordered.groupBy("column", "task").agg(
         F.count(F.lit(1)).alias("size"), F.min("place").alias("first")
     )
@@ -57,44 +73,77 @@ def category_ranking(df: DataFrame, columns: list[str], path: str) -> DataFrame:
     )
 
 
-def index_by_ranking(df: DataFrame, ranking: DataFrame, columns: list[str]) -> DataFrame:
-    """Add `c_idx` for each listed column by joining with its part of the ranking.
+@dataclass(frozen=True)
+class Categories:
+    """What is known of category columns after a fit: the values of some by falling frequency, ties in value order,
+    and the number of values of the others, whose ranking is at `path`."""
 
-    For any number of values, none of which reaches the driver. Null and values the ranking lacks get the
-    index after the column's last. The join is left to Spark's size check and skew handling.
-    """
-    for column in present(df, columns):
-        mine = ranking.filter(F.col("column") == column)
-        after_last = mine.agg(F.count(F.lit(1))).first()[0]
-        index, value = f"{column}_idx", f"{column}_value"
-        values = mine.select(F.col("value").alias(value), F.col("index").cast("double").alias(index))
-        df = df.join(values, F.col(column).cast("string") == F.col(value), "left").drop(value)
-        df = df.withColumn(index, F.coalesce(index, F.lit(float(after_last))))
-    return df
+    labels: dict[str, list[str]]
+    wide: dict[str, int]
+    path: str = ""
 
+    def sizes(self, columns: list[str]) -> dict[str, int]:
+        """The number of values of each of `columns` that has any, in their order."""
+        found = {c: len(values) for c, values in self.labels.items()} | self.wide
+        return {c: found[c] for c in columns if c in found}
 
-def category_labels(
-    df: DataFrame, columns: list[str], max_categories: int | None = None
-) -> dict[str, list[str]]:
-    """The values of each listed column that has any, by falling frequency, ties in value order.
 
-    A saved model holds these values, so the driver receives them all. A caller who names a bound gets an
-    error for a column with more; nothing is ever cut off.
+def categories_of(
+    df: DataFrame, columns: list[str], max_categories: int | None = None, held_values: int | None = None
+) -> Categories:
+    """The values of each listed column that has any.
+
+    The driver, and a model, hold up to `held_values` of a column. Wider columns are ranked in a table of their own. A
+    caller who names `max_categories` gets an error for a column with more; nothing is ever cut off.
     """
+    held_values = HELD_VALUES if held_values is None else held_values
     found: dict[str, list[tuple[int, str]]] = {c: [] for c in present(df, columns)}
     if not found:
-        return {}
+        return Categories({}, {})
     counts = category_counts(df, list(found))
-    if max_categories is not None:
-        # With one row more than all columns may have together, one of them is over its bound: the limit
-        # protects the driver of a job that fails, it never shortens a result.
-        counts = counts.limit(max_categories * len(found) + 1)
-    for row in counts.collect():
+    # With one row more than all columns may have together, one of them is over its bound: what is left out
+    # is never part of a result.
+    most = held_values if max_categories is None else max_categories
+    rows = counts.limit(min(most * len(found) + 1, MOST_ROWS)).collect()
+    wide: dict[str, int] = {}
+    path = ""
+    if max_categories is None:
+        counts, wide = _wide_columns(counts, rows, most * len(found), held_values)
+        if wide:
+            rows = counts.where(~F.col("column").isin(list(wide))).collect()
+    for row in rows:
         found[row["column"]].append((-row["n"], row["value"]))
     over = [c for c, values in found.items() if max_categories is not None and len(values) > max_categories]
     if over:
         raise TooManyCategories(f"more than {max_categories} values in: {', '.join(over)}")
-    return {c: [value for _, value in sorted(values)] for c, values in found.items() if values}
+    if wide:
+        folder = scratch_dir(df.sparkSession)
+        path = f"{folder}/ranking"
+        ranking = ranking_of(counts.where(F.col("column").isin(list(wide))), f"{folder}/sorted")
+        ranking.select("column", "value", "index").write.parquet(path)
+        found = {c: values for c, values in found.items() if c not in wide}
+    labels = {c: [value for _, value in sorted(values)] for c, values in found.items() if values}
+    return Categories(labels, wide, path)
+
+
+def _wide_columns(counts: DataFrame, rows: list, most: int, held_values: int) -> tuple[DataFrame, dict[str, int]]:
+    """The counts, and the columns with more than `held_values` of them, given the first rows of the counts."""
+    if len(rows) <= most:  # these are all
+        sizes = Counter(row["column"] for row in rows)
+    else:
+        path = f"{scratch_dir(counts.sparkSession)}/counts"
+        counts.write.parquet(path)
+        counts = counts.sparkSession.read.parquet(path)
+        sizes = {r["column"]: r["count"] for r in counts.groupBy("column").count().collect()}
+    return counts, {c: size for c, size in sizes.items() if size > held_values}
+
+
+def category_labels(
+    df: DataFrame, columns: list[str], max_categories: int | None = None
+) -> dict[str, list[str]]:
+    """The values of each listed column that has any, by falling frequency, all held by the driver: for columns known
+    to be narrow, or with a bound beyond which to fail."""
+    return categories_of(df, columns, max_categories, MOST_ROWS).labels
 
 
 def index_stages(labels: dict[str, list[str]]) -> list[StringIndexerModel]:
@@ -122,18 +171,29 @@ def one_hot_encoder(columns: list[str]) -> OneHotEncoder:
 
 
 def fit_category_index(
-    df: DataFrame, columns: list[str], max_categories: int | None = None
+    df: DataFrame, columns: list[str], max_categories: int | None = None, held_values: int | None = None
 ) -> PipelineModel:
     """Frequency index of all listed columns the table has; columns without any value are left out."""
-    return PipelineModel(index_stages(category_labels(df, columns, max_categories)))
+    known = categories_of(df, columns, max_categories, held_values)
+    return PipelineModel([*index_stages(known.labels), *wide_stages(known)])
+
+
+def wide_stages(known: Categories) -> list[RankedCategories]:
+    return [RankedCategories(sizes=known.wide, path=known.path)] if known.wide else []
 
 
 def encode_categories(
-    df: DataFrame, columns: list[str], max_categories: int | None = None
+    df: DataFrame, columns: list[str], max_categories: int | None = None, held_values: int | None = None
 ) -> tuple[DataFrame, PipelineModel]:
-    """The table with `c_idx` and `c_enc` for each listed column that has a value, and the model."""
-    labels = category_labels(df, columns, max_categories)
-    if not labels:
+    """The table with `c_idx` and `c_enc` for each listed column that has a value, and the model of the indices and of
+    the encodings of columns that it holds the values of."""
+    known = categories_of(df, columns, max_categories, held_values)
+    if not known.labels and not known.wide:
         raise ValueError("none of the category columns has a value")
-    model = Pipeline(stages=[*index_stages(labels), one_hot_encoder(list(labels))]).fit(df)
-    return model.transform(df), model
+    encoders = [one_hot_encoder(list(known.labels))] if known.labels else []
+    model = Pipeline(stages=[*index_stages(known.labels), *encoders, *wide_stages(known)]).fit(df)
+    encoded = model.transform(df)
+    for column, size in known.wide.items():
+        slot = F.array_compact(F.array(category_slot(column, size, 0)))
+        encoded = encoded.withColumn(f"{column}_enc", sparse_vector(size, slot))
+    return encoded, model

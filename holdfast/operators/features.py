@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from holdfast.functions.columns import count_or_zero_sql, daily_charge_sql, present
-from holdfast.operators.categories import category_labels, index_stages, one_hot_encoder
+from holdfast.operators.categories import categories_of, index_stages, one_hot_encoder
 from holdfast.operators.medians import exact_medians
+from holdfast.operators.wide import RankedCategories
 from holdfast.schema import (
     CATEGORICAL_FEATURES,
     COMPLAINTS,
@@ -81,17 +82,20 @@ def fit_preprocessing(
     numerical: list[str] = NUMERICAL_FEATURES,
     categorical: list[str] = CATEGORICAL_FEATURES,
     max_categories: int | None = None,
+    held_values: int | None = None,
 ) -> PipelineModel:
     """Fit everything between a derived row and its `features` vector, on training rows only.
 
     Vector order: numerical columns, the derived ones, then the encodings in list order. Columns the
     table lacks or that hold no value are skipped. Missing numbers (null, NaN, infinite) become the
     training median. The label is no part of it, so the model also applies to unlabelled rows. The model
-    holds the category values; `max_categories` makes more of them in a column an error.
+    holds the values of narrow category columns; those of wide ones stay a table that is saved beside it, and the
+    vector then names no slots. `max_categories` makes more values in a column an error.
     """
     medians = training_medians(train, present(train, [*numerical, *DERIVED_FEATURES]))
-    labels = category_labels(train, categorical, max_categories)
-    if not medians and not labels:
+    known = categories_of(train, categorical, max_categories, held_values)
+    labels = known.labels
+    if not medians and not labels and not known.wide:
         raise ValueError("no feature column holds a value")
     stages = []
     if medians:
@@ -101,6 +105,11 @@ def fit_preprocessing(
             for c, median in medians.items()
         )
         stages.append(SQLTransformer(statement=f"SELECT *, {filled} FROM __THIS__"))
+    if known.wide:
+        slots = known.sizes(categorical)
+        numbers = [f"{c}_filled" for c in medians]
+        ranked = RankedCategories(sizes=known.wide, path=known.path, numbers=numbers, slots=slots)
+        return PipelineModel([*stages, *index_stages(labels), ranked])
     if labels:
         stages += [*index_stages(labels), one_hot_encoder(list(labels))]
     stages.append(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.functions import vector_to_array
@@ -65,9 +67,11 @@ def is_vector(df: DataFrame, column: str) -> bool:
     return isinstance(df.schema[column].dataType, VectorUDT)
 
 
-def train_and_evaluate(train: DataFrame, test: DataFrame) -> tuple[PipelineModel, float]:
+def train_and_evaluate(
+    train: DataFrame, test: DataFrame, learner: Callable[[DataFrame], PipelineModel] = train_forest
+) -> tuple[PipelineModel, float]:
     """Forest of the training rows and its area under ROC on the test rows."""
-    forest = train_forest(train)
+    forest = learner(train)
     return forest, area_under_roc(score(forest, test))
 
 

@@ -5,13 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from holdfast.cluster import fixed_layout
 from holdfast.operators.features import derive_features, fit_preprocessing, index_label
-from holdfast.operators.forest import save_models, train_and_evaluate
+from holdfast.operators.forest import save_models, train_and_evaluate, train_forest
 from holdfast.operators.splitting import hash_split, on_train_side
 from holdfast.schema import (
     CATEGORICAL_FEATURES,
@@ -50,10 +51,12 @@ def train_churn(
     max_categories: int | None = None,
     split: Split | None = None,
     layout_tasks: int | None = None,
+    learner: Callable[[DataFrame], PipelineModel] = train_forest,
 ) -> TrainReport:
     """Derive, split, fit on the training side, score the test side, save both models.
 
-    The split is by the key's hash unless another one is given, such as `random_split`.
+    The split is by the key's hash unless another one is given, such as `random_split`; `learner` may be
+    `train_forest` with other settings.
 
     Every step reads the Parquet table with just the columns it needs. What is exchanged is counts, bin
     statistics and (score, label) pairs. The learner draws its samples by partition and place, so the
@@ -73,7 +76,7 @@ def train_churn(
     preprocessing = fit_preprocessing(train, numerical, categorical, max_categories)
     laid_out = fixed_layout(train, layout_tasks) if layout_tasks else train
     vectors = preprocessing.transform(laid_out).select("label", "features")
-    forest, auc = train_and_evaluate(vectors, preprocessing.transform(test))
+    forest, auc = train_and_evaluate(vectors, preprocessing.transform(test), learner)
     preprocessing_path, forest_path = save_models(models_base, preprocessing, forest)
     return TrainReport(
         train_rows=train_rows,
