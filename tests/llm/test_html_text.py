@@ -1,3 +1,6 @@
+import html
+import re
+
 import pytest
 
 from holdfast.llm import html_text as ht
@@ -120,3 +123,100 @@ def test_very_deep_page(tag):
 def test_very_long_page():
     html = "<body><article>" + "<p>word &amp; word</p>" * 20_000 + "<a title='unclosed>" * 50
     assert ht.main_text(html, None)[0].startswith("word & word\nword & word")
+
+
+WHOLE = f"<h1>Title</h1><p>{PROSE * 3}</p><p>{PROSE * 2}</p>"
+WHOLE_TEXT = f"Title\n{(PROSE * 3).strip()}\n{(PROSE * 2).strip()}"
+NOISE = f"<div class=sidebar><h3>Side</h3><p>{PROSE}</p></div><ul class=menu>{LINKS}</ul><div class=footer>Imprint</div>"
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<div id='page' class='right-sidebar'>{0}{1}</div>",
+        "<div class='menu-closed'>{0}{1}</div>",
+        "<form id=aspnetForm><div>{0}</div>{1}</form>",
+        "<form><div class='header'>Shop</div><article>{0}</article></form>{1}",
+        "<div class='layout-sidebar'><div class=content>{0}</div>{1}</div>",
+        "<div class='page-with-banner'><main>{0}</main></div>{1}",
+        "<div class='banner main'>{0}</div>",
+        "<div id='newsletter'><article>{0}</article></div>{1}",
+        "{1}<div class='nav-open' id=main>{0}</div>",
+        "<section class='toolbar-page'><div>{0}</div></section>{1}",
+        "<article><header><h1>Title</h1></header>{2}</article>{1}",
+        "<header><h1>Site</h1></header><article>{0}</article>{1}",
+        "<div class=story>{0}</div><div class='cookie-consent'><p>We use cookies.</p></div>",
+        "<div class='story social-studies'>{0}</div>{1}",
+        "<div class=modal-open><div class=story>{0}<div class=share>Share this</div></div></div>{1}",
+        "<article>{0}</article><section id=comments><article><p>Reader one says much. {0}</p></article></section>",
+        "<div class=wrap><div class=story>{0}</div><div class=promo><p>Buy one</p></div></div>",
+        "<div class=wrap><div class=story>{0}</div><div class='ad-slot top'><p>Buy two</p></div></div>",
+        "<main>{0}</main><div role=complementary><p>Elsewhere</p></div><div role=contentinfo>c</div>",
+        "<table><tr class=header><td>{0}</td></tr></table>",
+    ],
+)
+def test_no_page_is_lost_by_a_name(page):
+    body = page.format(WHOLE, NOISE, WHOLE.replace("<h1>Title</h1>", ""))
+    assert ht.main_text(f"<html><body>{body}</body></html>", None)[0] == WHOLE_TEXT
+
+
+@pytest.mark.parametrize(
+    "inside, text",
+    [
+        (f"<div class='social-studies'><p>{PROSE}</p></div>", PROSE.strip()),
+        (f"<div class='recommended-dosage'><h3>Dosage</h3><p>{PROSE}</p></div>", f"Dosage\n{PROSE.strip()}"),
+        ("<p class='menu-price'>Soup: 4 francs.</p>", "Soup: 4 francs."),
+        ("<p>It was 79 <span class='ad'>AD</span> when it broke out.</p>", "It was 79 AD when it broke out."),
+        ("<p><span class='ad'>AD</span> 79 was the year.</p>", "AD 79 was the year."),
+        ("<pre>x = 1 <span class='hljs-comment'># one</span>\ny</pre>", "x = 1 # one y"),
+        ("<table><tr class='header'><th>Year</th><th class=menu>Dish</th></tr><tr><td>1</td><td>2</td></tr></table>", "Year\nDish\n1\n2"),
+        ("<p>a</p><p class=ad>Buy</p><p class=advertisement>Sell</p>", "a"),
+        ("<header><p>By a writer</p><h1>Title</h1></header><p>a</p>", "Title\na"),
+        ("<p>a</p><!-- oops <p>lost?", "a"),
+        ("<p>a</p><!-- one --><p>b</p><!-- two > <p>c</p>", "a\nb"),
+        ("<p>a</p><script>var s = '<!-- '</script><p>b</p>", "a\nb"),
+        ("<p>a <![CDATA[ kept? ]]> b</p>", "a b"),
+        ("<p>a</p><div aria-hidden=true>no</div><p hidden>no</p>", "a"),
+    ],
+)
+def test_names_that_say_little(inside, text):
+    assert ht.main_text(f"<body><article><p>{PROSE * 4}</p>{inside}</article></body>", None)[0] == f"{(PROSE * 4).strip()}\n{text}"
+
+
+@pytest.mark.parametrize("depth", [10, 70, 3_000])
+def test_depth_changes_nothing(depth):
+    """An article beside teasers, at any depth."""
+    teasers = f"<div class=teasers><ul>{LINKS * 3}</ul></div>"
+    page = f"<body>{'<div>' * depth}<div class=story>{WHOLE}</div>{teasers}{'</div>' * depth}</body>"
+    assert ht.main_text(page, None)[0] == WHOLE_TEXT
+
+
+def test_deep_pages_vote(spark):
+    page = f"<body>{'<div>' * 2_000}<div class=story>{WHOLE}</div>{'</div>' * 2_000}</body>"
+    df = spark.createDataFrame([(i, "http://a.org/", page) for i in range(3)], "page_id long, url string, html string")
+    assert {r["text"] for r in ht.extract_pages(df).collect()} == {WHOLE_TEXT}
+
+
+def plain_article(page):
+    """What stands in the only article of a page, taken apart by expressions instead of a parser."""
+    inner = re.search(r"<article>(.*?)</article>", page, re.S).group(1)
+    inner = re.sub(r"<(script|style)\b.*?</\1>|<!--.*?-->", "", inner, flags=re.S)
+    blocks = re.split(r"</?(?:p|h[1-6]|div|ul|ol|li|table|tr|td|th|blockquote|section|pre)\b[^>]*>", inner)
+    texts = [html.unescape(re.sub(r"<[^>]*>", "", re.sub(r"<br\b[^>]*>", " ", b))) for b in blocks]
+    return "\n".join(filter(None, (" ".join(t.split()) for t in texts)))
+
+
+def test_test_table_against_a_plain_extraction(spark):
+    folder = "/root/testdata/sf0.01"
+    pages = {r["page_id"]: r["html"] for r in spark.read.parquet(f"{folder}/pages.parquet").collect()}
+    found = {r["page_id"]: r["text"] for r in ht.query(spark, folder).collect()}
+    assert found == {page_id: plain_article(page) for page_id, page in pages.items()}
+
+
+@pytest.mark.parametrize(
+    "url, host", [(None, ""), ("", ""), ("a.org/x", ""), ("http://A.org", "a.org"), ("x://y://z/", "y:"),
+                  ("http://A.ÉX:80?q=/", "a.Éx:80"), ("s://h\n.org/p", "h\n.org"), ("://#f", "")]
+)
+def test_hosts(spark, url, host):
+    df = spark.createDataFrame([(url,)], "url string")
+    assert df.select(ht.host_of(df["url"])).first()[0] == host
