@@ -125,7 +125,7 @@ def word_starts(text: str) -> np.ndarray:
 def chunk_counts(chunks: list[str], tokens: PrefixCounter) -> np.ndarray:
     """Tokens of different texts without white space. Words not counted of late are merged together."""
     normalised = tokens.normalised(" ".join(chunks)).split(" ") if chunks else []
-    apart = [(chunk,) if chunk.isalpha() else tokens.words.findall(chunk) for chunk in normalised]
+    apart = [(chunk,) if chunk.isalpha() else tokens.words_of(chunk) for chunk in normalised]
     held, known = tokens.held_words, {}
     new = []
     for word in {word for words in apart for word in words}:

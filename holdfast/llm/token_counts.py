@@ -7,7 +7,9 @@ tokens a text has, whether it keeps a budget and where it must be cut to keep on
 without encoding again.
 
 Words and symbols are as the tokenizer file states: special strings first, then composed and lower-cased
-text without white space, contractions, letters, single digits, other signs, bytes.
+text without white space, contractions, letters, single digits, other signs, bytes. Characters that Python's
+tables do not know, or know otherwise than the expression library's, are lower-cased, composed and told apart by
+the tokenizer library's own tables.
 
 Nulls and edges: a null text counts as empty and has no tokens; a null identifier is carried through;
 repeated rows are counted each; an empty table gives an empty result; extra columns are not read.
@@ -15,6 +17,7 @@ repeated rows are counted each; an empty table gives an empty result; extra colu
 
 from __future__ import annotations
 
+import itertools
 import json
 import re
 import unicodedata
@@ -27,6 +30,7 @@ import public_tokenizers
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from holdfast.llm.bpe import NEVER, Neighbours, Recent
 from holdfast.llm.common import read_table
@@ -49,6 +53,21 @@ def byte_symbols() -> list[str]:
     return [chr(b) if b in plain else chr(next(free)) for b in range(256)]
 
 
+@cache
+def unknown_characters() -> bytes:
+    """By code point, 1 for characters whose case or kind may be another one in the tokenizer library, whose tables can
+    be newer: those that one of the two tables here lacks, and those that they take for different kinds."""
+    every = [chr(c) for c in range(0x80, 0x110000) if not 0xD800 <= c < 0xE000]
+    known, letters, digits = (set(regex.findall(kind, "".join(every))) for kind in (r"\P{Cn}", r"\p{L}", r"\p{N}"))
+    found = bytearray(0x110000)
+    for c in every:
+        category = unicodedata.category(c)
+        kind = "L" if c in letters else "N" if c in digits else ""
+        if category == "Cn" or c not in known or kind != (category[0] if category[0] in "LN" else ""):
+            found[ord(c)] = 1
+    return bytes(found)
+
+
 class PrefixCounter:
     """Prefix tables for the tokenizer in a file."""
 
@@ -82,6 +101,8 @@ class PrefixCounter:
         self.held: Recent[str, int] = Recent(WORDS_HELD)
         self.held_words: Recent[str, int] = Recent(WORDS_HELD)
         self.fits: dict[int, bool] = {}
+        self.library = Tokenizer.from_file(path)
+        self.unknown = unknown_characters()
 
     def _symbols(self, token: str) -> list[str]:
         if token.endswith(self.end) and len(token) > len(self.end):
@@ -151,30 +172,46 @@ class PrefixCounter:
         """Tokens of each prefix of a text without white space. The words of a prefix are those of the whole,
         but for the last, which may fall apart when it is cut (a contraction)."""
         table = [0]
-        for word in self.words.findall(chunk):
+        for word in self.words_of(chunk):
             before, counts = table[-1], self.word_table(word)
             if word[0] == "'" and len(word) > 1 and word[1].isalpha():
                 for size in range(1, len(word)):
-                    counts[size] = sum(self.word_table(w)[-1] for w in self.words.findall(word[:size]))
+                    counts[size] = sum(self.word_table(w)[-1] for w in self.words_of(word[:size]))
             table.extend(before + c for c in counts[1:])
         return table
 
     def chunk_count(self, chunk: str) -> int:
         found = self.held.young.get(chunk) or self.held.get(chunk)
         if found is None:
-            words = (chunk,) if chunk.isalpha() else self.words.findall(chunk)
+            words = (chunk,) if chunk.isalpha() else self.words_of(chunk)
             found = sum(map(self.word_count, words))
             if len(chunk) <= LENGTH_HELD:
                 self.held.put(chunk, found)
         return found
 
-    @staticmethod
-    def normalised(text: str) -> str:
-        text = unicodedata.normalize("NFC", text)
-        if "Σ" in text:  # each character by itself: no special form at a word's end
-            return "".join(c.lower() for c in text)
+    def unsure(self, text: str) -> bool:
+        """Whether the text has a character that the tables here may not know rightly."""
+        return not text.isascii() and any(map(self.unknown.__getitem__, map(ord, set(text))))
+
+    def words_of(self, chunk: str) -> list[str]:
+        """The words of a normalised text without white space."""
+        if not self.unsure(chunk):
+            return self.words.findall(chunk)
+        return [chunk[a:b] for _, (a, b) in self.library.pre_tokenizer.pre_tokenize_str(chunk)]
+
+    def normalised(self, text: str) -> str:
+        """Composed and lower-cased; white space stays as it is."""
+        if not text.isascii():
+            if self.unsure(text):
+                return NOT_SPACE.sub(lambda run: self._normalised(run.group()), text)
+            text = unicodedata.normalize("NFC", text)
+            if "Σ" in text:  # each character by itself: no special form at a word's end
+                return "".join(c.lower() for c in text)
         return text.lower()
 
+    def _normalised(self, run: str) -> str:
+        return self.library.normalizer.normalize_str(run) if self.unsure(run) else self.normalised(run)
+
     def parts(self, text: str) -> Iterator[tuple[str, bool]]:
         """The text between special strings, normalised, and the special strings themselves."""
         at = 0
@@ -186,14 +223,12 @@ class PrefixCounter:
 
     def count(self, text: str | None) -> int:
         """Tokens of the whole text."""
-        total = 0
-        for part, special in self.parts(text or ""):
-            if special:
-                total += 1
-                continue
-            chunks = NOT_SPACE.findall(part) if SEPARATORS.search(part) else part.split()
-            total += sum(map(self.chunk_count, chunks))
-        return total
+        return sum(1 if special else self.part_count(part) for part, special in self.parts(text or ""))
+
+    def part_count(self, part: str) -> int:
+        """Tokens of a normalised text without special strings."""
+        chunks = NOT_SPACE.findall(part) if SEPARATORS.search(part) else part.split()
+        return sum(map(self.chunk_count, chunks))
 
     def table(self, text: str | None) -> tuple[str, np.ndarray]:
         """The normalised text and the tokens of each of its prefixes, entry 0 for the empty one. A special
@@ -218,6 +253,24 @@ class PrefixCounter:
                 counts.append(here)
         return "".join(pieces), np.concatenate(counts)
 
+    def count_and_reach(self, text: str | None, budget: int) -> tuple[int, int]:
+        """The tokens of the whole text, and the size of `cut`'s prefix from the tables of the words around its end
+        alone."""
+        parts = list(self.parts(text or ""))
+        total = sum(1 if special else self.part_count(part) for part, special in parts)
+        if total <= budget:
+            return total, sum(len(part) for part, _ in parts)
+        if len(parts) > 1:  # a special string may count as plain text until it is complete
+            return total, int(np.flatnonzero(self.table(text)[1] <= budget)[-1])
+        used = 0
+        for found in NOT_SPACE.finditer(parts[0][0]):
+            count = self.chunk_count(found.group())
+            if used + count > budget:
+                within = self.chunk_table(found.group())
+                return total, found.start() + max(i for i, n in enumerate(within) if used + n <= budget)
+            used += count
+        raise AssertionError("the text has as many tokens as its words")
+
     def cut(self, text: str | None, budget: int) -> tuple[str, int]:
         """The longest prefix of the normalised text with at most `budget` tokens, and their number."""
         whole, table = self.table(text)
@@ -235,19 +288,39 @@ def count_tokens(
     docs: DataFrame, path: str | None = None, limit: int = MAX_TOKENS, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """One row per document: doc_id, n_bytes, n_tokens, over_limit."""
+    return _counted(docs, path, limit, id_col, text_col, False)
+
+
+def fit_tokens(
+    docs: DataFrame, path: str | None = None, limit: int = MAX_TOKENS, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """As `count_tokens`, and `fits`: the code points of the longest prefix of the normalised text that keeps the
+    limit, which is where `truncate` would cut."""
+    return _counted(docs, path, limit, id_col, text_col, True)
+
+
+def _counted(
+    docs: DataFrame, path: str | None, limit: int, id_col: str, text_col: str, with_fits: bool
+) -> DataFrame:
     path = path or public_tokenizers.path(TOKENIZER)
 
-    @F.pandas_udf("long")
-    def tokens(texts: pd.Series) -> pd.Series:
-        return texts.map(counter(path).count, na_action=None).astype("int64")
+    @F.pandas_udf("n_tokens long, fits long")
+    def counted(texts: pd.Series) -> pd.DataFrame:
+        tokens = counter(path)
+        if with_fits:
+            found = [tokens.count_and_reach(text, limit) for text in texts]
+        else:
+            found = [(tokens.count(text), 0) for text in texts]
+        return pd.DataFrame(found, columns=["n_tokens", "fits"], dtype="int64")
 
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
-    counted = docs.select(
+    rows = docs.select(
         F.col(f"`{id_col}`").alias("doc_id"),
         F.octet_length(text).cast("long").alias("n_bytes"),
-        tokens(text).alias("n_tokens"),
+        counted(text).alias("counted"),
     )
-    return counted.withColumn("over_limit", F.col("n_tokens") > limit)
+    over = (F.col("counted.n_tokens") > limit).alias("over_limit")
+    return rows.select("doc_id", "n_bytes", "counted.n_tokens", over, *(["counted.fits"] if with_fits else []))
 
 
 def prefix_counts(
@@ -279,4 +352,4 @@ def truncate(
 
 
 def query(spark, sf_dir: str) -> DataFrame:
-    return count_tokens(read_table(spark, sf_dir, "documents"))
+    return fit_tokens(read_table(spark, sf_dir, "documents"))

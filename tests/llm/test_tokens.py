@@ -46,6 +46,40 @@ def test_every_prefix_like_the_library(library):
             assert table[size] == tokens_of(library, whole[:size]), ascii(whole[:size])
 
 
+@pytest.mark.parametrize("form", ["{}", "a{}", "!{}", "{}\U0001f468", "\U0001f468{}e\u0301"])
+def test_every_code_point_like_the_library(library, form):
+    """Alone and beside a letter or a symbol; 0x30000 and above by the hundred, most of them unassigned."""
+    counter = tc.counter(public_tokenizers.path(tc.TOKENIZER))
+    points = [c for c in [*range(1, 0x32000), *range(0x32000, 0x110000, 100)] if not 0xD800 <= c < 0xE000]
+    for first in range(0, len(points), 500):
+        part = points[first : first + 500]
+        text = " ".join(form.format(chr(c)) for c in part)
+        if counter.count(text) != tokens_of(library, text):
+            assert not [hex(c) for c in part if counter.count(form.format(chr(c))) != tokens_of(library, form.format(chr(c)))]
+            raise AssertionError(hex(part[0]))
+
+
+@pytest.mark.parametrize("text", ["\ua7cb", "\ua7dc", "\U0001f468\U00018d19", "x\ua7cb1 \U00010d50\u0301!", "\ua7dc's"])
+def test_recent_letters_at_every_prefix(library, text):
+    counter = tc.counter(public_tokenizers.path(tc.TOKENIZER))
+    whole, table = counter.table(text)
+    assert table.tolist() == [tokens_of(library, whole[:size]) for size in range(len(whole) + 1)]
+
+
+def test_reach_is_the_cuts_size():
+    counter = tc.counter(public_tokenizers.path(tc.TOKENIZER))
+    for text in [*EDGES, None, "some ordinary words, don't they? " * 9, *random_texts(200)]:
+        for budget in (0, 1, 2, 5, 40):
+            assert counter.count_and_reach(text, budget) == (counter.count(text), len(counter.cut(text, budget)[0]))
+
+
+def test_fits_is_where_truncation_cuts(spark):
+    rows = [(1, "Hello there, all of you"), (2, None), (3, ""), (4, "tok <|endoftext|> " * 30), (5, "Ａ\ua7cb e\u0301 " * 30)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    fits = {r["doc_id"]: r["fits"] for r in tc.fit_tokens(df, limit=7).collect()}
+    assert fits == {r["doc_id"]: len(r["text"]) for r in tc.truncate(df, 7).collect()}
+
+
 def test_cuts_are_the_longest(library):
     counter = tc.counter(public_tokenizers.path(tc.TOKENIZER))
     for text in ["some ordinary words, don't they?", *random_texts(60)]:
