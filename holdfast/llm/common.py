@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -49,3 +52,12 @@ def unpacked(df: DataFrame, column: str = "row") -> DataFrame:
 def held_out(doc_id: Column) -> Column:
     """The fourth of all documents whose labels nothing may be learnt from; false for a null id."""
     return F.coalesce(F.crc32(doc_id.cast("string")) % 4 == 2, F.lit(False))
+
+
+def release_memory() -> None:
+    """Hand what a batch has freed back to the operating system. Spark keeps worker processes for later stages, whose
+    own needs come on top of what these still hold."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # not in every C library
+    if trim:
+        trim(0)

@@ -28,8 +28,9 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from holdfast.llm.common import read_table, staged
-from holdfast.llm.token_counts import LENGTH_HELD, NOT_SPACE, TOKENIZER, PrefixCounter, counter
+from holdfast.llm.bpe import Recent
+from holdfast.llm.common import read_table, release_memory, staged
+from holdfast.llm.token_counts import NOT_SPACE, TOKENIZER, PrefixCounter, TextRules, counter, rules
 from holdfast.llm.word_merge import WordMerger
 
 MAX_TOKENS = 2_048
@@ -40,6 +41,8 @@ ROWS_PER_SHARD = 20_000
 WELL_OVER = 3
 # Code points whose words are taken apart together.
 CHARS_AT_ONCE = 3_000_000
+# Sizes of the memory of words; others are counted again.
+WORDS_HELD, LENGTH_HELD = 200_000, 48
 WORD = re.compile(r"\S+")
 # White space beyond ASCII, and the ASCII characters that separate words.
 OTHER_SPACE = "[" + "".join(c for c in map(chr, range(0x80, 0x3001)) if not NOT_SPACE.match(c)) + "]"
@@ -122,11 +125,12 @@ def word_starts(text: str) -> np.ndarray:
     return (np.cumsum((units & 0xC0) != 0x80) - 1)[begins]
 
 
-def chunk_counts(chunks: list[str], tokens: PrefixCounter) -> np.ndarray:
+def chunk_counts(chunks: list[str], tokens: TextRules) -> np.ndarray:
     """Tokens of different texts without white space. Words not counted of late are merged together."""
     normalised = tokens.normalised(" ".join(chunks)).split(" ") if chunks else []
     apart = [(chunk,) if chunk.isalpha() else tokens.words_of(chunk) for chunk in normalised]
-    held, known = tokens.held_words, {}
+    merging, held = merger(tokens.path)
+    known = {}
     new = []
     for word in {word for words in apart for word in words}:
         count = held.get(word)
@@ -134,17 +138,17 @@ def chunk_counts(chunks: list[str], tokens: PrefixCounter) -> np.ndarray:
             new.append(word)
         else:
             known[word] = count
-    for word, count in zip(new, merger(tokens.path).counts(new).tolist(), strict=True):
-        known[word] = count = tokens.word_count(word) if count < 0 else count
+    for word, count in zip(new, merging.counts(new).tolist(), strict=True):
+        known[word] = count = counter(tokens.path).word_count(word) if count < 0 else count
         if len(word) <= LENGTH_HELD:
             held.put(word, count)
     return np.array([known[w[0]] if len(w) == 1 else sum(map(known.__getitem__, w)) for w in apart], dtype=np.int64)
 
 
 @cache
-def merger(path: str) -> WordMerger:
-    """One per worker process and tokenizer file."""
-    return WordMerger(path)
+def merger(path: str) -> tuple[WordMerger, Recent[str, int]]:
+    """One per worker process and tokenizer file, with a memory of words counted of late."""
+    return WordMerger(path), Recent(WORDS_HELD)
 
 
 def parts_of(texts: Iterable[str | None]) -> Iterator[list[str]]:
@@ -160,7 +164,7 @@ def parts_of(texts: Iterable[str | None]) -> Iterator[list[str]]:
         yield held
 
 
-def cut_batch(texts: Iterable[str | None], max_tokens: int, tokens: PrefixCounter) -> list[list[tuple[int, int, int]]]:
+def cut_batch(texts: Iterable[str | None], max_tokens: int, tokens: TextRules) -> list[list[tuple[int, int, int]]]:
     """`cut_tokens` of many texts. Their words are taken apart and numbered together, each different word is counted
     once, and pieces end where running sums go beyond a multiple. Texts with special strings, or with a word over
     a piece, go the other way."""
@@ -182,7 +186,7 @@ def cut_batch(texts: Iterable[str | None], max_tokens: int, tokens: PrefixCounte
     for at, text in enumerate(texts):
         first, last = ends[at], ends[at + 1]
         if special[at] or overs[last] > overs[first]:
-            found.append(cut_tokens(text, max_tokens, tokens))
+            found.append(cut_tokens(text, max_tokens, counter(tokens.path)))
             continue
         total = int(sums[last] - sums[first])
         if total <= max_tokens:
@@ -209,8 +213,9 @@ def pieces(
 
     @F.pandas_udf("array<struct<start: long, end: long, n_tokens: long>>")
     def spans(texts: pd.Series) -> pd.Series:
-        tokens = counter(path)
+        tokens = rules(path)
         cuts = [spans for part in parts_of(texts) for spans in cut_batch(part, max_tokens, tokens)]
+        release_memory()
         return pd.Series([[{"start": s, "end": e, "n_tokens": n} for s, e, n in one] for one in cuts])
 
     rows = docs.select(

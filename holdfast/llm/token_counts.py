@@ -17,7 +17,6 @@ repeated rows are counted each; an empty table gives an empty result; extra colu
 
 from __future__ import annotations
 
-import itertools
 import json
 import re
 import unicodedata
@@ -57,24 +56,75 @@ def byte_symbols() -> list[str]:
 def unknown_characters() -> bytes:
     """By code point, 1 for characters whose case or kind may be another one in the tokenizer library, whose tables can
     be newer: those that one of the two tables here lacks, and those that they take for different kinds."""
-    every = [chr(c) for c in range(0x80, 0x110000) if not 0xD800 <= c < 0xE000]
-    known, letters, digits = (set(regex.findall(kind, "".join(every))) for kind in (r"\P{Cn}", r"\p{L}", r"\p{N}"))
     found = bytearray(0x110000)
-    for c in every:
-        category = unicodedata.category(c)
-        kind = "L" if c in letters else "N" if c in digits else ""
-        if category == "Cn" or c not in known or kind != (category[0] if category[0] in "LN" else ""):
-            found[ord(c)] = 1
+    for first in range(0, 0x110000, 0x800):  # a block at a time, for little memory; one block holds the surrogates alone
+        if first == 0xD800:
+            continue
+        block = "".join(map(chr, range(max(first, 0x80), first + 0x800)))
+        known, letters, digits = (set(regex.findall(kind, block)) for kind in (r"\P{Cn}", r"\p{L}", r"\p{N}"))
+        for c in block:
+            category = unicodedata.category(c)
+            kind = "L" if c in letters else "N" if c in digits else ""
+            if category == "Cn" or c not in known or kind != (category[0] if category[0] in "LN" else ""):
+                found[ord(c)] = 1
     return bytes(found)
 
 
-class PrefixCounter:
-    """Prefix tables for the tokenizer in a file."""
+class TextRules:
+    """How the tokenizer in a file takes a text apart, down to words."""
 
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as file:
             settings = json.load(file)
         self.path = path
+        steps = settings["pre_tokenizer"]["pretokenizers"]
+        self.words = regex.compile(next(s["pattern"]["Regex"] for s in steps if s["type"] == "Split"))
+        special = [t["content"] for t in settings["added_tokens"]]
+        self.special = re.compile("|".join(map(re.escape, sorted(special, key=len, reverse=True))))
+        self.library = Tokenizer.from_file(path)
+        self.unknown = unknown_characters()
+        self.learn(settings)
+
+    def learn(self, settings: dict) -> None:
+        """Take in what else of the file is needed."""
+
+    def unsure(self, text: str) -> bool:
+        """Whether the text has a character that the tables here may not know rightly."""
+        return not text.isascii() and any(map(self.unknown.__getitem__, map(ord, set(text))))
+
+    def words_of(self, chunk: str) -> list[str]:
+        """The words of a normalised text without white space."""
+        if not self.unsure(chunk):
+            return self.words.findall(chunk)
+        return [chunk[a:b] for _, (a, b) in self.library.pre_tokenizer.pre_tokenize_str(chunk)]
+
+    def normalised(self, text: str) -> str:
+        """Composed and lower-cased; white space stays as it is."""
+        if not text.isascii():
+            if self.unsure(text):
+                return NOT_SPACE.sub(lambda run: self._normalised(run.group()), text)
+            text = unicodedata.normalize("NFC", text)
+            if "Σ" in text:  # each character by itself: no special form at a word's end
+                return "".join(c.lower() for c in text)
+        return text.lower()
+
+    def _normalised(self, run: str) -> str:
+        return self.library.normalizer.normalize_str(run) if self.unsure(run) else self.normalised(run)
+
+    def parts(self, text: str) -> Iterator[tuple[str, bool]]:
+        """The text between special strings, normalised, and the special strings themselves."""
+        at = 0
+        for found in self.special.finditer(text):
+            yield self.normalised(text[at : found.start()]), False
+            yield found.group(), True
+            at = found.end()
+        yield self.normalised(text[at:]), False
+
+
+class PrefixCounter(TextRules):
+    """Prefix tables for the tokenizer in a file."""
+
+    def learn(self, settings: dict) -> None:
         model = settings["model"]
         self.end = model["end_of_word_suffix"]
         ranks = {tuple(pair): at for at, pair in enumerate(model["merges"])}
@@ -93,16 +143,10 @@ class PrefixCounter:
             for size in range(1, len(token)):
                 self.inner.setdefault(token[:size], -1)
         self.longest = max(map(len, self.final))
-        steps = settings["pre_tokenizer"]["pretokenizers"]
-        self.words = regex.compile(next(s["pattern"]["Regex"] for s in steps if s["type"] == "Split"))
-        special = [t["content"] for t in settings["added_tokens"]]
-        self.special = re.compile("|".join(map(re.escape, sorted(special, key=len, reverse=True))))
         self.symbol_of = dict(enumerate(byte_symbols()))
         self.held: Recent[str, int] = Recent(WORDS_HELD)
         self.held_words: Recent[str, int] = Recent(WORDS_HELD)
         self.fits: dict[int, bool] = {}
-        self.library = Tokenizer.from_file(path)
-        self.unknown = unknown_characters()
 
     def _symbols(self, token: str) -> list[str]:
         if token.endswith(self.end) and len(token) > len(self.end):
@@ -189,38 +233,6 @@ class PrefixCounter:
                 self.held.put(chunk, found)
         return found
 
-    def unsure(self, text: str) -> bool:
-        """Whether the text has a character that the tables here may not know rightly."""
-        return not text.isascii() and any(map(self.unknown.__getitem__, map(ord, set(text))))
-
-    def words_of(self, chunk: str) -> list[str]:
-        """The words of a normalised text without white space."""
-        if not self.unsure(chunk):
-            return self.words.findall(chunk)
-        return [chunk[a:b] for _, (a, b) in self.library.pre_tokenizer.pre_tokenize_str(chunk)]
-
-    def normalised(self, text: str) -> str:
-        """Composed and lower-cased; white space stays as it is."""
-        if not text.isascii():
-            if self.unsure(text):
-                return NOT_SPACE.sub(lambda run: self._normalised(run.group()), text)
-            text = unicodedata.normalize("NFC", text)
-            if "Σ" in text:  # each character by itself: no special form at a word's end
-                return "".join(c.lower() for c in text)
-        return text.lower()
-
-    def _normalised(self, run: str) -> str:
-        return self.library.normalizer.normalize_str(run) if self.unsure(run) else self.normalised(run)
-
-    def parts(self, text: str) -> Iterator[tuple[str, bool]]:
-        """The text between special strings, normalised, and the special strings themselves."""
-        at = 0
-        for found in self.special.finditer(text):
-            yield self.normalised(text[at : found.start()]), False
-            yield found.group(), True
-            at = found.end()
-        yield self.normalised(text[at:]), False
-
     def count(self, text: str | None) -> int:
         """Tokens of the whole text."""
         return sum(1 if special else self.part_count(part) for part, special in self.parts(text or ""))
@@ -278,6 +290,12 @@ class PrefixCounter:
         return whole[:size], int(table[size])
 
 
+@cache
+def rules(path: str) -> TextRules:
+    """One per worker process and tokenizer file."""
+    return TextRules(path)
+
+
 @cache
 def counter(path: str) -> PrefixCounter:
     """One per worker process and tokenizer file."""
