@@ -513,9 +513,12 @@ def hash_split_ratios(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def random_split_sides(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The side of every row, and of every copy of rows that repeat, in two layouts."""
-    keys = table(spark, sf_dir, "lineitem").select(F.when(F.col("l_orderkey") % 3 > 0, F.col("l_orderkey")).alias("k"), "l_returnflag")
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_returnflag")
+    key = F.when(F.col("l_orderkey") % 3 > 0, F.col("l_orderkey")).alias("k")
+    # As few tasks as the table is read in, and more of them, that hold the copies of a row together or apart.
+    many = lines.repartition(max(13, 2 * lines.rdd.getNumPartitions()), "l_returnflag", "l_orderkey")
     found = []
-    for name, df in (("few", keys.coalesce(2)), ("many", keys.repartition(13, "l_returnflag", "k"))):
+    for name, df in (("few", lines.select(key, "l_returnflag")), ("many", many.select(key, "l_returnflag"))):
         for side, rows in zip(("train", "test"), random_split(df), strict=True):
             counted = rows.groupBy("k", "l_returnflag").agg(F.count(F.lit(1)).alias("copies"))
             found.append(counted.withColumn("side", F.lit(side)).withColumn("layout", F.lit(name)))

@@ -4,6 +4,7 @@ import hashlib
 
 from pyspark.sql import functions as F
 
+from holdfast.checks import queries
 from holdfast.operators import splitting
 from holdfast.operators.splitting import hash_split, random_split
 
@@ -70,3 +71,25 @@ def test_rows_that_look_alike_are_told_apart(spark):
 def test_a_row_that_fills_the_table_is_dealt_out(spark, plan_of):
     train, _ = random_split(spark.range(10).select(F.lit(1).alias("x")))
     assert "RepartitionByExpression" in plan_of(train, "extended")
+
+
+def test_no_task_gets_all_copies_of_a_row(spark, plan_of):
+    train, _ = random_split(spark.range(10).select(F.lit(1).alias("x")))
+    assert "Join" not in plan_of(train)  # a join by the row's hash gathers them
+
+
+def test_values_of_any_kind_come_back_as_they_were(spark):
+    rows = [(-0.0, "a", [1, 2]), (0.0, "a", [1, 2]), (float("inf"), None, None), (None, "b", []), (0.1 + 0.2, "b", [None])]
+    df = spark.createDataFrame(rows + rows[-1:] * 3, "`x.y` DOUBLE, text STRING, n ARRAY<INT>")
+    train, test = random_split(df)
+    assert train.schema == df.schema
+    assert sorted(map(repr, train.collect() + test.collect())) == sorted(map(repr, df.collect()))
+    plain = df.drop("n")
+    assert sorted(map(repr, sum((side.collect() for side in random_split(plain)), []))) == sorted(map(repr, plain.collect()))
+
+
+def test_the_layouts_of_the_query_grow_with_the_table(spark, plan_of, tmp_path):
+    lines = spark.range(400).select(F.col("id").alias("l_orderkey"), (F.col("id") % 3).cast("string").alias("l_returnflag"))
+    lines.repartition(40).write.parquet(f"{tmp_path}/lineitem.parquet")
+    plan = plan_of(queries.random_split_sides(spark, str(tmp_path)))
+    assert "Coalesce" not in plan and ", 13)" not in plan
