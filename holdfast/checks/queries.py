@@ -430,8 +430,7 @@ def wide_one_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_orderkey", "l_linenumber", F.when(F.col("l_partkey") % 7 != 0, pair).alias("pair")
     )
     encoded, _ = encode_categories(lines, ["pair"], held_values=100)
-    stored = F.to_json(F.struct(F.col("pair_enc").alias("v")))
-    slots = F.from_json(stored, "v STRUCT<size: INT, indices: ARRAY<INT>, values: ARRAY<DOUBLE>>")["v"]
+    slots = F.unwrap_udt("pair_enc")
     pairs = F.arrays_zip(slots["indices"].alias("pos"), slots["values"].alias("value"))
     return encoded.select("l_orderkey", "l_linenumber", slots["size"].alias("slots"), F.inline(pairs))
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections import Counter
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import OneHotEncoder, StringIndexerModel
 from pyspark.sql import DataFrame, Window
@@ -100,7 +101,18 @@ def categories_of(
     found: dict[str, list[tuple[int, str]]] = {c: [] for c in present(df, columns)}
     if not found:
         return Categories({}, {})
-    counts = category_counts(df, list(found))
+    # The counts are read several times and made once.
+    counts = category_counts(df, list(found)).persist(StorageLevel.DISK_ONLY)
+    try:
+        return _categories(counts, found, max_categories, held_values)
+    finally:
+        counts.unpersist()
+
+
+def _categories(
+    counts: DataFrame, found: dict[str, list[tuple[int, str]]], max_categories: int | None, held_values: int
+) -> Categories:
+    """`categories_of` the columns in `found`, whose values are empty yet."""
     # With one row more than all columns may have together, one of them is over its bound: what is left out
     # is never part of a result.
     most = held_values if max_categories is None else max_categories
@@ -108,7 +120,7 @@ def categories_of(
     wide: dict[str, int] = {}
     path = ""
     if max_categories is None:
-        counts, wide = _wide_columns(counts, rows, most * len(found), held_values)
+        wide = _wide_columns(counts, rows, most * len(found), held_values)
         if wide:
             rows = counts.where(~F.col("column").isin(list(wide))).collect()
     for row in rows:
@@ -117,7 +129,7 @@ def categories_of(
     if over:
         raise TooManyCategories(f"more than {max_categories} values in: {', '.join(over)}")
     if wide:
-        folder = scratch_dir(df.sparkSession)
+        folder = scratch_dir(counts.sparkSession)
         path = f"{folder}/ranking"
         ranking = ranking_of(counts.where(F.col("column").isin(list(wide))), f"{folder}/sorted")
         ranking.select("column", "value", "index").write.parquet(path)
@@ -126,16 +138,13 @@ def categories_of(
     return Categories(labels, wide, path)
 
 
-def _wide_columns(counts: DataFrame, rows: list, most: int, held_values: int) -> tuple[DataFrame, dict[str, int]]:
-    """The counts, and the columns with more than `held_values` of them, given the first rows of the counts."""
+def _wide_columns(counts: DataFrame, rows: list, most: int, held_values: int) -> dict[str, int]:
+    """The columns with more than `held_values` of the counts, of which `rows` are the first."""
     if len(rows) <= most:  # these are all
         sizes = Counter(row["column"] for row in rows)
     else:
-        path = f"{scratch_dir(counts.sparkSession)}/counts"
-        counts.write.parquet(path)
-        counts = counts.sparkSession.read.parquet(path)
         sizes = {r["column"]: r["count"] for r in counts.groupBy("column").count().collect()}
-    return counts, {c: size for c, size in sizes.items() if size > held_values}
+    return {c: size for c, size in sizes.items() if size > held_values}
 
 
 def category_labels(

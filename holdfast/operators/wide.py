@@ -41,14 +41,17 @@ def index_by_ranking(df: DataFrame, ranking: DataFrame, columns: list[str], size
     """Add `c_idx` for each listed column by joining with its part of the ranking.
 
     For any number of values, none of which reaches the driver. Null and values the ranking lacks get the
-    index after the column's last. The join is left to Spark's size check and skew handling.
+    index after the column's last. The join is left to Spark's size check and skew handling; nulls, which it would
+    send to one task, each get a key of their own that no value has.
     """
     for column in present(df, columns):
         mine = ranking.filter(F.col("column") == column)
         after_last = sizes[column] if sizes else mine.agg(F.count(F.lit(1))).first()[0]
-        index, value = f"{column}_idx", f"{column}_value"
-        values = mine.select(F.col("value").alias(value), F.col("index").cast("double").alias(index))
-        df = df.join(values, F.col(column).cast("string") == F.col(value), "left").drop(value)
+        index, value, key = f"{column}_idx", f"{column}_value", f"{column}_key"
+        values = mine.select(F.concat("value", F.lit("=")).alias(value), F.col("index").cast("double").alias(index))
+        own = F.concat(F.monotonically_increasing_id().cast("string"), F.lit("-"))
+        keyed = df.withColumn(key, F.coalesce(F.concat(F.col(column).cast("string"), F.lit("=")), own))
+        df = keyed.join(values, F.col(key) == F.col(value), "left").drop(key, value)
         df = df.withColumn(index, F.coalesce(index, F.lit(float(after_last))))
     return df
 

@@ -1,12 +1,16 @@
 from __future__ import annotations
 
+from collections import Counter
+
 import pytest
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
+from holdfast.checks import queries
+from holdfast.cluster import session_conf
 from holdfast.operators import categories
-from holdfast.operators.categories import encode_categories, fit_category_index
+from holdfast.operators.categories import category_ranking, encode_categories, fit_category_index, index_by_ranking
 from holdfast.operators.features import derive_features, fit_preprocessing
 from holdfast.operators.forest import load_models, save_models, score, train_forest
 
@@ -91,3 +95,42 @@ def test_no_value_of_a_wide_column_reaches_the_driver(spark, monkeypatch):
     first = model.transform(df.limit(5)).select("features").collect()
     assert {r["features"].size for r in first} == {500_003}
     assert all(len(r["features"].indices) <= 3 for r in first)
+
+
+def test_nulls_are_spread_over_the_tasks_of_the_join(spark, tmp_path):
+    """Before, they met in one; and none of their keys is a value's."""
+    df = spark.range(4_000).select("id", F.when(F.col("id") % 4 == 0, F.concat(F.col("id"), F.lit("-"))).alias("c"))
+    ranking = category_ranking(df, ["c"], str(tmp_path / "r"))
+    off = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    with session_conf(spark, off):
+        found = index_by_ranking(df, ranking, ["c"]).withColumn("task", F.spark_partition_id()).collect()
+    assert len(found) == 4_000
+    nulls = Counter(r["task"] for r in found if r["c"] is None)
+    assert sum(nulls.values()) == 3_000 and max(nulls.values()) < 1_000
+    assert {r["c_idx"] for r in found if r["c"] is None} == {1_000.0}
+    assert sorted(r["c_idx"] for r in found if r["c"] is not None) == list(range(1_000))
+
+
+def test_a_wide_column_is_counted_once(spark, tmp_path):
+    """What is counted twice reads its rows twice."""
+    reads = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def noted(x):
+        reads.add(1)
+        return x
+
+    df = spark.range(0, 300, 1, 4).select(noted(F.col("id").cast("string")).alias("c"))
+    held = set(spark.sparkContext._jsc.getPersistentRDDs().keySet())
+    known = categories.categories_of(df, ["c"], held_values=10)
+    assert known.wide == {"c": 300} and reads.value == 300
+    assert set(spark.sparkContext._jsc.getPersistentRDDs().keySet()) <= held
+
+
+def test_the_slots_are_read_without_text(spark, plan_of, tmp_path):
+    k = F.col("id")
+    lines = spark.range(500).select(k.alias("l_orderkey"), k.alias("l_linenumber"), k.alias("l_partkey"), k.alias("l_suppkey"))
+    lines.write.parquet(f"{tmp_path}/lineitem.parquet")
+    found = queries.wide_one_hot(spark, str(tmp_path))
+    assert plan_of(found).count("from_json") == 1  # the one that makes the vector
+    assert found.count() == sum(i % 7 > 0 for i in range(500))
